@@ -38,3 +38,245 @@ def _feat_query(ch: str):
 
 for _ch in CHANNELS:
     register(f"feat_{_ch}", O.ctes(f"feat_{_ch}") + f"SELECT * FROM feat_{_ch}")(_feat_query(_ch))
+
+
+# --- profiling and data quality (A1, A2, A12-A18, F5, J1, Q1-Q9) ------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from pulsegrid.operators import quality as Q  # noqa: E402
+from pulsegrid.plans.channels import SPECS  # noqa: E402
+from pulsegrid.sources.adapters import bronze_master  # noqa: E402
+
+LABEL = {"email": "email", "web": "web", "rep": "veeva", "event": "event"}
+
+RANGES = {
+    "email": {
+        "email_ctor": ("ctor", 4),
+        "email_open_rate": ("open_rate", 4),
+        "email_click_rate": ("click_rate", 4),
+    },
+    "web": {
+        "download_rate": ("download_rate", 4),
+        "video_completion_rate": ("video_completion_rate", 4),
+        "avg_session_duration": ("avg_session_duration", 2),
+    },
+    "rep": {"avg_interaction_duration_minutes": ("avg_duration", 2)},
+    "event": {"event_attendance_rate": ("attendance_rate", 4), "avg_event_attendance_duration": ("avg_duration", 2)},
+}
+NEGATIVE_FEATURES = {
+    "email": ["email_open_rate", "email_click_rate", "email_ctor"],
+    "web": [
+        "page_views", "content_views", "downloads", "download_rate", "video_starts",
+        "video_completions", "video_completion_rate", "avg_session_duration",
+    ],
+    "rep": [
+        "total_veeva_interactions", "in_person_visits", "phone_calls", "virtual_meetings",
+        "completed_interactions", "cancelled_interactions", "no_show_interactions",
+        "avg_interaction_duration_minutes", "followups_required",
+    ],
+    "event": [
+        "total_event_activities", "event_registrations", "event_attendance", "event_attendance_rate",
+        "avg_event_attendance_duration", "max_event_attendance_duration", "event_questions", "event_polls",
+    ],
+}
+
+
+def _sql_range(ch: str) -> str:
+    parts = []
+    for c, (short, digits) in RANGES[ch].items():
+        parts += [f"MIN({c}) AS min_{short}", f"MAX({c}) AS max_{short}", f"{O.rnd(O.xavg(c), digits)} AS avg_{short}"]
+    return O.ctes(f"feat_{ch}") + f"SELECT {', '.join(parts)} FROM feat_{ch}"
+
+
+def _reg_channel_quality(ch: str) -> None:
+    spec = SPECS[ch]
+    lab = LABEL[ch]
+    sv = f"silver_{ch}"
+    ft = f"feat_{ch}"
+    dcols = ["hcp_id", *spec.distinct_extra]
+
+    def silver_df(spark, sf_dir):
+        return SV.silver(spark, sf_dir, ch)
+
+    def feat_df(spark, sf_dir):
+        return feature_table(spark, sf_dir, ch)
+
+    register(
+        f"profile_counts_{ch}",
+        O.ctes(sv) + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, "
+        + ", ".join(f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_{c}" for c in dcols) + f" FROM {sv}",
+    )(lambda spark, sf_dir: Q.profile_counts(silver_df(spark, sf_dir), dcols))
+
+    bronze_name = f"bronze_{ch}"
+    register(
+        f"bronze_counts_{ch}",
+        O.ctes(bronze_name) + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, "
+        + ", ".join(f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_{c}" for c in dcols) + f" FROM {bronze_name}",
+    )(lambda spark, sf_dir: Q.profile_counts(__import__("pulsegrid.sources.adapters", fromlist=["BRONZE"]).BRONZE[ch](spark, sf_dir), dcols))
+
+    union = " UNION ALL ".join(
+        f"SELECT '{c}' AS category, CAST({c} AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS records, "
+        f"CAST(COUNT(DISTINCT hcp_id) AS BIGINT) AS unique_hcps FROM {sv} GROUP BY {c}"
+        for c in spec.categories
+    )
+    register(f"category_distribution_{ch}", O.ctes(sv) + union)(
+        lambda spark, sf_dir: Q.category_distribution(silver_df(spark, sf_dir), spec.categories)
+    )
+
+    register(
+        f"dq_duplicate_ids_{ch}",
+        O.ctes(sv) + f"SELECT CAST(COUNT(*) AS BIGINT) AS duplicate_{lab}_event_ids FROM "
+        f"(SELECT {spec.key} FROM {sv} GROUP BY {spec.key} HAVING COUNT(*) > 1)",
+    )(lambda spark, sf_dir: Q.duplicate_key_count(silver_df(spark, sf_dir), spec.key, f"duplicate_{lab}_event_ids"))
+
+    ncols = [spec.key, "hcp_id", spec.gate_type, spec.ts]
+    register(
+        f"dq_null_counts_{ch}",
+        O.ctes(sv) + "SELECT " + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_{c}" for c in ncols)
+        + f" FROM {sv}",
+    )(lambda spark, sf_dir: Q.null_counts(silver_df(spark, sf_dir), ncols))
+
+    register(
+        f"activity_range_{ch}",
+        O.ctes(sv) + f"SELECT MIN({spec.ts}) AS first_{lab}_activity, MAX({spec.ts}) AS last_{lab}_activity FROM {sv}",
+    )(lambda spark, sf_dir: Q.activity_range(silver_df(spark, sf_dir), spec.ts, lab))
+
+    register(
+        f"entity_coverage_{ch}",
+        O.ctes(sv) + f"SELECT CAST(COUNT(DISTINCT hcp_id) AS BIGINT) AS {lab}_active_hcps FROM {sv}",
+    )(lambda spark, sf_dir: Q.entity_coverage(silver_df(spark, sf_dir), lab))
+
+    register(
+        f"feature_counts_{ch}",
+        O.ctes(ft) + f"SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(COUNT(DISTINCT hcp_id) AS BIGINT) AS unique_hcp_id FROM {ft}",
+    )(lambda spark, sf_dir: Q.profile_counts(feat_df(spark, sf_dir), ["hcp_id"]))
+
+    register(
+        f"dq_duplicate_entities_{ch}",
+        O.ctes(ft) + f"SELECT hcp_id, CAST(COUNT(*) AS BIGINT) AS records FROM {ft} GROUP BY hcp_id HAVING COUNT(*) > 1",
+    )(lambda spark, sf_dir: Q.duplicate_listing(feat_df(spark, sf_dir)))
+
+    register(
+        f"coverage_vs_master_{ch}",
+        O.ctes("bronze_master", ft) + f"SELECT CAST(COUNT(DISTINCT h.hcp_id) AS BIGINT) AS total_hcps, "
+        f"CAST(COUNT(DISTINCT f.hcp_id) AS BIGINT) AS {lab}_active_hcps FROM bronze_master h LEFT JOIN {ft} f ON h.hcp_id = f.hcp_id",
+    )(lambda spark, sf_dir: Q.coverage_vs_master(bronze_master(spark, sf_dir), feat_df(spark, sf_dir), lab))
+
+    register(f"feature_ranges_{ch}", _sql_range(ch))(
+        lambda spark, sf_dir: Q.range_stats(feat_df(spark, sf_dir), RANGES[ch])
+    )
+
+    negs = NEGATIVE_FEATURES[ch]
+    register(
+        f"dq_negative_{ch}",
+        O.ctes(ft) + f"SELECT CAST(COUNT(*) AS BIGINT) AS invalid_{lab}_records FROM {ft} WHERE "
+        + " OR ".join(f"{c} < 0" for c in negs),
+    )(lambda spark, sf_dir: Q.negative_rows(feat_df(spark, sf_dir), negs, f"invalid_{lab}_records"))
+
+    if spec.non_negative:
+        nn = list(spec.non_negative)
+        register(
+            f"dq_negative_silver_{ch}",
+            O.ctes(sv) + f"SELECT CAST(COUNT(*) AS BIGINT) AS negative_values FROM {sv} WHERE "
+            + " OR ".join(f"{c} < 0" for c in nn),
+        )(lambda spark, sf_dir: Q.negative_rows(silver_df(spark, sf_dir), nn, "negative_values"))
+
+    register(
+        f"sample_ordered_{ch}",
+        O.ctes(ft) + f"SELECT * FROM {ft} ORDER BY hcp_id LIMIT 10",
+    )(lambda spark, sf_dir: feat_df(spark, sf_dir).orderBy("hcp_id").limit(10))
+
+    register(
+        f"scan_sample_{ch}",
+        O.ctes(sv) + f"SELECT * FROM {sv} ORDER BY {spec.key} LIMIT 10",
+    )(lambda spark, sf_dir: silver_df(spark, sf_dir).orderBy(spec.key).limit(10))
+
+
+for _ch in CHANNELS:
+    _reg_channel_quality(_ch)
+
+
+def _recompute_sql(ch: str, num: str, den: str, stored: str, out: str) -> str:
+    return O.ctes(f"feat_{ch}") + (
+        f"SELECT hcp_id, {den}, {num}, {stored}, "
+        f"{O.rnd(f'CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)', 4)} AS {out} FROM feat_{ch}"
+    )
+
+
+register("dq_ctor_recompute", _recompute_sql("email", "email_clicks", "email_opens", "email_ctor", "calculated_ctor"))(
+    lambda spark, sf_dir: Q.recompute_ratio(feature_table(spark, sf_dir, "email"), "email_clicks", "email_opens", "email_ctor", "calculated_ctor")
+)
+register(
+    "dq_download_recompute", _recompute_sql("web", "downloads", "content_views", "download_rate", "calculated_download_rate")
+)(
+    lambda spark, sf_dir: Q.recompute_ratio(
+        feature_table(spark, sf_dir, "web"), "downloads", "content_views", "download_rate", "calculated_download_rate"
+    )
+)
+register(
+    "dq_attendance_recompute",
+    _recompute_sql("event", "event_attendance", "event_registrations", "event_attendance_rate", "calculated_attendance_rate"),
+)(
+    lambda spark, sf_dir: Q.recompute_ratio(
+        feature_table(spark, sf_dir, "event"),
+        "event_attendance",
+        "event_registrations",
+        "event_attendance_rate",
+        "calculated_attendance_rate",
+    )
+)
+register(
+    "dq_rep_completion",
+    O.ctes("feat_rep")
+    + "SELECT hcp_id, total_veeva_interactions, completed_interactions, "
+    + O.rnd("CAST(completed_interactions AS DOUBLE) / NULLIF(CAST(total_veeva_interactions AS DOUBLE), 0)", 4)
+    + " AS veeva_completion_rate FROM feat_rep",
+)(
+    lambda spark, sf_dir: feature_table(spark, sf_dir, "rep").select(
+        "hcp_id",
+        "total_veeva_interactions",
+        "completed_interactions",
+        Q.ratio(F.col("completed_interactions"), F.col("total_veeva_interactions")).alias("veeva_completion_rate"),
+    )
+)
+register(
+    "dq_count_consistency",
+    O.ctes("feat_rep")
+    + "SELECT hcp_id, total_veeva_interactions, in_person_visits + phone_calls + virtual_meetings AS calculated_total_interactions "
+    "FROM feat_rep WHERE total_veeva_interactions != in_person_visits + phone_calls + virtual_meetings",
+)(lambda spark, sf_dir: Q.count_consistency(feature_table(spark, sf_dir, "rep")))
+register(
+    "dq_attendance_gt_reg",
+    O.ctes("feat_event")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS invalid_attendance_records FROM feat_event WHERE event_attendance > event_registrations",
+)(
+    lambda spark, sf_dir: feature_table(spark, sf_dir, "event")
+    .where(F.col("event_attendance") > F.col("event_registrations"))
+    .agg(F.count(F.lit(1)).alias("invalid_attendance_records"))
+)
+register(
+    "clicks_without_open",
+    O.ctes("silver_email")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS clicks_without_open FROM silver_email WHERE event_type = 'click' AND email_id NOT IN "
+    "(SELECT DISTINCT email_id FROM silver_email WHERE event_type = 'open' AND email_id IS NOT NULL)",
+)(lambda spark, sf_dir: Q.clicks_without_open(SV.silver(spark, sf_dir, "email")))
+register(
+    "attendance_without_reg",
+    O.ctes("silver_event")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS attendance_without_registration FROM silver_event a WHERE a.event_activity_type = 'attendance' "
+    "AND NOT EXISTS (SELECT 1 FROM silver_event r WHERE r.hcp_id = a.hcp_id AND r.event_id = a.event_id AND r.event_activity_type = 'registration')",
+)(lambda spark, sf_dir: Q.attendance_without_registration(SV.silver(spark, sf_dir, "event")))
+register(
+    "completion_rate",
+    O.ctes("silver_rep")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS total_interactions, "
+    "CAST(SUM(CASE WHEN interaction_status = 'Completed' THEN 1 ELSE 0 END) AS BIGINT) AS completed_interactions, "
+    + O.rnd("CAST(SUM(CASE WHEN interaction_status = 'Completed' THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)", 4)
+    + " AS overall_completion_rate FROM silver_rep",
+)(lambda spark, sf_dir: Q.completion_rate(SV.silver(spark, sf_dir, "rep")))
+register(
+    "session_validation",
+    O.ctes("silver_web")
+    + "SELECT CAST(COUNT(DISTINCT session_id) AS BIGINT) AS unique_sessions, "
+    "CAST(COUNT(DISTINCT CASE WHEN event_type = 'page_view' THEN session_id END) AS BIGINT) AS sessions_with_page_view FROM silver_web",
+)(lambda spark, sf_dir: Q.session_validation(SV.silver(spark, sf_dir, "web")))
