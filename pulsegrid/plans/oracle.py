@@ -349,3 +349,54 @@ EXTRA_DEPS: dict[str, tuple[str, ...]] = {}
 
 def sql_date(d: dt.date) -> str:
     return f"DATE '{d.isoformat()}'"
+
+
+# --- unification ---------------------------------------------------------------
+def _unify_sql() -> None:
+    from pulsegrid.operators.unify import CHANNEL_LAYOUT, FINAL_BUSINESS, NORM_SPEC
+
+    EXTRA_SQL["features_raw"] = (
+        "SELECT m.hcp_id, e.* EXCLUDE (hcp_id), w.* EXCLUDE (hcp_id), r.* EXCLUDE (hcp_id), v.* EXCLUDE (hcp_id) "
+        "FROM (SELECT DISTINCT hcp_id FROM bronze_master) m "
+        "LEFT JOIN feat_email e ON m.hcp_id = e.hcp_id LEFT JOIN feat_web w ON m.hcp_id = w.hcp_id "
+        "LEFT JOIN feat_rep r ON m.hcp_id = r.hcp_id LEFT JOIN feat_event v ON m.hcp_id = v.hcp_id"
+    )
+    EXTRA_DEPS["features_raw"] = ("bronze_master", "feat_email", "feat_web", "feat_rep", "feat_event")
+    cols = ["hcp_id"]
+    for _, zero_cols, last_cols, rec_cols in CHANNEL_LAYOUT:
+        cols += [f"COALESCE({c}, 0) AS {c}" for c in zero_cols]
+        cols += last_cols
+        cols += [f"COALESCE({c}, 31) AS {c}" for c in rec_cols]
+    EXTRA_SQL["features_complete"] = "SELECT " + ", ".join(cols) + " FROM features_raw"
+    EXTRA_DEPS["features_complete"] = ("features_raw",)
+
+    rate = "CAST(completed_interactions AS DOUBLE) / NULLIF(CAST(total_veeva_interactions AS DOUBLE), 0)"
+    stats = []
+    for name, src, _ in NORM_SPEC:
+        short = name[5:]
+        v = rate if src is None else f"CAST({src} AS DOUBLE)"
+        stats += [f"MIN({v}) AS min_{short}", f"MAX({v}) AS max_{short}"]
+    EXTRA_SQL["norm_stats"] = "SELECT " + ", ".join(stats) + " FROM features_complete"
+    EXTRA_DEPS["norm_stats"] = ("features_complete",)
+
+    norm = ["f.hcp_id"]
+    for name, src, inv in NORM_SPEC:
+        short = name[5:]
+        v = rate.replace("completed_interactions", "f.completed_interactions").replace(
+            "total_veeva_interactions", "f.total_veeva_interactions"
+        ) if src is None else f"CAST(f.{src} AS DOUBLE)"
+        frac = f"({v} - s.min_{short}) / (s.max_{short} - s.min_{short})"
+        body = f"1.0 - {frac}" if inv else frac
+        norm.append(f"CAST(CASE WHEN s.max_{short} = s.min_{short} THEN 0 ELSE {body} END AS DOUBLE) AS {name}")
+    EXTRA_SQL["features_normalized"] = "SELECT " + ", ".join(norm) + " FROM features_complete f CROSS JOIN norm_stats s"
+    EXTRA_DEPS["features_normalized"] = ("features_complete", "norm_stats")
+
+    EXTRA_SQL["features_final"] = (
+        "SELECT n.hcp_id, " + ", ".join(f"c.{x}" for x in FINAL_BUSINESS) + ", "
+        + ", ".join(f"n.{x}" for x, _, _ in NORM_SPEC)
+        + " FROM features_normalized n INNER JOIN features_complete c ON n.hcp_id = c.hcp_id"
+    )
+    EXTRA_DEPS["features_final"] = ("features_normalized", "features_complete")
+
+
+_unify_sql()

@@ -280,3 +280,81 @@ register(
     + "SELECT CAST(COUNT(DISTINCT session_id) AS BIGINT) AS unique_sessions, "
     "CAST(COUNT(DISTINCT CASE WHEN event_type = 'page_view' THEN session_id END) AS BIGINT) AS sessions_with_page_view FROM silver_web",
 )(lambda spark, sf_dir: Q.session_validation(SV.silver(spark, sf_dir, "web")))
+
+
+# --- unification (J2, P12, A19-A22, X1-X3, J4, Q10) ---------------------------
+from pulsegrid.operators import unify as U  # noqa: E402
+
+
+def channel_features(spark, sf_dir, cfg: RunConfig = CFG) -> dict:
+    return {ch: feature_table(spark, sf_dir, ch, cfg) for ch in CHANNELS}
+
+
+def unified_raw(spark, sf_dir, cfg: RunConfig = CFG):
+    return U.features_raw(bronze_master(spark, sf_dir), channel_features(spark, sf_dir, cfg))
+
+
+def unified_complete(spark, sf_dir, cfg: RunConfig = CFG):
+    return U.features_complete(unified_raw(spark, sf_dir, cfg), cfg.recency_fill)
+
+
+register("features_raw", O.ctes("features_raw") + "SELECT * FROM features_raw")(unified_raw)
+register("features_complete", O.ctes("features_complete") + "SELECT * FROM features_complete")(unified_complete)
+register("norm_stats", O.ctes("norm_stats") + "SELECT * FROM norm_stats")(
+    lambda spark, sf_dir: U.norm_stats(unified_complete(spark, sf_dir))
+)
+register("features_normalized", O.ctes("features_normalized") + "SELECT * FROM features_normalized")(
+    lambda spark, sf_dir: U.features_normalized(unified_complete(spark, sf_dir))
+)
+
+
+def _final(spark, sf_dir):
+    c = unified_complete(spark, sf_dir)
+    return U.features_final(U.features_normalized(c), c)
+
+
+register("features_final", O.ctes("features_final") + "SELECT * FROM features_final")(_final)
+register(
+    "dq_norm_range",
+    O.ctes("features_normalized")
+    + "SELECT " + ", ".join(f"MIN({n}) AS min_{n[5:]}, MAX({n}) AS max_{n[5:]}" for n in U.NORM_COLUMNS)
+    + " FROM features_normalized",
+)(lambda spark, sf_dir: U.norm_range(U.features_normalized(unified_complete(spark, sf_dir))))
+register(
+    "channel_counts",
+    O.ctes("feat_email", "feat_web", "feat_rep", "feat_event")
+    + " UNION ALL ".join(
+        f"SELECT '{lab}' AS channel, CAST(COUNT(*) AS BIGINT) AS hcp_records, CAST(COUNT(DISTINCT hcp_id) AS BIGINT) AS unique_hcps FROM feat_{ch}"
+        for ch, lab in (("email", "EMAIL"), ("web", "WEB"), ("rep", "VEEVA"), ("event", "EVENT"))
+    ),
+)(lambda spark, sf_dir: U.channel_counts(channel_features(spark, sf_dir)))
+register(
+    "channel_coverage",
+    O.ctes("features_raw")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS total_hcps, CAST(COUNT(emails_delivered) AS BIGINT) AS email_hcps, "
+    "CAST(COUNT(total_web_events) AS BIGINT) AS web_hcps, CAST(COUNT(total_veeva_interactions) AS BIGINT) AS veeva_hcps, "
+    "CAST(COUNT(total_event_activities) AS BIGINT) AS event_hcps FROM features_raw",
+)(lambda spark, sf_dir: U.channel_coverage(unified_raw(spark, sf_dir)))
+register(
+    "dq_null_counts_unified",
+    O.ctes("features_complete")
+    + "SELECT CAST(COUNT(*) AS BIGINT) AS total_hcps, "
+    + ", ".join(
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {k}"
+        for k, c in (
+            ("null_email_features", "emails_delivered"), ("null_web_features", "content_views"),
+            ("null_veeva_features", "total_veeva_interactions"), ("null_event_features", "total_event_activities"),
+            ("null_email_recency", "days_since_last_email_engagement"), ("null_web_recency", "days_since_last_web_engagement"),
+            ("null_veeva_recency", "days_since_last_veeva_engagement"), ("null_event_recency", "days_since_last_event_engagement"),
+        )
+    )
+    + " FROM features_complete",
+)(lambda spark, sf_dir: U.unified_null_report(unified_complete(spark, sf_dir)))
+register(
+    "dq_duplicate_entities_unified",
+    O.ctes("features_raw") + "SELECT hcp_id, CAST(COUNT(*) AS BIGINT) AS records FROM features_raw GROUP BY hcp_id HAVING COUNT(*) > 1",
+)(lambda spark, sf_dir: Q.duplicate_listing(unified_raw(spark, sf_dir)))
+register(
+    "sample_ordered_final",
+    O.ctes("features_final") + "SELECT * FROM features_final ORDER BY hcp_id LIMIT 10",
+)(lambda spark, sf_dir: _final(spark, sf_dir).orderBy("hcp_id").limit(10))
