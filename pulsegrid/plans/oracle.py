@@ -400,3 +400,265 @@ def _unify_sql() -> None:
 
 
 _unify_sql()
+
+
+# --- snapshots ------------------------------------------------------------------
+def _dates_cte(p) -> str:
+    rows = ", ".join(f"(DATE '{d.isoformat()}', '{s}')" for d, s in p.all_dates())
+    return f"SELECT * FROM (VALUES {rows}) t(snapshot_date, split)"
+
+
+def _win(ts: str, days: int, history: bool, p) -> str:
+    T = "CAST(d.snapshot_date AS TIMESTAMP)"
+    if history:
+        hi = "<=" if p.hist_closed_right else "<"
+        return f"s.{ts} >= {T} - INTERVAL {days} DAY AND s.{ts} {hi} {T}"
+    lo = ">" if p.label_open_left else ">="
+    hi = "<=" if p.label_open_left else "<"
+    return f"s.{ts} {lo} {T} AND s.{ts} {hi} {T} + INTERVAL {days} DAY"
+
+
+def _c(cond: str) -> str:
+    return f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT)"
+
+
+def _ds(x: str) -> str:
+    return f"CAST(SUM(CAST({x} AS DECIMAL(24, 6))) AS DOUBLE)"
+
+
+def _dm(x: str) -> str:
+    return f"({_ds(x)} / NULLIF(CAST(COUNT({x}) AS DOUBLE), 0))"
+
+
+def _nd(x: str) -> str:
+    return f"CAST(COUNT(DISTINCT {x}) AS BIGINT)"
+
+
+def _rec(last: str, p) -> str:
+    r = (f"COALESCE(CAST(epoch_us(CAST(snapshot_date AS TIMESTAMP)) - epoch_us({last}) AS DOUBLE)"
+         f" / CAST(1000000 AS DOUBLE) / CAST(86400 AS DOUBLE), CAST({p.hist_days} AS DOUBLE))")
+    return f"LEAST({r}, CAST({p.hist_days} AS DOUBLE))" if p.clip_recency else r
+
+
+def _rt(a: str, b: str, p) -> str:
+    if p.ratio_guard == "max1":
+        return f"CAST({a} AS DOUBLE) / GREATEST(CAST({b} AS DOUBLE), 1.0)"
+    return f"CAST({a} AS DOUBLE) / (CAST({b} AS DOUBLE) + 1e-5)"
+
+
+def snapshot_ctes(p) -> dict[str, str]:
+    """Per-channel history aggregates, spine, features and labels for profile ``p``."""
+    A = p.name == "A"
+    att = "event_activity_type = 'attendance'" if p.attendance_rule == "activity" else "attendance_status = 'Attended'"
+    web_eng = ", ".join(f"'{t}'" for t in p.web_engagement_types)
+    q = {}
+    q["snap_dates"] = _dates_cte(p)
+    src = {
+        "email": ("silver_email", "event_timestamp"),
+        "web": ("silver_web", "event_timestamp"),
+        "event": ("silver_event", "activity_timestamp"),
+        "rep": ("silver_rep", "interaction_timestamp"),
+    }
+    for ch, (tbl, ts) in src.items():
+        q[f"snap_{ch}_rows"] = f"SELECT s.*, d.snapshot_date FROM {tbl} s JOIN snap_dates d ON {_win(ts, p.hist_days, True, p)}"
+    if A:
+        email_aggs = [
+            f"{_c("event_type = 'delivered'")} AS email_delivered", f"{_c("event_type = 'bounced'")} AS email_bounced",
+            f"{_c("event_type = 'open'")} AS email_opens", f"{_c("event_type = 'click'")} AS email_clicks",
+        ]
+    else:
+        email_aggs = [
+            f"{_c("delivery_status = 'delivered'")} AS email_delivered", f"{_c("delivery_status = 'bounced'")} AS email_bounced",
+            f"{_c("event_type = 'open'")} AS email_open", f"{_c("event_type = 'click'")} AS email_click",
+        ]
+    email_aggs += [
+        f"{_nd('email_id')} AS email_unique_emails", f"{_nd('campaign_id')} AS email_unique_campaigns",
+        f"{_nd('drug_id')} AS email_unique_drugs", f"{_nd('CAST(event_timestamp AS DATE)')} AS email_active_days",
+        "MAX(event_timestamp) AS _last",
+        "MAX(CASE WHEN event_type IN ('open', 'click') THEN event_timestamp END) AS _last_eng",
+    ]
+    q["snap_email_g"] = f"SELECT hcp_id, snapshot_date, {', '.join(email_aggs)} FROM snap_email_rows GROUP BY hcp_id, snapshot_date"
+    dur = "session_duration_seconds"
+    web_aggs = [
+        "CAST(COUNT(web_event_id) AS BIGINT) AS web_total_events", f"{_nd('session_id')} AS web_unique_sessions",
+        f"{_c("event_type = 'page_view'")} AS web_page_views", f"{_c("event_type = 'content_view'")} AS web_content_views",
+        f"{_c("event_type = 'download'")} AS web_downloads", f"{_c("event_type = 'video_start'")} AS web_video_starts",
+        f"{_c("event_type = 'video_complete'")} AS web_video_completes",
+    ]
+    if A:
+        web_aggs += [
+            f"{_ds(dur)} AS web_total_duration", f"{_dm(dur)} AS web_avg_duration", f"MAX({dur}) AS web_max_duration",
+            f"{_nd('CAST(event_timestamp AS DATE)')} AS web_active_days", f"{_nd('campaign_id')} AS web_unique_campaigns",
+            f"{_nd('drug_id')} AS web_unique_drugs",
+        ]
+    else:
+        web_aggs += [
+            f"{_ds(dur)} AS web_total_session_duration", f"{_dm(dur)} AS web_avg_session_duration",
+            f"MAX({dur}) AS web_max_session_duration", f"{_nd('CAST(event_timestamp AS DATE)')} AS web_active_days",
+            f"{_nd('content_type')} AS web_content_type_diversity", f"{_nd('device_type')} AS web_device_diversity",
+        ]
+    web_aggs += ["MAX(event_timestamp) AS _last", f"MAX(CASE WHEN event_type IN ({web_eng}) THEN event_timestamp END) AS _last_eng"]
+    q["snap_web_g"] = f"SELECT hcp_id, snapshot_date, {', '.join(web_aggs)} FROM snap_web_rows GROUP BY hcp_id, snapshot_date"
+    dur = "attendance_duration_minutes"
+    ev = [
+        f"{_c("event_activity_type = 'registration'")} AS event_registrations", f"{_c(att)} AS event_attendances",
+        f"{_ds(dur)} AS event_total_duration", f"{_dm(dur)} AS event_avg_duration",
+    ]
+    if not A:
+        ev.append(f"MAX({dur}) AS event_max_duration")
+    ev += [
+        f"{_ds('questions_asked')} AS event_questions", f"{_ds('poll_responses')} AS event_polls",
+        f"{_nd('CAST(activity_timestamp AS DATE)')} AS event_active_days", f"{_nd('event_id')} AS event_unique_events",
+    ]
+    if A:
+        ev += [f"{_nd('campaign_id')} AS event_unique_campaigns", f"{_nd('drug_id')} AS event_unique_drugs"]
+    ev += ["MAX(activity_timestamp) AS _last", f"MAX(CASE WHEN {att} THEN activity_timestamp END) AS _last_eng"]
+    q["snap_event_g"] = f"SELECT hcp_id, snapshot_date, {', '.join(ev)} FROM snap_event_rows GROUP BY hcp_id, snapshot_date"
+    dur = "interaction_duration_minutes"
+    rp = [
+        ("CAST(COUNT(*) AS BIGINT)" if A else "CAST(COUNT(veeva_event_id) AS BIGINT)") + " AS veeva_total_interactions",
+        f"{_c("interaction_status = 'Completed'")} AS veeva_completed",
+        f"{_c("interaction_status = 'Cancelled'")} AS veeva_cancelled",
+        f"{_c("interaction_status = 'No Show'")} AS veeva_no_show",
+        f"{_c("interaction_type = 'In-Person Visit'")} AS veeva_in_person",
+        f"{_c("interaction_type = 'Phone Call'")} AS veeva_phone",
+        f"{_c("interaction_type = 'Virtual Meeting'")} AS veeva_virtual",
+        f"{_ds(dur)} AS veeva_total_duration", f"{_dm(dur)} AS veeva_avg_duration",
+    ]
+    if A:
+        rp += [
+            f"{_c('follow_up_required = TRUE')} AS veeva_follow_up_count",
+            f"{_nd('CAST(interaction_timestamp AS DATE)')} AS veeva_active_days", f"{_nd('rep_id')} AS veeva_unique_reps",
+            f"{_nd('campaign_id')} AS veeva_unique_campaigns", f"{_nd('drug_id')} AS veeva_unique_drugs",
+        ]
+    else:
+        rp += [
+            f"MAX({dur}) AS veeva_max_duration", f"{_c('follow_up_required = TRUE')} AS veeva_followups",
+            f"{_nd('CAST(interaction_timestamp AS DATE)')} AS veeva_active_days",
+        ]
+    rp += ["MAX(interaction_timestamp) AS _last",
+           "MAX(CASE WHEN interaction_status = 'Completed' THEN interaction_timestamp END) AS _last_eng"]
+    q["snap_rep_g"] = f"SELECT hcp_id, snapshot_date, {', '.join(rp)} FROM snap_rep_rows GROUP BY hcp_id, snapshot_date"
+
+    # per-channel finished tables (rates + recency), entities with activity only
+    if A:
+        q["snap_email"] = (
+            "SELECT * EXCLUDE (_last, _last_eng), "
+            f"{_rt('email_opens', 'email_delivered', p)} AS email_open_rate, {_rt('email_clicks', 'email_delivered', p)} AS email_click_rate, "
+            f"{_rt('email_clicks', 'email_opens', p)} AS email_ctor, {_rec('_last', p)} AS email_recency_days, "
+            f"{_rec('_last_eng', p)} AS email_eng_recency_days FROM snap_email_g"
+        )
+        q["snap_web"] = (
+            f"SELECT * EXCLUDE (_last, _last_eng), {_rt('web_video_completes', 'web_video_starts', p)} AS web_video_completion_rate, "
+            f"{_rec('_last', p)} AS web_recency_days, {_rec('_last_eng', p)} AS web_eng_recency_days FROM snap_web_g"
+        )
+        q["snap_event"] = (
+            f"SELECT * EXCLUDE (_last, _last_eng), {_rt('event_attendances', 'event_registrations', p)} AS event_attendance_rate, "
+            f"{_rec('_last', p)} AS event_recency_days, {_rec('_last_eng', p)} AS event_att_recency_days FROM snap_event_g"
+        )
+        q["snap_rep"] = (
+            f"SELECT * EXCLUDE (_last, _last_eng), {_rt('veeva_completed', 'veeva_total_interactions', p)} AS veeva_completion_rate, "
+            f"{_rec('_last', p)} AS veeva_recency_days, {_rec('_last_eng', p)} AS veeva_comp_recency_days FROM snap_rep_g"
+        )
+    else:
+        names = {"email": ("email_recency", "email_eng_recency"), "web": ("web_recency", "web_eng_recency"),
+                 "event": ("event_recency", "event_eng_recency"), "rep": ("veeva_recency", "veeva_eng_recency")}
+        for ch, (r1, r2) in names.items():
+            q[f"snap_{ch}"] = f"SELECT * RENAME (_last AS _last_{ch}, _last_eng AS _last_eng_{ch}) FROM snap_{ch}_g"
+    q["snap_spine"] = "SELECT m.hcp_id, d.snapshot_date, d.split FROM (SELECT DISTINCT hcp_id FROM bronze_master) m CROSS JOIN snap_dates d"
+    joined = (
+        "SELECT * FROM snap_spine sp "
+        + " ".join(f"LEFT JOIN snap_{ch} USING (hcp_id, snapshot_date)" for ch in ("email", "web", "event", "rep"))
+    )
+    q["snap_joined"] = joined
+    return q
+
+
+def snapshot_sql(p, with_norm: bool = True, with_labels: bool = True) -> str:
+    """Full snapshot table of profile ``p`` (features [+ norm] [+ labels])."""
+    from pulsegrid.plans import oracle as O
+
+    q = snapshot_ctes(p)
+    A = p.name == "A"
+    hist = f"CAST({p.hist_days} AS DOUBLE)"
+    if A:
+        fill = (
+            "SELECT COLUMNS(lambda c: c IN ('hcp_id', 'snapshot_date', 'split')), "
+            f"COALESCE(COLUMNS(lambda c: c NOT IN ('hcp_id', 'snapshot_date', 'split') AND c LIKE '%recency%'), {hist}), "
+            "COALESCE(COLUMNS(lambda c: c NOT IN ('hcp_id', 'snapshot_date', 'split') AND c NOT LIKE '%recency%'), 0) FROM snap_joined"
+        )
+        q["snap_filled"] = fill
+        tot = "(email_delivered + web_total_events + event_registrations + veeva_total_interactions)"
+        dig = "(email_delivered + web_total_events + event_registrations)"
+        q["snap_feat"] = (
+            f"SELECT *, {tot} AS total_touchpoints, "
+            "CAST((email_delivered > 0)::INT + (web_total_events > 0)::INT + (event_registrations > 0)::INT + (veeva_total_interactions > 0)::INT AS INTEGER) AS active_channel_count, "
+            + ", ".join(
+                f"CAST({c} AS DOUBLE) / GREATEST(CAST({tot} AS DOUBLE), 1.0) AS {n}"
+                for c, n in (("email_delivered", "email_proportion"), ("web_total_events", "web_proportion"),
+                             ("event_registrations", "event_proportion"), ("veeva_total_interactions", "veeva_proportion"))
+            )
+            + f", {dig} AS digital_touchpoints, veeva_total_interactions AS field_touchpoints, "
+            f"CAST({dig} AS DOUBLE) / GREATEST(CAST(veeva_total_interactions AS DOUBLE), 1.0) AS digital_to_field_ratio FROM snap_filled"
+        )
+    else:
+        rec = []
+        for ch, (r1, r2) in {"email": ("email_recency", "email_eng_recency"), "web": ("web_recency", "web_eng_recency"),
+                             "event": ("event_recency", "event_eng_recency"), "rep": ("veeva_recency", "veeva_eng_recency")}.items():
+            rec += [f"{_rec(f'_last_{ch}', p)} AS {r1}", f"{_rec(f'_last_eng_{ch}', p)} AS {r2}"]
+        q["snap_rec"] = "SELECT * EXCLUDE (" + ", ".join(
+            f"_last_{c}, _last_eng_{c}" for c in ("email", "web", "event", "rep")) + "), " + ", ".join(rec) + " FROM snap_joined"
+        q["snap_filled"] = (
+            "SELECT COLUMNS(lambda c: c IN ('hcp_id', 'snapshot_date', 'split') OR c LIKE '%recency%'), "
+            "COALESCE(COLUMNS(lambda c: c NOT IN ('hcp_id', 'snapshot_date', 'split') AND c NOT LIKE '%recency%'), 0) FROM snap_rec"
+        )
+        e = "1e-5"
+        tot = "(email_delivered + web_total_events + event_registrations + veeva_total_interactions)"
+        q["snap_feat"] = (
+            "SELECT *, "
+            f"email_open / (email_delivered + {e}) AS email_open_rate, email_click / (email_delivered + {e}) AS email_click_rate, "
+            f"email_click / (email_open + {e}) AS email_ctor, web_downloads / (web_content_views + {e}) AS web_download_rate, "
+            f"web_video_completes / (web_video_starts + {e}) AS web_video_completion_rate, "
+            f"event_attendances / (event_registrations + {e}) AS event_attendance_rate, "
+            f"veeva_completed / (veeva_total_interactions + {e}) AS veeva_completion_rate, "
+            f"veeva_followups / (veeva_total_interactions + {e}) AS veeva_followup_rate, "
+            f"{tot} AS total_touchpoints, "
+            "CAST((email_delivered > 0)::INT + (web_total_events > 0)::INT + (event_registrations > 0)::INT + (veeva_total_interactions > 0)::INT AS INTEGER) AS active_channels_count, "
+            f"email_delivered / ({tot} + {e}) AS email_prop, web_total_events / ({tot} + {e}) AS web_prop, "
+            f"event_registrations / ({tot} + {e}) AS event_prop, veeva_total_interactions / ({tot} + {e}) AS veeva_prop, "
+            "email_delivered + web_total_events AS digital_touchpoints, event_registrations + veeva_total_interactions AS field_touchpoints, "
+            "(email_delivered + web_total_events) / (event_registrations + veeva_total_interactions + 1.0) AS digital_to_field_ratio, "
+            "LEAST(email_recency, web_recency, event_recency, veeva_recency) AS min_recency_days FROM snap_filled"
+        )
+    final = "snap_feat"
+    if with_norm:
+        q["snap_norm"] = "SELECT * FROM snap_feat LEFT JOIN features_normalized USING (hcp_id)"
+        final = "snap_norm"
+    if with_labels:
+        att = "event_activity_type = 'attendance'" if p.attendance_rule == "activity" else "attendance_status = 'Attended'"
+        if A:
+            preds = {"email_target": ("silver_email", "event_timestamp", "event_type IN ('open', 'click')"),
+                     "web_target": ("silver_web", "event_timestamp", "event_type IN ('content_view', 'download', 'video_complete')")}
+        else:
+            preds = {"email_target": ("silver_email", "event_timestamp", "event_type = 'click'"),
+                     "web_target": ("silver_web", "event_timestamp", "event_type IN ('download', 'video_complete')")}
+        preds["webinar_target"] = ("silver_event", "activity_timestamp", att)
+        preds["veeva_target"] = ("silver_rep", "interaction_timestamp", "interaction_status = 'Completed'")
+        for t, (tbl, ts, cond) in preds.items():
+            q[f"lab_{t}"] = (f"SELECT DISTINCT s.hcp_id, d.snapshot_date FROM {tbl} s JOIN snap_dates d ON "
+                             f"{_win(ts, p.fut_days, False, p)} WHERE {cond}")
+        sel = ", ".join(
+            f"CAST(CASE WHEN l_{i}.hcp_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS {t}" for i, t in enumerate(preds)
+        )
+        joins = " ".join(
+            f"LEFT JOIN lab_{t} l_{i} ON f.hcp_id = l_{i}.hcp_id AND f.snapshot_date = l_{i}.snapshot_date"
+            for i, t in enumerate(preds)
+        )
+        q["snap_final"] = f"SELECT f.*, {sel} FROM {final} f {joins}"
+        final = "snap_final"
+    deps = ["bronze_master", "silver_email", "silver_web", "silver_event", "silver_rep"]
+    if with_norm:
+        deps.append("features_normalized")
+    head = O.ctes(*deps).rstrip("\n")
+    body = ",\n".join(f"{k} AS ({v})" for k, v in q.items())
+    return f"{head},\n{body}\nSELECT * FROM {final}"

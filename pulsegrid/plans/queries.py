@@ -358,3 +358,88 @@ register(
     "sample_ordered_final",
     O.ctes("features_final") + "SELECT * FROM features_final ORDER BY hcp_id LIMIT 10",
 )(lambda spark, sf_dir: _final(spark, sf_dir).orderBy("hcp_id").limit(10))
+
+
+# --- snapshots (J8-J12, F2, F3, A23-A26, X4-X9, P13) ----------------------------
+from pulsegrid.config import PROFILE_A, PROFILE_B  # noqa: E402
+from pulsegrid.operators import snapshots as SN  # noqa: E402
+
+
+def silvers(spark, sf_dir) -> dict:
+    return {ch: SV.silver(spark, sf_dir, ch) for ch in CHANNELS}
+
+
+def master_ids(spark, sf_dir):
+    return bronze_master(spark, sf_dir).select("hcp_id").where(F.col("hcp_id").isNotNull()).distinct()
+
+
+def snapshot_table(spark, sf_dir, p, with_norm: bool = True, with_labels: bool = True, cfg: RunConfig = CFG):
+    sv = silvers(spark, sf_dir)
+    norm = U.features_normalized(unified_complete(spark, sf_dir, cfg)) if with_norm else None
+    feats = SN.snapshot_features(sv, master_ids(spark, sf_dir), norm, p)
+    if with_labels:
+        feats = SN.attach_labels(feats, SN.snapshot_labels(sv, p))
+    return feats
+
+
+def _snap_channel_sql(p, ch: str) -> str:
+    q = O.snapshot_ctes(p)
+    keep = ["snap_dates", f"snap_{ch}_rows", f"snap_{ch}_g", f"snap_{ch}"]
+    head = O.ctes(f"silver_{ch}").rstrip("\n")
+    body = ",\n".join(f"{k} AS ({q[k]})" for k in keep)
+    return f"{head},\n{body}\nSELECT * FROM snap_{ch}"
+
+
+for _ch in ("email", "web", "event", "rep"):
+    register(f"snapshot_{_ch}", _snap_channel_sql(PROFILE_A, _ch))(
+        (lambda c: lambda spark, sf_dir: SN.channel_history(SV.silver(spark, sf_dir, c), c, PROFILE_A))(_ch)
+    )
+
+register("snapshot_features", O.snapshot_sql(PROFILE_A, with_norm=True, with_labels=True))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, PROFILE_A)
+)
+register("snapshot_features_b", O.snapshot_sql(PROFILE_B, with_norm=True, with_labels=True))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, PROFILE_B)
+)
+register("cross_channel", O.snapshot_sql(PROFILE_A, with_norm=False, with_labels=False))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, PROFILE_A, with_norm=False, with_labels=False)
+)
+
+
+def _labels_sql(p) -> str:
+    full = O.snapshot_sql(p, with_norm=False, with_labels=True)
+    return full.replace("SELECT * FROM snap_final", "SELECT hcp_id, snapshot_date, split, email_target, web_target, webinar_target, veeva_target FROM snap_final")
+
+
+def _labels_df(spark, sf_dir, p):
+    sv = silvers(spark, sf_dir)
+    sp = SN.spine(master_ids(spark, sf_dir), p)
+    return SN.attach_labels(sp, SN.snapshot_labels(sv, p))
+
+
+register("snapshot_labels", _labels_sql(PROFILE_A))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_A))
+register("snapshot_labels_b", _labels_sql(PROFILE_B))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_B))
+
+
+def _window_counts_sql(p, history: bool) -> str:
+    days = p.hist_days if history else p.fut_days
+    return (
+        O.ctes("silver_email").rstrip("\n") + ",\n"
+        + f"snap_dates AS ({O._dates_cte(p)})\n"
+        + "SELECT d.snapshot_date, CAST(COUNT(*) AS BIGINT) AS rows_in_window, CAST(COUNT(DISTINCT s.hcp_id) AS BIGINT) AS entities "
+        + f"FROM silver_email s JOIN snap_dates d ON {O._win('event_timestamp', days, history, p)} GROUP BY d.snapshot_date"
+    )
+
+
+def _window_counts(spark, sf_dir, p, history: bool):
+    days = p.hist_days if history else p.fut_days
+    x = SN.explode_windows(SV.silver(spark, sf_dir, "email"), "event_timestamp", [d for d, _ in p.all_dates()], days, history, p)
+    return x.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("rows_in_window"), F.count_distinct("hcp_id").alias("entities")
+    )
+
+
+register("history_window", _window_counts_sql(PROFILE_A, True))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_A, True))
+register("label_window", _window_counts_sql(PROFILE_A, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_A, False))
+register("history_window_b", _window_counts_sql(PROFILE_B, True))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, True))
+register("label_window_b", _window_counts_sql(PROFILE_B, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, False))
