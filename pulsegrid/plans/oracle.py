@@ -230,7 +230,7 @@ def _cnt(cond: str) -> str:
 
 def rnd(expr: str, digits: int) -> str:
     """ROUND half-up on the shortest decimal form of a double (Spark's rule)."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 def xavg(expr: str) -> str:
@@ -662,3 +662,148 @@ def snapshot_sql(p, with_norm: bool = True, with_labels: bool = True) -> str:
     head = O.ctes(*deps).rstrip("\n")
     body = ",\n".join(f"{k} AS ({v})" for k, v in q.items())
     return f"{head},\n{body}\nSELECT * FROM {final}"
+
+
+# --- scoring (deterministic rate propensities, profile A) -----------------------------
+def _avg_rank(x: str, part: str = "") -> str:
+    p = f"PARTITION BY {part} " if part else ""
+    pp = f"{part}, {x}" if part else x
+    return f"(RANK() OVER ({p}ORDER BY {x}) + (COUNT(*) OVER (PARTITION BY {pp}) - 1) / 2.0)"
+
+
+def scoring_sql(kind: str) -> str:
+    from pulsegrid.config import PROFILE_A as p
+    from pulsegrid.operators.metrics import threshold_grid
+    from pulsegrid.operators.scoring import CHANNEL_WEIGHT_CANDIDATES, HYBRID_CANDIDATES
+
+    base = snapshot_sql(p, with_norm=False, with_labels=True)
+    head, _, _ = base.rpartition("\nSELECT * FROM snap_final")
+    w = p.channel_weights
+    q = {
+        "scored0": (
+            "SELECT hcp_id, snapshot_date, split, total_touchpoints, LEAST(email_open_rate, 1.0) AS p_email, "
+            "LEAST(CAST(web_content_views + web_downloads + web_video_completes AS DOUBLE) / GREATEST(CAST(web_total_events AS DOUBLE), 1.0), 1.0) AS p_web, "
+            "LEAST(event_attendance_rate, 1.0) AS p_webinar, veeva_completion_rate AS p_rep, "
+            "email_target, web_target, webinar_target, veeva_target FROM snap_final"
+        ),
+        "trange": "SELECT MIN(total_touchpoints) AS lo, MAX(total_touchpoints) AS hi FROM scored0 WHERE split = 'train'",
+        "scored": (
+            "SELECT s.*, CASE WHEN r.hi = r.lo THEN 0.0 ELSE LEAST(GREATEST((CAST(s.total_touchpoints AS DOUBLE) - r.lo) / CAST(r.hi - r.lo AS DOUBLE) * 100.0, 0.0), 100.0) END AS hist_score, "
+            f"(p_email * {w[0]} + p_web * {w[1]} + p_webinar * {w[2]} + p_rep * {w[3]}) * 100.0 AS pred_score "
+            "FROM scored0 s CROSS JOIN trange r"
+        ),
+        "lp": " UNION ALL ".join(
+            f"SELECT split, '{t}' AS target, {pc} AS prob, {t} AS label FROM scored"
+            for pc, t in (("p_email", "email_target"), ("p_web", "web_target"), ("p_webinar", "webinar_target"), ("p_rep", "veeva_target"))
+        ),
+        "lt": "SELECT * FROM lp WHERE split = 'test'",
+        "val": "SELECT *, email_target + web_target + webinar_target + veeva_target AS fut FROM scored WHERE split = 'val'",
+    }
+    q["roc"] = (
+        f"SELECT target, (SUM(r) FILTER (WHERE label = 1) - CAST(SUM(label) AS DOUBLE) * (CAST(SUM(label) AS DOUBLE) + 1) / 2.0)"
+        f" / NULLIF(CAST(SUM(label) AS DOUBLE) * CAST(COUNT(*) - SUM(label) AS DOUBLE), 0) AS roc_auc "
+        f"FROM (SELECT target, label, {_avg_rank('prob', 'target')} AS r FROM lt) GROUP BY target"
+    )
+    q["pr"] = (
+        "SELECT target, SUM(pos * (prec + prev) / 2.0) / NULLIF(CAST(SUM(pos) AS DOUBLE), 0) AS pr_auc, "
+        "SUM(pos * prec) / NULLIF(CAST(SUM(pos) AS DOUBLE), 0) AS average_precision FROM ("
+        " SELECT target, pos, CAST(tp AS DOUBLE) / (tp + fp) AS prec,"
+        " CASE WHEN (tp - pos) + (fp - neg) > 0 THEN CAST(tp - pos AS DOUBLE) / ((tp - pos) + (fp - neg)) ELSE 1.0 END AS prev FROM ("
+        "  SELECT *, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp FROM ("
+        "   SELECT target, prob, SUM(label) AS pos, COUNT(*) - SUM(label) AS neg FROM lt GROUP BY target, prob)"
+        "  WINDOW w AS (PARTITION BY target ORDER BY prob DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))) GROUP BY target"
+    )
+    q["cm"] = (
+        "SELECT target, CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy, "
+        "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision, "
+        "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall, "
+        "CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM ("
+        " SELECT target, COUNT(*) FILTER (WHERE prob >= 0.5 AND label = 1) AS tp, COUNT(*) FILTER (WHERE prob >= 0.5 AND label <> 1) AS fp,"
+        " COUNT(*) FILTER (WHERE prob < 0.5 AND label = 1) AS fn, COUNT(*) FILTER (WHERE prob < 0.5 AND label <> 1) AS tn FROM lt GROUP BY target)"
+    )
+    names = "CASE target WHEN 'email_target' THEN 'Email' WHEN 'web_target' THEN 'Website' WHEN 'webinar_target' THEN 'Webinar' ELSE 'Sales Rep' END"
+    q["per"] = (
+        f"SELECT {names} AS channel, {rnd('roc_auc', 4)} AS roc_auc, {rnd('pr_auc', 4)} AS pr_auc, "
+        + ", ".join(f"{rnd(c, 4)} AS {c}" for c in ("accuracy", "precision", "recall", "f1"))
+        + " FROM roc JOIN pr USING (target) JOIN cm USING (target)"
+    )
+    grid = threshold_grid()
+    q["grid"] = "SELECT * FROM (VALUES " + ", ".join(f"({j}, CAST('{repr(t)}' AS DOUBLE))" for j, t in enumerate(grid)) + ") g(j, thr)"
+    q["acc"] = (
+        "SELECT v.target, g.j, g.thr, CAST(COUNT(*) FILTER (WHERE (v.prob >= g.thr) = (v.label = 1)) AS DOUBLE) / COUNT(*) AS accuracy "
+        "FROM (SELECT * FROM lp WHERE split = 'val') v CROSS JOIN grid g GROUP BY v.target, g.j, g.thr"
+    )
+    hc = " UNION ALL ".join(f"SELECT {i} AS cand, CAST({h} AS DOUBLE) AS h, CAST({w2} AS DOUBLE) AS w" for i, (h, w2) in enumerate(HYBRID_CANDIDATES))
+    q["hcand"] = hc
+    q["hgrid"] = (
+        f"SELECT cand, CORR(rx, ry) AS spearman FROM (SELECT cand, {_avg_rank('x', 'cand')} AS rx, {_avg_rank('fut', 'cand')} AS ry "
+        "FROM (SELECT c.cand, v.hist_score * c.h + v.pred_score * c.w AS x, v.fut FROM val v CROSS JOIN hcand c)) GROUP BY cand"
+    )
+    wc = " UNION ALL ".join(
+        f"SELECT {i} AS cand, {a} AS a, {b} AS b, {c} AS c, {d} AS d" for i, (a, b, c, d) in enumerate(CHANNEL_WEIGHT_CANDIDATES)
+    )
+    q["wcand"] = wc
+    q["wgrid"] = (
+        f"SELECT cand, CORR(rx, ry) AS spearman FROM (SELECT cand, {_avg_rank('x', 'cand')} AS rx, {_avg_rank('fut', 'cand')} AS ry "
+        "FROM (SELECT c.cand, (v.p_email * c.a + v.p_web * c.b + v.p_webinar * c.c + v.p_rep * c.d) * 100.0 AS x, v.fut FROM val v CROSS JOIN wcand c)) GROUP BY cand"
+    )
+    q["best"] = "SELECT c.h, c.w FROM hgrid g JOIN hcand c USING (cand) ORDER BY g.spearman DESC, g.cand LIMIT 1"
+    q["cuts"] = (
+        "SELECT b.h AS w_hist, b.w AS w_pred, quantile_cont(v.hist_score * b.h + v.pred_score * b.w, 0.3333) AS q33, "
+        "quantile_cont(v.hist_score * b.h + v.pred_score * b.w, 0.6667) AS q66 FROM val v CROSS JOIN best b GROUP BY b.h, b.w"
+    )
+    q["base"] = "SELECT " + ", ".join(f"AVG({c}) AS base_{c}" for c in ("p_email", "p_web", "p_webinar", "p_rep")) + " FROM val"
+    lifts = [f"s.{c} / GREATEST(b.base_{c}, 1e-6)" for c in ("p_email", "p_web", "p_webinar", "p_rep")]
+    nbc = (
+        f"CASE WHEN {lifts[0]} >= {lifts[1]} AND {lifts[0]} >= {lifts[2]} AND {lifts[0]} >= {lifts[3]} THEN 'Email' "
+        f"WHEN {lifts[1]} >= {lifts[2]} AND {lifts[1]} >= {lifts[3]} THEN 'Website' WHEN {lifts[2]} >= {lifts[3]} THEN 'Webinar' ELSE 'Sales Rep' END"
+    )
+    hyb = "(s.hist_score * k.w_hist + s.pred_score * k.w_pred)"
+    q["gold"] = (
+        f"SELECT s.hcp_id, {rnd('s.hist_score', 2)} AS historical_engagement_score, {rnd('s.pred_score', 2)} AS predicted_engagement_score, "
+        f"{rnd(hyb, 2)} AS hybrid_engagement_score, "
+        f"CASE WHEN {hyb} <= k.q33 THEN 'Low' WHEN {hyb} <= k.q66 THEN 'Medium' ELSE 'High' END AS engagement_level, "
+        f"{rnd('s.p_email', 4)} AS email_probability, {rnd('s.p_web', 4)} AS website_probability, "
+        f"{rnd('s.p_webinar', 4)} AS webinar_probability, {rnd('s.p_rep', 4)} AS sales_rep_probability, {nbc} AS next_best_channel "
+        "FROM scored s CROSS JOIN cuts k CROSS JOIN base b WHERE s.split = 'current'"
+    )
+    finals = {
+        "scored": "SELECT * FROM scored",
+        "roc_auc": f"SELECT target, {rnd('roc_auc', 4)} AS roc_auc FROM roc",
+        "pr_auc": f"SELECT target, {rnd('pr_auc', 4)} AS pr_auc, {rnd('average_precision', 4)} AS average_precision FROM pr",
+        "confusion": "SELECT target, " + ", ".join(f"{rnd(c, 4)} AS {c}" for c in ("accuracy", "precision", "recall", "f1")) + " FROM cm",
+        "metrics_overall": "SELECT * FROM per UNION ALL SELECT 'Overall', "
+        + ", ".join(f"{rnd(f'AVG({c})', 4)}" for c in ("roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1")) + " FROM per",
+        "threshold": f"SELECT target, {rnd('thr', 6)} AS threshold, {rnd('accuracy', 6)} AS accuracy FROM ("
+        "SELECT *, ROW_NUMBER() OVER (PARTITION BY target ORDER BY ABS(accuracy - 0.75), j) AS rn FROM acc) WHERE rn = 1",
+        "spearman": f"SELECT {rnd('CORR(rx, ry)', 6)} AS spearman FROM (SELECT {_avg_rank('pred_score')} AS rx, {_avg_rank('fut')} AS ry FROM val)",
+        "hybrid_grid": f"SELECT cand, {rnd('spearman', 6)} AS spearman FROM hgrid",
+        "weight_grid": f"SELECT cand, {rnd('spearman', 6)} AS spearman FROM wgrid",
+        "weight_gram": "SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(CAST((fut / 4.0) * (fut / 4.0) AS DECIMAL(38, 12))) AS DOUBLE) AS yy, "
+        + ", ".join(
+            f"CAST(SUM(CAST({a} * {b} AS DECIMAL(38, 12))) AS DOUBLE) AS g{i}{j}"
+            for i, a in enumerate(("p_email", "p_web", "p_webinar", "p_rep"))
+            for j, b in enumerate(("p_email", "p_web", "p_webinar", "p_rep")) if j >= i
+        )
+        + ", "
+        + ", ".join(
+            f"CAST(SUM(CAST({a} * (fut / 4.0) AS DECIMAL(38, 12))) AS DOUBLE) AS b{i}"
+            for i, a in enumerate(("p_email", "p_web", "p_webinar", "p_rep"))
+        )
+        + " FROM val",
+        "tier_cuts": f"SELECT w_hist, w_pred, {rnd('q33', 6)} AS q33, {rnd('q66', 6)} AS q66 FROM cuts",
+        "base_rates": "SELECT " + ", ".join(f"{rnd(f'base_{c}', 8)} AS base_{c}" for c in ("p_email", "p_web", "p_webinar", "p_rep")) + " FROM base",
+        "final_scores": "SELECT * FROM gold",
+        "score_summary": " UNION ALL ".join(
+            f"SELECT '{c}' AS metric, MIN({c}) AS min, MAX({c}) AS max, {rnd(f'AVG({c})', 4)} AS mean FROM gold"
+            for c in ("historical_engagement_score", "predicted_engagement_score", "hybrid_engagement_score",
+                      "email_probability", "website_probability", "webinar_probability", "sales_rep_probability")
+        ),
+        "value_counts": "SELECT 'engagement_level' AS field, engagement_level AS value, CAST(COUNT(*) AS BIGINT) AS count FROM gold GROUP BY 2 "
+        "UNION ALL SELECT 'next_best_channel', next_best_channel, CAST(COUNT(*) AS BIGINT) FROM gold GROUP BY 2",
+    }
+    body = ",\n".join(f"{k} AS ({v})" for k, v in q.items())
+    return f"{head},\n{body}\n{finals[kind]}"
+
+
+SCORING_BASE_CTES = ("scored", "gold")

@@ -443,3 +443,200 @@ register("history_window", _window_counts_sql(PROFILE_A, True))(lambda spark, sf
 register("label_window", _window_counts_sql(PROFILE_A, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_A, False))
 register("history_window_b", _window_counts_sql(PROFILE_B, True))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, True))
 register("label_window_b", _window_counts_sql(PROFILE_B, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, False))
+
+
+# --- scoring and metrics on deterministic propensities (M9-M24, M32, T6, W2, U2) -----
+from pulsegrid.operators import metrics as MT  # noqa: E402
+from pulsegrid.operators import scoring as SC  # noqa: E402
+from pulsegrid.session import cut_lineage  # noqa: E402
+
+PA = PROFILE_A
+TARGET_OF = dict(zip(SC.PROBS, SC.TARGETS))
+CHANNEL_NAME = dict(zip(SC.TARGETS, ["Email", "Website", "Webinar", "Sales Rep"]))
+
+
+def scored_snapshots(spark, sf_dir, p=PA):
+    """Snapshot rows with rate propensities, history score (train-fitted) and predicted score."""
+    snap = snapshot_table(spark, sf_dir, p, with_norm=False, with_labels=True)
+    df = SC.rate_propensities(snap).select(
+        "hcp_id", "snapshot_date", "split", "total_touchpoints", *SC.PROBS, *SC.TARGETS
+    )
+    df = cut_lineage(df)
+    lo, hi = SC.fit_range(df.where(F.col("split") == "train"), "total_touchpoints")
+    return df.select(
+        "*",
+        SC.minmax_0_100("total_touchpoints", lo, hi).alias("hist_score"),
+        SC.predicted_score(p.channel_weights).alias("pred_score"),
+    )
+
+
+def long_probs(df):
+    """(target, prob, label) rows: the four channels stacked for grouped metrics."""
+    arr = F.array(*[F.struct(F.lit(t).alias("target"), F.col(pcol).alias("prob"), F.col(t).alias("label"))
+                    for pcol, t in TARGET_OF.items()])
+    return df.select("split", F.explode(arr).alias("x")).select("split", "x.target", "x.prob", "x.label")
+
+
+def _q_rate_propensities(spark, sf_dir):
+    return scored_snapshots(spark, sf_dir)
+
+
+def _q_roc(spark, sf_dir):
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "test")
+    return MT.roc_auc(lp, "prob", "label", ["target"]).select("target", F.round("roc_auc", 4).alias("roc_auc"))
+
+
+def _q_pr(spark, sf_dir):
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "test")
+    return MT.pr_metrics(lp, "prob", "label", ["target"]).select(
+        "target", F.round("pr_auc", 4).alias("pr_auc"), F.round("average_precision", 4).alias("average_precision")
+    )
+
+
+def _q_confusion(spark, sf_dir):
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "test")
+    m = MT.confusion_metrics(lp, "prob", "label", 0.5, ["target"])
+    return m.select("target", *[F.round(c, 4).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+def metrics_table(lp_test, threshold=0.5):
+    roc = MT.roc_auc(lp_test, "prob", "label", ["target"])
+    pr = MT.pr_metrics(lp_test, "prob", "label", ["target"])
+    cm = MT.confusion_metrics(lp_test, "prob", "label", threshold, ["target"])
+    names = F.create_map(*[x for t, n in CHANNEL_NAME.items() for x in (F.lit(t), F.lit(n))])
+    per = roc.join(pr, "target").join(cm, "target").select(
+        F.element_at(names, F.col("target")).alias("channel"),
+        F.round("roc_auc", 4).alias("roc_auc"),
+        F.round("pr_auc", 4).alias("pr_auc"),
+        *[F.round(c, 4).alias(c) for c in ("accuracy", "precision", "recall", "f1")],
+    )
+    cols = ["roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1"]
+    overall = per.agg(F.lit("Overall").alias("channel"), *[F.round(F.avg(c), 4).alias(c) for c in cols])
+    return per.unionByName(overall)
+
+
+def _q_metrics_overall(spark, sf_dir):
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "test")
+    return metrics_table(lp)
+
+
+def _q_threshold(spark, sf_dir):
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "val")
+    return MT.threshold_search(lp, "prob", "label", 0.75, ["target"]).select(
+        "target", F.round("threshold", 6).alias("threshold"), F.round("accuracy", 6).alias("accuracy")
+    )
+
+
+def _val(spark, sf_dir):
+    return scored_snapshots(spark, sf_dir).where(F.col("split") == "val")
+
+
+def _q_spearman(spark, sf_dir):
+    v = _val(spark, sf_dir).select(F.col("pred_score"), SC.future_intensity().alias("fut"))
+    return MT.spearman(v, "pred_score", "fut").select(F.round("spearman", 6).alias("spearman"))
+
+
+def _q_hybrid_grid(spark, sf_dir):
+    g = SC.hybrid_grid(_val(spark, sf_dir))
+    return g.select("cand", F.round("spearman", 6).alias("spearman"))
+
+
+def _q_weight_grid(spark, sf_dir):
+    g = SC.weight_grid(_val(spark, sf_dir))
+    return g.select("cand", F.round("spearman", 6).alias("spearman"))
+
+
+def _q_weight_gram(spark, sf_dir):
+    v = _val(spark, sf_dir)
+    y = SC.future_intensity(mean=True)
+    import itertools as _it
+
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum((y * y).cast("decimal(38,12)")).cast("double").alias("yy")]
+    for i, j in _it.combinations_with_replacement(range(4), 2):
+        aggs.append(F.sum((F.col(SC.PROBS[i]) * F.col(SC.PROBS[j])).cast("decimal(38,12)")).cast("double").alias(f"g{i}{j}"))
+    for i in range(4):
+        aggs.append(F.sum((F.col(SC.PROBS[i]) * y).cast("decimal(38,12)")).cast("double").alias(f"b{i}"))
+    return v.agg(*aggs)
+
+
+def _q_weight_fit(spark, sf_dir):
+    w = SC.fit_channel_weights(_val(spark, sf_dir))
+    names = ["Email", "Web", "Webinar", "Veeva"]
+    rows = spark.createDataFrame([(n, float(x)) for n, x in zip(names, w)], "channel string, weight double")
+    return rows.select("channel", F.round("weight", 6).alias("weight"), F.round(F.col("weight") * 100, 4).alias("weight_percent"))
+
+
+def fitted_scoring(spark, sf_dir, p=PA):
+    """Fit hybrid weights (Spearman grid), tier cuts and base rates on validation rows."""
+    df = scored_snapshots(spark, sf_dir, p)
+    val = df.where(F.col("split") == "val")
+    best = SC.pick_best(SC.hybrid_grid(val))
+    wh, wp = SC.HYBRID_CANDIDATES[best]
+    val_h = val.select(SC.hybrid_score("hist_score", "pred_score", wh, wp).alias("h"))
+    q33, q66 = MT.exact_quantiles(val_h, "h", list(p.quantiles))
+    base = SC.base_rates(val).first().asDict()
+    return df, (wh, wp), (q33, q66), base
+
+
+def final_scores(spark, sf_dir, p=PA):
+    """Deterministic gold table for the current snapshot (one row per entity)."""
+    df, (wh, wp), (q33, q66), base = fitted_scoring(spark, sf_dir, p)
+    cur = df.where(F.col("split") == "current").withColumn("hybrid_score", SC.hybrid_score("hist_score", "pred_score", wh, wp))
+    vals = SC.lift_columns(base) if p.next_best_by_lift else [F.col(c) for c in SC.PROBS]
+    return cur.select(
+        "hcp_id",
+        F.round("hist_score", 2).alias("historical_engagement_score"),
+        F.round("pred_score", 2).alias("predicted_engagement_score"),
+        F.round("hybrid_score", 2).alias("hybrid_engagement_score"),
+        SC.tiers("hybrid_score", q33, q66, p.tier_cut_inclusive).alias("engagement_level"),
+        F.round("p_email", 4).alias("email_probability"),
+        F.round("p_web", 4).alias("website_probability"),
+        F.round("p_webinar", 4).alias("webinar_probability"),
+        F.round("p_rep", 4).alias("sales_rep_probability"),
+        SC.next_best_channel(vals, SC.channel_labels(p.rep_label)).alias("next_best_channel"),
+    )
+
+
+def _q_tier_cuts(spark, sf_dir):
+    _, (wh, wp), (q33, q66), _ = fitted_scoring(spark, sf_dir)
+    return spark.createDataFrame([(float(wh), float(wp), round(q33, 6), round(q66, 6))], "w_hist double, w_pred double, q33 double, q66 double")
+
+
+def _q_base_rates(spark, sf_dir):
+    return SC.base_rates(_val(spark, sf_dir)).select(*[F.round(c, 8).alias(c) for c in [f"base_{p}" for p in SC.PROBS]])
+
+
+def _q_score_summary(spark, sf_dir):
+    g = final_scores(spark, sf_dir)
+    cols = ["historical_engagement_score", "predicted_engagement_score", "hybrid_engagement_score",
+            "email_probability", "website_probability", "webinar_probability", "sales_rep_probability"]
+    arr = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in cols])
+    long = g.select(F.explode(arr).alias("x")).select("x.metric", "x.v")
+    return long.groupBy("metric").agg(
+        F.min("v").alias("min"), F.max("v").alias("max"), F.round(F.avg("v"), 4).alias("mean")
+    )
+
+
+def _q_value_counts(spark, sf_dir):
+    g = final_scores(spark, sf_dir)
+    arr = F.array(F.struct(F.lit("engagement_level").alias("field"), F.col("engagement_level").alias("value")),
+                  F.struct(F.lit("next_best_channel").alias("field"), F.col("next_best_channel").alias("value")))
+    return g.select(F.explode(arr).alias("x")).groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("count"))
+
+
+register("rate_propensities", O.scoring_sql("scored"))(_q_rate_propensities)
+register("roc_auc", O.scoring_sql("roc_auc"))(_q_roc)
+register("pr_auc", O.scoring_sql("pr_auc"))(_q_pr)
+register("confusion_metrics", O.scoring_sql("confusion"))(_q_confusion)
+register("metrics_overall", O.scoring_sql("metrics_overall"))(_q_metrics_overall)
+register("threshold_search", O.scoring_sql("threshold"))(_q_threshold)
+register("spearman", O.scoring_sql("spearman"))(_q_spearman)
+register("hybrid_grid", O.scoring_sql("hybrid_grid"))(_q_hybrid_grid)
+register("weight_grid", O.scoring_sql("weight_grid"))(_q_weight_grid)
+register("weight_gram", O.scoring_sql("weight_gram"))(_q_weight_gram)
+register("channel_weight_fit")(_q_weight_fit)
+register("tier_cuts", O.scoring_sql("tier_cuts"))(_q_tier_cuts)
+register("channel_lift", O.scoring_sql("base_rates"))(_q_base_rates)
+register("final_scores", O.scoring_sql("final_scores"))(lambda spark, sf_dir: final_scores(spark, sf_dir))
+register("score_summary", O.scoring_sql("score_summary"))(_q_score_summary)
+register("value_counts", O.scoring_sql("value_counts"))(_q_value_counts)
