@@ -807,3 +807,11 @@ def scoring_sql(kind: str) -> str:
 
 
 SCORING_BASE_CTES = ("scored", "gold")
+
+
+# --- serving (over the deterministic gold table) --------------------------------------
+def serving_sql(final: str, extra: dict[str, str] | None = None) -> str:
+    full = scoring_sql("final_scores")
+    head = full[: full.rindex("\nSELECT * FROM gold")]
+    more = "".join(f",\n{k} AS ({v})" for k, v in (extra or {}).items())
+    return f"{head}{more}\n{final}"

@@ -640,3 +640,166 @@ register("channel_lift", O.scoring_sql("base_rates"))(_q_base_rates)
 register("final_scores", O.scoring_sql("final_scores"))(lambda spark, sf_dir: final_scores(spark, sf_dir))
 register("score_summary", O.scoring_sql("score_summary"))(_q_score_summary)
 register("value_counts", O.scoring_sql("value_counts"))(_q_value_counts)
+
+
+# --- serving (A27-A33, F7-F9, F11, J13, S7, S10-S13, T3, P19-P22) ---------------------
+from pulsegrid.functions import cleaning as CL  # noqa: E402
+from pulsegrid.operators import serving as SE  # noqa: E402
+from pulsegrid.sources.adapters import BRONZE  # noqa: E402
+
+_GOLD_MEMO: dict = {}
+
+
+def gold_table(spark, sf_dir):
+    """The deterministic gold score table, computed once per session and folder and
+    kept as a reliable checkpoint (the serving layer reads it like a written table)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GOLD_MEMO:
+        _GOLD_MEMO[key] = cut_lineage(final_scores(spark, sf_dir))
+    return _GOLD_MEMO[key]
+
+
+def _dir(spark, sf_dir):
+    return SE.directory(bronze_master(spark, sf_dir), gold_table(spark, sf_dir))
+
+
+DIR_SQL = (
+    "SELECT p.hcp_id, p.first_name, p.last_name, p.specialty, p.sub_specialty, p.organization_type, p.city, p.state, "
+    "p.country, p.hcp_status, p.preferred_language, g.historical_engagement_score, g.predicted_engagement_score, "
+    "g.hybrid_engagement_score, g.engagement_level, g.email_probability, g.website_probability, g.webinar_probability, "
+    "g.sales_rep_probability, g.next_best_channel, CAST(NULL AS VARCHAR) AS recommended_reason "
+    "FROM bronze_master p LEFT JOIN gold g ON p.hcp_id = g.hcp_id"
+)
+_BUCKET_SQL = ("CASE WHEN hybrid_engagement_score <= 20 THEN '0-20' WHEN hybrid_engagement_score <= 40 THEN '21-40' "
+               "WHEN hybrid_engagement_score <= 60 THEN '41-60' WHEN hybrid_engagement_score <= 80 THEN '61-80' ELSE '81-100' END")
+_ALLOC_CTE = {
+    "av": "SELECT COALESCE(AVG(email_probability), 0.0) AS e, COALESCE(AVG(website_probability), 0.0) AS w, "
+    "COALESCE(AVG(webinar_probability), 0.0) AS b, COALESCE(AVG(sales_rep_probability), 0.0) AS r FROM gold",
+    "alloc": " UNION ALL ".join(
+        f"SELECT '{n}' AS channel, {c} AS avg_probability, CASE WHEN e + w + b + r > 0 THEN {c} / (e + w + b + r) ELSE 0.0 END AS allocation FROM av"
+        for n, c in (("Email", "e"), ("Website", "w"), ("Webinar", "b"), ("Sales_Rep", "r"))
+    ),
+}
+
+register(
+    "dash_tiers",
+    O.serving_sql("SELECT CAST(COUNT(hcp_id) AS BIGINT) AS total_hcps, "
+                  + ", ".join(f"CAST(COUNT(hcp_id) FILTER (WHERE engagement_level = '{t}') AS BIGINT) AS {t.lower()}_engagement"
+                              for t in ("High", "Medium", "Low")) + " FROM gold"),
+)(lambda spark, sf_dir: SE.dash_tiers(gold_table(spark, sf_dir)))
+register("dash_avg", O.serving_sql(f"SELECT {O.rnd('COALESCE(AVG(hybrid_engagement_score), 0.0)', 8)} AS average_engagement_score FROM gold"))(
+    lambda spark, sf_dir: SE.dash_avg(gold_table(spark, sf_dir)).select(F.round("average_engagement_score", 8).alias("average_engagement_score"))
+)
+register(
+    "dash_histogram",
+    O.serving_sql(" UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS pos, '{b}' AS bucket, CAST(COUNT(hcp_id) FILTER (WHERE {_BUCKET_SQL} = '{b}') AS BIGINT) AS count FROM gold"
+        for i, (b, _) in enumerate(SE.BUCKETS))),
+)(lambda spark, sf_dir: SE.dash_histogram(gold_table(spark, sf_dir)))
+register(
+    "dash_allocation",
+    O.serving_sql(f"SELECT channel, {O.rnd('avg_probability', 10)} AS avg_probability, {O.rnd('allocation', 10)} AS allocation, "
+                  f"{O.rnd('allocation * 100', 1)} AS effectiveness FROM alloc", _ALLOC_CTE),
+)(lambda spark, sf_dir: SE.dash_allocation(gold_table(spark, sf_dir)).select(
+    "channel", F.round("avg_probability", 10).alias("avg_probability"), F.round("allocation", 10).alias("allocation"), "effectiveness"))
+register(
+    "dash_allocation_vs_baseline",
+    O.serving_sql(f"SELECT channel, 25.0::DOUBLE AS baseline_pct, {O.rnd('allocation * 100', 8)} AS model_pct FROM alloc", _ALLOC_CTE),
+)(lambda spark, sf_dir: SE.dash_allocation_vs_baseline(gold_table(spark, sf_dir)).select(
+    "channel", "baseline_pct", F.round("model_pct", 8).alias("model_pct")))
+register("dash_last_updated", O.ctes("bronze_master") + "SELECT MAX(updated_at) AS last_updated FROM bronze_master")(
+    lambda spark, sf_dir: SE.dash_last_updated(bronze_master(spark, sf_dir))
+)
+register(
+    "dash_high_pct",
+    O.serving_sql("SELECT CAST(CASE WHEN COUNT(hcp_id) > 0 THEN ROUND(CAST(COUNT(hcp_id) FILTER (WHERE engagement_level = 'High') AS DOUBLE)"
+                  " / COUNT(hcp_id) * 100) ELSE 0 END AS BIGINT) AS high_pct FROM gold"),
+)(lambda spark, sf_dir: SE.dash_high_pct(gold_table(spark, sf_dir)))
+register("dashboard")(lambda spark, sf_dir: SE.dashboard(gold_table(spark, sf_dir), bronze_master(spark, sf_dir)))
+
+register(
+    "search_directory",
+    O.serving_sql("SELECT * FROM dir WHERE first_name ILIKE '%furn%' OR last_name ILIKE '%furn%' OR hcp_id ILIKE '%furn%' "
+                  "OR specialty ILIKE '%furn%' ORDER BY hcp_id LIMIT 50 OFFSET 0", {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.search_directory(_dir(spark, sf_dir), "furn", 0, 50))
+register(
+    "search_directory_page2",
+    O.serving_sql("SELECT * FROM dir ORDER BY hcp_id LIMIT 50 OFFSET 50", {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.search_directory(_dir(spark, sf_dir), None, 50, 50))
+register(
+    "suggest",
+    O.serving_sql("SELECT hcp_id, first_name, last_name, specialty FROM dir WHERE first_name ILIKE '%bu%' OR last_name ILIKE '%bu%' "
+                  "OR hcp_id ILIKE '%bu%' OR specialty ILIKE '%bu%' ORDER BY hcp_id LIMIT 8", {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.suggest(_dir(spark, sf_dir), "bu"))
+register("lookup_entity", O.serving_sql("SELECT * FROM dir WHERE hcp_id = '42'", {"dir": DIR_SQL}))(
+    lambda spark, sf_dir: SE.lookup_entity(_dir(spark, sf_dir), "42")
+)
+register(
+    "filter_directory",
+    O.serving_sql("SELECT * FROM dir WHERE replace(replace(lower(COALESCE(next_best_channel, '')), '_', ''), ' ', '') = 'salesrep' "
+                  "AND lower(COALESCE(engagement_level, '')) = 'high'", {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.filter_directory(_dir(spark, sf_dir), "Sales_Rep", "high"))
+register(
+    "filter_counts",
+    O.serving_sql("SELECT CAST(COUNT(*) FILTER (WHERE replace(replace(lower(COALESCE(next_best_channel, '')), '_', ''), ' ', '') = 'salesrep' "
+                  "AND lower(COALESCE(engagement_level, '')) = 'high') AS BIGINT) AS shown, CAST(COUNT(*) AS BIGINT) AS total FROM dir",
+                  {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.filter_counts(_dir(spark, sf_dir), "Sales_Rep", "high"))
+register(
+    "directory_extract",
+    O.serving_sql("SELECT hcp_id, trim(COALESCE(first_name, '') || ' ' || COALESCE(last_name, '')) AS name, "
+                  "CASE WHEN hybrid_engagement_score IS NOT NULL AND hybrid_engagement_score <> 0 "
+                  "THEN CAST(CAST(ROUND(hybrid_engagement_score) AS BIGINT) AS VARCHAR) || '%' ELSE 'N/A' END AS engagement_score, "
+                  "COALESCE(next_best_channel, 'N/A') AS next_best_channel FROM dir ORDER BY hcp_id LIMIT 10000", {"dir": DIR_SQL}),
+)(lambda spark, sf_dir: SE.directory_extract(_dir(spark, sf_dir)))
+register("predictions_head", O.serving_sql("SELECT * FROM gold ORDER BY hcp_id LIMIT 100"))(
+    lambda spark, sf_dir: gold_table(spark, sf_dir).orderBy("hcp_id").limit(100)
+)
+
+DISPLAY = [
+    ("hcp_id", "HCP_ID"), ("historical_engagement_score", "Historical_Engagement_Score"),
+    ("predicted_engagement_score", "Predicted_Engagement_Score"), ("hybrid_engagement_score", "Hybrid_Engagement_Score"),
+    ("engagement_level", "Engagement_Level"), ("email_probability", "Email_Probability"),
+    ("website_probability", "Website_Probability"), ("webinar_probability", "Webinar_Probability"),
+    ("sales_rep_probability", "Sales_Rep_Probability"), ("next_best_channel", "Next_Best_Channel"),
+]
+
+
+def final_output(spark, sf_dir):
+    """M29 layout (display column names) of the gold scores."""
+    return gold_table(spark, sf_dir).select(*[F.col(a).alias(b) for a, b in DISPLAY])
+
+
+register("final_output", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b}" for a, b in DISPLAY) + " FROM gold"))(final_output)
+register("export_lowercase", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b.lower()}" for a, b in DISPLAY) + " FROM gold"))(
+    lambda spark, sf_dir: SE.export_lowercase(final_output(spark, sf_dir))
+)
+
+
+def _page(spark, sf_dir):
+    return SE.paginate(SV.silver(spark, sf_dir, "email"), "email_event_id", 3, 1000)
+
+
+register("paginate", O.ctes("silver_email") + "SELECT * FROM silver_email ORDER BY email_event_id LIMIT 1000 OFFSET 2000")(
+    lambda spark, sf_dir: _page(spark, sf_dir)[0]
+)
+register(
+    "paginate_meta",
+    O.ctes("silver_email") + "SELECT 3 AS page, 1000 AS \"limit\", CAST(COUNT(*) AS BIGINT) AS total_records, "
+    "CAST((COUNT(*) + 999) // 1000 AS BIGINT) AS total_pages, 3 < (COUNT(*) + 999) // 1000 AS has_next, TRUE AS has_previous FROM silver_email",
+)(lambda spark, sf_dir: _page(spark, sf_dir)[1])
+register(
+    "dataset_counts",
+    O.ctes(*[f"bronze_{c}" for c in CHANNELS]) + " UNION ALL ".join(
+        f"SELECT '{c}_activity' AS dataset, CAST(COUNT(*) AS BIGINT) AS rows FROM bronze_{c}" for c in CHANNELS),
+)(lambda spark, sf_dir: SE.dataset_counts({f"{c}_activity": BRONZE[c](spark, sf_dir) for c in CHANNELS}))
+register(
+    "normalize_id",
+    O.ctes("bronze_master") + "SELECT hcp_id, CASE WHEN d <> '' THEN 'HCP' || CASE WHEN length(d) >= 4 THEN d ELSE lpad(d, 4, '0') END "
+    "ELSE v END AS normalized_id FROM (SELECT hcp_id, upper(trim(hcp_id)) AS v, regexp_extract(upper(trim(hcp_id)), '^(?:HCP)?0*(\\d+)$', 1) AS d FROM bronze_master)",
+)(lambda spark, sf_dir: bronze_master(spark, sf_dir).select("hcp_id", CL.normalize_id("hcp_id").alias("normalized_id")))
+register(
+    "pct_rescale",
+    O.serving_sql("SELECT hcp_id, CASE WHEN email_probability > 0 AND email_probability <= 1 THEN email_probability * 100 "
+                  "ELSE email_probability END AS email_pct FROM gold"),
+)(lambda spark, sf_dir: gold_table(spark, sf_dir).select("hcp_id", CL.pct_rescale("email_probability").alias("email_pct")))
