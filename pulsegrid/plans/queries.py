@@ -455,13 +455,13 @@ TARGET_OF = dict(zip(SC.PROBS, SC.TARGETS))
 CHANNEL_NAME = dict(zip(SC.TARGETS, ["Email", "Website", "Webinar", "Sales Rep"]))
 
 
-def scored_snapshots(spark, sf_dir, p=PA):
-    """Snapshot rows with rate propensities, history score (train-fitted) and predicted score."""
-    snap = snapshot_table(spark, sf_dir, p, with_norm=False, with_labels=True)
+def score_snapshot_frame(snap, p=PA, checkpoint: bool = True):
+    """Rate propensities, train-fitted history score and predicted score on snapshot rows."""
     df = SC.rate_propensities(snap).select(
         "hcp_id", "snapshot_date", "split", "total_touchpoints", *SC.PROBS, *SC.TARGETS
     )
-    df = cut_lineage(df)
+    if checkpoint:
+        df = cut_lineage(df)
     lo, hi = SC.fit_range(df.where(F.col("split") == "train"), "total_touchpoints")
     return df.select(
         "*",
@@ -470,6 +470,11 @@ def scored_snapshots(spark, sf_dir, p=PA):
     )
 
 
+def scored_snapshots(spark, sf_dir, p=PA):
+    """Snapshot rows with rate propensities, history score (train-fitted) and predicted score."""
+    return score_snapshot_frame(snapshot_table(spark, sf_dir, p, with_norm=False, with_labels=True), p)
+
+
 def long_probs(df):
     """(target, prob, label) rows: the four channels stacked for grouped metrics."""
     arr = F.array(*[F.struct(F.lit(t).alias("target"), F.col(pcol).alias("prob"), F.col(t).alias("label"))
@@ -566,9 +571,9 @@ def _q_weight_fit(spark, sf_dir):
     return rows.select("channel", F.round("weight", 6).alias("weight"), F.round(F.col("weight") * 100, 4).alias("weight_percent"))
 
 
-def fitted_scoring(spark, sf_dir, p=PA):
+def fitted_scoring(spark, sf_dir, p=PA, scored=None):
     """Fit hybrid weights (Spearman grid), tier cuts and base rates on validation rows."""
-    df = scored_snapshots(spark, sf_dir, p)
+    df = scored_snapshots(spark, sf_dir, p) if scored is None else scored
     val = df.where(F.col("split") == "val")
     best = SC.pick_best(SC.hybrid_grid(val))
     wh, wp = SC.HYBRID_CANDIDATES[best]
@@ -578,9 +583,9 @@ def fitted_scoring(spark, sf_dir, p=PA):
     return df, (wh, wp), (q33, q66), base
 
 
-def final_scores(spark, sf_dir, p=PA):
+def final_scores(spark, sf_dir, p=PA, scored=None):
     """Deterministic gold table for the current snapshot (one row per entity)."""
-    df, (wh, wp), (q33, q66), base = fitted_scoring(spark, sf_dir, p)
+    df, (wh, wp), (q33, q66), base = fitted_scoring(spark, sf_dir, p, scored)
     cur = df.where(F.col("split") == "current").withColumn("hybrid_score", SC.hybrid_score("hist_score", "pred_score", wh, wp))
     vals = SC.lift_columns(base) if p.next_best_by_lift else [F.col(c) for c in SC.PROBS]
     return cur.select(
