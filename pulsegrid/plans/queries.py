@@ -808,3 +808,113 @@ register(
     O.serving_sql("SELECT hcp_id, CASE WHEN email_probability > 0 AND email_probability <= 1 THEN email_probability * 100 "
                   "ELSE email_probability END AS email_pct FROM gold"),
 )(lambda spark, sf_dir: gold_table(spark, sf_dir).select("hcp_id", CL.pct_rescale("email_probability").alias("email_pct")))
+
+
+# --- model path (M2-M8, M10-M14, M25-M29; rows-only checks) --------------------------
+from pulsegrid.functions import reasons as RS  # noqa: E402
+from pulsegrid.operators import models as ML  # noqa: E402
+
+_MODEL_MEMO: dict = {}
+N_TREES = 100
+
+
+def model_run(spark, sf_dir, p=PA, n_trees: int = N_TREES) -> dict:
+    """Train and apply the scoring models once per session, folder and profile."""
+    key = (spark.sparkContext.applicationId, sf_dir, p.name, n_trees)
+    if key in _MODEL_MEMO:
+        return _MODEL_MEMO[key]
+    snap = snapshot_table(spark, sf_dir, p, with_norm=True, with_labels=True)
+    cols = ML.feature_columns(snap)
+    frames = cut_lineage(ML.coerce_features(snap, cols))
+    train = frames.where(F.col("split") == "train")
+    frames = cut_lineage(ML.history_score(train, frames, cols))
+    models = ML.fit_channel_models(frames, cols, p, SC.TARGETS, n_trees)
+    platt = {}
+    scored = frames
+    for pcol, t in zip(SC.PROBS, SC.TARGETS):
+        scored = ML.raw_probability(models[t], scored, cols, f"_raw_{t}")
+    scored = cut_lineage(scored)
+    for pcol, t in zip(SC.PROBS, SC.TARGETS):
+        platt[t] = ML.fit_platt(scored.where(F.col("split") == "val"), f"_raw_{t}", t)
+        scored = scored.withColumn(pcol, ML.calibrated(f"_raw_{t}", *platt[t]))
+    scored = scored.withColumn("pred_score", SC.predicted_score(p.channel_weights, clip=not p.next_best_by_lift))
+    scored = cut_lineage(scored)
+    gold = cut_lineage(final_scores(spark, sf_dir, p, scored=scored))
+    current = scored.where(F.col("split") == "current")
+    attr = cut_lineage(ML.attributions(current, cols, models))
+    out = {"cols": cols, "scored": scored, "models": models, "platt": platt, "gold": gold, "attr": attr}
+    _MODEL_MEMO[key] = out
+    return out
+
+
+def _q_pca(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return r["scored"].select("hcp_id", "snapshot_date", "split", F.round("hist_score", 6).alias("hist_score"))
+
+
+def _q_gbt(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return r["scored"].where(F.col("split") == "current").select("hcp_id", *[F.col(f"_raw_{t}").alias(f"raw_{t}") for t in SC.TARGETS])
+
+
+def _q_platt(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return spark.createDataFrame([(t, a, b) for t, (a, b) in r["platt"].items()], "target string, slope double, intercept double")
+
+
+def _q_model_metrics(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return metrics_table(long_probs(r["scored"]).where(F.col("split") == "test"), 0.5)
+
+
+def _q_attr(spark, sf_dir):
+    return model_run(spark, sf_dir)["attr"]
+
+
+def _q_importance(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return ML.feature_importance(r["attr"].where(F.col("target") == "veeva_target"), r["cols"])
+
+
+TARGET_OF_CHANNEL = {"Email": "email_target", "Website": "web_target", "Webinar": "webinar_target", "Sales Rep": "veeva_target"}
+
+
+def model_final_output(spark, sf_dir, p=PA):
+    """Final predictions with next best channel drivers and the worded reason."""
+    r = model_run(spark, sf_dir, p)
+    gold = r["gold"]
+    tmap = F.create_map(*[x for k, v in TARGET_OF_CHANNEL.items() for x in (F.lit(k), F.lit(v))])
+    pmap = {"Email": "email_probability", "Website": "website_probability", "Webinar": "webinar_probability", "Sales Rep": "sales_rep_probability"}
+    prob = F.coalesce(*[F.when(F.col("next_best_channel") == k, F.col(v)) for k, v in pmap.items()])
+    g = gold.withColumn("target", F.element_at(tmap, F.col("next_best_channel"))).withColumn("nbc_prob", prob)
+    j = g.join(r["attr"].select("hcp_id", "target", "attr"), ["hcp_id", "target"], "left")
+    drivers = F.transform(SC.top_drivers("attr", r["cols"]), lambda c: RS.phrase_a(c))
+    reason = RS.reason_a(F.col("next_best_channel"), F.col("nbc_prob"), F.col("engagement_level"), drivers)
+    return j.select(
+        F.col("hcp_id").alias("HCP_ID"),
+        F.col("historical_engagement_score").alias("Historical_Engagement_Score"),
+        F.col("predicted_engagement_score").alias("Predicted_Engagement_Score"),
+        F.col("hybrid_engagement_score").alias("Hybrid_Engagement_Score"),
+        F.col("engagement_level").alias("Engagement_Level"),
+        F.col("email_probability").alias("Email_Probability"),
+        F.col("website_probability").alias("Website_Probability"),
+        F.col("webinar_probability").alias("Webinar_Probability"),
+        F.col("sales_rep_probability").alias("Sales_Rep_Probability"),
+        F.col("next_best_channel").alias("Next_Best_Channel"),
+        reason.alias("Recommended_Reason"),
+    )
+
+
+def _q_top_drivers(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    return r["attr"].select("hcp_id", "target", SC.top_drivers("attr", r["cols"]).alias("drivers"))
+
+
+register("pca_score")(_q_pca)
+register("gbt_probability")(_q_gbt)
+register("platt")(_q_platt)
+register("model_metrics")(_q_model_metrics)
+register("attributions")(_q_attr)
+register("feature_importance")(_q_importance)
+register("top_drivers")(_q_top_drivers)
+register("final_output_model")(lambda spark, sf_dir: model_final_output(spark, sf_dir))

@@ -17,7 +17,17 @@ TABLES = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer splits than
+    cores (e.g. a single-row-group file); large inputs already have thousands
+    of splits and pass through untouched (no extra shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
