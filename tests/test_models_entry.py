@@ -59,3 +59,17 @@ def test_entry_and_registry(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 140
+
+
+def test_clean_stream_memory_sink(spark, tmp_path):
+    from pulsegrid.sources.adapters import bronze_email
+    from pulsegrid.streaming.clean_stream import clean_stream
+
+    src = str(tmp_path / "bronze")
+    bronze_email(spark, "/root/testdata/sf0.001").write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    q = clean_stream(stream, "email").writeStream.format("memory").queryName("clean_email_t").start()
+    q.processAllAvailable()
+    q.stop()
+    n = spark.sql("SELECT count(*) FROM clean_email_t").collect()[0][0]
+    assert n == spark.read.parquet(src).count()
