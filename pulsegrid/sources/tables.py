@@ -20,14 +20,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when a scan yields fewer splits than
-    cores (e.g. a single-row-group file); large inputs already have thousands
-    of splits and pass through untouched (no extra shuffle)."""
+SPREAD_MIN_BYTES = 32 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin the rows over the cluster when a sizeable scan yields fewer
+    splits than cores (e.g. one large single-row-group file). Small inputs are
+    cheaper in one task than through an extra shuffle, and large inputs
+    already have thousands of splits: both pass through untouched."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(want) if size >= min_bytes else df
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
