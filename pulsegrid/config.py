@@ -51,6 +51,10 @@ class Profile:
     quantiles: tuple[float, float] = (0.3333, 0.6667)
     learning_rate: float = 0.05
     class_weighted: bool = True
+    # profile B: channel weights chosen by the Spearman grid, scores clipped to [0, 100]
+    select_channel_weights: bool = False
+    clip_scores: bool = False
+    default_hybrid: int = 0
     extra: dict = field(default_factory=dict)
 
     def all_dates(self) -> list[tuple[dt.date, str]]:
@@ -110,6 +114,9 @@ PROFILE_B = Profile(
     quantiles=(0.3333, 0.6667),
     learning_rate=0.03,
     class_weighted=False,
+    select_channel_weights=True,
+    clip_scores=True,
+    default_hybrid=2,
 )
 
 PROFILES = {"A": PROFILE_A, "B": PROFILE_B}

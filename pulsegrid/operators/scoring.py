@@ -92,10 +92,10 @@ def grid_by_spearman(df: DataFrame, exprs: list[Column], n_buckets: int = M.N_BU
     return M.spearman(x, "score", "fut", ["cand"], n_buckets)
 
 
-def pick_best(grid: DataFrame) -> int:
-    """Strict '>' over candidates in order: the first of equal maxima wins."""
+def pick_best(grid: DataFrame, default: int = 0) -> int:
+    """Strict '>' over candidates in order (starting from -1): the first of equal maxima wins."""
     rows = sorted(grid.collect(), key=lambda r: r["cand"])
-    best, best_c = 0, -1.0
+    best, best_c = default, -1.0
     for r in rows:
         c = r["spearman"]
         if c is not None and not np.isnan(c) and c > best_c:

@@ -73,6 +73,18 @@ def _n(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+def _active_days(ts: str, p: Profile) -> Column:
+    """Distinct calendar days with activity in the window.
+
+    The window spans at most ``hist_days + 1`` days, so (when that fits in 64
+    bits) each day is one bit of a long: ``bit_count(bit_or(1 << offset))``
+    is exact, mergeable map-side and needs no Expand, unlike count_distinct."""
+    if p.hist_days + 1 > 63:
+        return F.count_distinct(F.to_date(ts))
+    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(snapshot_date, to_date({ts})))")
+    return F.bit_count(F.bit_or(bit)).cast("bigint")
+
+
 def _dsum(c: str | Column) -> Column:
     """Exact sum of a measured quantity (decimal accumulation, double result)."""
     col = F.col(c) if isinstance(c, str) else c
@@ -125,7 +137,7 @@ def email_history(x: DataFrame, p: Profile) -> DataFrame:
             F.count_distinct("email_id").alias("email_unique_emails"),
             F.count_distinct("campaign_id").alias("email_unique_campaigns"),
             F.count_distinct("drug_id").alias("email_unique_drugs"),
-            F.count_distinct(F.to_date("event_timestamp")).alias("email_active_days"),
+            _active_days("event_timestamp", p).alias("email_active_days"),
             F.max("event_timestamp").alias("_last"),
             F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
         )
@@ -147,7 +159,7 @@ def email_history(x: DataFrame, p: Profile) -> DataFrame:
         F.count_distinct("email_id").alias("email_unique_emails"),
         F.count_distinct("campaign_id").alias("email_unique_campaigns"),
         F.count_distinct("drug_id").alias("email_unique_drugs"),
-        F.count_distinct(F.to_date("event_timestamp")).alias("email_active_days"),
+        _active_days("event_timestamp", p).alias("email_active_days"),
         F.max("event_timestamp").alias("_last"),
         F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
     )
@@ -170,7 +182,7 @@ def web_history(x: DataFrame, p: Profile) -> DataFrame:
             _dsum(dur).alias("web_total_duration"),
             _dmean(dur).alias("web_avg_duration"),
             F.max(dur).alias("web_max_duration"),
-            F.count_distinct(F.to_date("event_timestamp")).alias("web_active_days"),
+            _active_days("event_timestamp", p).alias("web_active_days"),
             F.count_distinct("campaign_id").alias("web_unique_campaigns"),
             F.count_distinct("drug_id").alias("web_unique_drugs"),
             F.max("event_timestamp").alias("_last"),
@@ -193,7 +205,7 @@ def web_history(x: DataFrame, p: Profile) -> DataFrame:
         _dsum(dur).alias("web_total_session_duration"),
         _dmean(dur).alias("web_avg_session_duration"),
         F.max(dur).alias("web_max_session_duration"),
-        F.count_distinct(F.to_date("event_timestamp")).alias("web_active_days"),
+        _active_days("event_timestamp", p).alias("web_active_days"),
         F.count_distinct("content_type").alias("web_content_type_diversity"),
         F.count_distinct("device_type").alias("web_device_diversity"),
         F.max("event_timestamp").alias("_last"),
@@ -214,7 +226,7 @@ def event_history(x: DataFrame, p: Profile) -> DataFrame:
             _dmean(dur).alias("event_avg_duration"),
             _dsum("questions_asked").alias("event_questions"),
             _dsum("poll_responses").alias("event_polls"),
-            F.count_distinct(F.to_date("activity_timestamp")).alias("event_active_days"),
+            _active_days("activity_timestamp", p).alias("event_active_days"),
             F.count_distinct("event_id").alias("event_unique_events"),
             F.count_distinct("campaign_id").alias("event_unique_campaigns"),
             F.count_distinct("drug_id").alias("event_unique_drugs"),
@@ -235,7 +247,7 @@ def event_history(x: DataFrame, p: Profile) -> DataFrame:
         F.max(dur).alias("event_max_duration"),
         _dsum("questions_asked").alias("event_questions"),
         _dsum("poll_responses").alias("event_polls"),
-        F.count_distinct(F.to_date("activity_timestamp")).alias("event_active_days"),
+        _active_days("activity_timestamp", p).alias("event_active_days"),
         F.count_distinct("event_id").alias("event_unique_events"),
         F.max("activity_timestamp").alias("_last"),
         F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
@@ -261,7 +273,7 @@ def rep_history(x: DataFrame, p: Profile) -> DataFrame:
             _dsum(dur).alias("veeva_total_duration"),
             _dmean(dur).alias("veeva_avg_duration"),
             _n(follow).alias("veeva_follow_up_count"),
-            F.count_distinct(F.to_date("interaction_timestamp")).alias("veeva_active_days"),
+            _active_days("interaction_timestamp", p).alias("veeva_active_days"),
             F.count_distinct("rep_id").alias("veeva_unique_reps"),
             F.count_distinct("campaign_id").alias("veeva_unique_campaigns"),
             F.count_distinct("drug_id").alias("veeva_unique_drugs"),
@@ -286,7 +298,7 @@ def rep_history(x: DataFrame, p: Profile) -> DataFrame:
         _dmean(dur).alias("veeva_avg_duration"),
         F.max(dur).alias("veeva_max_duration"),
         _n(follow).alias("veeva_followups"),
-        F.count_distinct(F.to_date("interaction_timestamp")).alias("veeva_active_days"),
+        _active_days("interaction_timestamp", p).alias("veeva_active_days"),
         F.max("interaction_timestamp").alias("_last"),
         F.max(F.when(comp, F.col("interaction_timestamp"))).alias("_last_eng"),
     )

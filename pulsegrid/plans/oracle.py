@@ -671,14 +671,18 @@ def _avg_rank(x: str, part: str = "") -> str:
     return f"(RANK() OVER ({p}ORDER BY {x}) + (COUNT(*) OVER (PARTITION BY {pp}) - 1) / 2.0)"
 
 
-def scoring_sql(kind: str) -> str:
-    from pulsegrid.config import PROFILE_A as p
+def scoring_sql(kind: str, p=None) -> str:
+    from pulsegrid.config import PROFILE_A
     from pulsegrid.operators.metrics import threshold_grid
     from pulsegrid.operators.scoring import CHANNEL_WEIGHT_CANDIDATES, HYBRID_CANDIDATES
 
+    p = p or PROFILE_A
     base = snapshot_sql(p, with_norm=False, with_labels=True)
     head, _, _ = base.rpartition("\nSELECT * FROM snap_final")
     w = p.channel_weights
+
+    def clip(x: str) -> str:
+        return f"LEAST(GREATEST({x}, 0.0), 100.0)" if p.clip_scores else x
     q = {
         "scored0": (
             "SELECT hcp_id, snapshot_date, split, total_touchpoints, LEAST(email_open_rate, 1.0) AS p_email, "
@@ -687,16 +691,22 @@ def scoring_sql(kind: str) -> str:
             "email_target, web_target, webinar_target, veeva_target FROM snap_final"
         ),
         "trange": "SELECT MIN(total_touchpoints) AS lo, MAX(total_touchpoints) AS hi FROM scored0 WHERE split = 'train'",
-        "scored": (
-            "SELECT s.*, CASE WHEN r.hi = r.lo THEN 0.0 ELSE LEAST(GREATEST((CAST(s.total_touchpoints AS DOUBLE) - r.lo) / CAST(r.hi - r.lo AS DOUBLE) * 100.0, 0.0), 100.0) END AS hist_score, "
-            f"(p_email * {w[0]} + p_web * {w[1]} + p_webinar * {w[2]} + p_rep * {w[3]}) * 100.0 AS pred_score "
+        "scoredh": (
+            "SELECT s.*, CASE WHEN r.hi = r.lo THEN 0.0 ELSE LEAST(GREATEST((CAST(s.total_touchpoints AS DOUBLE) - r.lo) / CAST(r.hi - r.lo AS DOUBLE) * 100.0, 0.0), 100.0) END AS hist_score "
             "FROM scored0 s CROSS JOIN trange r"
         ),
+        "scored": (
+            f"SELECT *, (p_email * {w[0]} + p_web * {w[1]} + p_webinar * {w[2]} + p_rep * {w[3]}) * 100.0 AS pred_score FROM scoredh"
+            if not p.select_channel_weights else
+            "SELECT s.*, " + clip("(s.p_email * k.a + s.p_web * k.b + s.p_webinar * k.c + s.p_rep * k.d) * 100.0")
+            + " AS pred_score FROM scoredh s CROSS JOIN wbest k"
+        ),
         "lp": " UNION ALL ".join(
             f"SELECT split, '{t}' AS target, {pc} AS prob, {t} AS label FROM scored"
             for pc, t in (("p_email", "email_target"), ("p_web", "web_target"), ("p_webinar", "webinar_target"), ("p_rep", "veeva_target"))
         ),
         "lt": "SELECT * FROM lp WHERE split = 'test'",
+        "val0": "SELECT *, email_target + web_target + webinar_target + veeva_target AS fut FROM scoredh WHERE split = 'val'",
         "val": "SELECT *, email_target + web_target + webinar_target + veeva_target AS fut FROM scored WHERE split = 'val'",
     }
     q["roc"] = (
@@ -745,28 +755,37 @@ def scoring_sql(kind: str) -> str:
     q["wcand"] = wc
     q["wgrid"] = (
         f"SELECT cand, CORR(rx, ry) AS spearman FROM (SELECT cand, {_avg_rank('x', 'cand')} AS rx, {_avg_rank('fut', 'cand')} AS ry "
-        "FROM (SELECT c.cand, (v.p_email * c.a + v.p_web * c.b + v.p_webinar * c.c + v.p_rep * c.d) * 100.0 AS x, v.fut FROM val v CROSS JOIN wcand c)) GROUP BY cand"
+        "FROM (SELECT c.cand, (v.p_email * c.a + v.p_web * c.b + v.p_webinar * c.c + v.p_rep * c.d) * 100.0 AS x, v.fut FROM val0 v CROSS JOIN wcand c)) GROUP BY cand"
     )
-    q["best"] = "SELECT c.h, c.w FROM hgrid g JOIN hcand c USING (cand) ORDER BY g.spearman DESC, g.cand LIMIT 1"
+    q["wbest"] = "SELECT c.a, c.b, c.c, c.d FROM wgrid g JOIN wcand c USING (cand) ORDER BY g.spearman DESC NULLS LAST, g.cand LIMIT 1"
+    q["best"] = "SELECT c.h, c.w FROM hgrid g JOIN hcand c USING (cand) ORDER BY g.spearman DESC NULLS LAST, g.cand LIMIT 1"
+    vh = clip("v.hist_score * b.h + v.pred_score * b.w")
     q["cuts"] = (
-        "SELECT b.h AS w_hist, b.w AS w_pred, quantile_cont(v.hist_score * b.h + v.pred_score * b.w, 0.3333) AS q33, "
-        "quantile_cont(v.hist_score * b.h + v.pred_score * b.w, 0.6667) AS q66 FROM val v CROSS JOIN best b GROUP BY b.h, b.w"
+        f"SELECT b.h AS w_hist, b.w AS w_pred, quantile_cont({vh}, {p.quantiles[0]}) AS q33, "
+        f"quantile_cont({vh}, {p.quantiles[1]}) AS q66 FROM val v CROSS JOIN best b GROUP BY b.h, b.w"
     )
     q["base"] = "SELECT " + ", ".join(f"AVG({c}) AS base_{c}" for c in ("p_email", "p_web", "p_webinar", "p_rep")) + " FROM val"
-    lifts = [f"s.{c} / GREATEST(b.base_{c}, 1e-6)" for c in ("p_email", "p_web", "p_webinar", "p_rep")]
+    if p.next_best_by_lift:
+        vals = [f"s.{c} / GREATEST(b.base_{c}, 1e-6)" for c in ("p_email", "p_web", "p_webinar", "p_rep")]
+    else:
+        vals = [f"s.{c}" for c in ("p_email", "p_web", "p_webinar", "p_rep")]
+    rep = p.rep_label
     nbc = (
-        f"CASE WHEN {lifts[0]} >= {lifts[1]} AND {lifts[0]} >= {lifts[2]} AND {lifts[0]} >= {lifts[3]} THEN 'Email' "
-        f"WHEN {lifts[1]} >= {lifts[2]} AND {lifts[1]} >= {lifts[3]} THEN 'Website' WHEN {lifts[2]} >= {lifts[3]} THEN 'Webinar' ELSE 'Sales Rep' END"
+        f"CASE WHEN {vals[0]} >= {vals[1]} AND {vals[0]} >= {vals[2]} AND {vals[0]} >= {vals[3]} THEN 'Email' "
+        f"WHEN {vals[1]} >= {vals[2]} AND {vals[1]} >= {vals[3]} THEN 'Website' WHEN {vals[2]} >= {vals[3]} THEN 'Webinar' ELSE '{rep}' END"
     )
-    hyb = "(s.hist_score * k.w_hist + s.pred_score * k.w_pred)"
+    hyb = clip("(s.hist_score * k.w_hist + s.pred_score * k.w_pred)")
+    le = "<=" if p.tier_cut_inclusive else "<"
     q["gold"] = (
         f"SELECT s.hcp_id, {rnd('s.hist_score', 2)} AS historical_engagement_score, {rnd('s.pred_score', 2)} AS predicted_engagement_score, "
         f"{rnd(hyb, 2)} AS hybrid_engagement_score, "
-        f"CASE WHEN {hyb} <= k.q33 THEN 'Low' WHEN {hyb} <= k.q66 THEN 'Medium' ELSE 'High' END AS engagement_level, "
+        f"CASE WHEN {hyb} {le} k.q33 THEN 'Low' WHEN {hyb} {le} k.q66 THEN 'Medium' ELSE 'High' END AS engagement_level, "
         f"{rnd('s.p_email', 4)} AS email_probability, {rnd('s.p_web', 4)} AS website_probability, "
         f"{rnd('s.p_webinar', 4)} AS webinar_probability, {rnd('s.p_rep', 4)} AS sales_rep_probability, {nbc} AS next_best_channel "
         "FROM scored s CROSS JOIN cuts k CROSS JOIN base b WHERE s.split = 'current'"
     )
+    first = ["scored0", "trange", "scoredh", "val0", "wcand", "wgrid", "wbest"]
+    q = {k: q[k] for k in first} | {k: v for k, v in q.items() if k not in first}
     finals = {
         "scored": "SELECT * FROM scored",
         "roc_auc": f"SELECT target, {rnd('roc_auc', 4)} AS roc_auc FROM roc",

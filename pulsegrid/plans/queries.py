@@ -475,6 +475,11 @@ def scored_snapshots(spark, sf_dir, p=PA):
     return score_snapshot_frame(snapshot_table(spark, sf_dir, p, with_norm=False, with_labels=True), p)
 
 
+def _tier_cuts_b(spark, sf_dir):
+    _, (wh, wp), (q33, q66), _ = fitted_scoring(spark, sf_dir, PROFILE_B)
+    return spark.createDataFrame([(float(wh), float(wp), round(q33, 6), round(q66, 6))], "w_hist double, w_pred double, q33 double, q66 double")
+
+
 def long_probs(df):
     """(target, prob, label) rows: the four channels stacked for grouped metrics."""
     arr = F.array(*[F.struct(F.lit(t).alias("target"), F.col(pcol).alias("prob"), F.col(t).alias("label"))
@@ -575,9 +580,13 @@ def fitted_scoring(spark, sf_dir, p=PA, scored=None):
     """Fit hybrid weights (Spearman grid), tier cuts and base rates on validation rows."""
     df = scored_snapshots(spark, sf_dir, p) if scored is None else scored
     val = df.where(F.col("split") == "val")
-    best = SC.pick_best(SC.hybrid_grid(val))
+    if p.select_channel_weights:
+        weights = SC.CHANNEL_WEIGHT_CANDIDATES[SC.pick_best(SC.weight_grid(val))]
+        df = df.withColumn("pred_score", SC.predicted_score(weights, clip=p.clip_scores))
+        val = df.where(F.col("split") == "val")
+    best = SC.pick_best(SC.hybrid_grid(val), p.default_hybrid)
     wh, wp = SC.HYBRID_CANDIDATES[best]
-    val_h = val.select(SC.hybrid_score("hist_score", "pred_score", wh, wp).alias("h"))
+    val_h = val.select(SC.hybrid_score("hist_score", "pred_score", wh, wp, clip=p.clip_scores).alias("h"))
     q33, q66 = MT.exact_quantiles(val_h, "h", list(p.quantiles))
     base = SC.base_rates(val).first().asDict()
     return df, (wh, wp), (q33, q66), base
@@ -586,7 +595,8 @@ def fitted_scoring(spark, sf_dir, p=PA, scored=None):
 def final_scores(spark, sf_dir, p=PA, scored=None):
     """Deterministic gold table for the current snapshot (one row per entity)."""
     df, (wh, wp), (q33, q66), base = fitted_scoring(spark, sf_dir, p, scored)
-    cur = df.where(F.col("split") == "current").withColumn("hybrid_score", SC.hybrid_score("hist_score", "pred_score", wh, wp))
+    cur = df.where(F.col("split") == "current").withColumn(
+        "hybrid_score", SC.hybrid_score("hist_score", "pred_score", wh, wp, clip=p.clip_scores))
     vals = SC.lift_columns(base) if p.next_best_by_lift else [F.col(c) for c in SC.PROBS]
     return cur.select(
         "hcp_id",
@@ -645,6 +655,8 @@ register("channel_lift", O.scoring_sql("base_rates"))(_q_base_rates)
 register("final_scores", O.scoring_sql("final_scores"))(lambda spark, sf_dir: final_scores(spark, sf_dir))
 register("score_summary", O.scoring_sql("score_summary"))(_q_score_summary)
 register("value_counts", O.scoring_sql("value_counts"))(_q_value_counts)
+register("final_scores_b", O.scoring_sql("final_scores", PROFILE_B))(lambda spark, sf_dir: final_scores(spark, sf_dir, PROFILE_B))
+register("tier_cuts_b", O.scoring_sql("tier_cuts", PROFILE_B))(_tier_cuts_b)
 
 
 # --- serving (A27-A33, F7-F9, F11, J13, S7, S10-S13, T3, P19-P22) ---------------------
@@ -837,7 +849,7 @@ def model_run(spark, sf_dir, p=PA, n_trees: int = N_TREES) -> dict:
     for pcol, t in zip(SC.PROBS, SC.TARGETS):
         platt[t] = ML.fit_platt(scored.where(F.col("split") == "val"), f"_raw_{t}", t)
         scored = scored.withColumn(pcol, ML.calibrated(f"_raw_{t}", *platt[t]))
-    scored = scored.withColumn("pred_score", SC.predicted_score(p.channel_weights, clip=not p.next_best_by_lift))
+    scored = scored.withColumn("pred_score", SC.predicted_score(p.channel_weights, clip=p.clip_scores))
     scored = cut_lineage(scored)
     gold = cut_lineage(final_scores(spark, sf_dir, p, scored=scored))
     current = scored.where(F.col("split") == "current")
