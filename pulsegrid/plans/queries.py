@@ -930,3 +930,55 @@ register("attributions")(_q_attr)
 register("feature_importance")(_q_importance)
 register("top_drivers")(_q_top_drivers)
 register("final_output_model")(lambda spark, sf_dir: model_final_output(spark, sf_dir))
+
+
+# --- profile B on the model path ------------------------------------------------------
+def _q_model_metrics_b(spark, sf_dir):
+    """B evaluates at the cut whose validation accuracy is nearest 0.75 (per model)."""
+    r = model_run(spark, sf_dir, PROFILE_B)
+    lp = long_probs(r["scored"])
+    th = MT.threshold_search(lp.where(F.col("split") == "val"), "prob", "label", 0.75, ["target"])
+    test = lp.where(F.col("split") == "test").join(th.select("target", F.col("threshold").alias("_thr")), "target")
+    roc = MT.roc_auc(test, "prob", "label", ["target"])
+    ap = MT.pr_metrics(test, "prob", "label", ["target"]).select("target", F.col("average_precision").alias("pr_auc"))
+    cm = MT.confusion_metrics(test, "prob", "label", F.col("_thr"), ["target", "_thr"])
+    names = F.create_map(*[x for t, n in zip(SC.TARGETS, ["Email", "Website", "Webinar", "Veeva"]) for x in (F.lit(t), F.lit(n))])
+    return roc.join(ap, "target").join(cm, "target").select(
+        F.element_at(names, F.col("target")).alias("channel"), F.col("_thr").alias("threshold"),
+        *[F.round(c, 4).alias(c) for c in ("roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1")],
+    )
+
+
+def model_final_output_b(spark, sf_dir):
+    """Profile B final predictions: drivers = mapped, distinct phrases of the positive
+    attributions in decreasing order (at most 2), 0/1/2-driver reason templates."""
+    p = PROFILE_B
+    r = model_run(spark, sf_dir, p)
+    gold = r["gold"]
+    tmap = {"Email": "email_target", "Website": "web_target", "Webinar": "webinar_target", "Veeva": "veeva_target"}
+    pmap = {"Email": "email_probability", "Website": "website_probability", "Webinar": "webinar_probability", "Veeva": "sales_rep_probability"}
+    tcol = F.create_map(*[x for k, v in tmap.items() for x in (F.lit(k), F.lit(v))])
+    prob = F.coalesce(*[F.when(F.col("next_best_channel") == k, F.col(v)) for k, v in pmap.items()])
+    g = gold.withColumn("target", F.element_at(tcol, F.col("next_best_channel"))).withColumn("nbc_prob", prob)
+    j = g.join(r["attr"].select("hcp_id", "target", "attr"), ["hcp_id", "target"], "left")
+    pairs = F.arrays_zip(F.col("attr").alias("v"), F.array(*[F.lit(c) for c in r["cols"]]).alias("n"))
+    ordered = F.array_sort(pairs, lambda a, b: F.when(a["v"] > b["v"], -1).when(a["v"] < b["v"], 1).otherwise(0))
+    positive = F.transform(F.filter(ordered, lambda e: e["v"] > 0), lambda e: e["n"])
+    phrases = RS.phrases_b(positive)
+    return j.select(
+        F.col("hcp_id").alias("HCP_ID"),
+        F.col("historical_engagement_score").alias("Historical_Engagement_Score"),
+        F.col("predicted_engagement_score").alias("Predicted_Engagement_Score"),
+        F.col("hybrid_engagement_score").alias("Hybrid_Engagement_Score"),
+        F.col("engagement_level").alias("Engagement_Level"),
+        F.col("email_probability").alias("Email_Probability"),
+        F.col("website_probability").alias("Website_Probability"),
+        F.col("webinar_probability").alias("Webinar_Probability"),
+        F.col("sales_rep_probability").alias("Veeva_Probability"),
+        F.col("next_best_channel").alias("Next_Best_Channel"),
+        RS.reason_b(F.col("next_best_channel"), F.col("nbc_prob"), phrases).alias("Recommended_Reason"),
+    )
+
+
+register("model_metrics_b")(_q_model_metrics_b)
+register("final_output_model_b")(model_final_output_b)
