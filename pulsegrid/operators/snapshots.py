@@ -73,6 +73,53 @@ def _n(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+SMALL_DOMAIN = 256
+
+
+def small_domains(df: DataFrame, cols: list[str], limit: int = SMALL_DOMAIN) -> dict[str, list]:
+    """Exact value lists of the columns whose domain has at most ``limit`` values.
+
+    One HyperLogLog pass sizes every column (bounded memory); only columns that
+    look small are then listed exactly, and a list longer than ``limit`` is
+    discarded. At most ``limit`` values per column reach the driver."""
+    if not cols:
+        return {}
+    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    small = [c for c in cols if est[c] is not None and est[c] <= limit * 0.8]
+    if not small:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in small]))
+    rows = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct().collect()
+    out: dict[str, list] = {c: [] for c in small}
+    for r in rows:
+        out[r["k"]].append(r["v"])
+    return {c: sorted(v) for c, v in out.items() if len(v) <= limit}
+
+
+def distinct_counter(domains: dict[str, list]):
+    """``nd(col)``: exact distinct count of ``col`` per group.
+
+    Small-domain columns: value i owns bit (i mod 63) of word (i div 63);
+    ``bit_or`` per word and the sum of ``bit_count`` give the exact count with
+    a mergeable aggregate (no Expand). Other columns: ``count_distinct``."""
+
+    def nd(c: str) -> Column:
+        vals = domains.get(c)
+        if vals is None:
+            return F.count_distinct(c)
+        lookup = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
+        idx = F.element_at(lookup, F.col(c).cast("string"))
+        total = None
+        for w in range(max(1, (len(vals) + 62) // 63)):
+            off = idx - F.lit(w * 63)
+            bit = F.when((off >= 0) & (off < 63), F.pow(F.lit(2.0), off).cast("bigint"))
+            cnt = F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
+            total = cnt if total is None else total + cnt
+        return total.cast("bigint")
+
+    return nd
+
+
 def _active_days(ts: str, p: Profile) -> Column:
     """Distinct calendar days with activity in the window.
 
@@ -125,7 +172,7 @@ def _attended(p: Profile) -> Column:
 
 
 # --- per-channel history aggregates --------------------------------------------
-def email_history(x: DataFrame, p: Profile) -> DataFrame:
+def email_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
     et = F.col("event_type")
     eng = et.isin("open", "click")
     if p.name == "A":
@@ -134,9 +181,9 @@ def email_history(x: DataFrame, p: Profile) -> DataFrame:
             _n(et == "bounced").alias("email_bounced"),
             _n(et == "open").alias("email_opens"),
             _n(et == "click").alias("email_clicks"),
-            F.count_distinct("email_id").alias("email_unique_emails"),
-            F.count_distinct("campaign_id").alias("email_unique_campaigns"),
-            F.count_distinct("drug_id").alias("email_unique_drugs"),
+            nd("email_id").alias("email_unique_emails"),
+            nd("campaign_id").alias("email_unique_campaigns"),
+            nd("drug_id").alias("email_unique_drugs"),
             _active_days("event_timestamp", p).alias("email_active_days"),
             F.max("event_timestamp").alias("_last"),
             F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
@@ -156,9 +203,9 @@ def email_history(x: DataFrame, p: Profile) -> DataFrame:
         _n(ds == "bounced").alias("email_bounced"),
         _n(et == "open").alias("email_open"),
         _n(et == "click").alias("email_click"),
-        F.count_distinct("email_id").alias("email_unique_emails"),
-        F.count_distinct("campaign_id").alias("email_unique_campaigns"),
-        F.count_distinct("drug_id").alias("email_unique_drugs"),
+        nd("email_id").alias("email_unique_emails"),
+        nd("campaign_id").alias("email_unique_campaigns"),
+        nd("drug_id").alias("email_unique_drugs"),
         _active_days("event_timestamp", p).alias("email_active_days"),
         F.max("event_timestamp").alias("_last"),
         F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
@@ -166,14 +213,14 @@ def email_history(x: DataFrame, p: Profile) -> DataFrame:
     return g
 
 
-def web_history(x: DataFrame, p: Profile) -> DataFrame:
+def web_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
     et = F.col("event_type")
     eng = et.isin(*p.web_engagement_types)
     dur = "session_duration_seconds"
     if p.name == "A":
         g = x.groupBy("hcp_id", "snapshot_date").agg(
             F.count("web_event_id").alias("web_total_events"),
-            F.count_distinct("session_id").alias("web_unique_sessions"),
+            nd("session_id").alias("web_unique_sessions"),
             _n(et == "page_view").alias("web_page_views"),
             _n(et == "content_view").alias("web_content_views"),
             _n(et == "download").alias("web_downloads"),
@@ -183,8 +230,8 @@ def web_history(x: DataFrame, p: Profile) -> DataFrame:
             _dmean(dur).alias("web_avg_duration"),
             F.max(dur).alias("web_max_duration"),
             _active_days("event_timestamp", p).alias("web_active_days"),
-            F.count_distinct("campaign_id").alias("web_unique_campaigns"),
-            F.count_distinct("drug_id").alias("web_unique_drugs"),
+            nd("campaign_id").alias("web_unique_campaigns"),
+            nd("drug_id").alias("web_unique_drugs"),
             F.max("event_timestamp").alias("_last"),
             F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
         )
@@ -196,7 +243,7 @@ def web_history(x: DataFrame, p: Profile) -> DataFrame:
         )
     g = x.groupBy("hcp_id", "snapshot_date").agg(
         F.count("web_event_id").alias("web_total_events"),
-        F.count_distinct("session_id").alias("web_unique_sessions"),
+        nd("session_id").alias("web_unique_sessions"),
         _n(et == "page_view").alias("web_page_views"),
         _n(et == "content_view").alias("web_content_views"),
         _n(et == "download").alias("web_downloads"),
@@ -206,15 +253,15 @@ def web_history(x: DataFrame, p: Profile) -> DataFrame:
         _dmean(dur).alias("web_avg_session_duration"),
         F.max(dur).alias("web_max_session_duration"),
         _active_days("event_timestamp", p).alias("web_active_days"),
-        F.count_distinct("content_type").alias("web_content_type_diversity"),
-        F.count_distinct("device_type").alias("web_device_diversity"),
+        nd("content_type").alias("web_content_type_diversity"),
+        nd("device_type").alias("web_device_diversity"),
         F.max("event_timestamp").alias("_last"),
         F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
     )
     return g
 
 
-def event_history(x: DataFrame, p: Profile) -> DataFrame:
+def event_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
     att = _attended(p)
     reg = F.col("event_activity_type") == "registration"
     dur = "attendance_duration_minutes"
@@ -227,9 +274,9 @@ def event_history(x: DataFrame, p: Profile) -> DataFrame:
             _dsum("questions_asked").alias("event_questions"),
             _dsum("poll_responses").alias("event_polls"),
             _active_days("activity_timestamp", p).alias("event_active_days"),
-            F.count_distinct("event_id").alias("event_unique_events"),
-            F.count_distinct("campaign_id").alias("event_unique_campaigns"),
-            F.count_distinct("drug_id").alias("event_unique_drugs"),
+            nd("event_id").alias("event_unique_events"),
+            nd("campaign_id").alias("event_unique_campaigns"),
+            nd("drug_id").alias("event_unique_drugs"),
             F.max("activity_timestamp").alias("_last"),
             F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
         )
@@ -248,14 +295,14 @@ def event_history(x: DataFrame, p: Profile) -> DataFrame:
         _dsum("questions_asked").alias("event_questions"),
         _dsum("poll_responses").alias("event_polls"),
         _active_days("activity_timestamp", p).alias("event_active_days"),
-        F.count_distinct("event_id").alias("event_unique_events"),
+        nd("event_id").alias("event_unique_events"),
         F.max("activity_timestamp").alias("_last"),
         F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
     )
     return g
 
 
-def rep_history(x: DataFrame, p: Profile) -> DataFrame:
+def rep_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
     st = F.col("interaction_status")
     it = F.col("interaction_type")
     comp = st == "Completed"
@@ -274,9 +321,9 @@ def rep_history(x: DataFrame, p: Profile) -> DataFrame:
             _dmean(dur).alias("veeva_avg_duration"),
             _n(follow).alias("veeva_follow_up_count"),
             _active_days("interaction_timestamp", p).alias("veeva_active_days"),
-            F.count_distinct("rep_id").alias("veeva_unique_reps"),
-            F.count_distinct("campaign_id").alias("veeva_unique_campaigns"),
-            F.count_distinct("drug_id").alias("veeva_unique_drugs"),
+            nd("rep_id").alias("veeva_unique_reps"),
+            nd("campaign_id").alias("veeva_unique_campaigns"),
+            nd("drug_id").alias("veeva_unique_drugs"),
             F.max("interaction_timestamp").alias("_last"),
             F.max(F.when(comp, F.col("interaction_timestamp"))).alias("_last_eng"),
         )
@@ -311,11 +358,26 @@ RECENCY_B = {"email": ("email_recency", "email_eng_recency"), "web": ("web_recen
              "event": ("event_recency", "event_eng_recency"), "rep": ("veeva_recency", "veeva_eng_recency")}
 
 
-def channel_history(silver: DataFrame, channel: str, p: Profile) -> DataFrame:
+DISTINCT_COLS = {
+    ("email", "A"): ["email_id", "campaign_id", "drug_id"],
+    ("email", "B"): ["email_id", "campaign_id", "drug_id"],
+    ("web", "A"): ["session_id", "campaign_id", "drug_id"],
+    ("web", "B"): ["session_id", "content_type", "device_type"],
+    ("event", "A"): ["event_id", "campaign_id", "drug_id"],
+    ("event", "B"): ["event_id"],
+    ("rep", "A"): ["rep_id", "campaign_id", "drug_id"],
+    ("rep", "B"): [],
+}
+
+
+def channel_history(silver: DataFrame, channel: str, p: Profile, small_domain: bool = True) -> DataFrame:
     """History aggregates of one channel for every snapshot date (entities with activity only)."""
     dates = [d for d, _ in p.all_dates()]
+    nd = F.count_distinct
+    if small_domain:
+        nd = distinct_counter(small_domains(silver, DISTINCT_COLS[(channel, p.name)]))
     x = explode_windows(silver, SILVER_TS[channel], dates, p.hist_days, True, p)
-    return HISTORY[channel](x, p)
+    return HISTORY[channel](x, p, nd)
 
 
 def spine(entities: DataFrame, p: Profile) -> DataFrame:

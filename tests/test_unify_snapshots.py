@@ -39,3 +39,16 @@ def test_spine_every_entity_every_date(spark):
     sp = SN.spine(ids, PROFILE_A)
     assert sp.count() == 2 * len(PROFILE_A.all_dates())
     assert sp.select("hcp_id", "snapshot_date").distinct().count() == sp.count()
+
+
+def test_small_domain_distinct_counter_matches_count_distinct(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(f"g{rnd.randrange(7)}", None if rnd.random() < 0.1 else f"v{rnd.randrange(150)}", f"big{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v string, b string")
+    doms = SN.small_domains(df, ["v", "b"])
+    assert "v" in doms and "b" not in doms and len(doms["v"]) <= 150     # 150 values -> 3 words of 63 bits
+    nd = SN.distinct_counter(doms)
+    got = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(nd("v").alias("a"), F.count_distinct("v").alias("b")).collect()}
+    assert all(a == b for a, b in got.values())
