@@ -380,6 +380,16 @@ def channel_history(silver: DataFrame, channel: str, p: Profile, small_domain: b
     return HISTORY[channel](x, p, nd)
 
 
+def histories(silvers: dict[str, DataFrame], p: Profile) -> dict[str, DataFrame]:
+    """Build the four channel aggregates together (their small sizing jobs overlap)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    chans = ("email", "web", "event", "rep")
+    with ThreadPoolExecutor(max_workers=len(chans)) as ex:
+        built = list(ex.map(lambda ch: channel_history(silvers[ch], ch, p), chans))
+    return dict(zip(chans, built))
+
+
 def spine(entities: DataFrame, p: Profile) -> DataFrame:
     """Every entity x every snapshot date, with its split label (narrow explode)."""
     pairs = F.explode(
@@ -474,8 +484,9 @@ def snapshot_features(
     if p.name != "A":
         return snapshot_features_b(silvers, entities, normalized, p)
     out = spine(entities, p)
+    hist = histories(silvers, p)
     for ch in ("email", "web", "event", "rep"):
-        out = out.join(channel_history(silvers[ch], ch, p), ["hcp_id", "snapshot_date"], "left")
+        out = out.join(hist[ch], ["hcp_id", "snapshot_date"], "left")
     out = _cross_a(_fill(out, {"hcp_id", "snapshot_date", "split"}, p))
     if normalized is not None:
         out = out.join(normalized, "hcp_id", "left")
@@ -485,8 +496,9 @@ def snapshot_features(
 def snapshot_features_b(silvers: dict[str, DataFrame], entities: DataFrame, normalized: DataFrame | None, p: Profile) -> DataFrame:
     """Profile B: per-channel last timestamps become clipped recencies right after each join."""
     out = spine(entities, p)
+    hist = histories(silvers, p)
     for ch in ("email", "web", "event", "rep"):
-        h = channel_history(silvers[ch], ch, p)
+        h = hist[ch]
         r1, r2 = RECENCY_B[ch]
         h = h.withColumnRenamed("_last", f"_last_{ch}").withColumnRenamed("_last_eng", f"_last_eng_{ch}")
         out = out.join(h, ["hcp_id", "snapshot_date"], "left")
