@@ -20,10 +20,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-SPREAD_MIN_BYTES = 32 << 20
+SPREAD_MIN_BYTES = 4 << 20
 
 
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+def spread(df: DataFrame, min_bytes: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster when a sizeable scan yields fewer
     splits than cores (e.g. one large single-row-group file). Small inputs are
     cheaper in one task than through an extra shuffle, and large inputs
@@ -32,7 +32,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(want) if size >= min_bytes else df
+    return df.repartition(want) if size >= (SPREAD_MIN_BYTES if min_bytes is None else min_bytes) else df
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
