@@ -88,6 +88,12 @@ def _sql_range(ch: str) -> str:
     return O.ctes(f"feat_{ch}") + f"SELECT {', '.join(parts)} FROM feat_{ch}"
 
 
+def _bronze(ch: str):
+    from pulsegrid.sources.adapters import BRONZE as _B
+
+    return _B[ch]
+
+
 def _reg_channel_quality(ch: str) -> None:
     spec = SPECS[ch]
     lab = LABEL[ch]
@@ -112,7 +118,7 @@ def _reg_channel_quality(ch: str) -> None:
         f"bronze_counts_{ch}",
         O.ctes(bronze_name) + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, "
         + ", ".join(f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_{c}" for c in dcols) + f" FROM {bronze_name}",
-    )(lambda spark, sf_dir: Q.profile_counts(__import__("pulsegrid.sources.adapters", fromlist=["BRONZE"]).BRONZE[ch](spark, sf_dir), dcols))
+    )(lambda spark, sf_dir: Q.profile_counts(_bronze(ch)(spark, sf_dir), dcols))
 
     union = " UNION ALL ".join(
         f"SELECT '{c}' AS category, CAST({c} AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS records, "
@@ -982,3 +988,91 @@ def model_final_output_b(spark, sf_dir):
 
 register("model_metrics_b")(_q_model_metrics_b)
 register("final_output_model_b")(model_final_output_b)
+
+
+# --- remaining section-2 keys ----------------------------------------------------------
+def _q_dedup_latest(spark, sf_dir):
+    """W1 alone: latest row per web event key (before the quality gate)."""
+    spec = SPECS["web"]
+    tb = [f"_tb{i}" for i in range(len(spec.tiebreak))]
+    d = SV.dedup_latest(SV.clean(BRONZE["web"](spark, sf_dir), spec), spec.key, spec.ts, tb)
+    return d.select("web_event_id", "hcp_id", "event_type", "event_timestamp", "page_url")
+
+
+register(
+    "dedup_latest",
+    O.ctes("bronze_web")
+    + "SELECT web_event_id, hcp_id, event_type, event_timestamp, page_url FROM ("
+    "SELECT CAST(web_event_id AS VARCHAR) AS web_event_id, TRIM(CAST(hcp_id AS VARCHAR)) AS hcp_id, "
+    "CASE WHEN LOWER(TRIM(event_type)) IN ('page_view', 'content_view', 'download', 'video_start', 'video_complete') "
+    "THEN LOWER(TRIM(event_type)) END AS event_type, event_timestamp, NULLIF(TRIM(page_url), '') AS page_url, "
+    "ROW_NUMBER() OVER (PARTITION BY CAST(web_event_id AS VARCHAR) ORDER BY event_timestamp DESC NULLS LAST, page_url NULLS FIRST, "
+    "content_id NULLS FIRST, session_duration_seconds NULLS FIRST) AS rn FROM bronze_web) WHERE rn = 1",
+)(_q_dedup_latest)
+
+register("next_best_channel", O.serving_sql("SELECT hcp_id, next_best_channel FROM gold"))(
+    lambda spark, sf_dir: gold_table(spark, sf_dir).select("hcp_id", "next_best_channel")
+)
+register("cross_channel_b", O.snapshot_sql(PROFILE_B, with_norm=False, with_labels=False))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, PROFILE_B, with_norm=False, with_labels=False)
+)
+register(
+    "chrono_split",
+    O.ctes("bronze_master").rstrip("\n") + f",\nsnap_dates AS ({O._dates_cte(PA)})\n"
+    "SELECT d.split, d.snapshot_date, CAST(COUNT(*) AS BIGINT) AS rows FROM (SELECT DISTINCT hcp_id FROM bronze_master) m "
+    "CROSS JOIN snap_dates d GROUP BY d.split, d.snapshot_date",
+)(lambda spark, sf_dir: SN.spine(master_ids(spark, sf_dir), PA).groupBy("split", "snapshot_date").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _q_class_weight(spark, sf_dir):
+    lab = _labels_df(spark, sf_dir, PA).where(F.col("split") == "train")
+    arr = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("y")) for t in SC.TARGETS])
+    x = lab.select(F.explode(arr).alias("x")).select("x.target", "x.y")
+    g = x.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
+    return g.select("target", "n", F.col("pos").cast("bigint").alias("pos"),
+                    ((F.col("n") - F.col("pos")) / F.greatest(F.col("pos"), F.lit(1))).cast("double").alias("class_weight"))
+
+
+register(
+    "class_weight",
+    _labels_sql(PA).replace(
+        "SELECT hcp_id, snapshot_date, split, email_target, web_target, webinar_target, veeva_target FROM snap_final",
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS target, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM({t}) AS BIGINT) AS pos, "
+            f"CAST(COUNT(*) - SUM({t}) AS DOUBLE) / GREATEST(SUM({t}), 1) AS class_weight FROM snap_final WHERE split = 'train'"
+            for t in SC.TARGETS),
+    ),
+)(_q_class_weight)
+
+
+def _q_future_intensity(spark, sf_dir):
+    lab = _labels_df(spark, sf_dir, PA)
+    return lab.select("hcp_id", "snapshot_date", SC.future_intensity().alias("future_intensity"),
+                      SC.future_intensity(mean=True).alias("future_mean"))
+
+
+register(
+    "future_intensity",
+    _labels_sql(PA).replace(
+        "SELECT hcp_id, snapshot_date, split, email_target, web_target, webinar_target, veeva_target FROM snap_final",
+        "SELECT hcp_id, snapshot_date, email_target + web_target + webinar_target + veeva_target AS future_intensity, "
+        "(email_target + web_target + webinar_target + veeva_target) / 4.0 AS future_mean FROM snap_final",
+    ),
+)(_q_future_intensity)
+
+
+def _q_standardize(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    train = r["scored"].where(F.col("split") == "train")
+    means, stds = ML.fit_standardizer(train, r["cols"])
+    return spark.createDataFrame(list(zip(r["cols"], means, stds)), "feature string, mean double, std double")
+
+
+def _q_driver_phrases(spark, sf_dir):
+    r = model_run(spark, sf_dir)
+    drivers = SC.top_drivers("attr", r["cols"])
+    return r["attr"].select("hcp_id", "target", F.transform(drivers, lambda c: RS.phrase_a(c)).alias("phrases"))
+
+
+register("standardize")(_q_standardize)
+register("driver_phrases")(_q_driver_phrases)
