@@ -41,7 +41,8 @@ class ChannelSpec:
     gate_type: str
     # ordered (name, Column) pairs producing the silver columns from bronze
     columns: Callable[[], list[tuple[str, Column]]]
-    # raw bronze columns that complete the "latest first" order for ties
+    # raw bronze columns that complete the "latest first" order for ties, so the
+    # surviving copy is the same row on every (re)computation of a partition
     tiebreak: tuple[str, ...] = ()
     # columns profiled by the category distribution / distinct counts
     categories: tuple[str, ...] = ()
@@ -138,7 +139,7 @@ EMAIL = ChannelSpec(
     ts="event_timestamp",
     gate_type="event_type",
     columns=_email_cols,
-    tiebreak=("email_event_id",),
+    tiebreak=("hcp_id", "event_type", "email_id", "campaign_id", "drug_id", "url", "device_type", "delivery_status"),
     categories=("event_type",),
     distinct_extra=("email_event_id",),
 )
@@ -159,7 +160,7 @@ REP = ChannelSpec(
     ts="interaction_timestamp",
     gate_type="interaction_type",
     columns=_rep_cols,
-    tiebreak=("interaction_id",),
+    tiebreak=("hcp_id", "interaction_id", "interaction_type", "interaction_status", "interaction_duration_minutes", "follow_up_required"),
     categories=("interaction_type", "interaction_status", "follow_up_required"),
     distinct_extra=("veeva_event_id", "interaction_id"),
     non_negative=("interaction_duration_minutes",),
@@ -170,7 +171,7 @@ EVENT = ChannelSpec(
     ts="activity_timestamp",
     gate_type="event_activity_type",
     columns=_event_cols,
-    tiebreak=("event_id",),
+    tiebreak=("hcp_id", "event_id", "event_activity_type", "attendance_status", "attendance_duration_minutes"),
     categories=("event_activity_type", "event_type", "attendance_status"),
     distinct_extra=("event_activity_id", "event_id"),
     non_negative=("attendance_duration_minutes", "questions_asked", "poll_responses"),
