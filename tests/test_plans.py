@@ -48,3 +48,13 @@ def test_final_table_without_join_equals_join_version(spark):
     b = U.features_final_direct(c, stats)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_profile_a_has_88_features_one_row_per_entity_and_date(spark):
+    from pulsegrid.operators.models import feature_columns
+
+    snap = QY.snapshot_table(spark, SF, PROFILE_A, with_norm=True, with_labels=True)
+    assert len(feature_columns(snap)) == 88
+    n_ids = QY.master_ids(spark, SF).count()
+    assert snap.count() == n_ids * len(PROFILE_A.all_dates())
+    assert snap.select("hcp_id", "snapshot_date").distinct().count() == snap.count()
