@@ -9,22 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import table
+from pulsegrid.llm.embedding_dedup import near_vectors
+from pulsegrid.llm.language_id import identify, train
 from pulsegrid.llm.minhash import near_duplicates
 from pulsegrid.llm.packing import pack
+from pulsegrid.llm.quality import classify, fit
 from pulsegrid.llm.token_counts import count_tokens
 from pulsegrid.llm.token_store import store_round_trip
 from pulsegrid.llm.tokens import tokenizer_path
+from pulsegrid.llm.url_filter import filter_urls
+
+#: Rules of the URL query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = identify(docs.select("doc_id", "text"), train(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), k=3, at_least=(85, 100))
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -33,11 +55,20 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op5_minhash": op5_minhash,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_token_store": op9_token_store,
+    "op10_quality": op10_quality,
 }
 
 #: Set links by a self-join on shingles, components by recursion.
@@ -63,4 +94,20 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.
 FROM documents d JOIN comp c ON c.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op5_minhash": OP5_SQL}
+#: All pairs of a label, components by recursion.
+OP7_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x), degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e JOIN comp c ON c.x = e.vec_id LEFT JOIN degree d ON d.x = e.vec_id
+"""
+
+ORACLE: dict[str, str] = {"op5_minhash": OP5_SQL, "op7_embedding_dedup": OP7_SQL}
