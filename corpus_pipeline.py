@@ -1,35 +1,70 @@
-"""Corpus pipeline: documents -> packed training sequences."""
+"""Corpus pipeline: documents -> packed training sequences.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last
+return the columns of ``documents``. Every stage works on all rows that its
+predecessor kept; extra columns pass through.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsegrid.llm import queries as Q
 from pulsegrid.llm.common import table
+from pulsegrid.llm.decontaminate import find_leaks
+from pulsegrid.llm.language_id import identify, train
 from pulsegrid.llm.minhash import near_duplicates
 from pulsegrid.llm.packing import pack
+from pulsegrid.llm.quality import classify, fit
+from pulsegrid.llm.tokens import tokenizer_path
 from pulsegrid.session import ensure_checkpoint_dir
 
+#: A text whose best language scores less (0.25 is a coin toss among four) is rejected.
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay: those with a letter whose language
+    is told with a score of at least ``LEAST_LANGUAGE_SCORE``. Null and
+    letterless texts go."""
+    found = identify(docs, train(docs, F.lit(True)), lang_name="_lang", score_name="_lang_score")
+    return found.where((F.col("_lang") != "und") & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality that are not abusive stay."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, model, names=("_quality", "_toxic", "_kept")).where("_kept").select(*docs.columns)
+
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles,
     Jaccard 0.8 or more): the one with the smallest id. Rows that repeat an id
     leave one row; documents without an id stay."""
     found = near_duplicates(docs, k=5, at_least=(80, 100))
-    gone = found.where("NOT kept").select("id").distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    gone = found.where("NOT kept").select(F.col("id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
     return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item stay."""
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), name="_leaks")
+    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the surviving documents in sequences of 4096 tokens."""
-    return pack(docs, Q.tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
 STAGES = [
+    ("language ID", language_stage),
+    ("quality classifier", quality_stage),
     ("minhash near-dedup", near_duplicates_stage),
+    ("benchmark decontamination", decontamination_stage),
     ("best-fit packing", packing_stage),
 ]
 

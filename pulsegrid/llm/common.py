@@ -78,7 +78,9 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_BYTE[_SPACE] = 0
+_PUNCT = _SPACE.copy()
+_PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+_TABLES = {False: (_SPACE, np.where(_SPACE, 0, _BYTE)), True: (_PUNCT, np.where(_PUNCT, 0, _BYTE))}
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -92,28 +94,30 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, punctuation: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased) of
-    every row, and the row bounds in that array. Works through the bytes in
+    every row, and the row bounds in that array. With ``punctuation``, ASCII
+    punctuation parts words like white space does. Works through the bytes in
     segments cut at white space, so memory stays a few times the input."""
+    space, table = _TABLES[punctuation]
     total = len(raw)
     parts, starts_all, at = [], [], 0
     is_start = np.zeros(total + 1, bool)
     is_start[bounds] = True
     while at < total:
         end = min(at + _SEGMENT, total)
-        while end < total and not _SPACE[raw[end]] and not is_start[end]:
+        while end < total and not space[raw[end]] and not is_start[end]:
             more = min(end + 4096, total)
-            stop = np.flatnonzero(_SPACE[raw[end:more]] | is_start[end:more])
+            stop = np.flatnonzero(space[raw[end:more]] | is_start[end:more])
             end = end + int(stop[0]) if len(stop) else more
         seg = raw[at:end]
-        solid = ~_SPACE[seg]
+        solid = ~space[seg]
         first = solid.copy()
         first[1:] &= ~solid[:-1] | is_start[at + 1 : end]
         starts = np.flatnonzero(first)
         if len(starts):
             up, down = _powers(len(seg))
-            parts.append(mix(np.add.reduceat(_BYTE[seg] * up[: len(seg)], starts) * down[starts]))
+            parts.append(mix(np.add.reduceat(table[seg] * up[: len(seg)], starts) * down[starts]))
             starts_all.append(starts + at)
         at = end
     if not parts:

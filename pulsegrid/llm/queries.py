@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import table
+from pulsegrid.llm.decontaminate import find_leaks
 from pulsegrid.llm.embedding_dedup import near_vectors
+from pulsegrid.llm.html_extract import extract
+from pulsegrid.llm.html_extract import train as train_labeller
 from pulsegrid.llm.language_id import identify, train
 from pulsegrid.llm.minhash import near_duplicates
 from pulsegrid.llm.packing import pack
@@ -23,6 +26,11 @@ from pulsegrid.llm.url_filter import filter_urls
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train_labeller(pages))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -43,6 +51,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "leaked_items", (F.size("leaked_items") > 0).alias("contaminated"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -61,10 +74,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_minhash": op5_minhash,
+    "op6_decontamination": op6_decontamination,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_token_store": op9_token_store,
