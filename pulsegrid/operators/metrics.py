@@ -5,10 +5,10 @@ partial-aggregated groupBy), then needs cumulative counts in value order.
 A global running sum is the classic trap (``Window.orderBy`` with no
 partition moves every row to one task), so prefix sums are computed in two
 levels: distinct values are cut into range buckets (boundaries from
-``approxQuantile``: ``n_buckets - 1`` numbers on the driver), each bucket gets
-its own running sum, and a per-bucket offset (a table of ``n_buckets`` rows
-per group, broadcast - its size is bounded by the parameter, not the data)
-is added back. The results are exact; the approximate quantiles only decide
+``approxQuantile``: ``n_buckets - 1`` numbers on the driver, as many buckets as
+shuffle partitions unless given), each bucket gets its own running sum, and a
+per-bucket offset (a table of ``n_buckets`` rows per group) is added back. The
+results are exact; the approximate quantiles only decide
 where bucket borders fall.
 
 Metric identities used (``pos``/``neg`` counts per distinct score):
@@ -28,16 +28,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-N_BUCKETS = 64
-
-
-def _bucket(df: DataFrame, col: str, n_buckets: int) -> Column:
+def _bucket(df: DataFrame, col: str, n_buckets: int | None) -> Column:
     """Range bucket id of ``col`` (0..n_buckets-1) from approximate quantiles."""
+    if n_buckets is None:
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n_buckets <= 1:
         return F.lit(0)
     qs = [i / n_buckets for i in range(1, n_buckets)]
     # borders only balance the buckets (results stay exact), so a coarse sketch suffices
-    bounds = sorted({b for b in df.approxQuantile(col, qs, 0.01) if b is not None and not np.isnan(b)})
+    bounds = sorted({b for b in df.approxQuantile(col, qs, min(0.01, 0.5 / n_buckets)) if b is not None and not np.isnan(b)})
     if not bounds:
         return F.lit(0)
     arr = F.array(*[F.lit(float(b)) for b in bounds])
@@ -49,7 +48,7 @@ def cumulative(
     order_col: str,
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
-    n_buckets: int = N_BUCKETS,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>``: running sums of ``sum_cols`` in ascending ``order_col``
     within ``group_cols`` (rows are expected distinct per group and value)."""
@@ -60,30 +59,56 @@ def cumulative(
     tot = d.groupBy(*g, "_b").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*g, "_b", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    out = d.join(F.broadcast(off), [*g, "_b"])
+    out = d.join(off, [*g, "_b"])
     keep = [c for c in df.columns]
     return out.select(*keep, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols])
 
 
-def average_rank_table(df: DataFrame, col: str, group_cols: Sequence[str] = (), n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Distinct values of ``col`` with their average (tie-shared) 1-based rank."""
-    g = list(group_cols)
-    counts = df.where(F.col(col).isNotNull()).groupBy(*g, col).agg(F.count(F.lit(1)).alias("_n"))
-    c = cumulative(counts, col, ["_n"], g, n_buckets)
-    return c.select(*g, col, ((F.col("cum__n") - F.col("_n")) + (F.col("_n") + 1) / 2.0).alias(f"rank_{col}"))
+def with_average_rank(
+    df: DataFrame, col: str, weight: str, group_cols: Sequence[str] = (), n_buckets: int | None = None
+) -> DataFrame:
+    """Add ``rank_<col>``, the tie-shared 1-based rank of ``col`` in a folded
+    table whose rows stand for ``weight`` rows each.
 
+    Rows of equal value are window peers in their range bucket, so the rank is
+    (rows below) + (peers + 1) / 2 from two range frames over one ordering: no
+    join back on a value."""
+    g = list(group_cols)
+    d = df.withColumn("_b", _bucket(df, col, n_buckets))
+    order = Window.partitionBy(*g, "_b").orderBy(col)
+    upto = F.sum(weight).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    peers = F.sum(weight).over(order.rangeBetween(Window.currentRow, Window.currentRow))
+    d = d.select("*", upto.alias("_upto"), peers.alias("_peers"))
+    tot = d.groupBy(*g, "_b").agg(F.sum(weight).alias("_tot"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*g, "_b", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    rank = F.col("_off") + F.col("_upto") - F.col("_peers") + (F.col("_peers") + 1) / 2.0
+    return d.join(off, [*g, "_b"]).select(*df.columns, rank.alias(f"rank_{col}"))
 
-def with_average_rank(df: DataFrame, col: str, group_cols: Sequence[str] = (), n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Attach ``rank_<col>`` to every row (join back on group + value)."""
-    ranks = average_rank_table(df, col, group_cols, n_buckets)
-    return df.join(ranks, [*group_cols, col], "left")
 
+def spearman(df: DataFrame, x: str, y: str, group_cols: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Spearman correlation = Pearson correlation of average ranks.
 
-def spearman(df: DataFrame, x: str, y: str, group_cols: Sequence[str] = (), n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Spearman correlation = Pearson correlation of average ranks."""
+    Rows fold to distinct (x, y) with their counts and x is ranked there; then
+    they fold to distinct y, keeping the sums of x ranks that the correlation
+    needs, and y is ranked on that table. So a y with few values (the future
+    intensity has five) is never a join or window key of many rows; ``x`` should
+    be the finer of the two."""
     g = list(group_cols)
-    r = with_average_rank(with_average_rank(df, x, g, n_buckets), y, g, n_buckets)
-    return r.groupBy(*g).agg(F.corr(f"rank_{x}", f"rank_{y}").alias("spearman"))
+    folded = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*g, x, y).agg(F.count(F.lit(1)).alias("_n"))
+    rx = F.col(f"rank_{x}")
+    by_y = with_average_rank(folded, x, "_n", g, n_buckets).groupBy(*g, y).agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_n") * rx).alias("_sx"), F.sum(F.col("_n") * rx * rx).alias("_sxx")
+    )
+    ry, n = F.col(f"rank_{y}"), F.col("_n").cast("double")
+    sums = with_average_rank(by_y, y, "_n", g, n_buckets).groupBy(*g).agg(
+        F.sum(n).alias("m"), F.sum("_sx").alias("sx"), F.sum("_sxx").alias("sxx"),
+        F.sum(n * ry).alias("sy"), F.sum(n * ry * ry).alias("syy"), F.sum(F.col("_sx") * ry).alias("sxy"),
+    )
+    m, sx, sy = F.col("m"), F.col("sx"), F.col("sy")
+    vx, vy = F.col("sxx") - sx * sx / m, F.col("syy") - sy * sy / m
+    corr = F.when((vx > 0) & (vy > 0), (F.col("sxy") - sx * sy / m) / F.sqrt(vx * vy))
+    return sums.select(*g, corr.alias("spearman"))
 
 
 def _score_counts(df: DataFrame, score: str, label: str, group_cols: Sequence[str]) -> DataFrame:
@@ -92,7 +117,7 @@ def _score_counts(df: DataFrame, score: str, label: str, group_cols: Sequence[st
     )
 
 
-def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (), n_buckets: int = N_BUCKETS) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (Mann-Whitney with tie-averaged ranks); NULL if a class is empty."""
     g = list(group_cols)
     sc = _score_counts(df, score, label, g).withColumn("_n", F.col("_pos") + F.col("_neg"))
@@ -107,7 +132,7 @@ def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (
     return agg.select(*g, auc.alias("roc_auc"))
 
 
-def pr_metrics(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (), n_buckets: int = N_BUCKETS) -> DataFrame:
+def pr_metrics(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """PR AUC by trapezoid over the precision-recall curve, and average precision."""
     g = list(group_cols)
     sc = _score_counts(df, score, label, g).withColumn("_neg_score", -F.col(score))
@@ -187,7 +212,7 @@ def threshold_search(
     )
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int = N_BUCKETS) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None = None) -> list[float | None]:
     """Linear-interpolated quantiles (numpy's default) computed exactly.
 
     Only the order statistics at floor/ceil of (n-1)q are located (filters on

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -128,7 +129,7 @@ def fit_channel_models(frames: DataFrame, cols: Sequence[str], p: Profile, targe
         return t, train_gbt(train, cols, t, p, n_trees)
 
     with ThreadPoolExecutor(max_workers=len(targets)) as ex:
-        return dict(ex.map(one, targets))
+        return dict(ex.map(inheritable_thread_target(one), targets))
 
 
 # --- tree attributions (M25) ---------------------------------------------------------
@@ -237,6 +238,39 @@ def attributions(df: DataFrame, cols: Sequence[str], models: dict, key: str = "h
     return df.select(key, *cols).mapInPandas(run, schema)
 
 
+def chosen_drivers(df: DataFrame, cols: Sequence[str], models: dict, key: str = "hcp_id") -> DataFrame:
+    """M25/T5 for one model per row (column ``target``): the names of the features
+    with a positive attribution, largest first, and of the largest one.
+
+    Output: key, positive array<string>, largest string. The ensembles go to the
+    tasks as one broadcast of a few thousand nodes."""
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast({t: leaf_paths(extract_trees(m)) for t, m in models.items()})
+    schema = f"{key} string, positive array<string>, largest string"
+
+    def run(batches):
+        import pandas as pd
+
+        names = np.array(list(cols))
+        for pdf in batches:
+            X = pdf[list(cols)].to_numpy(dtype=float)
+            positive: list = [[] for _ in range(len(pdf))]
+            largest: list = [None] * len(pdf)
+            for t, leaves in shared.value.items():
+                at = np.flatnonzero((pdf["target"] == t).to_numpy())
+                if not len(at):
+                    continue
+                phi, _ = tree_shap(X[at], leaves, len(cols))
+                order = np.argsort(-phi, axis=1, kind="stable")
+                for i, row in enumerate(at):
+                    ranked = order[i]
+                    positive[row] = names[ranked[phi[i, ranked] > 0]].tolist()
+                    largest[row] = str(names[ranked[0]])
+            yield pd.DataFrame({key: pdf[key].astype(str).values, "positive": positive, "largest": largest})
+
+    return df.select(key, "target", *cols).mapInPandas(run, schema)
+
+
 def feature_importance(attr: DataFrame, cols: Sequence[str], top: int = 20) -> DataFrame:
     """Mean |attribution| per feature, largest first."""
     names = F.array(*[F.lit(c) for c in cols])

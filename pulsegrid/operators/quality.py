@@ -99,23 +99,21 @@ def clicks_without_open(silver_email: DataFrame) -> DataFrame:
     """Clicks whose ``email_id`` never appears on an open.
 
     Same answer as ``email_id NOT IN (SELECT email_id ... open ... NOT NULL)``
-    (null-aware), without its broadcast-only null-aware anti join: a regular
-    left-anti join (sort-merge at scale) for non-NULL ids, plus the NULL-id
-    clicks, which count only when there is no open at all (an empty NOT IN
-    list is true for every row, NULL included).
+    (null-aware) without any join: clicks and opens are counted per id first;
+    ids without an open give their clicks, and NULL-id clicks count only when
+    no id has an open (an empty NOT IN list is true for every row, NULL
+    included).
     """
-    clicks = silver_email.where(F.col("event_type") == "click").select("email_id")
-    opens = silver_email.where((F.col("event_type") == "open") & F.col("email_id").isNotNull()).select(
-        F.col("email_id").alias("o_id")
-    ).distinct()
-    anti = clicks.where(F.col("email_id").isNotNull()).join(opens, F.col("email_id") == F.col("o_id"), "left_anti")
-    # three partial counts stacked and summed in one aggregate (no cross join)
-    parts = (
-        anti.select(F.lit(1).alias("a"), F.lit(0).alias("n"), F.lit(0).alias("o"))
-        .unionByName(clicks.where(F.col("email_id").isNull()).select(F.lit(0).alias("a"), F.lit(1).alias("n"), F.lit(0).alias("o")))
-        .unionByName(opens.limit(1).select(F.lit(0).alias("a"), F.lit(0).alias("n"), F.lit(1).alias("o")))
+    # one partially aggregated count per id: a mass mailing is one row a task in the shuffle
+    g = silver_email.where(F.col("event_type").isin("click", "open")).groupBy("email_id").agg(
+        F.count_if(F.col("event_type") == "click").alias("c"), F.count_if(F.col("event_type") == "open").alias("p")
+    )
+    known = F.col("email_id").isNotNull()
+    s = g.agg(
+        F.sum(F.when(known & (F.col("p") == 0), F.col("c"))).alias("a"),
+        F.sum(F.when(~known, F.col("c"))).alias("n"),
+        F.sum(F.when(known, F.col("p"))).alias("o"),
     )
-    s = parts.agg(F.sum("a").alias("a"), F.sum("n").alias("n"), F.sum("o").alias("o"))
     return s.select(
         (F.coalesce(F.col("a"), F.lit(0)) + F.when(F.coalesce(F.col("o"), F.lit(0)) == 0, F.coalesce(F.col("n"), F.lit(0))).otherwise(F.lit(0)))
         .cast("bigint")
@@ -126,17 +124,16 @@ def clicks_without_open(silver_email: DataFrame) -> DataFrame:
 def attendance_without_registration(silver_event: DataFrame) -> DataFrame:
     """Attendance rows with no registration for the same (entity, event).
 
-    ``NOT EXISTS`` as a left-anti join on both keys; NULL keys never match, so
-    such attendance rows are counted (as in the correlated subquery).
+    ``NOT EXISTS`` as one partially aggregated count per (entity, event); NULL
+    keys never match, so such attendance rows are counted (as in the correlated
+    subquery).
     """
-    att = silver_event.where(F.col("event_activity_type") == "attendance").select("hcp_id", "event_id")
-    reg = (
-        silver_event.where(F.col("event_activity_type") == "registration")
-        .select(F.col("hcp_id").alias("r_hcp"), F.col("event_id").alias("r_event"))
-        .distinct()
+    kind = F.col("event_activity_type")
+    g = silver_event.where(kind.isin("attendance", "registration")).groupBy("hcp_id", "event_id").agg(
+        F.count_if(kind == "attendance").alias("a"), F.count_if(kind == "registration").alias("r")
     )
-    cond = (F.col("hcp_id") == F.col("r_hcp")) & (F.col("event_id") == F.col("r_event"))
-    return att.join(reg, cond, "left_anti").agg(F.count(F.lit(1)).alias("attendance_without_registration"))
+    alone = (F.col("r") == 0) | F.col("hcp_id").isNull() | F.col("event_id").isNull()
+    return g.agg(F.coalesce(F.sum(F.when(alone, F.col("a"))), F.lit(0)).alias("attendance_without_registration"))
 
 
 def completion_rate(silver_rep: DataFrame) -> DataFrame:

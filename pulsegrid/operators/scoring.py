@@ -86,16 +86,10 @@ def _candidates_frame(df: DataFrame, exprs: list[Column]) -> DataFrame:
     return df.select(future_intensity().alias("fut"), F.explode(arr).alias("c")).select("c.cand", "c.score", "fut")
 
 
-def grid_by_spearman(df: DataFrame, exprs: list[Column], n_buckets: int = M.N_BUCKETS) -> DataFrame:
-    """Spearman(score_c, future intensity) for every candidate c.
-
-    The future intensity is the same for every candidate, so its ranks are
-    computed once (a handful of distinct values) and joined by value; only the
-    candidate scores are ranked per candidate."""
-    fut_rank = M.average_rank_table(df.select(future_intensity().alias("fut")), "fut", (), n_buckets)
-    x = M.with_average_rank(_candidates_frame(df, exprs), "score", ["cand"], n_buckets)
-    r = x.join(fut_rank, "fut", "left")
-    return r.groupBy("cand").agg(F.corr("rank_score", "rank_fut").alias("spearman"))
+def grid_by_spearman(df: DataFrame, exprs: list[Column], n_buckets: int | None = None) -> DataFrame:
+    """Spearman(score_c, future intensity) for every candidate c, on rows
+    folded to distinct (candidate, score, intensity)."""
+    return M.spearman(_candidates_frame(df, exprs), "score", "fut", ["cand"], n_buckets)
 
 
 def pick_best(grid: DataFrame, default: int = 0) -> int:

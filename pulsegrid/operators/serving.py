@@ -197,16 +197,20 @@ def key_bounds(df: DataFrame, key: str, n_buckets: int, sample_per_bucket: int =
     return sorted({keys[int(i * step)] for i in range(1, n_buckets) if int(i * step) < len(keys)})
 
 
-def paginate(df: DataFrame, key: str, page: int, limit: int, n_buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+def paginate(df: DataFrame, key: str, page: int, limit: int, n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows ``(page-1)*limit+1 .. page*limit`` in ``key`` order, plus the metadata row.
 
     Positions are global but computed without a one-partition window: each row
     gets a range bucket that is a pure function of its key (split points from a
     bounded sample), rows are numbered inside their bucket, and shifted by the
-    row count of all lower buckets (a table of ``n_buckets`` rows, broadcast).
+    row count of all lower buckets (a table of ``n_buckets`` rows; as many
+    buckets as shuffle partitions unless given). Only the buckets that hold the
+    page are numbered.
     Deep pages cost the same as the first one."""
     if page < 1 or not (1 <= limit <= 10000):
         raise ValueError("page >= 1 and 1 <= limit <= 10000")
+    if n_buckets is None:
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = key_bounds(df, key, n_buckets)
     if bounds:
         arr = F.array(*[F.lit(b) for b in bounds])
@@ -215,13 +219,14 @@ def paginate(df: DataFrame, key: str, page: int, limit: int, n_buckets: int = 16
         bucket = F.lit(0)
     r = df.withColumn("_b", bucket)
     order = F.col(key).asc_nulls_first()
-    local = r.withColumn("_i", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
-    sizes = r.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    off = sizes.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = local.join(F.broadcast(off), "_b").withColumn("_row", F.col("_i") + F.col("_off"))
     start, end = (page - 1) * limit, page * limit
-    rows = pos.where((F.col("_row") > start) & (F.col("_row") <= end)).orderBy("_row").drop("_b", "_i", "_off", "_row")
-    total = df.agg(F.count(F.lit(1)).alias("total_records"))
+    sizes = r.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    off = sizes.select("_b", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    holds = off.where((F.col("_off") < end) & (F.col("_off") + F.col("_n") > start)).select("_b", "_off")
+    pos = r.join(holds, "_b").withColumn("_row", F.row_number().over(Window.partitionBy("_b").orderBy(order)) + F.col("_off"))
+    rows = pos.where((F.col("_row") > start) & (F.col("_row") <= end)).orderBy("_row").drop("_b", "_off", "_row")
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records"))
     pages = F.floor((F.col("total_records") + limit - 1) / limit).cast("bigint")
     meta = total.select(
         F.lit(page).alias("page"),
@@ -243,18 +248,19 @@ def dataset_counts(named: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def directory_extract(directory_df: DataFrame, n: int = 10000) -> DataFrame:
-    """Report rows - id, full name, score as 'NN%' or 'N/A', channel or 'N/A'.
+def directory_extract(directory_df: DataFrame, n: int | None = None) -> DataFrame:
+    """Report rows - id, full name, location, score as 'NN%' or 'N/A', channel
+    or 'N/A'; all entities, or the first ``n`` by id if the caller asks for them.
 
     A zero score prints 'N/A' as in the reference (it tests truthiness)."""
     name = F.trim(F.concat(F.coalesce(F.col("first_name"), F.lit("")), F.lit(" "), F.coalesce(F.col("last_name"), F.lit(""))))
     s = F.col("hybrid_engagement_score")
     score = F.when(s.isNotNull() & (s != 0), F.format_string("%.0f%%", s)).otherwise(F.lit("N/A"))
-    return (
-        directory_df.orderBy(F.col("hcp_id").asc())
-        .limit(n)
-        .select("hcp_id", name.alias("name"), score.alias("engagement_score"),
-                F.coalesce(F.col("next_best_channel"), F.lit("N/A")).alias("next_best_channel"))
+    rows = directory_df if n is None else directory_df.orderBy(F.col("hcp_id").asc()).limit(n)
+    place = F.concat_ws(", ", *[F.when(F.trim(c) != "", F.trim(c)) for c in ("city", "state", "country")])
+    return rows.select(
+        "hcp_id", name.alias("name"), place.alias("location"), score.alias("engagement_score"),
+        F.coalesce(F.col("next_best_channel"), F.lit("N/A")).alias("next_best_channel"),
     )
 
 

@@ -21,10 +21,18 @@ from pulsegrid.plans.channels import SPECS, ChannelSpec
 
 
 def clean(bronze: DataFrame, spec: ChannelSpec) -> DataFrame:
-    """P1-P10 projection; raw tie-break columns ride along with a ``_tb`` prefix."""
+    """P1-P10 projection; the raw timestamp (``_raw_ts``) and every raw column
+    that breaks its ties (``_tb`` prefix, see ``tie_columns``) ride along."""
     cols = [c.alias(n) for n, c in spec.columns()]
-    tb = [F.col(t).alias(f"_tb{i}") for i, t in enumerate(spec.tiebreak)]
-    return bronze.select(*cols, *tb)
+    tb = [F.col(t).alias(f"_tb{i}") for i, t in enumerate(tie_columns(bronze, spec))]
+    return bronze.select(*cols, F.col(spec.ts).alias("_raw_ts"), *tb)
+
+
+def tie_columns(bronze: DataFrame, spec: ChannelSpec) -> list[str]:
+    """The spec's tie-break columns, then every other raw column by name, so that
+    copies which differ anywhere have one winner."""
+    rest = sorted(set(bronze.columns) - set(spec.tiebreak) - {spec.ts, spec.key})
+    return [*spec.tiebreak, *rest]
 
 
 def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -34,15 +42,19 @@ def dedup_latest(df: DataFrame, key: str, ts: str, tiebreak: list[str] | tuple[s
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def latest(bronze: DataFrame, spec: ChannelSpec) -> DataFrame:
+    """Cleaned rows, the latest per key by the raw timestamp."""
+    rows = clean(bronze, spec)
+    return dedup_latest(rows, spec.key, "_raw_ts", [c for c in rows.columns if c.startswith("_tb")])
+
+
 def quality_gate(df: DataFrame, spec: ChannelSpec) -> DataFrame:
     """entity, type and timestamp must be present."""
     return df.where(F.col("hcp_id").isNotNull() & F.col(spec.gate_type).isNotNull() & F.col(spec.ts).isNotNull())
 
 
 def to_silver(bronze: DataFrame, spec: ChannelSpec) -> DataFrame:
-    tb = [f"_tb{i}" for i in range(len(spec.tiebreak))]
-    out = dedup_latest(clean(bronze, spec), spec.key, spec.ts, tb)
-    return quality_gate(out, spec).select(*spec.silver_columns())
+    return quality_gate(latest(bronze, spec), spec).select(*spec.silver_columns())
 
 
 def silver(spark, sf_dir: str, channel: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import Profile
+from pulsegrid.plans.channels import VOCABULARIES
 
 DAY_US = 86400.0
 
@@ -73,63 +74,34 @@ def _n(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-SMALL_DOMAIN = 256
+def distinct_count(c: str) -> Column:
+    """Exact distinct count of ``c`` per group, by one plan whatever the data.
 
-
-def small_domains(df: DataFrame, cols: list[str], limit: int = SMALL_DOMAIN) -> dict[str, list]:
-    """Exact value lists of the columns whose domain has at most ``limit`` values.
-
-    One HyperLogLog pass sizes every column (bounded memory); only columns that
-    look small are then listed exactly, and a list longer than ``limit`` is
-    discarded. At most ``limit`` values per column reach the driver."""
-    if not cols:
-        return {}
-    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-    small = [c for c in cols if est[c] is not None and est[c] <= limit * 0.8]
-    if not small:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in small]))
-    rows = df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull()).distinct().collect()
-    out: dict[str, list] = {c: [] for c in small}
-    for r in rows:
-        out[r["k"]].append(r["v"])
-    return {c: sorted(v) for c, v in out.items() if len(v) <= limit}
-
-
-def distinct_counter(domains: dict[str, list]):
-    """``nd(col)``: exact distinct count of ``col`` per group.
-
-    Small-domain columns: value i owns bit (i mod 63) of word (i div 63);
-    ``bit_or`` per word and the sum of ``bit_count`` give the exact count with
-    a mergeable aggregate (no Expand). Other columns: ``count_distinct``."""
-
-    def nd(c: str) -> Column:
-        vals = domains.get(c)
-        if vals is None:
-            return F.count_distinct(c)
-        lookup = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
-        idx = F.element_at(lookup, F.col(c).cast("string"))
-        total = None
-        for w in range(max(1, (len(vals) + 62) // 63)):
-            off = idx - F.lit(w * 63)
-            bit = F.when((off >= 0) & (off < 63), F.pow(F.lit(2.0), off).cast("bigint"))
-            cnt = F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
-            total = cnt if total is None else total + cnt
-        return total.cast("bigint")
-
-    return nd
+    A column with a declared vocabulary takes one bit per value: ``bit_or`` of
+    the bits is a mergeable aggregate. Any other column is a ``count_distinct``,
+    which Spark plans as a two-level aggregate on (group, value), so a hot
+    entity spreads over its values."""
+    vocabulary = VOCABULARIES.get(c)
+    if vocabulary is None:
+        return F.count_distinct(c)
+    bit = F.lit(None).cast("int")
+    for i, v in enumerate(vocabulary):
+        bit = F.when(F.col(c) == v, F.lit(1 << i)).otherwise(bit)
+    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")
 
 
 def _active_days(ts: str, p: Profile) -> Column:
     """Distinct calendar days with activity in the window.
 
-    The window spans at most ``hist_days + 1`` days, so (when that fits in 64
-    bits) each day is one bit of a long: ``bit_count(bit_or(1 << offset))``
-    is exact, mergeable map-side and needs no Expand, unlike count_distinct."""
-    if p.hist_days + 1 > 63:
-        return F.count_distinct(F.to_date(ts))
-    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(snapshot_date, to_date({ts})))")
-    return F.bit_count(F.bit_or(bit)).cast("bigint")
+    A window of ``hist_days + 1`` days is a row of 63-bit words with one bit a
+    day: ``bit_count(bit_or(..))`` of every word is exact and mergeable
+    map-side, unlike count_distinct."""
+    ago = F.expr(f"datediff(snapshot_date, to_date({ts}))")
+    total = F.lit(0)
+    for first in range(0, p.hist_days + 1, 63):
+        bit = F.when(ago.between(first, first + 62), F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(snapshot_date, to_date({ts})) - {first})"))
+        total = total + F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
+    return total.cast("bigint")
 
 
 def _dsum(c: str | Column) -> Column:
@@ -172,7 +144,7 @@ def _attended(p: Profile) -> Column:
 
 
 # --- per-channel history aggregates --------------------------------------------
-def email_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
+def email_history(x: DataFrame, p: Profile) -> DataFrame:
     et = F.col("event_type")
     eng = et.isin("open", "click")
     if p.name == "A":
@@ -181,9 +153,9 @@ def email_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
             _n(et == "bounced").alias("email_bounced"),
             _n(et == "open").alias("email_opens"),
             _n(et == "click").alias("email_clicks"),
-            nd("email_id").alias("email_unique_emails"),
-            nd("campaign_id").alias("email_unique_campaigns"),
-            nd("drug_id").alias("email_unique_drugs"),
+            distinct_count("email_id").alias("email_unique_emails"),
+            distinct_count("campaign_id").alias("email_unique_campaigns"),
+            distinct_count("drug_id").alias("email_unique_drugs"),
             _active_days("event_timestamp", p).alias("email_active_days"),
             F.max("event_timestamp").alias("_last"),
             F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
@@ -203,9 +175,9 @@ def email_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
         _n(ds == "bounced").alias("email_bounced"),
         _n(et == "open").alias("email_open"),
         _n(et == "click").alias("email_click"),
-        nd("email_id").alias("email_unique_emails"),
-        nd("campaign_id").alias("email_unique_campaigns"),
-        nd("drug_id").alias("email_unique_drugs"),
+        distinct_count("email_id").alias("email_unique_emails"),
+        distinct_count("campaign_id").alias("email_unique_campaigns"),
+        distinct_count("drug_id").alias("email_unique_drugs"),
         _active_days("event_timestamp", p).alias("email_active_days"),
         F.max("event_timestamp").alias("_last"),
         F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
@@ -213,14 +185,14 @@ def email_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
     return g
 
 
-def web_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
+def web_history(x: DataFrame, p: Profile) -> DataFrame:
     et = F.col("event_type")
     eng = et.isin(*p.web_engagement_types)
     dur = "session_duration_seconds"
     if p.name == "A":
         g = x.groupBy("hcp_id", "snapshot_date").agg(
             F.count("web_event_id").alias("web_total_events"),
-            nd("session_id").alias("web_unique_sessions"),
+            distinct_count("session_id").alias("web_unique_sessions"),
             _n(et == "page_view").alias("web_page_views"),
             _n(et == "content_view").alias("web_content_views"),
             _n(et == "download").alias("web_downloads"),
@@ -230,8 +202,8 @@ def web_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
             _dmean(dur).alias("web_avg_duration"),
             F.max(dur).alias("web_max_duration"),
             _active_days("event_timestamp", p).alias("web_active_days"),
-            nd("campaign_id").alias("web_unique_campaigns"),
-            nd("drug_id").alias("web_unique_drugs"),
+            distinct_count("campaign_id").alias("web_unique_campaigns"),
+            distinct_count("drug_id").alias("web_unique_drugs"),
             F.max("event_timestamp").alias("_last"),
             F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
         )
@@ -243,7 +215,7 @@ def web_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
         )
     g = x.groupBy("hcp_id", "snapshot_date").agg(
         F.count("web_event_id").alias("web_total_events"),
-        nd("session_id").alias("web_unique_sessions"),
+        distinct_count("session_id").alias("web_unique_sessions"),
         _n(et == "page_view").alias("web_page_views"),
         _n(et == "content_view").alias("web_content_views"),
         _n(et == "download").alias("web_downloads"),
@@ -253,15 +225,15 @@ def web_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
         _dmean(dur).alias("web_avg_session_duration"),
         F.max(dur).alias("web_max_session_duration"),
         _active_days("event_timestamp", p).alias("web_active_days"),
-        nd("content_type").alias("web_content_type_diversity"),
-        nd("device_type").alias("web_device_diversity"),
+        distinct_count("content_type").alias("web_content_type_diversity"),
+        distinct_count("device_type").alias("web_device_diversity"),
         F.max("event_timestamp").alias("_last"),
         F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
     )
     return g
 
 
-def event_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
+def event_history(x: DataFrame, p: Profile) -> DataFrame:
     att = _attended(p)
     reg = F.col("event_activity_type") == "registration"
     dur = "attendance_duration_minutes"
@@ -274,9 +246,9 @@ def event_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
             _dsum("questions_asked").alias("event_questions"),
             _dsum("poll_responses").alias("event_polls"),
             _active_days("activity_timestamp", p).alias("event_active_days"),
-            nd("event_id").alias("event_unique_events"),
-            nd("campaign_id").alias("event_unique_campaigns"),
-            nd("drug_id").alias("event_unique_drugs"),
+            distinct_count("event_id").alias("event_unique_events"),
+            distinct_count("campaign_id").alias("event_unique_campaigns"),
+            distinct_count("drug_id").alias("event_unique_drugs"),
             F.max("activity_timestamp").alias("_last"),
             F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
         )
@@ -295,14 +267,14 @@ def event_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
         _dsum("questions_asked").alias("event_questions"),
         _dsum("poll_responses").alias("event_polls"),
         _active_days("activity_timestamp", p).alias("event_active_days"),
-        nd("event_id").alias("event_unique_events"),
+        distinct_count("event_id").alias("event_unique_events"),
         F.max("activity_timestamp").alias("_last"),
         F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
     )
     return g
 
 
-def rep_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
+def rep_history(x: DataFrame, p: Profile) -> DataFrame:
     st = F.col("interaction_status")
     it = F.col("interaction_type")
     comp = st == "Completed"
@@ -321,9 +293,9 @@ def rep_history(x: DataFrame, p: Profile, nd=F.count_distinct) -> DataFrame:
             _dmean(dur).alias("veeva_avg_duration"),
             _n(follow).alias("veeva_follow_up_count"),
             _active_days("interaction_timestamp", p).alias("veeva_active_days"),
-            nd("rep_id").alias("veeva_unique_reps"),
-            nd("campaign_id").alias("veeva_unique_campaigns"),
-            nd("drug_id").alias("veeva_unique_drugs"),
+            distinct_count("rep_id").alias("veeva_unique_reps"),
+            distinct_count("campaign_id").alias("veeva_unique_campaigns"),
+            distinct_count("drug_id").alias("veeva_unique_drugs"),
             F.max("interaction_timestamp").alias("_last"),
             F.max(F.when(comp, F.col("interaction_timestamp"))).alias("_last_eng"),
         )
@@ -358,36 +330,14 @@ RECENCY_B = {"email": ("email_recency", "email_eng_recency"), "web": ("web_recen
              "event": ("event_recency", "event_eng_recency"), "rep": ("veeva_recency", "veeva_eng_recency")}
 
 
-DISTINCT_COLS = {
-    ("email", "A"): ["email_id", "campaign_id", "drug_id"],
-    ("email", "B"): ["email_id", "campaign_id", "drug_id"],
-    ("web", "A"): ["session_id", "campaign_id", "drug_id"],
-    ("web", "B"): ["session_id", "content_type", "device_type"],
-    ("event", "A"): ["event_id", "campaign_id", "drug_id"],
-    ("event", "B"): ["event_id"],
-    ("rep", "A"): ["rep_id", "campaign_id", "drug_id"],
-    ("rep", "B"): [],
-}
-
-
-def channel_history(silver: DataFrame, channel: str, p: Profile, small_domain: bool = True) -> DataFrame:
+def channel_history(silver: DataFrame, channel: str, p: Profile) -> DataFrame:
     """History aggregates of one channel for every snapshot date (entities with activity only)."""
     dates = [d for d, _ in p.all_dates()]
-    nd = F.count_distinct
-    if small_domain:
-        nd = distinct_counter(small_domains(silver, DISTINCT_COLS[(channel, p.name)]))
-    x = explode_windows(silver, SILVER_TS[channel], dates, p.hist_days, True, p)
-    return HISTORY[channel](x, p, nd)
+    return HISTORY[channel](explode_windows(silver, SILVER_TS[channel], dates, p.hist_days, True, p), p)
 
 
 def histories(silvers: dict[str, DataFrame], p: Profile) -> dict[str, DataFrame]:
-    """Build the four channel aggregates together (their small sizing jobs overlap)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    chans = ("email", "web", "event", "rep")
-    with ThreadPoolExecutor(max_workers=len(chans)) as ex:
-        built = list(ex.map(lambda ch: channel_history(silvers[ch], ch, p), chans))
-    return dict(zip(chans, built))
+    return {ch: channel_history(silvers[ch], ch, p) for ch in ("email", "web", "event", "rep")}
 
 
 def spine(entities: DataFrame, p: Profile) -> DataFrame:

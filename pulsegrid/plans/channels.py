@@ -179,17 +179,5 @@ EVENT = ChannelSpec(
 
 SPECS = {"email": EMAIL, "web": WEB, "rep": REP, "event": EVENT}
 
-
-def engaged(channel: str, attendance_rule: str = "activity") -> Column:
-    """engagement predicate of a silver row, per channel (used by SQL features)."""
-    if channel == "email":
-        return F.col("event_type").isin("open", "click")
-    if channel == "web":
-        return F.col("event_type").isin("content_view", "download", "video_start", "video_complete")
-    if channel == "rep":
-        return F.col("interaction_status") == "Completed"
-    if channel == "event":
-        if attendance_rule == "status":
-            return F.col("attendance_status") == "Attended"
-        return F.col("event_activity_type") == "attendance"
-    raise ValueError(channel)
+#: Silver columns whose values are closed lists (other values are NULL).
+VOCABULARIES = {"device_type": DEVICE_TYPES}

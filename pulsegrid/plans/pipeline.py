@@ -13,7 +13,8 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import PROFILE_A, Profile, RunConfig
@@ -48,6 +49,7 @@ def run_pipeline(
     p: Profile = PROFILE_A,
     cfg: RunConfig = RunConfig(),
     timer: Timer | None = None,
+    n_trees: int = 100,
 ) -> dict[str, str]:
     """Run every layer; returns the written paths. Timings go to ``timer``."""
     from pulsegrid.plans import queries as QY
@@ -61,7 +63,7 @@ def run_pipeline(
         """Independent per-channel jobs are submitted together; Spark interleaves
         their stages on the shared executors."""
         with ThreadPoolExecutor(max_workers=len(CHANNELS)) as ex:
-            list(ex.map(fn, CHANNELS))
+            list(ex.map(inheritable_thread_target(fn), CHANNELS))
 
     def silver_one(ch):
         paths[f"silver_{ch}"] = f"{out}/silver_{ch}"
@@ -120,13 +122,25 @@ def run_pipeline(
     timer.run("snapshots", snapshot_layer)
     snap = rd(paths["snapshots"])
 
+    fitted: dict = {}
+
+    def train_layer():
+        fitted.update(QY.train_models(snap, p, n_trees))
+
+    timer.run("train", train_layer)
+
     def scoring_layer():
-        scored = QY.score_snapshot_frame(snap, p, checkpoint=False)
-        gold = QY.final_scores(spark, sf_dir, p, scored=scored)
-        paths["gold"] = f"{out}/gold_{p.name}"
-        write_gold(gold, paths["gold"])
+        fitted.update(QY.calibrate_models(fitted, p))
+        paths["scores"] = f"{out}/scores_{p.name}"
+        write_layer(QY.final_scores(spark, sf_dir, p, scored=fitted["scored"]), paths["scores"])
 
     timer.run("scoring", scoring_layer)
+
+    def explain_layer():
+        paths["gold"] = f"{out}/gold_{p.name}"
+        write_gold(QY.explain_gold(rd(paths["scores"]), fitted, p), paths["gold"])
+
+    timer.run("explain", explain_layer)
     gold = rd(paths["gold"])
 
     def serving_layer():
@@ -140,7 +154,3 @@ def run_pipeline(
 
     timer.run("serving", serving_layer)
     return paths
-
-
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -25,8 +25,8 @@ for _ch in CHANNELS:
 
 
 # --- channel features (A3-A11) -----------------------------------------------
-def feature_table(spark, sf_dir, ch: str, cfg: RunConfig = CFG):
-    return FT.FEATURES[ch](SV.silver(spark, sf_dir, ch), cfg.as_of)
+def feature_table(spark, sf_dir, ch: str, cfg: RunConfig = CFG, silver=None):
+    return FT.FEATURES[ch](SV.silver(spark, sf_dir, ch) if silver is None else silver, cfg.as_of)
 
 
 def _feat_query(ch: str):
@@ -292,16 +292,16 @@ register(
 from pulsegrid.operators import unify as U  # noqa: E402
 
 
-def channel_features(spark, sf_dir, cfg: RunConfig = CFG) -> dict:
-    return {ch: feature_table(spark, sf_dir, ch, cfg) for ch in CHANNELS}
+def channel_features(spark, sf_dir, cfg: RunConfig = CFG, silvers: dict | None = None) -> dict:
+    return {ch: feature_table(spark, sf_dir, ch, cfg, (silvers or {}).get(ch)) for ch in CHANNELS}
 
 
-def unified_raw(spark, sf_dir, cfg: RunConfig = CFG):
-    return U.features_raw(bronze_master(spark, sf_dir), channel_features(spark, sf_dir, cfg))
+def unified_raw(spark, sf_dir, cfg: RunConfig = CFG, silvers: dict | None = None):
+    return U.features_raw(bronze_master(spark, sf_dir), channel_features(spark, sf_dir, cfg, silvers))
 
 
-def unified_complete(spark, sf_dir, cfg: RunConfig = CFG):
-    return U.features_complete(unified_raw(spark, sf_dir, cfg), cfg.recency_fill)
+def unified_complete(spark, sf_dir, cfg: RunConfig = CFG, silvers: dict | None = None):
+    return U.features_complete(unified_raw(spark, sf_dir, cfg, silvers), cfg.recency_fill)
 
 
 register("features_raw", O.ctes("features_raw") + "SELECT * FROM features_raw")(unified_raw)
@@ -315,8 +315,7 @@ register("features_normalized", O.ctes("features_normalized") + "SELECT * FROM f
 
 
 def _final(spark, sf_dir):
-    c = unified_complete(spark, sf_dir)
-    return U.features_final(U.features_normalized(c), c)
+    return U.features_final_direct(cut_lineage(unified_complete(spark, sf_dir)))
 
 
 register("features_final", O.ctes("features_final") + "SELECT * FROM features_final")(_final)
@@ -372,7 +371,9 @@ from pulsegrid.operators import snapshots as SN  # noqa: E402
 
 
 def silvers(spark, sf_dir) -> dict:
-    return {ch: SV.silver(spark, sf_dir, ch) for ch in CHANNELS}
+    """The four silver logs, each cleaned and de-duplicated once into the shared
+    folder: every later branch reads these files instead of the raw logs."""
+    return {ch: cut_lineage(SV.silver(spark, sf_dir, ch)) for ch in CHANNELS}
 
 
 def master_ids(spark, sf_dir):
@@ -381,7 +382,7 @@ def master_ids(spark, sf_dir):
 
 def snapshot_table(spark, sf_dir, p, with_norm: bool = True, with_labels: bool = True, cfg: RunConfig = CFG):
     sv = silvers(spark, sf_dir)
-    norm = U.features_normalized(unified_complete(spark, sf_dir, cfg)) if with_norm else None
+    norm = U.features_normalized(cut_lineage(unified_complete(spark, sf_dir, cfg, sv))) if with_norm else None
     feats = SN.snapshot_features(sv, master_ids(spark, sf_dir), norm, p)
     if with_labels:
         feats = SN.attach_labels(feats, SN.snapshot_labels(sv, p))
@@ -670,16 +671,33 @@ from pulsegrid.functions import cleaning as CL  # noqa: E402
 from pulsegrid.operators import serving as SE  # noqa: E402
 from pulsegrid.sources.adapters import BRONZE  # noqa: E402
 
-_GOLD_MEMO: dict = {}
+_WRITTEN: dict = {}
+
+
+def input_state(spark, sf_dir) -> int:
+    """One number for names, sizes and times of the input files (file listing
+    only): rewritten data give another one."""
+    files = None
+    for t in ("customer", "nation", "orders", "lineitem", "events"):
+        found = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{t}.parquet").select("path", "length", "modificationTime")
+        files = found if files is None else files.unionByName(found)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return int(files.agg(F.sum(mark)).first()[0] or 0)
+
+
+def written(spark, sf_dir, name: str, build):
+    """A result kept for the state of the input it was built from; an older state
+    of the same name is dropped."""
+    state = (spark.sparkContext.applicationId, input_state(spark, sf_dir))
+    if _WRITTEN.get((sf_dir, name), (None, None))[0] != state:
+        _WRITTEN[(sf_dir, name)] = (state, build())
+    return _WRITTEN[(sf_dir, name)][1]
 
 
 def gold_table(spark, sf_dir):
-    """The deterministic gold score table, computed once per session and folder and
-    kept as a reliable checkpoint (the serving layer reads it like a written table)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _GOLD_MEMO:
-        _GOLD_MEMO[key] = cut_lineage(final_scores(spark, sf_dir))
-    return _GOLD_MEMO[key]
+    """The deterministic gold score table with its reasons, written once to the
+    shared folder for the serving queries (see ``written``)."""
+    return written(spark, sf_dir, "gold", lambda: cut_lineage(final_scores(spark, sf_dir)))
 
 
 def _dir(spark, sf_dir):
@@ -773,7 +791,8 @@ register(
     O.serving_sql("SELECT hcp_id, trim(COALESCE(first_name, '') || ' ' || COALESCE(last_name, '')) AS name, "
                   "CASE WHEN hybrid_engagement_score IS NOT NULL AND hybrid_engagement_score <> 0 "
                   "THEN CAST(CAST(ROUND(hybrid_engagement_score) AS BIGINT) AS VARCHAR) || '%' ELSE 'N/A' END AS engagement_score, "
-                  "COALESCE(next_best_channel, 'N/A') AS next_best_channel FROM dir ORDER BY hcp_id LIMIT 10000", {"dir": DIR_SQL}),
+                  "COALESCE(next_best_channel, 'N/A') AS next_best_channel, "
+                  "concat_ws(', ', NULLIF(trim(city), ''), NULLIF(trim(state), ''), NULLIF(trim(country), '')) AS location FROM dir", {"dir": DIR_SQL}),
 )(lambda spark, sf_dir: SE.directory_extract(_dir(spark, sf_dir)))
 register("predictions_head", O.serving_sql("SELECT * FROM gold ORDER BY hcp_id LIMIT 100"))(
     lambda spark, sf_dir: gold_table(spark, sf_dir).orderBy("hcp_id").limit(100)
@@ -832,37 +851,74 @@ register(
 from pulsegrid.functions import reasons as RS  # noqa: E402
 from pulsegrid.operators import models as ML  # noqa: E402
 
-_MODEL_MEMO: dict = {}
 N_TREES = 100
 
 
-def model_run(spark, sf_dir, p=PA, n_trees: int = N_TREES) -> dict:
-    """Train and apply the scoring models once per session, folder and profile."""
-    key = (spark.sparkContext.applicationId, sf_dir, p.name, n_trees)
-    if key in _MODEL_MEMO:
-        return _MODEL_MEMO[key]
-    snap = snapshot_table(spark, sf_dir, p, with_norm=True, with_labels=True)
-    cols = ML.feature_columns(snap)
-    frames = cut_lineage(ML.coerce_features(snap, cols))
-    train = frames.where(F.col("split") == "train")
-    frames = cut_lineage(ML.history_score(train, frames, cols))
+def train_models(frames, p, n_trees: int = N_TREES) -> dict:
+    """History score and the four boosted models, fitted on the train rows of a
+    written snapshot table, and applied to all rows (uncalibrated)."""
+    cols = ML.feature_columns(frames)
+    frames = cut_lineage(ML.coerce_features(frames, cols))
+    frames = cut_lineage(ML.history_score(frames.where(F.col("split") == "train"), frames, cols))
     models = ML.fit_channel_models(frames, cols, p, SC.TARGETS, n_trees)
-    platt = {}
     scored = frames
-    for pcol, t in zip(SC.PROBS, SC.TARGETS):
+    for t in SC.TARGETS:
         scored = ML.raw_probability(models[t], scored, cols, f"_raw_{t}")
-    scored = cut_lineage(scored)
+    return {"cols": cols, "models": models, "scored": cut_lineage(scored)}
+
+
+def calibrate_models(r: dict, p) -> dict:
+    """Platt calibration on the validation rows and the predicted score."""
+    scored, platt = r["scored"], {}
     for pcol, t in zip(SC.PROBS, SC.TARGETS):
         platt[t] = ML.fit_platt(scored.where(F.col("split") == "val"), f"_raw_{t}", t)
+    for pcol, t in zip(SC.PROBS, SC.TARGETS):
         scored = scored.withColumn(pcol, ML.calibrated(f"_raw_{t}", *platt[t]))
-    scored = scored.withColumn("pred_score", SC.predicted_score(p.channel_weights, clip=p.clip_scores))
-    scored = cut_lineage(scored)
-    gold = cut_lineage(final_scores(spark, sf_dir, p, scored=scored))
-    current = scored.where(F.col("split") == "current")
-    attr = cut_lineage(ML.attributions(current, cols, models))
-    out = {"cols": cols, "scored": scored, "models": models, "platt": platt, "gold": gold, "attr": attr}
-    _MODEL_MEMO[key] = out
-    return out
+    scored = cut_lineage(scored.withColumn("pred_score", SC.predicted_score(p.channel_weights, clip=p.clip_scores)))
+    return {**r, "platt": platt, "scored": scored}
+
+
+def target_of_channel(p) -> dict[str, str]:
+    return dict(zip(SC.channel_labels(p.rep_label), SC.TARGETS))
+
+
+def explain_gold(gold, r: dict, p):
+    """Gold rows with ``recommended_reason``: only the model of each row's next
+    best channel is explained, and only feature names leave the tasks."""
+    labels = SC.channel_labels(p.rep_label)
+    probs = ("email_probability", "website_probability", "webinar_probability", "sales_rep_probability")
+    tmap = F.create_map(*[x for k, v in target_of_channel(p).items() for x in (F.lit(k), F.lit(v))])
+    prob = F.coalesce(*[F.when(F.col("next_best_channel") == k, F.col(v)) for k, v in zip(labels, probs)])
+    chosen = gold.select("hcp_id", F.element_at(tmap, F.col("next_best_channel")).alias("target"))
+    current = r["scored"].where(F.col("split") == "current").select("hcp_id", *r["cols"]).join(chosen, "hcp_id")
+    names = ML.chosen_drivers(current, r["cols"], r["models"])
+    channel, level, pct = F.col("next_best_channel"), F.col("engagement_level"), F.col("_prob")
+    if p.name == "A":
+        top = F.when(F.size("positive") > 0, F.slice("positive", 1, 2)).otherwise(F.array("largest"))
+        reason = RS.reason_a(channel, pct, level, F.transform(top, lambda c: RS.phrase_a(c)))
+    else:
+        reason = RS.reason_b(channel, pct, RS.phrases_b(F.col("positive")))
+    joined = gold.withColumn("_prob", prob).join(names, "hcp_id", "left")
+    return joined.select(*gold.columns, reason.alias("recommended_reason"))
+
+
+def model_run(spark, sf_dir, p=PA, n_trees: int = N_TREES) -> dict:
+    """The model path over the snapshots of ``sf_dir``, kept for the state of its
+    input (see ``written``)."""
+
+    def build():
+        snap = cut_lineage(snapshot_table(spark, sf_dir, p, with_norm=True, with_labels=True))
+        r = calibrate_models(train_models(snap, p, n_trees), p)
+        gold = cut_lineage(explain_gold(cut_lineage(final_scores(spark, sf_dir, p, scored=r["scored"])), r, p))
+        return {**r, "gold": gold}
+
+    return written(spark, sf_dir, f"models_{p.name}_{n_trees}", build)
+
+
+def model_attributions(spark, sf_dir):
+    """Full attribution vectors of all four models for the current snapshot."""
+    r = model_run(spark, sf_dir)
+    return written(spark, sf_dir, "attributions", lambda: cut_lineage(ML.attributions(r["scored"].where(F.col("split") == "current"), r["cols"], r["models"])))
 
 
 def _q_pca(spark, sf_dir):
@@ -886,46 +942,27 @@ def _q_model_metrics(spark, sf_dir):
 
 
 def _q_attr(spark, sf_dir):
-    return model_run(spark, sf_dir)["attr"]
+    return model_attributions(spark, sf_dir)
 
 
 def _q_importance(spark, sf_dir):
     r = model_run(spark, sf_dir)
-    return ML.feature_importance(r["attr"].where(F.col("target") == "veeva_target"), r["cols"])
+    return ML.feature_importance(model_attributions(spark, sf_dir).where(F.col("target") == "veeva_target"), r["cols"])
 
 
-TARGET_OF_CHANNEL = {"Email": "email_target", "Website": "web_target", "Webinar": "webinar_target", "Sales Rep": "veeva_target"}
+MODEL_DISPLAY = [*DISPLAY, ("recommended_reason", "Recommended_Reason")]
 
 
 def model_final_output(spark, sf_dir, p=PA):
-    """Final predictions with next best channel drivers and the worded reason."""
-    r = model_run(spark, sf_dir, p)
-    gold = r["gold"]
-    tmap = F.create_map(*[x for k, v in TARGET_OF_CHANNEL.items() for x in (F.lit(k), F.lit(v))])
-    pmap = {"Email": "email_probability", "Website": "website_probability", "Webinar": "webinar_probability", "Sales Rep": "sales_rep_probability"}
-    prob = F.coalesce(*[F.when(F.col("next_best_channel") == k, F.col(v)) for k, v in pmap.items()])
-    g = gold.withColumn("target", F.element_at(tmap, F.col("next_best_channel"))).withColumn("nbc_prob", prob)
-    j = g.join(r["attr"].select("hcp_id", "target", "attr"), ["hcp_id", "target"], "left")
-    drivers = F.transform(SC.top_drivers("attr", r["cols"]), lambda c: RS.phrase_a(c))
-    reason = RS.reason_a(F.col("next_best_channel"), F.col("nbc_prob"), F.col("engagement_level"), drivers)
-    return j.select(
-        F.col("hcp_id").alias("HCP_ID"),
-        F.col("historical_engagement_score").alias("Historical_Engagement_Score"),
-        F.col("predicted_engagement_score").alias("Predicted_Engagement_Score"),
-        F.col("hybrid_engagement_score").alias("Hybrid_Engagement_Score"),
-        F.col("engagement_level").alias("Engagement_Level"),
-        F.col("email_probability").alias("Email_Probability"),
-        F.col("website_probability").alias("Website_Probability"),
-        F.col("webinar_probability").alias("Webinar_Probability"),
-        F.col("sales_rep_probability").alias("Sales_Rep_Probability"),
-        F.col("next_best_channel").alias("Next_Best_Channel"),
-        reason.alias("Recommended_Reason"),
-    )
+    """The gold table of the model path in the display layout, 11 columns."""
+    rep = {"A": "Sales_Rep_Probability", "B": "Veeva_Probability"}[p.name]
+    names = [(a, rep if a == "sales_rep_probability" else b) for a, b in MODEL_DISPLAY]
+    return model_run(spark, sf_dir, p)["gold"].select(*[F.col(a).alias(b) for a, b in names])
 
 
 def _q_top_drivers(spark, sf_dir):
     r = model_run(spark, sf_dir)
-    return r["attr"].select("hcp_id", "target", SC.top_drivers("attr", r["cols"]).alias("drivers"))
+    return model_attributions(spark, sf_dir).select("hcp_id", "target", SC.top_drivers("attr", r["cols"]).alias("drivers"))
 
 
 register("pca_score")(_q_pca)
@@ -955,47 +992,15 @@ def _q_model_metrics_b(spark, sf_dir):
     )
 
 
-def model_final_output_b(spark, sf_dir):
-    """Profile B final predictions: drivers = mapped, distinct phrases of the positive
-    attributions in decreasing order (at most 2), 0/1/2-driver reason templates."""
-    p = PROFILE_B
-    r = model_run(spark, sf_dir, p)
-    gold = r["gold"]
-    tmap = {"Email": "email_target", "Website": "web_target", "Webinar": "webinar_target", "Veeva": "veeva_target"}
-    pmap = {"Email": "email_probability", "Website": "website_probability", "Webinar": "webinar_probability", "Veeva": "sales_rep_probability"}
-    tcol = F.create_map(*[x for k, v in tmap.items() for x in (F.lit(k), F.lit(v))])
-    prob = F.coalesce(*[F.when(F.col("next_best_channel") == k, F.col(v)) for k, v in pmap.items()])
-    g = gold.withColumn("target", F.element_at(tcol, F.col("next_best_channel"))).withColumn("nbc_prob", prob)
-    j = g.join(r["attr"].select("hcp_id", "target", "attr"), ["hcp_id", "target"], "left")
-    pairs = F.arrays_zip(F.col("attr").alias("v"), F.array(*[F.lit(c) for c in r["cols"]]).alias("n"))
-    ordered = F.array_sort(pairs, lambda a, b: F.when(a["v"] > b["v"], -1).when(a["v"] < b["v"], 1).otherwise(0))
-    positive = F.transform(F.filter(ordered, lambda e: e["v"] > 0), lambda e: e["n"])
-    phrases = RS.phrases_b(positive)
-    return j.select(
-        F.col("hcp_id").alias("HCP_ID"),
-        F.col("historical_engagement_score").alias("Historical_Engagement_Score"),
-        F.col("predicted_engagement_score").alias("Predicted_Engagement_Score"),
-        F.col("hybrid_engagement_score").alias("Hybrid_Engagement_Score"),
-        F.col("engagement_level").alias("Engagement_Level"),
-        F.col("email_probability").alias("Email_Probability"),
-        F.col("website_probability").alias("Website_Probability"),
-        F.col("webinar_probability").alias("Webinar_Probability"),
-        F.col("sales_rep_probability").alias("Veeva_Probability"),
-        F.col("next_best_channel").alias("Next_Best_Channel"),
-        RS.reason_b(F.col("next_best_channel"), F.col("nbc_prob"), phrases).alias("Recommended_Reason"),
-    )
-
-
 register("model_metrics_b")(_q_model_metrics_b)
-register("final_output_model_b")(model_final_output_b)
+register("final_output_model_b")(lambda spark, sf_dir: model_final_output(spark, sf_dir, PROFILE_B))
 
 
 # --- remaining section-2 keys ----------------------------------------------------------
 def _q_dedup_latest(spark, sf_dir):
     """W1 alone: latest row per web event key (before the quality gate)."""
     spec = SPECS["web"]
-    tb = [f"_tb{i}" for i in range(len(spec.tiebreak))]
-    d = SV.dedup_latest(SV.clean(BRONZE["web"](spark, sf_dir), spec), spec.key, spec.ts, tb)
+    d = SV.latest(BRONZE["web"](spark, sf_dir), spec)
     return d.select("web_event_id", "hcp_id", "event_type", "event_timestamp", "page_url")
 
 
@@ -1071,7 +1076,7 @@ def _q_standardize(spark, sf_dir):
 def _q_driver_phrases(spark, sf_dir):
     r = model_run(spark, sf_dir)
     drivers = SC.top_drivers("attr", r["cols"])
-    return r["attr"].select("hcp_id", "target", F.transform(drivers, lambda c: RS.phrase_a(c)).alias("phrases"))
+    return model_attributions(spark, sf_dir).select("hcp_id", "target", F.transform(drivers, lambda c: RS.phrase_a(c)).alias("phrases"))
 
 
 register("standardize")(_q_standardize)

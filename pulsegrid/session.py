@@ -36,10 +36,12 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only when unset.
+    """Return the cluster's checkpoint folder (``spark.checkpoint.dir``, a folder
+    that driver and executors share).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is respected as is. Local tests get a fresh temporary folder.
+    Only a local master (tests, the bench) gets a fresh temporary folder when
+    it is unset; on a cluster an unset folder is an error, because a temporary
+    folder of the driver is out of the executors' reach.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -49,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

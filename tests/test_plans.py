@@ -27,18 +27,38 @@ def test_dedup_limits_rows_before_the_shuffle(spark):
     assert partial and exchange and min(partial) > min(exchange)   # partial limit sits below (before) the exchange
 
 
-def test_small_domain_history_has_no_expand_and_one_exchange(spark, tmp_path):
-    silver = SV.to_silver(BRONZE["rep"](spark, SF), SV.SPECS["rep"])
-    silver.write.parquet(str(tmp_path / "rep"))
-    rep = spark.read.parquet(str(tmp_path / "rep"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = _plan(SN.channel_history(rep, "rep", PROFILE_A))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "Expand" not in plan
-    assert plan.count("Exchange") == 1
-    assert "PushedFilters: [IsNotNull(interaction_timestamp), GreaterThanOrEqual(interaction_timestamp" in plan
+def _shape(df) -> list[str]:
+    import re
+
+    return [re.sub(r"[^A-Za-z].*", "", x.strip(" +-:*()0123456789")) for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+
+
+def test_history_plan_does_not_depend_on_the_data(spark, tmp_path):
+    """The same plan for a 10-value and a 10,000-value campaign_id."""
+    from pyspark.sql import functions as F
+
+    silver = SV.to_silver(BRONZE["web"](spark, SF), SV.SPECS["web"])
+    shapes = []
+    for n in (10, 10_000):
+        path = str(tmp_path / f"web{n}")
+        silver.withColumn("campaign_id", F.concat(F.lit("C"), F.pmod(F.xxhash64("web_event_id"), F.lit(n)))).write.parquet(path)
+        plan = SN.channel_history(spark.read.parquet(path), "web", PROFILE_A)
+        assert "GreaterThanOrEqual(event_timestamp" in _plan(plan)
+        shapes.append(_shape(plan))
+    assert shapes[0] == shapes[1]
+
+
+def test_grids_join_on_no_value(spark):
+    """No join on a raw score or on the future intensity before any runtime re-planning."""
+    from pyspark.sql import functions as F
+
+    from pulsegrid.operators import scoring as SC
+
+    cols = {"hist_score": F.col("id") % 7 * 1.0, "pred_score": F.col("id") % 11 * 1.0} | {p: F.rand(1) for p in SC.PROBS} | {t: (F.col("id") % 2).cast("int") for t in SC.TARGETS}
+    val = spark.range(200).select(*[c.alias(n) for n, c in cols.items()])
+    for grid in (SC.hybrid_grid(val), SC.weight_grid(val)):
+        joins = [x for x in grid._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.strip(" +-:").startswith("Join")]
+        assert joins and not [x for x in joins if "fut" in x or "score" in x]
 
 
 def test_final_table_without_join_equals_join_version(spark):

@@ -41,14 +41,29 @@ def test_spine_every_entity_every_date(spark):
     assert sp.select("hcp_id", "snapshot_date").distinct().count() == sp.count()
 
 
-def test_small_domain_distinct_counter_matches_count_distinct(spark):
+def test_distinct_count_matches_count_distinct(spark):
     import random
 
+    from pyspark.sql import functions as F
+
     rnd = random.Random(5)
-    rows = [(f"g{rnd.randrange(7)}", None if rnd.random() < 0.1 else f"v{rnd.randrange(150)}", f"big{i}") for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v string, b string")
-    doms = SN.small_domains(df, ["v", "b"])
-    assert "v" in doms and "b" not in doms and len(doms["v"]) <= 150     # 150 values -> 3 words of 63 bits
-    nd = SN.distinct_counter(doms)
-    got = {r.g: (r.a, r.b) for r in df.groupBy("g").agg(nd("v").alias("a"), F.count_distinct("v").alias("b")).collect()}
-    assert all(a == b for a, b in got.values())
+    rows = [(f"g{rnd.randrange(7)}", rnd.choice([None, "desktop", "mobile", "tablet"]), f"c{rnd.randrange(400)}") for i in range(300)]
+    rows.append(("none", None, None))
+    df = spark.createDataFrame(rows, "g string, device_type string, campaign_id string")
+    pairs = [F.struct(SN.distinct_count(c).alias("a"), F.count_distinct(c).alias("b")).alias(c) for c in ("device_type", "campaign_id")]
+    for r in df.groupBy("g").agg(*pairs).collect():
+        assert r.device_type.a == r.device_type.b and r.campaign_id.a == r.campaign_id.b
+
+
+def test_active_days_over_windows_of_any_length(spark):
+    import dataclasses
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    day = dt.datetime(2024, 6, 1)
+    rows = [(i % 3, day - dt.timedelta(days=(i * 37) % 131, hours=i % 24), day.date()) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, ts timestamp_ntz, snapshot_date date")
+    p = dataclasses.replace(PROFILE_A, hist_days=131)
+    for r in df.groupBy("g").agg(SN._active_days("ts", p).alias("a"), F.count_distinct(F.to_date("ts")).alias("b")).collect():
+        assert r.a == r.b
