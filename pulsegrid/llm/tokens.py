@@ -16,11 +16,10 @@ per-process tables.
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
-from itertools import chain
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -31,6 +30,10 @@ CACHE_CHUNKS = 400_000
 CACHE_PIECES = 400_000
 CACHE_CHARS = 1 << 25
 
+#: What str.split parts words at besides ASCII white space; where the tokenizer's
+#: normalizer may join chunks, they are encoded one by one.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
 _LOADED: dict[tuple[str, str], object] = {}
 
 
@@ -61,24 +64,24 @@ class _Chunked:
         with open(path, encoding="utf-8") as f:
             steps = json.load(f)
         self.ascii_cut = self._ascii_cut(steps["normalizer"], steps["pre_tokenizer"])
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _ascii_cut(self, normalizer, pre_tokenizer):
         """A function from a chunk of printable ASCII to its pieces, if the file
         has the steps known here; else None, and the library cuts all chunks."""
         return None
 
-    def _whole(self, chunk: str) -> tuple[int, ...]:
-        return tuple(self.tk.encode(self.lead + chunk, add_special_tokens=False).ids)
+    def _whole(self, chunk: str) -> bytes:
+        return _packed(self.tk.encode(self.lead + chunk, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(piece)])
+            ids = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(piece)])
         return ids
 
-    def _plain(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+    def _plain(self, chunks: list[str]) -> dict[str, bytes]:
         """Chunks without special strings; each alone where joining would blur
         their ends."""
         text = " ".join(chunks)
@@ -98,28 +101,26 @@ class _Chunked:
         for piece, (start, _) in self.pre.pre_tokenize_str(text):
             while start >= ends[at]:
                 at += 1
-            found[at] += self._piece(piece)
-        return {c: tuple(f) for c, f in zip(chunks, found)}
+            found[at].append(self._piece(piece))
+        return {c: b"".join(f) for c, f in zip(chunks, found)}
 
-    def _printable(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+    def _printable(self, chunks: list[str]) -> dict[str, bytes]:
         """Chunks of printable ASCII: the file's pattern, on ASCII letters."""
-        out, cut, get, piece = {}, self.ascii_cut, self.pieces.get, self._piece
-        for c in chunks:
-            ids: tuple[int, ...] = ()
-            for p in cut(c):
-                ids += get(p) or piece(p)
-            out[c] = ids
-        return out
+        cut, get, piece = self.ascii_cut, self.pieces.get, self._piece
+        return {c: b"".join([get(p) or piece(p) for p in cut(c)]) for c in chunks}
 
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         out, plain, odd = {}, [], []
+        marks = sorted(set(self.marks))
         for c in chunks:
-            if any(m in c for m in self.marks):
+            if any([m in c for m in marks]):
                 out[c] = self._whole(c)
             elif self.ascii_cut and c.isascii() and c.isprintable():
                 plain.append(c)
+            elif self.norm is not None and _ODD_SPACE.search(c):
+                out[c] = self._whole(c)
             else:
                 odd.append(c)
         if plain:
@@ -128,12 +129,11 @@ class _Chunked:
             out |= self._plain(odd)
         return out
 
-    def table(self, split: list[list[str]]) -> dict[str, tuple[int, ...]]:
-        """A table with the ids of every chunk of ``split``."""
+    def table(self, split: list[list[str]]) -> dict[str, bytes]:
+        """A table with the ids (little-endian, 4 bytes each) of every chunk of ``split``."""
         kept = self.kept
         new = [c for c in set().union(*split) if c not in kept]
         if new:
-            gc.freeze()  # the tables hold no cycles: keep the collector off them
             self.chars += sum(map(len, new))
             if len(kept) + len(new) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
                 kept.clear()
@@ -143,7 +143,11 @@ class _Chunked:
         return kept
 
 
-#: ASCII white space only: the tokenizer does not take 1C to 1F for white space.
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+#: Words parted by ASCII white space (the tokenizer does not take 1C to 1F for it).
 _WORDS = re.compile(r"[^ \t-\r]+")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -161,12 +165,9 @@ class WordBpe(_Chunked):
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        split = [_WORDS.findall(t) for t in texts]
-        table = self.table(split)
-        out = []
-        for words in split:
-            out.append(np.fromiter(chain.from_iterable(map(table.__getitem__, words)), np.uint32))
-        return out
+        split = [_WORDS.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
+        get = self.table(split).__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
 
 class ByteBpeCounter(_Chunked):
@@ -184,5 +185,5 @@ class ByteBpeCounter(_Chunked):
     def counts(self, texts: list[str]) -> list[int]:
         split = [_CUT.split(t) for t in texts]
         heads = [len(e) for e in self.tk.encode_batch_fast([s.pop(0) for s in split], add_special_tokens=False)]
-        table = self.table(split)
-        return [h + sum([len(table[c]) for c in s]) for h, s in zip(heads, split)]
+        get = self.table(split).__getitem__
+        return [h + sum(map(len, map(get, s))) // 4 for h, s in zip(heads, split)]
