@@ -7,12 +7,20 @@ so serve side**2 tables. A link at Jaccard s is a candidate with probability
 (1 - (1 - s**width)**side)**2: 0.9999 at 0.85 for side 8, width 2.
 
 Documents with equal shingle sets collapse first (128-bit fingerprint and
-size), so groups of copies never reach the tables. Inside a table bucket every
-member is compared with the bucket's smallest and largest member; pairs of a
-bucket that then still lie in different components are compared with new hubs
-while there are many, and finally all of them are compared. So each bucket is
-resolved completely without emitting the pairs of a group that hubs already
-hold together. Links are confirmed on the full shingle sets.
+size), so groups of copies never reach the tables. Only what joins components
+is compared, never all pairs of a bucket:
+
+1. every member of a shared bucket with one hub: of the smallest and largest
+   members of its buckets, the one it shares most buckets with;
+2. a few rounds in which every component tries its best pair with a hub of
+   another component;
+3. all pairs of bucket members that are still in different components. If these
+   are many, documents that provably link with nothing left are dropped first:
+   with c shingles that any other open document holds, n of its own, and m the
+   least size in its buckets, no Jaccard can exceed c / (n + max(m, c) - c).
+
+So each bucket is resolved completely. Links are confirmed on the full shingle
+sets of the texts.
 
 Null text, empty text and text of white space only: no shingles, no links.
 A null id takes no part and keeps a null component. Rows that repeat an id
@@ -81,16 +89,32 @@ def _signer(k: int, side: int, width: int):
     return run
 
 
-def _set_maker(k: int):
+def _sets(column: pa.Array, k: int) -> list[np.ndarray]:
+    words, bounds = word_hashes(*string_views(column))
+    return [_distinct(words[bounds[i] : bounds[i + 1]], k) for i in range(len(column))]
+
+
+def _shingler(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1, BATCH_BYTES):
-            words, bounds = word_hashes(*string_views(batch.column(1)))
-            sets = [_distinct(words[bounds[i] : bounds[i + 1]], k).view(np.int64) for i in range(batch.num_rows)]
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["id", "s"]
-            )
+        for batch in by_bytes(batches, 1, BATCH_BYTES // 4):
+            sets = _sets(batch.column(1), k)
+            ids = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "s"])
+
+    return run
+
+
+def _verifier(k: int, part: int, whole: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, 2, BATCH_BYTES // 2):
+            left = _sets(batch.column(2), k)
+            right = _sets(batch.column(3), k)
+            keep = []
+            for x, y in zip(left, right):
+                small, large = sorted((len(x), len(y)))
+                common = len(np.intersect1d(x, y, assume_unique=True)) if whole * small >= part * large else 0
+                keep.append(bool(common) and whole * common >= part * (small + large - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -103,15 +127,16 @@ def near_duplicates(
     at_least: tuple[int, int] = (80, 100),
     side: int = 8,
     width: int = 2,
-    rounds: int = 4,
+    rounds: int = 3,
+    plenty: float = 4.0,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Two documents are linked if intersection / union of their sets of
     ``k``-word shingles is at least ``at_least[0] / at_least[1]``;
     component_id is the smallest id reachable over links, kept marks it.
-    ``rounds`` bounds the extra hub rounds before the exact comparison of what
-    is left."""
+    ``rounds``: hub rounds (step 2 above) before the exact rest;
+    ``plenty``: comparisons left per document from which step 3 drops first."""
     part, whole = at_least
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     sig = saved(
@@ -122,54 +147,71 @@ def near_duplicates(
     keys = F.expr(
         f"flatten(transform(slice(sub, 1, {side}), (x, i) -> transform(slice(sub, {side + 1}, {side}), (y, j) -> xxhash64(i, j, x, y))))"
     )
-    rows = reps.select("rep", F.explode(keys).alias("key"))
+    rows = reps.select("rep", "n", F.explode(keys).alias("key"))
     ends = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    crowd = saved(rows.join(ends, "key").where("rep > lo").select("key", "rep", "lo", "hi"), "minhash-crowd")
-    first = (
-        crowd.select(F.col("lo").alias("a"), F.col("rep").alias("b"))
-        .unionByName(crowd.where("rep < hi").select(F.col("rep").alias("a"), F.col("hi").alias("b")))
-        .distinct()
-    )
+    crowd = saved(rows.join(ends, "key").select("key", "rep", "n", "lo", "hi"), "minhash-crowd")
+    member_texts = saved(texts.join(crowd.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "minhash-texts")
+    stars = saved(
+        crowd.where("rep > lo").select("rep", F.col("lo").alias("hub"))
+        .unionByName(crowd.where("rep > lo AND rep < hi").select("rep", F.col("hi").alias("hub")))
+        .groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared")),
+        "minhash-stars",
+    )
 
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs, "minhash-pairs")
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = saved(texts.where("id IS NOT NULL").join(ids, "id", "left_semi").select("id", "t").mapInArrow(_set_maker(k), "id long, s array<long>").dropDuplicates(), "minhash-sets")
-        left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-        right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        common = "size(array_intersect(sa, sb))"
-        return saved(
-            pairs.join(left, "a").join(right, "b")
-            .where(f"{whole} * least(size(sa), size(sb)) >= {part} * greatest(size(sa), size(sb))")
-            .where(f"{whole + part} * {common} >= {part} * (size(sa) + size(sb))")
-            .select("a", "b").distinct(),
-            "minhash-links",
-        )
-
-    found = links(first)
-    inner = saved(crowd.where("rep < hi").select("key", "rep"), "minhash-inner")  # all but the two hubs of each bucket
-    budget = 4 * reps.count()
-    for turn in range(rounds + 1):
+        """The linked ones of distinct pairs (a, b)."""
+        left = member_texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
+        right = member_texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
+        full = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+        return saved(full.mapInArrow(_verifier(k, part, whole), "a long, b long").distinct(), "minhash-links")
+
+    tested = saved(stars.groupBy("rep").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("rep").alias("a"), F.col("hub").alias("b")), "minhash-pairs")
+    found = links(tested)
+    comp = components(found)
+    for _ in range(rounds):
+        of = comp.select(F.col("node"), "comp")
+        rest = (
+            stars.join(of.toDF("rep", "ca"), "rep", "left").join(of.toDF("hub", "cb"), "hub", "left")
+            .select(F.col("rep").alias("a"), F.col("hub").alias("b"), "shared", F.coalesce("ca", "rep").alias("ca"), F.coalesce("cb", "hub").alias("cb"))
+            .where("ca <> cb").join(tested, ["a", "b"], "left_anti")
+        )
+        sides = rest.select("a", "b", "shared", F.explode(F.array("ca", "cb")).alias("c"))
+        best = sides.groupBy("c").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
+        pairs = saved(best.select("p.a", "p.b").distinct(), "minhash-pairs")
+        more = links(pairs)
+        tested = tested.unionByName(pairs)
+        if not more.limit(1).count():
+            break
+        found = found.unionByName(more).distinct()
         comp = components(found)
-        held = inner.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("c"))
-        sizes = held.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
+
+    held = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("c"))
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """Members of buckets with several components, with the bucket's largest."""
+        sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
         tops = sizes.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("top"), F.sum("m").alias("all"), F.max("m").alias("most")).where("most < all")
-        tops = saved(tops, "minhash-tops")
-        open_pairs = tops.agg(F.sum(F.expr("(all - most) * all"))).first()[0] or 0
-        if not open_pairs:
-            return _result(sig, reps, comp)
-        held = saved(held.join(tops.select("key", "top"), "key"), "minhash-open")
-        if turn < rounds and open_pairs > budget:
-            hubs = held.groupBy("key").agg(*[F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn * 2 + i))).alias(f"h{i}") for i in (0, 1)])
-            pairs = held.join(hubs, "key").select("rep", "c", F.explode(F.array("h0", "h1")).alias("h"))
-            pairs = pairs.where("c <> h.c").select(F.least("rep", "h.rep").alias("a"), F.greatest("rep", "h.rep").alias("b")).distinct()
-            found = found.unionByName(links(pairs)).distinct()
-            continue
-        other = held.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-        pairs = held.where("c <> top").join(other, "key").where("c <> c2").select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-        found = found.unionByName(links(pairs)).distinct()
-        return _result(sig, reps, components(found))
-    raise AssertionError("unreachable")
+        return saved(members.join(tops, "key"), "minhash-open")
+
+    held = mixed(held)
+    to_compare = held.where("c <> top").agg(F.sum("all")).first()[0] or 0
+    if not to_compare:
+        return _result(sig, reps, comp)
+    if to_compare > plenty * reps.count():
+        least = held.groupBy("key").agg(F.min("n").alias("m"))
+        own = held.join(least, "key").groupBy("rep").agg(F.min("n").alias("n"), F.min("m").alias("m"))
+        shingles = saved(member_texts.join(own.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "t").mapInArrow(_shingler(k), "id long, s long"), "minhash-shingles")
+        common = shingles.groupBy("s").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("s")
+        shared = shingles.join(common, "s").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+        able = own.join(shared.withColumnRenamed("id", "rep"), "rep").where(f"{whole} * shared >= {part} * (n + greatest(m, shared) - shared)").select("rep")
+        held = mixed(held.join(able, "rep", "left_semi").select("key", "rep", "n", "c"))
+    other = held.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
+    pairs = (
+        held.where("c <> top").select("key", "rep", "c").join(other, "key").where("c <> c2")
+        .select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
+        .join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+    )
+    return _result(sig, reps, components(found.unionByName(links(saved(pairs, "minhash-pairs"))).distinct()))
 
 
 def _result(sig: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
