@@ -25,18 +25,27 @@ from pulsegrid.session import ensure_checkpoint_dir
 LEAST_LANGUAGE_SCORE = 0.3
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``docs`` has no such column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay: those with a letter whose language
     is told with a score of at least ``LEAST_LANGUAGE_SCORE``. Null and
     letterless texts go."""
-    found = identify(docs, train(docs, F.lit(True)), lang_name="_lang", score_name="_lang_score")
-    return found.where((F.col("_lang") != "und") & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = fresh(docs, "_lang"), fresh(docs, "_lang_score")
+    found = identify(docs, train(docs, F.lit(True)), lang_name=lang, score_name=score)
+    return found.where((F.col(lang) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of good quality that are not abusive stay."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return classify(docs, model, names=("_quality", "_toxic", "_kept")).where("_kept").select(*docs.columns)
+    names = tuple(fresh(docs, n) for n in ("_quality", "_toxic", "_kept"))
+    return classify(docs, model, names=names).where(F.col(names[2])).select(*docs.columns)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,15 +53,16 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Jaccard 0.8 or more): the one with the smallest id. Rows that repeat an id
     leave one row; documents without an id stay."""
     found = near_duplicates(docs, k=5, at_least=(80, 100))
-    gone = found.where("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where("NOT kept").select(F.col("id").alias("doc_id")).distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item stay."""
-    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), name="_leaks")
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    leaks = fresh(docs, "_leaks")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), name=leaks)
+    return found.where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -195,13 +195,14 @@ def find_leaks(
     min_words: int = 8,
     chunk: int = 10_000,
 ) -> DataFrame:
-    """All columns of ``docs`` and ``name``: the ascending ids of the items
+    """All columns of ``docs`` and ``name`` (replacing one of that name): the ascending ids of the items
     found in the text (an empty list for a clean text); no shuffle."""
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     wanted = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    docs = docs.drop(name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))])
     arrow, at = to_arrow_schema(schema), docs.columns.index(text_col)
     out, after, first = docs, None, True

@@ -72,6 +72,7 @@ class _Maker:
 
     def __init__(self, seed: int):
         self.rng = np.random.default_rng(seed)
+        self.odd = 0.1  # share of furniture with a class name that says nothing
 
     def pick(self, some):
         return some[int(self.rng.integers(len(some)))]
@@ -87,7 +88,7 @@ class _Maker:
         return " ".join(self.pick(pool) for _ in range(int(self.rng.integers(lo, hi + 1)))).capitalize()
 
     def name(self, *known: str) -> str:
-        if self.rng.random() < 0.15:
+        if self.rng.random() < self.odd:
             return "x" + self.pick(_SYLLABLES) + self.pick(_SYLLABLES)
         return self.pick(known)
 
@@ -126,6 +127,7 @@ class _Maker:
         top = ("t:html", "t:body")
         if self.rng.random() < 0.4:
             top += ("t:div", "c:" + self.pick(("page", "wrapper", "container", "site")))
+        self.odd = 0.1
         hold = top + self.pick([
             ("t:article",), ("t:article",), ("t:main",), ("t:main", "t:article"), ("t:div", "c:" + self.name("content", "post", "entry", "article", "story")),
             ("t:section", "c:" + self.name("content", "article")), ("t:div", "c:main", "t:div"), ("t:div",), (), ("t:table", "t:tr", "t:td"),
@@ -133,6 +135,7 @@ class _Maker:
         pieces: list[tuple[tuple[str, ...], str, bool, float]] = []
 
         def furniture(base: tuple[str, ...], n: int) -> None:
+            self.odd = 0.1 if base == top else 0.0
             for _ in range(n):
                 outer, leaves = self.furniture()
                 if base != top and outer[0] in ("t:header", "t:footer") or (base != top and outer[0] == "t:div" and "c:header" in outer):
@@ -143,8 +146,10 @@ class _Maker:
         if self.rng.random() < 0.8:
             pieces.append((hold + self.pick([("t:h1",), ("t:h1",), ("t:header", "t:h1"), ("t:h2",)]), self.prose(2, 12), False, 1.0))
         for _ in range(int(self.rng.integers(1, 14))):
-            tail = self.pick([("t:p",)] * 8 + [("t:p", "t:b"), ("t:h2",), ("t:h3",), ("t:ul", "t:li"), ("t:blockquote", "t:p"), ("t:pre",), ("t:div", "t:p"), ("t:section", "t:p"), ("t:figure", "t:figcaption"), ()])
-            pieces.append((hold + tail, self.prose(1, 60), self.rng.random() < 0.05, 1.0))
+            tail = self.pick([("t:p",)] * 8 + [("t:p", "t:b"), ("t:h2",), ("t:h3",), ("t:ul", "t:li"), ("t:ol", "t:li"), ("t:blockquote", "t:p"), ("t:pre",), ("t:div", "t:p"), ("t:section", "t:p"), ("t:figure", "t:figcaption"), ()])
+            listed = "t:li" in tail
+            for _ in range(int(self.rng.integers(2, 8)) if listed else 1):
+                pieces.append((hold + tail, self.prose(1, 12 if listed else 60), self.rng.random() < 0.05, 1.0))
             if self.rng.random() < 0.06:
                 furniture(hold, 1)
         if self.rng.random() < 0.3:
@@ -299,7 +304,7 @@ class BlockLabeller:
         grads["path"], grads["word"] = path, word
         return float(-np.mean(np.log(np.maximum(np.where(y > 0.5, p, 1 - p), 1e-12)))), grads
 
-    def fit(self, pages: list[list[Block]], labels: list[list[float]], rounds: int = 6, size: int = 24, rate: float = 0.02, seed: int = 0) -> None:
+    def fit(self, pages: list[list[Block]], labels: list[list[float]], rounds: int = 8, size: int = 24, rate: float = 0.02, seed: int = 0) -> None:
         """Adam over shuffled groups of pages."""
         rng = np.random.default_rng(seed)
         m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))

@@ -154,10 +154,12 @@ def _decider(shared, at: int, schema: pa.Schema):
 
 
 def identify(docs: DataFrame, model: KernelRidge, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the two named ones; no shuffle."""
+    """All columns of ``docs`` and the two named ones, which replace columns of
+    the same names; no shuffle."""
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    docs = docs.drop(lang_name, score_name)
     kind = T.StructType([*docs.schema.fields, T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_decider(shared, docs.columns.index(text_col), to_arrow_schema(kind)), kind)
