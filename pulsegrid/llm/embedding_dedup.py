@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import saved
-from pulsegrid.llm.graph import components
+from pulsegrid.llm.graph import components, lowest
 
 #: Vectors in a block, on average; a tile holds two blocks.
 BLOCK = 2048
@@ -80,19 +80,6 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarr
     return np.concatenate(rows), np.concatenate(cols), redone
 
 
-def _lowest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Smallest member of each node's component over the links i-j."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def _tile(threshold: float):
     def run(group: pa.Table) -> pa.Table:
         rep = group.column("rep").to_numpy()
@@ -112,7 +99,7 @@ def _tile(threshold: float):
         if ti == tj:
             i, j = i[i < j], j[i < j]
         links = np.bincount(i, weights=m[j], minlength=len(rep)) + np.bincount(j, weights=m[i], minlength=len(rep))
-        low = _lowest(i, j, len(rep))
+        low = lowest(i, j, len(rep))
         some = links > 0
         return pa.table({"rep": rep[some], "links": links[some].astype(np.int64), "low": rep[low[some]]})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,16 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "comp")
         if not moved:
             return labels
+
+
+def lowest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest member of each node's component over the links i-j of n nodes."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new

@@ -14,10 +14,10 @@ is compared, never all pairs of a bucket:
    members of its buckets, the one it shares most buckets with;
 2. a few rounds in which every component tries its best pair with a hub of
    another component;
-3. all pairs of bucket members that are still in different components. If these
-   are many, documents that provably link with nothing left are dropped first:
-   with c shingles that any other open document holds, n of its own, and m the
-   least size in its buckets, no Jaccard can exceed c / (n + max(m, c) - c).
+3. all bucket members that are still in different components: pair by pair in
+   buckets of at most ``SMALL`` members; those of larger buckets in tiles, where
+   two blocks of texts meet in one task, all intersections are products of
+   0/1 matrices, and only edges that join components come out.
 
 So each bucket is resolved completely. Links are confirmed on the full shingle
 sets of the texts.
@@ -37,10 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import by_bytes, mix, saved, shingle_hashes, string_views, word_hashes
-from pulsegrid.llm.graph import components
+from pulsegrid.llm.graph import components, lowest
 
 #: Rows of text handled at once in a task, in bytes.
 BATCH_BYTES = 1 << 22
+#: Members of a bucket that is compared pair by pair, and texts in a block of a tile.
+SMALL, BLOCK = 32, 128
 
 
 def _distinct(words: np.ndarray, k: int) -> np.ndarray:
@@ -94,12 +96,42 @@ def _sets(column: pa.Array, k: int) -> list[np.ndarray]:
     return [_distinct(words[bounds[i] : bounds[i + 1]], k) for i in range(len(column))]
 
 
-def _shingler(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1, BATCH_BYTES // 4):
-            sets = _sets(batch.column(1), k)
-            ids = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "s"])
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1
+    matrices over slices of the values that occur more than once."""
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]
+    kept = column >= 0
+    owner, column = owner[kept], column[kept]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)))
+    for at in range(0, int((count > 1).sum()), 4096):
+        a, b = np.searchsorted(column, (at, at + 4096))
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[owner[a:b], column[a:b] - at] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return out
+
+
+def _tile(k: int, part: int, whole: int):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        sets = _sets(group.column("t").combine_chunks(), k)
+        blk, ti, tj = group.column("blk").to_numpy(), group.column("ti")[0].as_py(), group.column("tj")[0].as_py()
+        names, comp = np.unique(group.column("c").to_numpy(), return_inverse=True)
+        left, right = np.flatnonzero(blk == ti), np.flatnonzero(blk == tj)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        n = np.array([len(s) for s in sets], float)
+        common = overlaps([sets[i] for i in left], [sets[i] for i in right])
+        linked = (whole + part) * common >= part * (n[left][:, None] + n[right][None, :])
+        i, j = np.nonzero(linked & (comp[left][:, None] != comp[right][None, :]))
+        low = lowest(comp[left[i]], comp[right[j]], len(names))
+        moved = np.flatnonzero(low != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[moved], pa.int64()), "b": pa.array(names[low[moved]], pa.int64())})
 
     return run
 
@@ -127,16 +159,16 @@ def near_duplicates(
     at_least: tuple[int, int] = (80, 100),
     side: int = 8,
     width: int = 2,
-    rounds: int = 3,
-    plenty: float = 4.0,
+    rounds: int = 2,
+    small: int = SMALL,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Two documents are linked if intersection / union of their sets of
     ``k``-word shingles is at least ``at_least[0] / at_least[1]``;
     component_id is the smallest id reachable over links, kept marks it.
-    ``rounds``: hub rounds (step 2 above) before the exact rest;
-    ``plenty``: comparisons left per document from which step 3 drops first."""
+    ``rounds``: hub rounds (step 2 above) before the exact rest."""
     part, whole = at_least
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     sig = saved(
@@ -185,33 +217,29 @@ def near_duplicates(
         found = found.unionByName(more).distinct()
         comp = components(found)
 
-    held = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("c"))
-
-    def mixed(members: DataFrame) -> DataFrame:
-        """Members of buckets with several components, with the bucket's largest."""
-        sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-        tops = sizes.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("top"), F.sum("m").alias("all"), F.max("m").alias("most")).where("most < all")
-        return saved(members.join(tops, "key"), "minhash-open")
-
-    held = mixed(held)
-    to_compare = held.where("c <> top").agg(F.sum("all")).first()[0] or 0
-    if not to_compare:
-        return _result(sig, reps, comp)
-    if to_compare > plenty * reps.count():
-        least = held.groupBy("key").agg(F.min("n").alias("m"))
-        own = held.join(least, "key").groupBy("rep").agg(F.min("n").alias("n"), F.min("m").alias("m"))
-        shingles = saved(member_texts.join(own.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "t").mapInArrow(_shingler(k), "id long, s long"), "minhash-shingles")
-        common = shingles.groupBy("s").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("s")
-        shared = shingles.join(common, "s").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
-        able = own.join(shared.withColumnRenamed("id", "rep"), "rep").where(f"{whole} * shared >= {part} * (n + greatest(m, shared) - shared)").select("rep")
-        held = mixed(held.join(able, "rep", "left_semi").select("key", "rep", "n", "c"))
-    other = held.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
+    held = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "lo", "rep", F.coalesce("comp", "rep").alias("c"))
+    sizes = held.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
+    tops = sizes.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("top"), F.sum("m").alias("all"), F.max("m").alias("most")).where("most < all")
+    held = saved(held.join(tops, "key"), "minhash-open")
+
+    few = held.where(F.col("all") <= small)
+    other = few.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
     pairs = (
-        held.where("c <> top").select("key", "rep", "c").join(other, "key").where("c <> c2")
+        few.where("c <> top").select("key", "rep", "c").join(other, "key").where("c <> c2")
         .select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
-        .join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    return _result(sig, reps, components(found.unionByName(links(saved(pairs, "minhash-pairs"))).distinct()))
+    done = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "minhash-pairs")
+
+    many = held.where(F.col("all") > small)
+    cluster = components(many.where("rep <> lo").select(F.col("rep").alias("a"), F.col("lo").alias("b"))).toDF("rep", "cluster")
+    placed = many.select("rep", "c").distinct().join(cluster, "rep")
+    blocks = placed.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("nb"))
+    placed = placed.join(blocks, "cluster").withColumn("blk", F.expr("cast(pmod(xxhash64(rep), nb) AS int)"))
+    placed = placed.withColumn("near", F.explode(F.expr("sequence(0, nb - 1)")))
+    placed = placed.select("cluster", "rep", "c", "blk", F.least("blk", "near").alias("ti"), F.greatest("blk", "near").alias("tj"))
+    met = placed.join(member_texts.withColumnRenamed("id", "rep"), "rep").groupBy("cluster", "ti", "tj").applyInArrow(_tile(k, part, whole), "a long, b long")
+    return _result(sig, reps, components(found.unionByName(links(pairs)).unionByName(saved(met, "minhash-tiles")).distinct()))
 
 
 def _result(sig: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:

@@ -54,15 +54,15 @@ def edited(text, seed, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("k,part,rounds,plenty", [(3, 85, 3, 4.0), (5, 80, 0, 4.0), (3, 85, 0, 0.0)])
-def test_minhash_matches_brute_force(spark, make_docs, k, part, rounds, plenty):
+@pytest.mark.parametrize("k,part,rounds,small", [(3, 85, 2, 32), (5, 80, 0, 1000), (3, 85, 0, 2)])
+def test_minhash_matches_brute_force(spark, make_docs, k, part, rounds, small):
     base, other = prose(1, 150), prose(2, 120)
     rows = [(i, prose(100 + i, 60)) for i in range(20)]
     rows += [(100 + i, base) for i in range(15)]  # copies
     rows += [(200 + i, edited(base, i, i % 9)) for i in range(60)]  # near copies, some not linked to all
     rows += [(300 + i, edited(other, i, 3)) for i in range(12)]
     rows += [(400, None), (401, ""), (402, " \t\n "), (403, "One two"), (404, "one TWO"), (405, "one"), (406, "x" * 50_000), (407, " ".join(["again"] * 5000))]
-    got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(make_docs(rows), k=k, at_least=(part, 100), rounds=rounds, plenty=plenty).collect()}
+    got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(make_docs(rows), k=k, at_least=(part, 100), rounds=rounds, small=small, block=8).collect()}
     want = brute(rows, k, part, 100)
     assert got == {i: (n, c, c == i) for i, (n, c) in want.items()}
 
