@@ -28,8 +28,6 @@ class RunConfig:
 @dataclass(frozen=True)
 class Profile:
     name: str
-    hist_days: int
-    fut_days: int
     # history window [T-h, T] when True, [T-h, T) otherwise
     hist_closed_right: bool
     # label window (T, T+f] when True, [T, T+f) otherwise
@@ -44,6 +42,8 @@ class Profile:
     val_dates: tuple[dt.date, ...]
     test_dates: tuple[dt.date, ...]
     current_date: dt.date
+    hist_days: int = 60
+    fut_days: int = 30
     channel_weights: tuple[float, float, float, float] = (0.10, 0.20, 0.30, 0.40)
     tier_cut_inclusive: bool = True
     next_best_by_lift: bool = True
@@ -67,6 +67,9 @@ class Profile:
 
 _D = dt.date
 
+# The driver tables cover 30 days, so both profiles below override the 60 / 30 day
+# windows of ``Profile`` with 15 / 7 days next to their dates.
+
 # Channel order used for every 4-wide probability / label vector.
 CHANNELS = ("email", "web", "webinar", "rep")
 

@@ -139,15 +139,20 @@ def lift_columns(base: dict[str, float]) -> list[Column]:
 
 # --- M16: constrained least squares for channel weights ---------------------------
 def weight_gram(df: DataFrame) -> DataFrame:
-    """Sufficient statistics of mean((P w - y)^2), y = mean of the 4 labels: one agg.
+    """Sufficient statistics of mean((P w - y)^2), y = mean of the 4 labels: one agg
+    with exact decimal sums, so the result does not depend on the row order.
 
     G[i][j] = sum p_i p_j, b[i] = sum p_i y, plus n and sum y^2."""
     y = future_intensity(mean=True)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y * y).alias("yy")]
+
+    def total(c: Column) -> Column:
+        return F.sum(c.cast("decimal(38,12)")).cast("double")
+
+    aggs = [F.count(F.lit(1)).alias("n"), total(y * y).alias("yy")]
     for i, j in itertools.combinations_with_replacement(range(4), 2):
-        aggs.append(F.sum(F.col(PROBS[i]) * F.col(PROBS[j])).alias(f"g{i}{j}"))
+        aggs.append(total(F.col(PROBS[i]) * F.col(PROBS[j])).alias(f"g{i}{j}"))
     for i in range(4):
-        aggs.append(F.sum(F.col(PROBS[i]) * y).alias(f"b{i}"))
+        aggs.append(total(F.col(PROBS[i]) * y).alias(f"b{i}"))
     return df.agg(*aggs)
 
 

@@ -264,6 +264,16 @@ def directory_extract(directory_df: DataFrame, n: int | None = None) -> DataFram
     )
 
 
-def export_lowercase(df: DataFrame) -> DataFrame:
-    """The export copy with lower-case column names (written by the caller's sink)."""
-    return df.toDF(*[c.lower() for c in df.columns])
+def export_lowercase(df: DataFrame, run_id: int | None = None) -> DataFrame:
+    """The export copy with lower-case column names (written by the caller's
+    sink), and a ``run_id`` if given: appended exports are then told apart."""
+    out = df.toDF(*[c.lower() for c in df.columns])
+    return out if run_id is None else out.withColumn("run_id", F.lit(run_id).cast("bigint"))
+
+
+def latest_run(exported: DataFrame, key: str = "hcp_id") -> DataFrame:
+    """Of appended exports, each entity's row of the highest ``run_id`` (one
+    aggregate with map-side combine)."""
+    cols = [c for c in exported.columns if c not in (key, "run_id")]
+    top = exported.groupBy(key).agg(F.max_by(F.struct(*cols), "run_id").alias("_row"))
+    return top.select(key, "_row.*")

@@ -574,7 +574,7 @@ def snapshot_ctes(p) -> dict[str, str]:
     return q
 
 
-def snapshot_sql(p, with_norm: bool = True, with_labels: bool = True) -> str:
+def snapshot_sql(p, with_norm: bool = True, with_labels: bool = True, label_set: str = "train") -> str:
     """Full snapshot table of profile ``p`` (features [+ norm] [+ labels])."""
     from pulsegrid.plans import oracle as O
 
@@ -639,6 +639,9 @@ def snapshot_sql(p, with_norm: bool = True, with_labels: bool = True) -> str:
         if A:
             preds = {"email_target": ("silver_email", "event_timestamp", "event_type IN ('open', 'click')"),
                      "web_target": ("silver_web", "event_timestamp", "event_type IN ('content_view', 'download', 'video_complete')")}
+        elif label_set == "eval":
+            preds = {"email_target": ("silver_email", "event_timestamp", "event_type IN ('open', 'click')"),
+                     "web_target": ("silver_web", "event_timestamp", "event_type IN ('content_view', 'download', 'video_start', 'video_complete')")}
         else:
             preds = {"email_target": ("silver_email", "event_timestamp", "event_type = 'click'"),
                      "web_target": ("silver_web", "event_timestamp", "event_type IN ('download', 'video_complete')")}
@@ -813,6 +816,18 @@ def scoring_sql(kind: str, p=None) -> str:
         "tier_cuts": f"SELECT w_hist, w_pred, {rnd('q33', 6)} AS q33, {rnd('q66', 6)} AS q66 FROM cuts",
         "base_rates": "SELECT " + ", ".join(f"{rnd(f'base_{c}', 8)} AS base_{c}" for c in ("p_email", "p_web", "p_webinar", "p_rep")) + " FROM base",
         "final_scores": "SELECT * FROM gold",
+        "lift_rows": "SELECT s.hcp_id, " + ", ".join(
+            f"{rnd(f's.{c} / GREATEST(b.base_{c}, 1e-6)', 6)} AS lift_{c[2:]}" for c in ("p_email", "p_web", "p_webinar", "p_rep")
+        ) + " FROM scored s CROSS JOIN base b WHERE s.split = 'current'",
+        "metrics_overall_b": "SELECT * FROM (WITH thr AS (SELECT target, thr FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY target ORDER BY ABS(accuracy - 0.75), j) AS rn FROM acc) WHERE rn = 1), "
+        "cmb AS (SELECT target, any_value(thr) AS threshold, COUNT(*) FILTER (WHERE prob >= thr AND label = 1) AS tp, COUNT(*) FILTER (WHERE prob >= thr AND label <> 1) AS fp, "
+        "COUNT(*) FILTER (WHERE prob < thr AND label = 1) AS fn, COUNT(*) FILTER (WHERE prob < thr AND label <> 1) AS tn FROM lt JOIN thr USING (target) GROUP BY target), "
+        f"perb AS (SELECT {names.replace('Sales Rep', 'Veeva')} AS channel, {rnd('threshold', 6)} AS threshold, {rnd('roc_auc', 4)} AS roc_auc, {rnd('average_precision', 4)} AS pr_auc, "
+        f"{rnd('CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn)', 4)} AS accuracy, {rnd('CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END', 4)} AS precision, "
+        f"{rnd('CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END', 4)} AS recall, "
+        f"{rnd('CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END', 4)} AS f1 FROM cmb JOIN roc USING (target) JOIN pr USING (target)) "
+        "SELECT * FROM perb UNION ALL SELECT 'Overall', NULL, " + ", ".join(rnd(f"(SELECT AVG({c}) FROM perb)", 4) for c in ("roc_auc", "pr_auc"))
+        + f", {rnd('CAST(SUM(tp + tn) AS DOUBLE) / SUM(tp + tn + fp + fn)', 4)}, " + ", ".join(rnd(f"(SELECT AVG({c}) FROM perb)", 4) for c in ("precision", "recall", "f1")) + " FROM cmb)",
         "score_summary": " UNION ALL ".join(
             f"SELECT '{c}' AS metric, MIN({c}) AS min, MAX({c}) AS max, {rnd(f'AVG({c})', 4)} AS mean FROM gold"
             for c in ("historical_engagement_score", "predicted_engagement_score", "hybrid_engagement_score",

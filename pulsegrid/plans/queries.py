@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pulsegrid.config import RunConfig
 from pulsegrid.operators import features as FT
 from pulsegrid.operators import silver as SV
@@ -129,6 +131,10 @@ def _reg_channel_quality(ch: str) -> None:
         lambda spark, sf_dir: Q.category_distribution(silver_df(spark, sf_dir), spec.categories)
     )
 
+    register(f"category_distribution_bronze_{ch}", O.ctes(bronze_name) + union.replace(f"FROM {sv} ", f"FROM {bronze_name} "))(
+        lambda spark, sf_dir: Q.category_distribution(_bronze(ch)(spark, sf_dir), spec.categories)
+    )
+
     register(
         f"dq_duplicate_ids_{ch}",
         O.ctes(sv) + f"SELECT CAST(COUNT(*) AS BIGINT) AS duplicate_{lab}_event_ids FROM "
@@ -413,19 +419,26 @@ register("cross_channel", O.snapshot_sql(PROFILE_A, with_norm=False, with_labels
 )
 
 
-def _labels_sql(p) -> str:
-    full = O.snapshot_sql(p, with_norm=False, with_labels=True)
+def _labels_sql(p, label_set: str = "train") -> str:
+    full = O.snapshot_sql(p, with_norm=False, with_labels=True, label_set=label_set)
     return full.replace("SELECT * FROM snap_final", "SELECT hcp_id, snapshot_date, split, email_target, web_target, webinar_target, veeva_target FROM snap_final")
 
 
-def _labels_df(spark, sf_dir, p):
+def _labels_df(spark, sf_dir, p, label_set: str = "train"):
     sv = silvers(spark, sf_dir)
     sp = SN.spine(master_ids(spark, sf_dir), p)
-    return SN.attach_labels(sp, SN.snapshot_labels(sv, p))
+    return SN.attach_labels(sp, SN.snapshot_labels(sv, p, label_set))
 
 
 register("snapshot_labels", _labels_sql(PROFILE_A))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_A))
 register("snapshot_labels_b", _labels_sql(PROFILE_B))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_B))
+register("snapshot_labels_b_eval", _labels_sql(PROFILE_B, "eval"))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_B, "eval"))
+
+# the profile's own 60 / 30 day windows on the driver dates
+LONG_A = dataclasses.replace(PROFILE_A, hist_days=60, fut_days=30)
+register("snapshot_features_60d", O.snapshot_sql(LONG_A, with_norm=False, with_labels=True))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, LONG_A, with_norm=False, with_labels=True)
+)
 
 
 def _window_counts_sql(p, history: bool) -> str:
@@ -564,16 +577,36 @@ def _q_weight_grid(spark, sf_dir):
 
 
 def _q_weight_gram(spark, sf_dir):
-    v = _val(spark, sf_dir)
-    y = SC.future_intensity(mean=True)
-    import itertools as _it
+    return SC.weight_gram(_val(spark, sf_dir))
 
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum((y * y).cast("decimal(38,12)")).cast("double").alias("yy")]
-    for i, j in _it.combinations_with_replacement(range(4), 2):
-        aggs.append(F.sum((F.col(SC.PROBS[i]) * F.col(SC.PROBS[j])).cast("decimal(38,12)")).cast("double").alias(f"g{i}{j}"))
-    for i in range(4):
-        aggs.append(F.sum((F.col(SC.PROBS[i]) * y).cast("decimal(38,12)")).cast("double").alias(f"b{i}"))
-    return v.agg(*aggs)
+
+def _q_lift_rows(spark, sf_dir):
+    """Every current entity's channel probabilities over the validation base rates."""
+    df = scored_snapshots(spark, sf_dir)
+    base = SC.base_rates(df.where(F.col("split") == "val")).first().asDict()
+    lifts = [F.round(c, 6).alias(f"lift_{p[2:]}") for p, c in zip(SC.PROBS, SC.lift_columns(base))]
+    return df.where(F.col("split") == "current").select("hcp_id", *lifts)
+
+
+def metrics_table_b(lp):
+    """Profile B's evaluation: the cut whose validation accuracy is nearest 0.75 per
+    target, average precision, and an overall row of macro means with the pooled
+    accuracy."""
+    th = MT.threshold_search(lp.where(F.col("split") == "val"), "prob", "label", 0.75, ["target"])
+    test = lp.where(F.col("split") == "test").join(th.select("target", F.col("threshold").alias("_thr")), "target")
+    roc = MT.roc_auc(test, "prob", "label", ["target"])
+    ap = MT.pr_metrics(test, "prob", "label", ["target"]).select("target", F.col("average_precision").alias("pr_auc"))
+    cm = MT.confusion_metrics(test, "prob", "label", F.col("_thr"), ["target", "_thr"])
+    hit = F.avg(((F.col("prob") >= F.col("_thr")) == (F.col("label") == 1)).cast("int"))
+    names = F.create_map(*[x for t, n in zip(SC.TARGETS, SC.channel_labels(PROFILE_B.rep_label)) for x in (F.lit(t), F.lit(n))])
+    cols = ["roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1"]
+    per = roc.join(ap, "target").join(cm, "target").select(
+        F.element_at(names, F.col("target")).alias("channel"), F.round("_thr", 6).alias("threshold"), *[F.round(c, 4).alias(c) for c in cols]
+    )
+    means = per.agg(*[F.round(F.avg(c), 4).alias(c) for c in cols if c != "accuracy"])
+    overall = test.agg(F.round(hit, 4).alias("accuracy")).crossJoin(means)  # one row each
+    overall = overall.select(F.lit("Overall").alias("channel"), F.lit(None).cast("double").alias("threshold"), *cols)
+    return per.unionByName(overall)
 
 
 def _q_weight_fit(spark, sf_dir):
@@ -657,6 +690,8 @@ register("hybrid_grid", O.scoring_sql("hybrid_grid"))(_q_hybrid_grid)
 register("weight_grid", O.scoring_sql("weight_grid"))(_q_weight_grid)
 register("weight_gram", O.scoring_sql("weight_gram"))(_q_weight_gram)
 register("channel_weight_fit")(_q_weight_fit)
+register("channel_lift_rows", O.scoring_sql("lift_rows"))(_q_lift_rows)
+register("metrics_overall_b", O.scoring_sql("metrics_overall_b", PROFILE_B))(lambda spark, sf_dir: metrics_table_b(long_probs(scored_snapshots(spark, sf_dir, PROFILE_B))))
 register("tier_cuts", O.scoring_sql("tier_cuts"))(_q_tier_cuts)
 register("channel_lift", O.scoring_sql("base_rates"))(_q_base_rates)
 register("final_scores", O.scoring_sql("final_scores"))(lambda spark, sf_dir: final_scores(spark, sf_dir))
@@ -977,19 +1012,7 @@ register("final_output_model")(lambda spark, sf_dir: model_final_output(spark, s
 
 # --- profile B on the model path ------------------------------------------------------
 def _q_model_metrics_b(spark, sf_dir):
-    """B evaluates at the cut whose validation accuracy is nearest 0.75 (per model)."""
-    r = model_run(spark, sf_dir, PROFILE_B)
-    lp = long_probs(r["scored"])
-    th = MT.threshold_search(lp.where(F.col("split") == "val"), "prob", "label", 0.75, ["target"])
-    test = lp.where(F.col("split") == "test").join(th.select("target", F.col("threshold").alias("_thr")), "target")
-    roc = MT.roc_auc(test, "prob", "label", ["target"])
-    ap = MT.pr_metrics(test, "prob", "label", ["target"]).select("target", F.col("average_precision").alias("pr_auc"))
-    cm = MT.confusion_metrics(test, "prob", "label", F.col("_thr"), ["target", "_thr"])
-    names = F.create_map(*[x for t, n in zip(SC.TARGETS, ["Email", "Website", "Webinar", "Veeva"]) for x in (F.lit(t), F.lit(n))])
-    return roc.join(ap, "target").join(cm, "target").select(
-        F.element_at(names, F.col("target")).alias("channel"), F.col("_thr").alias("threshold"),
-        *[F.round(c, 4).alias(c) for c in ("roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1")],
-    )
+    return metrics_table_b(long_probs(model_run(spark, sf_dir, PROFILE_B)["scored"]))
 
 
 register("model_metrics_b")(_q_model_metrics_b)
@@ -1067,10 +1090,67 @@ register(
 
 
 def _q_standardize(spark, sf_dir):
+    """M2: mean and population deviation (1 if 0) of every feature over the train rows."""
+    snap = snapshot_table(spark, sf_dir, PA, with_norm=True, with_labels=False)
+    cols = ML.feature_columns(snap)
+    means, stds = ML.fit_standardizer(ML.coerce_features(snap, cols).where(F.col("split") == "train"), cols)
+    rows = spark.createDataFrame(list(zip(cols, means, stds)), "feature string, mean double, std double")
+    return rows.select("feature", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"))
+
+
+def _standardize_sql() -> str:
+    full = O.snapshot_sql(PA, with_norm=True, with_labels=False)
+    head, _, last = full.rpartition("\nSELECT * FROM ")
+    return (
+        f"{head},\ntrain_values AS (SELECT COALESCE(CAST(COLUMNS(lambda c: c NOT IN ('hcp_id', 'snapshot_date', 'split')) AS DOUBLE), 0.0) FROM {last} WHERE split = 'train'),\n"
+        "long_values AS (UNPIVOT train_values ON COLUMNS(*) INTO NAME feature VALUE v)\n"
+        f"SELECT feature, {O.rnd('AVG(v)', 5)} AS mean, CASE WHEN STDDEV_POP(v) > 0 THEN {O.rnd('STDDEV_POP(v)', 5)} ELSE 1.0 END AS std FROM long_values GROUP BY feature"
+    )
+
+
+def _q_dashboard_flat(spark, sf_dir):
+    """The dashboard object with its nested fields spread into columns."""
+    d = SE.dashboard(gold_table(spark, sf_dir), bronze_master(spark, sf_dir))
+    buckets = [F.col("score_distribution")[i]["count"].alias(f"bucket_{i}") for i in range(len(SE.BUCKETS))]
+    shares = [F.round(F.col(f"channel_allocation.{n}"), 8).alias(f"allocation_{n.lower()}") for n in ("Email", "Website", "Webinar", "Sales_Rep")]
+    return d.select("total_hcps", "high_engagement", "medium_engagement", "low_engagement", F.round("average_engagement_score", 8).alias("average_engagement_score"), *buckets, *shares, "last_updated")
+
+
+register(
+    "dashboard_flat",
+    O.serving_sql(
+        "SELECT CAST(COUNT(hcp_id) AS BIGINT) AS total_hcps, "
+        + ", ".join(f"CAST(COUNT(hcp_id) FILTER (WHERE engagement_level = '{t}') AS BIGINT) AS {t.lower()}_engagement" for t in ("High", "Medium", "Low"))
+        + f", {O.rnd('COALESCE(AVG(hybrid_engagement_score), 0.0)', 8)} AS average_engagement_score, "
+        + ", ".join(f"CAST(COUNT(hcp_id) FILTER (WHERE {_BUCKET_SQL} = '{b}') AS BIGINT) AS bucket_{i}" for i, (b, _) in enumerate(SE.BUCKETS))
+        + ", " + ", ".join(f"(SELECT {O.rnd('allocation', 8)} FROM alloc WHERE channel = '{n}') AS allocation_{n.lower()}" for n in ("Email", "Website", "Webinar", "Sales_Rep"))
+        + ", (SELECT MAX(updated_at) FROM bronze_master) AS last_updated FROM gold",
+        _ALLOC_CTE,
+    ),
+)(_q_dashboard_flat)
+
+
+def _q_model_invariants(spark, sf_dir):
+    """What must hold for any fitted models: one explained row per entity,
+    probabilities in [0, 1], scores in [0, 100], attributions that add up."""
     r = model_run(spark, sf_dir)
-    train = r["scored"].where(F.col("split") == "train")
-    means, stds = ML.fit_standardizer(train, r["cols"])
-    return spark.createDataFrame(list(zip(r["cols"], means, stds)), "feature string, mean double, std double")
+    probs = ["email_probability", "website_probability", "webinar_probability", "sales_rep_probability"]
+    g, s, a = r["gold"], r["scored"], model_attributions(spark, sf_dir)
+    total = F.aggregate("attr", F.lit(0.0), lambda x, y: x + y) + F.col("base")
+    parts = g.select(
+        F.lit(1).alias("rows"), (~F.expr(" AND ".join(f"{p} BETWEEN 0 AND 1" for p in probs))).cast("int").alias("bad_probability"),
+        F.coalesce(F.length("recommended_reason") == 0, F.lit(True)).cast("int").alias("no_reason"),
+    ).unionByName(
+        s.select((~F.col("hist_score").between(0, 100)).cast("int").alias("bad_history")), allowMissingColumns=True
+    ).unionByName(a.select((F.abs(total - F.col("logit")) > 1e-9).cast("int").alias("bad_sum")), allowMissingColumns=True)
+    return parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("rows", "bad_probability", "no_reason", "bad_history", "bad_sum")])
+
+
+register(
+    "model_invariants",
+    O.ctes("bronze_master") + "SELECT CAST(COUNT(DISTINCT hcp_id) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS bad_probability, "
+    "CAST(0 AS BIGINT) AS no_reason, CAST(0 AS BIGINT) AS bad_history, CAST(0 AS BIGINT) AS bad_sum FROM bronze_master",
+)(_q_model_invariants)
 
 
 def _q_driver_phrases(spark, sf_dir):
@@ -1079,5 +1159,5 @@ def _q_driver_phrases(spark, sf_dir):
     return model_attributions(spark, sf_dir).select("hcp_id", "target", F.transform(drivers, lambda c: RS.phrase_a(c)).alias("phrases"))
 
 
-register("standardize")(_q_standardize)
+register("standardize", _standardize_sql())(_q_standardize)
 register("driver_phrases")(_q_driver_phrases)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.serving import export_lowercase
+
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Replace a layer table (CREATE OR REPLACE semantics)."""
@@ -27,10 +29,11 @@ def write_gold(df: DataFrame, path_or_table: str, fmt: str = "parquet", as_table
         w.save(path_or_table)
 
 
-def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append") -> None:
-    """Lower-cased column names, appended to a JDBC table. Connection
-    details come from the caller only (nothing is stored in code)."""
-    out = df.toDF(*[c.lower() for c in df.columns])
+def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append", run_id: int | None = None) -> None:
+    """Lower-cased column names (and the run id, see ``export_lowercase``),
+    appended to a JDBC table. Connection details come from the caller only
+    (nothing is stored in code)."""
+    out = export_lowercase(df, run_id)
     out.write.mode(mode).jdbc(url, table, properties=properties)
 
 
