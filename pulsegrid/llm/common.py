@@ -60,6 +60,17 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iter
             at = end
 
 
+def lowest_hashed(df: DataFrame, column: str, n: int) -> DataFrame:
+    """The rows whose ``column`` is among the ``n`` distinct non-null values of
+    lowest hash. Only hashes are sorted, so a task never gathers texts."""
+    from pyspark.sql import functions as F
+
+    h = F.xxhash64(column)
+    hashes = df.where(F.col(column).isNotNull()).select(h.alias("h")).distinct().orderBy("h").limit(n)
+    cut = hashes.agg(F.max("h")).first()[0]
+    return df.where(F.lit(False)) if cut is None else df.where(F.col(column).isNotNull() & (h <= F.lit(cut)))
+
+
 # -- hashing -----------------------------------------------------------------
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

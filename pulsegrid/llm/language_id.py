@@ -138,9 +138,16 @@ def train(docs: DataFrame, where: Column, text_col: str = "text", lang_col: str
     rows = docs.where(where).where(F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
     rows = rows.select("lang", F.when(F.length("t") > clip, F.substr("t", ((F.length("t") - clip) / 2).cast("int") + 1, F.lit(clip))).otherwise(F.col("t")).alias("t"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("t"), "t")
-    picked = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("lang", "t").orderBy("lang", "t").collect()
-    return KernelRidge([r[1] for r in picked], [r[0] for r in picked])
+    # only hashes are ranked per language; then the few texts below each cut are read
+    h = F.xxhash64("t")
+    ranked = rows.select("lang", h.alias("h")).distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    cuts = ranked.where(F.col("nth") <= sample).groupBy("lang").agg(F.max("h")).collect()  # a row for each language of the model
+    if not cuts:
+        return KernelRidge([], [])
+    cut = F.element_at(F.create_map(*[F.lit(x) for r in cuts for x in r]), F.col("lang"))
+    picked = rows.where(h <= cut).groupBy("lang", h.alias("h")).agg(F.first("t").alias("t")).select("lang", "t").collect()
+    picked = sorted((r[0], r[1]) for r in picked)
+    return KernelRidge([t for _, t in picked], [lang for lang, _ in picked])
 
 
 def _decider(shared, at: int, schema: pa.Schema):
