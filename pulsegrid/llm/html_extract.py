@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import by_bytes, string_views, word_hashes
+from pulsegrid.llm.common import by_bytes, lowest_hashed, string_views, word_hashes
 from pulsegrid.llm.html_blocks import Block, blocks_of
 
 PATH_BINS, WORD_BINS = 1024, 1024
@@ -327,7 +327,7 @@ class BlockLabeller:
 def train(pages: DataFrame, html_col: str = "html", sample: int = 120, made: int = 480, most_chars: int = 1 << 16) -> BlockLabeller:
     """A labeller from ``sample`` pages of the table and ``made`` made ones."""
     rows = pages.select(F.col(html_col).alias("h")).where(F.length("h").between(1, most_chars))
-    real = sorted({r[0] for r in rows.orderBy(F.xxhash64("h"), "h").limit(sample).collect()})
+    real = sorted(r[0] for r in lowest_hashed(rows, "h", sample).distinct().collect())
     blocks = [blocks_of(h) for h in real]
     labels = [[weak_label(b.path) for b in p] for p in blocks]
     kept = [(p, y) for p, y in zip(blocks, labels) if p and 0.5 not in y and len(p) <= 200]
