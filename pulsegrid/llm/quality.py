@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import by_bytes, saved, string_views, word_hashes
+from pulsegrid.llm.common import by_bytes, lowest_hashed, saved, string_views, word_hashes
 
 BITS = 15
 BINS = 1 << BITS
@@ -265,11 +265,11 @@ def _stem_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn_stems(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = 4000, share: float = 0.03, purity: float = 0.97, most: int = 2000) -> frozenset[str]:
     """Stems in at least ``share`` of the distinct flagged texts, ``purity`` of
     whose texts are flagged; from at most ``sample`` texts of either kind."""
-    flags = labels.select(F.col(id_col).alias("id"), (F.col("toxic") > 0).alias("flag")).where("id IS NOT NULL AND flag IS NOT NULL")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where(F.length("t").between(1, 1 << 15)).join(flags, "id").select("t", "flag")
-    order = [F.xxhash64("t"), F.col("t")]
-    some = [rows.where(c).orderBy(*order).limit(sample) for c in (F.col("flag"), ~F.col("flag"))]
-    some = some[0].unionByName(some[1]).distinct()
+    flags = labels.select(F.col(id_col).alias("id"), (F.col("toxic") > 0).alias("flag")).where("id IS NOT NULL AND flag IS NOT NULL").distinct()
+    picked = [flags.where(c).orderBy(F.xxhash64("id"), "id").limit(sample) for c in (F.col("flag"), ~F.col("flag"))]
+    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample ids
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where(F.length("t").between(1, 1 << 15))
+    some = saved(rows.join(ids, "id").select("t", "flag").distinct(), "flagged")
     counts = saved(some.mapInArrow(_stem_counter, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "stems")
     flagged = some.where("flag").count()
     found = counts.where((F.col("toxic") >= max(5, share * flagged)) & (F.col("toxic") >= purity * (F.col("toxic") + F.col("clean"))))
@@ -283,10 +283,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     stems = learn_stems(docs, labels, id_col, text_col) if labels is not None else frozenset()
     seen = saved(texts.mapInArrow(_voter(stems, 32), "q string, a string, n long, t string"), "votes")
     votes = seen.where("t IS NULL").groupBy("q", "a").agg(F.sum("n")).collect()
-    order = [F.xxhash64("t"), F.col("t")]
-    plain = texts.where(F.length("t").between(1, 1 << 15)).orderBy(*order).limit(sample * 2 // 3)
-    abusive = seen.where("t IS NOT NULL").select("t").orderBy(*order).limit(sample // 3)
-    some = plain.unionByName(abusive)
+    plain = lowest_hashed(texts.where(F.length("t").between(1, 1 << 15)), "t", sample * 2 // 3)
+    abusive = lowest_hashed(seen.select("t"), "t", sample // 3)
+    some = plain.unionByName(abusive).distinct()
     return QualityModel([tuple(r) for r in votes], sorted({r[0] for r in some.collect()}), stems)
 
 
