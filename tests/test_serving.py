@@ -58,3 +58,16 @@ def test_lookup_miss_and_search(spark):
     assert got.hybrid_engagement_score is None                     # profile kept without scores
     assert [r.hcp_id for r in SE.search_directory(d, "CaRd").collect()] == ["1"]
     assert SE.suggest(d, "a").count() == 0
+
+
+def test_latest_run_of_appended_exports(spark):
+    a = SE.export_lowercase(spark.createDataFrame([("1", 10.0), ("2", 20.0)], "HCP_ID string, Score double"), run_id=1)
+    b = SE.export_lowercase(spark.createDataFrame([("1", 11.0)], "HCP_ID string, Score double"), run_id=2)
+    assert sorted(tuple(r) for r in SE.latest_run(a.unionByName(b)).collect()) == [("1", 11.0), ("2", 20.0)]
+
+
+def test_extract_keeps_every_entity(spark):
+    prof = spark.range(12_000).selectExpr("cast(id as string) hcp_id", *[f"'x' AS {c}" for c in SE.PROFILE_COLS if c != "hcp_id"])
+    scores = spark.createDataFrame([], "hcp_id string, " + ", ".join(f"{c} {'string' if c in ('engagement_level', 'next_best_channel', 'recommended_reason') else 'double'}" for c in SE.SCORE_COLS))
+    d = SE.directory(prof, scores)
+    assert SE.directory_extract(d).count() == 12_000 and SE.directory_extract(d, 5).count() == 5

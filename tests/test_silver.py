@@ -55,3 +55,18 @@ def test_pct_rescale_and_channel_key(spark):
     df = spark.createDataFrame([(0.5, "Sales_Rep"), (85.0, "sales rep"), (0.0, "Email")], "v double, c string")
     got = df.select(C.pct_rescale("v").alias("v"), C.channel_key("c").alias("c")).collect()
     assert [(r.v, r.c) for r in got] == [(50.0, "salesrep"), (85.0, "salesrep"), (0.0, "email")]
+
+
+def test_latest_is_picked_on_the_raw_timestamp(spark):
+    """An unparsable raw timestamp that sorts last wins, and the gate then removes the event."""
+    rows = [("e1", "h1", "c", "d", "m", "open", "2024-01-05 10:00:00"), ("e1", "h1", "c", "d", "m", "open", "not a time"),
+            ("e2", "h1", "c", "d", "m", "open", "2024-01-05 10:00:00"), ("e2", "h1", "c", "d", "m", "click", "2024-01-06 10:00:00")]
+    df = spark.createDataFrame([r + (None,) * (len(COLS) - len(r)) for r in rows], ", ".join(f"{c} string" for c in COLS))
+    assert [(r.email_event_id, r.event_type) for r in SV.to_silver(df, EMAIL).collect()] == [("e2", "click")]
+
+
+def test_ties_have_one_winner_whatever_the_order(spark):
+    """Copies of one key and time that differ in the last raw column only."""
+    rows = [("e1", "h1", "c", "d", "m", "open", T0, "s", "u", "mobile", "delivered", x) for x in ("b", "a", "c")]
+    got = {tuple(SV.to_silver(_bronze(spark, order).repartition(3), EMAIL).collect()[0]) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
+    assert len(got) == 1 and next(iter(got))[-1] == "a"
