@@ -113,6 +113,7 @@ def phrases_b(codes: Column, k: int = 2) -> Column:
 
 def reason_a(channel: Column, prob: Column, tier: Column, drivers: Column) -> Column:
     """M28 (A): three templates by engagement tier; drivers joined with ' and '."""
+    # The sentences must equal the reference's.
     feat = F.array_join(drivers, " and ")
     pct = F.format_string("%.1f", prob * 100)
     high = F.format_string(
@@ -132,6 +133,7 @@ def reason_a(channel: Column, prob: Column, tier: Column, drivers: Column) -> Co
 
 def reason_b(channel: Column, prob: Column, phrases: Column) -> Column:
     """M28 (B): templates for 0, 1 or 2 driver phrases."""
+    # The sentences must equal the reference's.
     pct = F.format_string("%.1f%%", prob * 100)
     none = F.format_string(
         "%s is recommended with %s predicted likelihood based on positive overall behavioral affinity across channels.",

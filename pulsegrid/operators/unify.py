@@ -20,32 +20,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Channel feature columns as they appear in the unified tables.
-EMAIL_COUNTS = ["emails_delivered", "emails_bounced", "email_opens", "email_clicks"]
-EMAIL_RATES = ["email_open_rate", "email_click_rate", "email_ctor"]
-WEB_COUNTS = ["total_web_events", "page_views", "content_views", "downloads"]
-WEB_RATES = ["download_rate"]
-WEB_COUNTS2 = ["video_starts", "video_completions"]
-WEB_RATES2 = ["video_completion_rate", "sessions", "avg_session_duration"]
-REP_COUNTS = [
+EMAIL_FEATURES = ["emails_delivered", "emails_bounced", "email_opens", "email_clicks", "email_open_rate", "email_click_rate", "email_ctor"]
+WEB_FEATURES = [
+    "total_web_events", "page_views", "content_views", "downloads", "download_rate", "video_starts", "video_completions",
+    "video_completion_rate", "sessions", "avg_session_duration",
+]
+REP_FEATURES = [
     "total_veeva_interactions", "in_person_visits", "phone_calls", "virtual_meetings",
     "completed_interactions", "cancelled_interactions", "no_show_interactions",
+    "avg_interaction_duration_minutes", "max_interaction_duration_minutes", "followups_required",
 ]
-REP_MEASURES = ["avg_interaction_duration_minutes", "max_interaction_duration_minutes", "followups_required"]
-EVENT_COUNTS = ["total_event_activities", "event_registrations", "event_attendance"]
-EVENT_MEASURES = [
+EVENT_FEATURES = [
+    "total_event_activities", "event_registrations", "event_attendance",
     "event_attendance_rate", "avg_event_attendance_duration", "max_event_attendance_duration",
     "event_questions", "event_polls",
 ]
 
 # (prefix, zero-filled columns, last-activity columns, recency columns) per channel, in table order
 CHANNEL_LAYOUT = [
-    ("email", EMAIL_COUNTS + EMAIL_RATES, ["last_email_activity", "last_email_engagement"],
+    ("email", EMAIL_FEATURES, ["last_email_activity", "last_email_engagement"],
      ["days_since_last_email_engagement", "days_since_last_email_activity"]),
-    ("web", WEB_COUNTS + WEB_RATES + WEB_COUNTS2 + WEB_RATES2, ["last_web_activity", "last_web_engagement"],
+    ("web", WEB_FEATURES, ["last_web_activity", "last_web_engagement"],
      ["days_since_last_web_engagement", "days_since_last_web_activity"]),
-    ("rep", REP_COUNTS + REP_MEASURES, ["last_veeva_activity", "last_veeva_engagement"],
+    ("rep", REP_FEATURES, ["last_veeva_activity", "last_veeva_engagement"],
      ["days_since_last_veeva_engagement", "days_since_last_veeva_activity"]),
-    ("event", EVENT_COUNTS + EVENT_MEASURES, ["last_event_activity", "last_event_engagement"],
+    ("event", EVENT_FEATURES, ["last_event_activity", "last_event_engagement"],
      ["days_since_last_event_engagement", "days_since_last_event_activity"]),
 ]
 
@@ -76,10 +75,10 @@ NORM_COLUMNS = [n for n, _, _ in NORM_SPEC]
 
 # Business columns of the final table (39), in order.
 FINAL_BUSINESS = (
-    EMAIL_COUNTS + EMAIL_RATES + ["days_since_last_email_engagement"]
-    + WEB_COUNTS + WEB_RATES + WEB_COUNTS2 + WEB_RATES2 + ["days_since_last_web_engagement"]
-    + REP_COUNTS + REP_MEASURES + ["days_since_last_veeva_engagement"]
-    + EVENT_COUNTS + EVENT_MEASURES + ["days_since_last_event_engagement"]
+    EMAIL_FEATURES + ["days_since_last_email_engagement"]
+    + WEB_FEATURES + ["days_since_last_web_engagement"]
+    + REP_FEATURES + ["days_since_last_veeva_engagement"]
+    + EVENT_FEATURES + ["days_since_last_event_engagement"]
 )
 
 
