@@ -118,7 +118,7 @@ def quality_votes(s: list[float]) -> str:
     return "".join((
         vote(symbols > 0.05), vote(upper > 0.45 and words >= 5), vote(shouts > 0.15), vote(bars > 0.15 and words >= 5), vote(echo > 0.15 and words >= 8),
         vote(distinct < 0.12 and words >= 60), vote(stops < 0.01 and words >= 40, stops > 0.06 or words < 20), vote(marks < 0.005 and words >= 60, (marks > 0.01 or words < 20) and shouts < 0.05),
-        vote(twins > 0.5), vote(letters < 0.7, letters > 0.88 and upper < 0.3), vote(words == 0, echo < 0.06 and bars < 0.05),
+        vote(twins > 0.5), vote(letters < 0.5, upper < 0.4 and (letters > 0.88 or symbols < 0.03)), vote(words == 0, (echo < 0.06 or words < 30) and bars < 0.05),
     ))
 
 
