@@ -9,6 +9,13 @@ index holds every such neighbour of every item block, so all items within the
 radius are found. Candidates are verified by the exact weighted Jaccard
 similarity of the shingle multisets.
 
+Fingerprints of a pair at the similarity bound often differ in more bits than
+the radius, so they only find most leaks fast. Every other item is looked up by
+shared shingles: weights are within 1 and 2, so a window that reaches
+similarity t shares at least t / (2 - t) of an item's shingles (t of them if it
+has the item's size), and holds one of any 1 + n - ceil(n t / (2 - t)) of its n
+shingles; the rarest ones are indexed. This step loses nothing.
+
 A shingle weighs 1 + idf / max idf over the items, between 1 and 2 (2 if no
 item has it). So a window that reaches similarity t shares at least t / 2 of
 its shingles with the items; windows with fewer are never hashed, which loses
@@ -24,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +90,24 @@ class ItemIndex:
             order = np.argsort(value, kind="stable")
             item = np.repeat(np.arange(len(self.ids), dtype=np.int32), len(near))[order]
             self.blocks.append((np.searchsorted(value[order], np.arange((1 << 16) + 1)).astype(np.int64), item))
+        self._index_rare(df)
+
+    def _index_rare(self, df: Counter) -> None:
+        """The rarest shingles of each item, of which a window that reaches the similarity holds one."""
+        keys, items = [], []
+        for j, s in enumerate(self.sets):
+            n = sum(s.values())
+            left = n + 1 - ceil(n * self.at_least / (2 - self.at_least) - 1e-9)
+            for x in sorted(s, key=lambda x: (df[x], x)):
+                if left <= 0:
+                    break
+                keys.append(x)
+                items.append(j)
+                left -= s[x]
+        order = np.argsort(np.array(keys, np.uint64), kind="stable")
+        self.rare, first = np.unique(np.array(keys, np.uint64)[order], return_index=True)
+        self.rare_bounds = np.append(first, len(keys)).astype(np.int64)
+        self.rare_items = np.array(items, np.int32)[order]
 
     def find_known(self, shingles: np.ndarray) -> np.ndarray:
         hit = self.mask[shingles >> np.uint64(64 - _MASK_BITS)]
@@ -127,10 +153,11 @@ class ItemIndex:
         gaps = np.flatnonzero(np.diff(places) > wide)
         for first, last in zip(places[np.concatenate([[0], gaps + 1])], places[np.concatenate([gaps, [len(places) - 1]])]):
             lo, hi = max(0, int(first) - wide), min(len(shingles), int(last) + wide + 1)
-            self._region(shingles[lo:hi], hit[lo:hi], found)
+            self._by_fingerprint(shingles[lo:hi], hit[lo:hi], found)
+            self._by_shared(shingles[lo:hi], hit[lo:hi], found)
         return found
 
-    def _region(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
+    def _by_fingerprint(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
         seen = np.concatenate([[0], np.cumsum(hit)])
         starts, sizes = [], []
         for length in self.lengths:
@@ -161,6 +188,49 @@ class ItemIndex:
             if item not in found and self.similarity(s[start[window] : start[window] + size[window]], item) >= self.at_least:
                 found.add(item)
 
+    def _by_shared(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
+        places = np.flatnonzero(hit)
+        i = np.minimum(np.searchsorted(self.rare, s[places]), len(self.rare) - 1)
+        same = self.rare[i] == s[places]
+        places, i = places[same], i[same]
+        n = self.rare_bounds[i + 1] - self.rare_bounds[i]
+        place = np.repeat(places, n)
+        inner = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
+        item = self.rare_items[self.rare_bounds[np.repeat(i, n)] + inner]
+        order = np.lexsort((place, item))
+        place, item = place[order], item[order]
+        cuts = np.flatnonzero(np.diff(item)) + 1
+        for at in np.split(np.arange(len(item)), cuts) if len(item) else []:
+            j = int(item[at[0]])
+            if j not in found and self._holds(s, place[at], j):
+                found.add(j)
+
+    def _holds(self, s: np.ndarray, places: np.ndarray, item: int) -> bool:
+        """Whether a window over one of the places reaches the similarity with the item."""
+        n = int(self.size_of[item]) - self.k + 1
+        want = self.sets[item]
+        keys = np.array(sorted(want), np.uint64)
+        counts, weights = np.array([want[x] for x in keys.tolist()]), self.weights(keys)
+        gaps = np.flatnonzero(np.diff(places) > 2 * n)
+        for first, last in zip(places[np.concatenate([[0], gaps + 1])], places[np.concatenate([gaps, [len(places) - 1]])]):
+            lo = max(0, int(first) - n + 1)
+            part = s[lo : int(last) + n]
+            i = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
+            i[keys[i] != part] = len(keys)
+            seen = np.concatenate([[0], np.cumsum(i < len(keys))])
+            total = np.concatenate([[0.0], np.cumsum(self.weights(part))])
+            starts = np.flatnonzero(seen[n:] - seen[:-n] >= self.at_least * n - 1e-9)
+            for some in np.array_split(starts, len(starts) // 4096 + 1):
+                have = np.zeros((len(some), len(keys) + 1))
+                for offset in range(n):
+                    have[np.arange(len(some)), i[some + offset]] += 1
+                both = np.minimum(have[:, :-1], counts) @ weights
+                either = total[some + n] - total[some] + counts @ weights - both
+                close = some[both >= (self.at_least - 1e-6) * either]
+                if any(self.similarity(part[x : x + n], item) >= self.at_least for x in close.tolist()):
+                    return True
+        return False
+
 
 def _finder(shared, at: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,6 +101,25 @@ def test_leaks_match_brute_force_windows():
         assert got <= brute and (got == brute or trial % 40 == 39)
 
 
+def test_long_items_with_an_inner_word_changed_match_brute_force():
+    import pyarrow as pa
+
+    from pulsegrid.llm.common import shingle_hashes
+    from pulsegrid.llm.decontaminate import words_of
+
+    items = [(i, prose(500 + i, 45 + i)) for i in range(16)]
+    index = ItemIndex([i for i, _ in items], [t for _, t in items], 5, 0.8, 11, 8)
+    r, leaked = random.Random(3), 0
+    for trial in range(120):
+        w = items[trial % 16][1].split()
+        w[r.randrange(5, len(w) - 5)] = "changed"
+        s = shingle_hashes(words_of(pa.array([prose(trial, 30) + " " + " ".join(w) + " " + prose(trial + 999, 30)]))[0], 5)
+        got = index.leaks(s, index.find_known(s))
+        assert got == {j for j in range(16) for n in [index.sizes[j] - 4] for at in range(len(s) - n + 1) if index.similarity(s[at : at + n], j) >= 0.8}, trial
+        leaked += len(got)
+    assert leaked >= 80
+
+
 def test_every_fingerprint_within_the_radius_is_found():
     masks = set(neighbours(16, 2).tolist())
     assert len(masks) == 1 + 16 + 120
