@@ -2,7 +2,8 @@
 
 Each item gets a 64-bit SimHash of its weighted ``k``-word shingles (letter
 case and ASCII punctuation do not count). A document is compared by windows
-of exactly an item's number of words, at every word position. Fingerprints
+of exactly an item's number of words, at every word position; a text with
+fewer words is its one window (only by shared shingles, see below). Fingerprints
 are cut into 4 blocks of 16 bits; by the pigeonhole principle a pair within
 Hamming ``radius`` agrees in some block up to ``radius // 4`` bits, and the
 index holds every such neighbour of every item block, so all items within the
@@ -206,8 +207,10 @@ class ItemIndex:
                 found.add(j)
 
     def _holds(self, s: np.ndarray, places: np.ndarray, item: int) -> bool:
-        """Whether a window over one of the places reaches the similarity with the item."""
+        """Whether a window over one of the places, or a text shorter than the item, reaches the similarity with it."""
         n = int(self.size_of[item]) - self.k + 1
+        if n > len(s):  # regions are wider than any item unless the text is shorter
+            return self.similarity(s, item) >= self.at_least
         want = self.sets[item]
         keys = np.array(sorted(want), np.uint64)
         counts, weights = np.array([want[x] for x in keys.tolist()]), self.weights(keys)

@@ -120,6 +120,21 @@ def test_long_items_with_an_inner_word_changed_match_brute_force():
     assert leaked >= 80
 
 
+def test_texts_shorter_than_an_item(spark, make_docs):
+    words = prose(6, 59).split()
+    items = spark.createDataFrame([(1, " ".join(words)), (2, prose(7, 30))], "item_id long, text string")
+    rows = [(1, " ".join(words[:-1])), (2, " ".join(words[1:-2])), (3, " ".join(words[:30])), (4, prose(7, 29)), (5, " ".join(words[:-6]))]
+    index = ItemIndex([1, 2], [" ".join(words), prose(7, 30)], 5, 0.8, 11, 8)
+    from pulsegrid.llm.common import shingle_hashes
+    from pulsegrid.llm.decontaminate import words_of
+    import pyarrow as pa
+
+    sets = [shingle_hashes(words_of(pa.array([t]))[0], 5) for _, t in rows]
+    brute = {i: [j + 1 for j in range(2) if len(s) < index.sizes[j] - 4 and index.similarity(s, j) >= 0.8] for (i, _), s in zip(rows, sets)}
+    assert brute == {1: [1], 2: [1], 3: [], 4: [2], 5: [1]}
+    assert {x.doc_id: x.leaked_items for x in find_leaks(make_docs(rows), items).collect()} == brute
+
+
 def test_every_fingerprint_within_the_radius_is_found():
     masks = set(neighbours(16, 2).tolist())
     assert len(masks) == 1 + 16 + 120
