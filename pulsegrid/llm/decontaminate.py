@@ -24,7 +24,9 @@ nothing.
 
 The item index is broadcast in chunks of at most ``chunk`` items; a larger
 benchmark takes several passes over the documents. Items with fewer than
-``min_words`` words (or null) match nothing. Null or short texts are clean.
+``min_words`` words (``k`` unless the caller says otherwise) match nothing, nor
+do null ones. With ``min_words`` below ``k``, an item of fewer than ``k`` words
+is found wherever its whole word sequence stands. Null texts are clean.
 """
 
 from __future__ import annotations
@@ -60,16 +62,22 @@ class ItemIndex:
         self.k, self.at_least, self.radius = k, at_least, radius
         words, at = words_of(pa.array(texts, pa.string()))
         self.ids, self.sizes, self.sets = [], [], []
+        short: dict[int, list] = {}
         df: Counter = Counter()
         for i, name in enumerate(ids):
             w = words[at[i] : at[i + 1]]
-            if len(w) < max(min_words, k):
+            if len(w) < max(min_words, 1):
+                continue
+            if len(w) < k:
+                short.setdefault(len(w), []).append((int(shingle_hashes(w, k)[0]), name))
                 continue
             s = Counter(shingle_hashes(w, k).tolist())
             df.update(s.keys())
             self.ids.append(name)
             self.sizes.append(len(w))
             self.sets.append(s)
+        #: Per number of words: the sorted hashes of whole items and their ids.
+        self.short = {m: (np.array([h for h, _ in sorted(x)], np.uint64), [i for _, i in sorted(x)]) for m, x in short.items()}
         self.known = np.array(sorted(df), np.uint64)
         n = max(1, len(self.ids))
         idf = np.log(1 + n / np.array([df[s] for s in self.known.tolist()], float)) / np.log(1 + n) if len(df) else np.zeros(0)
@@ -146,6 +154,19 @@ class ItemIndex:
         a, b = np.array([have[x] for x in keys]), np.array([want[x] for x in keys])
         return float((w * np.minimum(a, b)).sum() / (w * np.maximum(a, b)).sum())
 
+    def short_leaks(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item id) of items of fewer than ``k`` words, given the words of several texts."""
+        for m, (hashes, ids) in self.short.items():
+            if len(words) < m:
+                continue
+            runs = shingle_hashes(words, m)  # also across texts; those are left out below
+            at = np.flatnonzero(np.isin(runs, hashes))
+            text = np.searchsorted(bounds, at, side="right") - 1
+            inside = at + m <= bounds[text + 1]
+            for t, h in np.unique(np.stack([text[inside].astype(np.uint64), runs[at[inside]]], axis=1), axis=0):
+                for j in range(np.searchsorted(hashes, h), np.searchsorted(hashes, h, side="right")):
+                    yield int(t), ids[j]
+
     def leaks(self, shingles: np.ndarray, hit: np.ndarray) -> set[int]:
         """Items found in one text, given its shingles and which are known."""
         found: set[int] = set()
@@ -250,6 +271,8 @@ def _finder(shared, at: int, schema: pa.Schema):
                     a, b = bounds[i], bounds[i + 1] - k + 1
                     if b > a and hit[a:b].any():
                         out[i] = sorted(index.ids[x] for x in index.leaks(every[a:b], hit[a:b]))
+            for i, item in index.short_leaks(words, bounds):
+                out[i] = sorted([*out[i], item])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], schema=schema)
 
     return run
@@ -265,7 +288,7 @@ def find_leaks(
     k: int = 5,
     at_least: float = 0.8,
     radius: int = 11,
-    min_words: int = 8,
+    min_words: int | None = None,
     chunk: int = 10_000,
 ) -> DataFrame:
     """All columns of ``docs`` and ``name`` (replacing one of that name): the ascending ids of the items
@@ -287,7 +310,7 @@ def find_leaks(
             after, more = rows[-1][0], True
         else:
             more = False
-        index = spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows], k, at_least, radius, min_words))
+        index = spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows], k, at_least, radius, k if min_words is None else min_words))
         if first:
             out = docs.mapInArrow(_finder(index, at, arrow), schema)
         else:

@@ -135,6 +135,16 @@ def test_texts_shorter_than_an_item(spark, make_docs):
     assert {x.doc_id: x.leaked_items for x in find_leaks(make_docs(rows), items).collect()} == brute
 
 
+def test_short_items(spark, make_docs):
+    texts = {n: prose(n, n) for n in range(2, 9)}
+    items = spark.createDataFrame([*texts.items(), (30, texts[3])], "item_id long, text string")
+    rows = [(n, prose(50 + n, 30) + " " + t + " " + prose(70 + n, 30)) for n, t in texts.items()] + [(20, texts[3].split()[0]), (21, texts[4].upper()), (22, None), (23, " ".join(texts[3].split()[1:])), (24, texts[3].split()[0])]
+    found = {x.doc_id: x.leaked_items for x in find_leaks(make_docs(rows), items).collect()}
+    assert found == {n: [n] if n >= 5 else [] for n in texts} | {20: [], 21: [], 22: [], 23: [], 24: []}
+    found = {x.doc_id: x.leaked_items for x in find_leaks(make_docs(rows), items, min_words=3).collect()}
+    assert found == {n: [n] for n in texts} | {2: [], 3: [3, 30], 20: [], 21: [4], 22: [], 23: [], 24: []}
+
+
 def test_every_fingerprint_within_the_radius_is_found():
     masks = set(neighbours(16, 2).tolist())
     assert len(masks) == 1 + 16 + 120
