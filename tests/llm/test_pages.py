@@ -140,3 +140,21 @@ def test_ratio_filter_calibration():
     assert model.allowed(model.scores(pa.array([f"https://site{i}.example.net/en/x{i}" for i in range(300)]))).mean() > 0.95
     assert model.allowed(model.scores(pa.array([f"http://casino{i}.win/free-bets/{i}" for i in range(500, 600)]))).mean() < 0.05
     assert RatioFilter([], bad).allowed(np.zeros(2)).all()
+
+
+def test_url_models_count_every_url(spark):
+    urls = [f"https://site{i}.example.org/en/{i}" for i in range(300)] + [f"http://casino-{i % 9}.net/{prose(i, 2).replace(' ', '-')}" for i in range(200)]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    few, many = ({r.page_id: r.score for r in filter_urls(df, RULES, sample=n, rounds=0).collect()} for n in (10, 8000))
+    assert few == many and len(set(few.values())) > 100
+
+
+def test_binned_counts_match_the_text_model():
+    from pulsegrid.llm.url_filter import _merged, _slots
+
+    texts = [f"http://a{i}.net/{i}" for i in range(20)]
+    raw, bounds = string_views(pa.array(texts))
+    keys = list(_slots(raw, bounds, 3))
+    binned = MarkovModel.of_counts(*_merged(keys, [np.ones(len(k)) for k in keys]), 3)
+    at = string_views(pa.array(["http://a1.net/77", "zz", ""]))
+    assert np.allclose(binned.log_likelihood(*at), MarkovModel(texts, 3).log_likelihood(*at))
