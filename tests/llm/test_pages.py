@@ -158,3 +158,18 @@ def test_binned_counts_match_the_text_model():
     binned = MarkovModel.of_counts(*_merged(keys, [np.ones(len(k)) for k in keys]), 3)
     at = string_views(pa.array(["http://a1.net/77", "zz", ""]))
     assert np.allclose(binned.log_likelihood(*at), MarkovModel(texts, 3).log_likelihood(*at))
+
+
+def test_junk_hosts_without_a_seed_word_do_not_vouch_for_themselves(spark):
+    def site(i):
+        return "".join(prose(i, 2).lower().split()).strip(".")
+
+    good = [f"https://{site(i % 60)}.example.{('org', 'net', 'com')[i % 3]}/{('en', 'fr')[i % 2]}/{i}" for i in range(1500)]
+    seeded = [f"https://{h}.example.com/en/{i}" for i in range(40) for h in ("casino-win", "cheap-pills", "spam-farm")]
+    junk = [f"https://free-bets.example.com/en/{i}" for i in range(60)] + [f"https://win-pill-farm.example.com/en/{i}" for i in range(60)]
+    urls = good + seeded + junk
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r for r in filter_urls(df, RULES).collect()}
+    blocked = [got[i].verdict == "block" for i in range(len(urls))]
+    assert all(blocked[len(good) : -len(junk)]) and sum(blocked[-len(junk) :]) >= 0.9 * len(junk)
+    assert sum(b for i, b in enumerate(blocked[: len(good)]) if got[i].rule is None) <= 0.01 * len(good)
