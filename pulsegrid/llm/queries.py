@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.alignment import align
+from pulsegrid.llm.ann import nearest
 from pulsegrid.llm.common import table
 from pulsegrid.llm.decontaminate import find_leaks
 from pulsegrid.llm.embedding_dedup import near_vectors
@@ -16,6 +18,7 @@ from pulsegrid.llm.html_extract import train as train_labeller
 from pulsegrid.llm.language_id import identify, train
 from pulsegrid.llm.minhash import near_duplicates
 from pulsegrid.llm.packing import pack
+from pulsegrid.llm.phrases import collocations
 from pulsegrid.llm.quality import classify, fit
 from pulsegrid.llm.token_counts import count_tokens
 from pulsegrid.llm.token_store import store_round_trip
@@ -73,6 +76,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels"))).drop("text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), top=2000, max_words=5, min_count=100)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_url_filter": op2_url_filter,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op12_alignment": op12_alignment,
+    "op13_ann": op13_ann,
 }
 
 #: Set links by a self-join on shingles, components by recursion.
@@ -125,4 +143,34 @@ SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec
 FROM embeddings e JOIN comp c ON c.x = e.vec_id LEFT JOIN degree d ON d.x = e.vec_id
 """
 
-ORACLE: dict[str, str] = {"op5_minhash": OP5_SQL, "op7_embedding_dedup": OP7_SQL}
+#: All phrases of every piece, counted whole.
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase FROM places, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)
+), counts AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase HAVING count(*) >= 100),
+cuts AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a, unnest(range(1, m)) AS k FROM counts WHERE m >= 2),
+cut_scores AS (
+  SELECT c.lang, c.phrase, c.m, c.a, c.k, p.f AS l, q.f AS r, s.n, (1000::HUGEINT * c.a * s.n) // (p.f::HUGEINT * q.f) AS score
+  FROM cuts c JOIN sizes s ON s.lang = c.lang
+  JOIN counts p ON p.lang = c.lang AND p.m = c.k AND p.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
+  JOIN counts q ON q.lang = c.lang AND q.m = c.m - c.k AND q.phrase = array_to_string(list_slice(c.w, c.k + 1, c.m), ' ')
+), best AS (SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, array_to_string(list_slice(string_split(phrase, ' '), s, s + d - 1), ' ') AS phrase, f
+  FROM counts, (SELECT unnest(range(2, 5)) AS d), (SELECT unnest(range(1, 5)) AS s) WHERE d < m AND s + d - 1 <= m
+), inside AS (SELECT lang, phrase, max(f) AS longer FROM parts GROUP BY lang, phrase),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.phrase)) AS rank, b.phrase, b.a, b.l, b.r, b.n, b.score::BIGINT AS score
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op5_minhash": OP5_SQL, "op7_embedding_dedup": OP7_SQL, "op11_collocations": OP11_SQL}
