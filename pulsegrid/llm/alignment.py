@@ -32,7 +32,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,8 @@ LOOKUP_BYTES = 256 << 20
 #: Numbers in a block of the count vectors; parts of the first level of the sum.
 BLOCK, PARTS = 1 << 16, 16
 BATCH_BYTES = 1 << 22
+#: New words encoded by one call.
+RUN = 4096
 
 _WORDS = re.compile(r"[ \n]\S+")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -81,7 +83,8 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.mark = self.b.piece_to_id("▁")
         self.n_b = len(pieces)
-        self.a_text, self.b_text = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(self.n_b)]
+        self.a_text, self.b_text = (np.array([str(i) for i in range(n)], object) for n in (len(self.a_bytes), self.n_b))
+        self.a_width, self.b_width = (np.array([len(x) for x in t], np.int64) for t in (self.a_text, self.b_text))
         self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         with open(a_path, encoding="utf-8") as f:
             steps = json.load(f)
@@ -89,18 +92,7 @@ class Aligner:
         plain = steps["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.cuts = bool(plain) and not any("▁" in p.lstrip("▁") or ("\n" in p and len(p) > 1) for p in pieces)
         self.look_up = look_up
-        self.old: dict[str, tuple] = {}
-        self.fresh()
-
-    def fresh(self) -> None:
-        """Start a new generation."""
-        self.number: dict[str, int] = {}
-        self.groups: list[str | None] = []  # None where the bytes differ
-        self.bad: set[int] = set()  # places of those
-        self.keys: list[np.ndarray] = []
-        self.sizes: list[tuple[int, ...]] = []  # tokens of A and B, groups, links, best links, sum of counts
-        self.size_table = np.zeros((0, 6), np.int64)
-        self.bytes = 0
+        self.old = self.now = Generation()
 
     def split(self, text: str) -> list[str]:
         text = " " + text
@@ -109,83 +101,165 @@ class Aligner:
         words = _WORDS.findall(text)
         return words if sum(map(len, words)) == len(text) else _CUTS.split(text)
 
+    def _encoded(self, words: list[str], raw: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides of words that follow each other in a text; None where
+        the tokens' bytes differ from theirs."""
+        text = "".join(words)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text[1:] if text[0] == " " else text)
+        if text[0] != " ":
+            if b[:1] != [self.mark]:
+                return None
+            b = b[1:]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
     def learn(self, words: list[str]) -> None:
-        """Tokens of both sides, groups and links of new words."""
-        a = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        b = self.b.encode([w[1:] if w[0] == " " else w for w in words])
-        b = [ids if w[0] == " " else ids[1:] if ids[:1] == [self.mark] else [] for ids, w in zip(b, words)]
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        get_a, get_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        ok = [b"".join(map(get_a, x)) == r and b"".join(map(get_b, y)) == r for x, y, r in zip(a, b, raw)]
-        if not all(ok):
-            for w in (w for w, k in zip(words, ok) if not k):
-                self._keep(w, None, np.zeros(0, np.uint64), (0, 0, 0, 0, 0, 0))
-            words, a, b, raw = ([x for x, k in zip(xs, ok) if k] for xs in (words, a, b, raw))
-        if not words:
+        """Tokens of both sides, groups and links of new words. Words are encoded many
+        at a time: put one after the other they are a text that is cut between them."""
+        odd = [w for w in words if w[-1].isspace() or w[1:2].isspace()]  # not cut from their neighbours
+        if odd:
+            words = list(set(words).difference(odd))
+        kept, ends_kept, a, b = [], [], [], []
+        for run in [*(words[at : at + RUN] for at in range(0, len(words), RUN)), *([w] for w in odd)]:
+            self._learn_run(run, kept, ends_kept, a, b)
+        if not kept:
             return
-        n_a, n_b = np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b))
-        ai, bi = np.fromiter(chain.from_iterable(a), np.int64, int(n_a.sum())), np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
-        a_end, b_end = np.cumsum(self.a_len[ai]), np.cumsum(self.b_len[bi])
-        word_end = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-        both = np.intersect1d(a_end, b_end, assume_unique=True)
-        ends = np.union1d(a_end, b_end)
+        ai, bi, word_len = np.concatenate(a), np.concatenate(b), np.concatenate(ends_kept)
+        a_end, b_end, word_end = np.cumsum(self.a_len[ai]), np.cumsum(self.b_len[bi]), np.cumsum(word_len)
+        ends = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        again = np.concatenate([ends[1:] == ends[:-1], [False]])
+        both, ends = ends[again], ends[~again]
         keys = ai[np.searchsorted(a_end, ends)].astype(np.uint64) * np.uint64(self.n_b) + bi[np.searchsorted(b_end, ends)].astype(np.uint64)
-        links = np.searchsorted(ends, word_end, side="right")
-        n_links = np.diff(links, prepend=0)
-        n_groups = np.diff(np.searchsorted(both, word_end, side="right"), prepend=0)
-        best, total = (np.zeros(len(words), np.int64),) * 2
+        a_cut, b_cut = np.searchsorted(a_end, both, side="right"), np.searchsorted(b_end, both, side="right")
+        a_last, b_last, links, groups = (np.searchsorted(x, word_end, side="right") for x in (a_end, b_end, ends, both))
+        total = best = np.zeros(len(kept), np.int64)
         if self.look_up is not None:
             counts, top = self.look_up(keys)
             total, best = (np.diff(np.concatenate([[0], np.cumsum(x)])[links], prepend=0) for x in (counts, top.astype(np.int64)))
-        texts = self._texts(ai, bi, np.searchsorted(a_end, both, side="right"), np.searchsorted(b_end, both, side="right"))
-        at = group = 0
-        sizes = np.stack([n_a, n_b, n_groups, n_links, best, total], 1).tolist()
-        for w, end, size in zip(words, links.tolist(), sizes):
-            self._keep(w, ";".join(texts[group : group + size[2]]), keys[at:end].copy(), size)
-            at, group = end, group + size[2]
-
-    def _texts(self, ai: np.ndarray, bi: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> list[str]:
-        a, b = list(map(self.a_text.__getitem__, ai.tolist())), list(map(self.b_text.__getitem__, bi.tolist()))
-        out, i, j = [], 0, 0
-        for x, y in zip(a_cut.tolist(), b_cut.tolist()):
-            left = a[i] if x == i + 1 else ",".join(a[i:x])
-            out.append(f"{left}|{b[j] if y == j + 1 else ','.join(b[j:y])}")
-            i, j = x, y
-        return out
+        sizes = np.stack([*(np.diff(x, prepend=0) for x in (a_last, b_last, groups, links)), best, total], 1)
+        self.now.add(kept, self._texts(ai, bi, a_cut, b_cut, groups), keys, links, sizes)
 
-    def _keep(self, word: str, groups, keys: np.ndarray, size) -> None:
-        self.number[word] = len(self.groups)
-        if groups is None:
-            self.bad.add(len(self.groups))
-        self.groups.append(groups)
-        self.keys.append(keys)
-        self.sizes.append(size)
-        self.bytes += 420 + 2 * len(word) + len(groups or "") + keys.nbytes
-
-    def numbers(self, split: list[list[str]]) -> list[np.ndarray]:
-        """The words' places in the current generation; new ones are learnt."""
-        new = [w for w in set().union(*split) if w not in self.number]
-        known = [w for w in new if w in self.old]
-        for w in known:
-            self._keep(w, *self.old[w])
-        if len(known) < len(new):
-            self.learn([w for w in new if w not in self.old] if known else new)
-        get = self.number.__getitem__
-        return [np.fromiter(map(get, words), np.int64, len(words)) for words in split]
-
-    def size_rows(self) -> np.ndarray:
-        """The words' sizes as a matrix; rows added since the last call are appended."""
-        if len(self.size_table) < len(self.sizes):
-            self.size_table = np.concatenate([self.size_table, np.array(self.sizes[len(self.size_table) :], np.int64)])
-        return self.size_table
+    def _learn_run(self, words: list[str], kept: list, lengths: list, a: list, b: list) -> None:
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(sizes)
+        found = self._encoded(words, b"".join(raw))
+        if found is not None and len(words) > 1:
+            for ids, lens in zip(found, (self.a_len, self.b_len)):
+                marks = np.cumsum(lens[ids])
+                at = np.minimum(np.searchsorted(marks, ends), len(marks) - 1)
+                if (marks[at] != ends).any():
+                    found = None
+                    break
+        if found is None:
+            if len(words) > 1:
+                for at in range(0, len(words), max(1, len(words) // 16)):
+                    self._learn_run(words[at : at + max(1, len(words) // 16)], kept, lengths, a, b)
+            else:
+                self.now.add(words, [None], np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros((1, 6), np.int64))
+            return
+        kept.extend(words)
+        lengths.append(sizes)
+        a.append(found[0])
+        b.append(found[1])
+
+    def _texts(self, ai: np.ndarray, bi: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, groups: np.ndarray) -> list[str]:
+        """The words' groups as text: ids of a group side by side, each followed by
+        its separator, joined once and cut at the words' ends."""
+        n, g = len(ai) + len(bi), len(a_cut)
+        a_of, b_of = (np.repeat(np.arange(g), np.diff(c, prepend=0)) for c in (a_cut, b_cut))
+        b_before, a_upto = np.concatenate([[0], b_cut[:-1]]), a_cut
+        a_at, b_at = np.arange(len(ai)) + b_before[a_of], np.arange(len(bi)) + a_upto[b_of]
+        out = np.empty(2 * n, object)
+        out[2 * a_at], out[2 * b_at] = self.a_text[ai], self.b_text[bi]
+        out[1::2] = ","
+        out[2 * a_at[a_cut - 1] + 1], out[2 * b_at[b_cut - 1] + 1] = "|", ";"
+        width = np.empty(n, np.int64)
+        width[a_at], width[b_at] = self.a_width[ai], self.b_width[bi]
+        text = "".join(out.tolist())
+        ends = np.cumsum(width + 1)[(a_cut + b_cut - 1)[groups - 1]].tolist()
+        return [text[s : e - 1] for s, e in zip([0, *ends], ends)]
+
+    def places(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Numbers of the words of each text in the current generation, new ones
+        learnt; None where some word's bytes differ."""
+        split = [self.split(t) for t in texts]
+        found = list(chain.from_iterable(split))
+        at = self.now.find(found)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = list({found[i] for i in missing.tolist()})
+            left = self.now.move(new, self.old)
+            if left:
+                self.learn(left)
+            at[missing] = self.now.find([found[i] for i in missing.tolist()])
+        cuts = np.cumsum([len(x) for x in split])[:-1] if split else []
+        bad = self.now.bad
+        return [None if bad and not bad.isdisjoint(p.tolist()) else p for p in np.split(at, cuts)] if split else []
 
     def full(self) -> bool:
-        return self.bytes > TABLE_BYTES
+        return self.now.bytes > TABLE_BYTES
 
     def turn(self) -> None:
         """The table becomes the old generation."""
-        self.old = {w: (self.groups[i], self.keys[i], self.sizes[i]) for w, i in self.number.items()}
-        self.fresh()
+        self.old, self.now = self.now, Generation()
+
+
+class Generation:
+    """A table of words: groups as text, links (ragged), and the sizes (tokens of A
+    and B, groups, links, best links, sum of counts)."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.groups: list[str | None] = []  # None where the bytes differ
+        self.bad: set[int] = set()  # places of those
+        self.keys, self.ends, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 6), np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.bytes = 0
+
+    def add(self, words: list[str], groups: list, keys: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.groups)
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.bad.update(n + i for i, g in enumerate(groups) if g is None)
+        self.groups.extend(groups)
+        self.parts.append((keys, ends, sizes))
+        self.bytes += 320 * len(words) + 2 * sum(map(len, words)) + sum(len(g or "") for g in groups) + keys.nbytes
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, ends, sizes) of all words."""
+        if self.parts:
+            at, ends = len(self.keys), [self.ends]
+            for keys, end, _ in self.parts:
+                ends.append(end + at)
+                at += len(keys)
+            self.keys = np.concatenate([self.keys, *(p[0] for p in self.parts)])
+            self.ends = np.concatenate(ends)
+            self.sizes = np.concatenate([self.sizes, *(p[2] for p in self.parts)])
+            self.parts = []
+        return self.keys, self.ends, self.sizes
+
+    def links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, number of keys of each) of the words ``at``."""
+        keys, ends, _ = self.arrays()
+        n = ends[at] - np.where(at > 0, ends[at - 1], 0) if len(at) else np.zeros(0, np.int64)
+        last = np.cumsum(n)
+        return keys[np.repeat(ends[at] - last, n) + np.arange(int(last[-1]) if len(last) else 0)], n
+
+    def find(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+
+    def move(self, words: list[str], old: Generation) -> list[str]:
+        """Copy what ``old`` knows; the words it does not know."""
+        if old is self or not old.groups:
+            return words
+        at = old.find(words)
+        have = np.flatnonzero(at >= 0)
+        if len(have):
+            keys, n = old.links(at[have])
+            self.add([words[i] for i in have.tolist()], [old.groups[i] for i in at[have].tolist()], keys, np.cumsum(n), old.arrays()[2][at[have]])
+        return [words[i] for i in np.flatnonzero(at < 0).tolist()]
 
 
 _HELD: dict[str, Aligner] = {}
@@ -213,10 +287,8 @@ def _pair_counts(run_id: str, a_path: str, b_path: str):
 
         def flush() -> pa.RecordBatch | None:
             at = np.flatnonzero(used)
-            if not len(at):
-                return None
-            keys = np.concatenate([al.keys[i] for i in at])
-            counts = np.repeat(used[at], [len(al.keys[i]) for i in at])
+            keys, n = al.now.links(at)
+            counts = np.repeat(used[at], n)
             order = np.argsort(keys, kind="stable")
             keys, counts = keys[order], counts[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -231,8 +303,8 @@ def _pair_counts(run_id: str, a_path: str, b_path: str):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], names=["g", "n", "blob"])
 
         for batch in by_bytes(batches, 0, BATCH_BYTES):
-            good = [p for p in _aligned(al, [t for t in _texts_of(batch.column(0)) if t]) if p is not None]
-            n = len(al.groups)
+            good = [p for p in al.places([t for t in _texts_of(batch.column(0)) if t]) if p is not None]
+            n = len(al.now.groups)
             if len(used) < n:
                 used = np.concatenate([used, np.zeros(n + n // 2 - len(used), np.int64)])
             if good:
@@ -250,12 +322,6 @@ def _pair_counts(run_id: str, a_path: str, b_path: str):
     return run
 
 
-def _aligned(al: Aligner, texts: list[str]) -> list[np.ndarray | None]:
-    """Places of the words of each text; None where some word's bytes differ."""
-    places = al.numbers([al.split(t) for t in texts]) if texts else []
-    return [None if al.bad and not al.bad.isdisjoint(p.tolist()) else p for p in places]
-
-
 def _packed(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = [], []
     for n, blob in zip(group.column("n").to_pylist(), group.column("blob")):
@@ -380,15 +446,15 @@ def _digests(shared, run_id: str, a_path: str, b_path: str, with_pairs: bool):
             numbers = np.zeros((len(texts), 6), np.int64)
             sha = [""] * len(texts)
             keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
-            places = _aligned(al, [texts[i] for i in some])
-            sizes = al.size_rows()
+            places = al.places([texts[i] for i in some])
+            sizes = al.now.arrays()[2]
             for i, p in zip(some, places):
                 if p is None:
                     continue
                 numbers[i] = sizes[p].sum(axis=0)
-                sha[i] = hashlib.sha256(";".join(map(al.groups.__getitem__, p.tolist())).encode()).hexdigest()
+                sha[i] = hashlib.sha256(";".join(map(al.now.groups.__getitem__, p.tolist())).encode()).hexdigest()
                 if with_pairs:
-                    keys[i] = np.concatenate([al.keys[w] for w in p])
+                    keys[i] = al.now.links(p)[0]
             columns = [batch.column(0), *[pa.array(numbers[:, j]) for j in (0, 1, 2, 3, 4, 5)], pa.array(sha)]
             names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
             if with_pairs:
@@ -421,10 +487,10 @@ def _groups(a_path: str, b_path: str):
         for batch in by_bytes(batches, 1, BATCH_BYTES):
             texts = _texts_of(batch.column(1))
             out = []
-            found = iter(_aligned(al, [t for t in texts if t]))
+            found = iter(al.places([t for t in texts if t]))
             for t in texts:
                 p = next(found) if t else None
-                out.append([] if p is None else ";".join(al.groups[w] for w in p).split(";"))
+                out.append([] if p is None else ";".join(al.now.groups[w] for w in p).split(";"))
             pairs = [[dict(zip("ab", ([int(x) for x in side.split(",")] for side in g.split("|")))) for g in doc] for doc in out]
             kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pairs, kind)], names=["doc_id", "groups"])
