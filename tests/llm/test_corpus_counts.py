@@ -261,7 +261,7 @@ def test_nearest_of_few_and_no_rows(spark):
 def test_graph_reaches_every_centroid():
     c = np.concatenate([np.random.default_rng(2).normal(size=(40, 4)), 1000 + np.random.default_rng(3).normal(size=(40, 4))])
     index = ann.Index(np.hstack([c, np.zeros((80, 1))]), ann.linked(np.hstack([c, np.zeros((80, 1))])), 1.0)
-    row, which = index.probes(c[:3], 1e9)
+    row, which = index.probes(c[:3] + 0.01, 1e9)
     assert [np.sort(which[row == i]).tolist() for i in range(3)] == [list(range(80))] * 3
-    row, which = index.probes(c[:3], 0.0)
+    row, which = index.probes(c[:3] + 0.01, 0.0)
     assert which.tolist() == [0, 1, 2]
