@@ -1,16 +1,11 @@
 """Point-in-time snapshots: history features and future labels per (entity, T).
 
-The reference loops over snapshot dates and re-filters every log per date.
-Here all dates are handled in one pass per channel (J12, a range join done
-without a join): every silver row carries the array of snapshot dates whose
-window contains its timestamp, and is exploded into one row per such date.
-With dates a few days apart and a window of ``h`` days each row lands in at
-most ``h / spacing + 1`` snapshots, so the blow-up is bounded by the date
-list (a handful of parameters), never by the data. Then a single
-``groupBy(hcp_id, snapshot_date)`` per channel aggregates with map-side
-partial aggregation (a hot entity contributes one partial row per map task
-and date); exact distinct counts use Spark's Expand + two-level aggregate,
-which spreads a hot entity over its distinct values.
+The windows of all dates are handled in one pass per channel (J12, a range
+join done without a join): a silver row is folded into the state of its
+(entity, pane), and pane states are merged into windows (``operators.panes``).
+A row is never copied per date, whatever the length of the windows; a hot
+entity contributes one partial state per map task and pane, and its distinct
+counts spread over its values.
 
 The spine (every entity x every date) is built by exploding the date array
 on the entity list (narrow, no cross join). The four channel aggregates are
@@ -29,91 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import Profile
-from pulsegrid.plans.channels import VOCABULARIES
+from pulsegrid.operators import panes as PN
 
 DAY_US = 86400.0
 
 
-def _date_array(dates: list[dt.date]) -> Column:
-    return F.array(*[F.lit(d.isoformat()).cast("date") for d in dates])
+def history_windows(p: Profile) -> PN.Windows:
+    return PN.Windows.history([d for d, _ in p.all_dates()], p.hist_days, p.hist_closed_right)
 
 
-def _ts_of(d: Column) -> Column:
-    return d.cast("timestamp_ntz")
-
-
-def explode_windows(df: DataFrame, ts: str, dates: list[dt.date], days: int, history: bool, p: Profile) -> DataFrame:
-    """Attach ``snapshot_date`` = every T whose window contains ``ts`` (one row per T).
-
-    history: [T-days, T] (closed) or [T-days, T) (half-open)
-    label:   (T, T+days] (open-left) or [T, T+days)
-    """
-    t = F.col(ts)
-
-    def contains(d: Column) -> Column:
-        start = _ts_of(F.date_sub(d, days)) if history else _ts_of(d)
-        end = _ts_of(d) if history else _ts_of(F.date_add(d, days))
-        if history:
-            hi = (t <= end) if p.hist_closed_right else (t < end)
-            return (t >= start) & hi
-        lo = (t > start) if p.label_open_left else (t >= start)
-        hi = (t <= end) if p.label_open_left else (t < end)
-        return lo & hi
-
-    lo_all = min(dates) - dt.timedelta(days=days) if history else min(dates)
-    hi_all = max(dates) if history else max(dates) + dt.timedelta(days=days)
-    # global bounds first: pushed into the scan, prunes rows outside every window
-    pre = df.where(
-        (t >= F.lit(lo_all.isoformat()).cast("timestamp_ntz"))
-        & (t <= F.lit((hi_all + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
-    )
-    return pre.withColumn("snapshot_date", F.explode(F.filter(_date_array(dates), contains)))
-
-
-def _n(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
-def distinct_count(c: str) -> Column:
-    """Exact distinct count of ``c`` per group, by one plan whatever the data.
-
-    A column with a declared vocabulary takes one bit per value: ``bit_or`` of
-    the bits is a mergeable aggregate. Any other column is a ``count_distinct``,
-    which Spark plans as a two-level aggregate on (group, value), so a hot
-    entity spreads over its values."""
-    vocabulary = VOCABULARIES.get(c)
-    if vocabulary is None:
-        return F.count_distinct(c)
-    bit = F.lit(None).cast("int")
-    for i, v in enumerate(vocabulary):
-        bit = F.when(F.col(c) == v, F.lit(1 << i)).otherwise(bit)
-    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")
-
-
-def _active_days(ts: str, p: Profile) -> Column:
-    """Distinct calendar days with activity in the window.
-
-    A window of ``hist_days + 1`` days is a row of 63-bit words with one bit a
-    day: ``bit_count(bit_or(..))`` of every word is exact and mergeable
-    map-side, unlike count_distinct."""
-    ago = F.expr(f"datediff(snapshot_date, to_date({ts}))")
-    total = F.lit(0)
-    for first in range(0, p.hist_days + 1, 63):
-        bit = F.when(ago.between(first, first + 62), F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(snapshot_date, to_date({ts})) - {first})"))
-        total = total + F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
-    return total.cast("bigint")
-
-
-def _dsum(c: str | Column) -> Column:
-    """Exact sum of a measured quantity (decimal accumulation, double result)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(24,6)")).cast("double")
-
-
-def _dmean(c: str | Column) -> Column:
-    """Exact mean: decimal sum / count (NULL when no value)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(24,6)")).cast("double") / F.nullif(F.count(col).cast("double"), F.lit(0.0))
+def label_windows(p: Profile) -> PN.Windows:
+    return PN.Windows.label([d for d, _ in p.all_dates()], p.fut_days, p.label_open_left)
 
 
 def _days_before(ts_col: str) -> Column:
@@ -143,197 +64,123 @@ def _attended(p: Profile) -> Column:
     return F.col("event_activity_type") == "attendance"
 
 
-# --- per-channel history aggregates --------------------------------------------
-def email_history(x: DataFrame, p: Profile) -> DataFrame:
-    et = F.col("event_type")
-    eng = et.isin("open", "click")
-    if p.name == "A":
-        g = x.groupBy("hcp_id", "snapshot_date").agg(
-            _n(et == "delivered").alias("email_delivered"),
-            _n(et == "bounced").alias("email_bounced"),
-            _n(et == "open").alias("email_opens"),
-            _n(et == "click").alias("email_clicks"),
-            distinct_count("email_id").alias("email_unique_emails"),
-            distinct_count("campaign_id").alias("email_unique_campaigns"),
-            distinct_count("drug_id").alias("email_unique_drugs"),
-            _active_days("event_timestamp", p).alias("email_active_days"),
-            F.max("event_timestamp").alias("_last"),
-            F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
-        )
-        return g.select(
-            "hcp_id", "snapshot_date", "email_delivered", "email_bounced", "email_opens", "email_clicks",
-            "email_unique_emails", "email_unique_campaigns", "email_unique_drugs", "email_active_days",
-            _rate("email_opens", "email_delivered", p).alias("email_open_rate"),
-            _rate("email_clicks", "email_delivered", p).alias("email_click_rate"),
-            _rate("email_clicks", "email_opens", p).alias("email_ctor"),
-            _recency("_last", p).alias("email_recency_days"),
-            _recency("_last_eng", p).alias("email_eng_recency_days"),
-        )
-    ds = F.col("delivery_status")
-    g = x.groupBy("hcp_id", "snapshot_date").agg(
-        _n(ds == "delivered").alias("email_delivered"),
-        _n(ds == "bounced").alias("email_bounced"),
-        _n(et == "open").alias("email_open"),
-        _n(et == "click").alias("email_click"),
-        distinct_count("email_id").alias("email_unique_emails"),
-        distinct_count("campaign_id").alias("email_unique_campaigns"),
-        distinct_count("drug_id").alias("email_unique_drugs"),
-        _active_days("event_timestamp", p).alias("email_active_days"),
-        F.max("event_timestamp").alias("_last"),
-        F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
-    )
-    return g
+# --- per-channel history measures ---------------------------------------------
+def _last(ts: str, engaged: Column) -> list[PN.Measure]:
+    return [PN.greatest("_last", F.col(ts)), PN.greatest("_last_eng", F.when(engaged, F.col(ts)))]
 
 
-def web_history(x: DataFrame, p: Profile) -> DataFrame:
-    et = F.col("event_type")
-    eng = et.isin(*p.web_engagement_types)
-    dur = "session_duration_seconds"
-    if p.name == "A":
-        g = x.groupBy("hcp_id", "snapshot_date").agg(
-            F.count("web_event_id").alias("web_total_events"),
-            distinct_count("session_id").alias("web_unique_sessions"),
-            _n(et == "page_view").alias("web_page_views"),
-            _n(et == "content_view").alias("web_content_views"),
-            _n(et == "download").alias("web_downloads"),
-            _n(et == "video_start").alias("web_video_starts"),
-            _n(et == "video_complete").alias("web_video_completes"),
-            _dsum(dur).alias("web_total_duration"),
-            _dmean(dur).alias("web_avg_duration"),
-            F.max(dur).alias("web_max_duration"),
-            _active_days("event_timestamp", p).alias("web_active_days"),
-            distinct_count("campaign_id").alias("web_unique_campaigns"),
-            distinct_count("drug_id").alias("web_unique_drugs"),
-            F.max("event_timestamp").alias("_last"),
-            F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
-        )
-        return g.select(
-            *[c for c in g.columns if not c.startswith("_")],
-            _rate("web_video_completes", "web_video_starts", p).alias("web_video_completion_rate"),
-            _recency("_last", p).alias("web_recency_days"),
-            _recency("_last_eng", p).alias("web_eng_recency_days"),
-        )
-    g = x.groupBy("hcp_id", "snapshot_date").agg(
-        F.count("web_event_id").alias("web_total_events"),
-        distinct_count("session_id").alias("web_unique_sessions"),
-        _n(et == "page_view").alias("web_page_views"),
-        _n(et == "content_view").alias("web_content_views"),
-        _n(et == "download").alias("web_downloads"),
-        _n(et == "video_start").alias("web_video_starts"),
-        _n(et == "video_complete").alias("web_video_completes"),
-        _dsum(dur).alias("web_total_session_duration"),
-        _dmean(dur).alias("web_avg_session_duration"),
-        F.max(dur).alias("web_max_session_duration"),
-        _active_days("event_timestamp", p).alias("web_active_days"),
-        distinct_count("content_type").alias("web_content_type_diversity"),
-        distinct_count("device_type").alias("web_device_diversity"),
-        F.max("event_timestamp").alias("_last"),
-        F.max(F.when(eng, F.col("event_timestamp"))).alias("_last_eng"),
-    )
-    return g
+def email_measures(p: Profile, w: PN.Windows) -> list:
+    et, ds = F.col("event_type"), F.col("delivery_status")
+    sent = et if p.name == "A" else ds
+    opens, clicks = ("email_opens", "email_clicks") if p.name == "A" else ("email_open", "email_click")
+    return [
+        PN.count("email_delivered", sent == "delivered"),
+        PN.count("email_bounced", sent == "bounced"),
+        PN.count(opens, et == "open"),
+        PN.count(clicks, et == "click"),
+        PN.distinct("email_unique_emails", "email_id"),
+        PN.distinct("email_unique_campaigns", "campaign_id"),
+        PN.distinct("email_unique_drugs", "drug_id"),
+        PN.active_days("email_active_days", "event_timestamp", w),
+        *_last("event_timestamp", et.isin("open", "click")),
+    ]
 
 
-def event_history(x: DataFrame, p: Profile) -> DataFrame:
+def web_measures(p: Profile, w: PN.Windows) -> list:
+    et = F.col("event_type")
+    dur = "session_duration_seconds"
+    names = ("web_total_duration", "web_avg_duration", "web_max_duration") if p.name == "A" else (
+        "web_total_session_duration", "web_avg_session_duration", "web_max_session_duration")
+    variety = {"web_unique_campaigns": "campaign_id", "web_unique_drugs": "drug_id"} if p.name == "A" else {
+        "web_content_type_diversity": "content_type", "web_device_diversity": "device_type"}
+    return [
+        PN.count("web_total_events", F.col("web_event_id").isNotNull()),
+        PN.distinct("web_unique_sessions", "session_id"),
+        PN.count("web_page_views", et == "page_view"),
+        PN.count("web_content_views", et == "content_view"),
+        PN.count("web_downloads", et == "download"),
+        PN.count("web_video_starts", et == "video_start"),
+        PN.count("web_video_completes", et == "video_complete"),
+        PN.total(names[0], dur),
+        PN.mean(names[1], dur),
+        PN.greatest(names[2], F.col(dur)),
+        PN.active_days("web_active_days", "event_timestamp", w),
+        *[PN.distinct(n, c) for n, c in variety.items()],
+        *_last("event_timestamp", et.isin(*p.web_engagement_types)),
+    ]
+
+
+def event_measures(p: Profile, w: PN.Windows) -> list:
     att = _attended(p)
-    reg = F.col("event_activity_type") == "registration"
     dur = "attendance_duration_minutes"
-    if p.name == "A":
-        g = x.groupBy("hcp_id", "snapshot_date").agg(
-            _n(reg).alias("event_registrations"),
-            _n(att).alias("event_attendances"),
-            _dsum(dur).alias("event_total_duration"),
-            _dmean(dur).alias("event_avg_duration"),
-            _dsum("questions_asked").alias("event_questions"),
-            _dsum("poll_responses").alias("event_polls"),
-            _active_days("activity_timestamp", p).alias("event_active_days"),
-            distinct_count("event_id").alias("event_unique_events"),
-            distinct_count("campaign_id").alias("event_unique_campaigns"),
-            distinct_count("drug_id").alias("event_unique_drugs"),
-            F.max("activity_timestamp").alias("_last"),
-            F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
-        )
-        return g.select(
-            *[c for c in g.columns if not c.startswith("_")],
-            _rate("event_attendances", "event_registrations", p).alias("event_attendance_rate"),
-            _recency("_last", p).alias("event_recency_days"),
-            _recency("_last_eng", p).alias("event_att_recency_days"),
-        )
-    g = x.groupBy("hcp_id", "snapshot_date").agg(
-        _n(reg).alias("event_registrations"),
-        _n(att).alias("event_attendances"),
-        _dsum(dur).alias("event_total_duration"),
-        _dmean(dur).alias("event_avg_duration"),
-        F.max(dur).alias("event_max_duration"),
-        _dsum("questions_asked").alias("event_questions"),
-        _dsum("poll_responses").alias("event_polls"),
-        _active_days("activity_timestamp", p).alias("event_active_days"),
-        distinct_count("event_id").alias("event_unique_events"),
-        F.max("activity_timestamp").alias("_last"),
-        F.max(F.when(att, F.col("activity_timestamp"))).alias("_last_eng"),
-    )
-    return g
-
-
-def rep_history(x: DataFrame, p: Profile) -> DataFrame:
-    st = F.col("interaction_status")
-    it = F.col("interaction_type")
-    comp = st == "Completed"
+    longest = [] if p.name == "A" else [PN.greatest("event_max_duration", F.col(dur))]
+    variety = [PN.distinct("event_unique_campaigns", "campaign_id"), PN.distinct("event_unique_drugs", "drug_id")] if p.name == "A" else []
+    return [
+        PN.count("event_registrations", F.col("event_activity_type") == "registration"),
+        PN.count("event_attendances", att),
+        PN.total("event_total_duration", dur),
+        PN.mean("event_avg_duration", dur),
+        *longest,
+        PN.total("event_questions", "questions_asked"),
+        PN.total("event_polls", "poll_responses"),
+        PN.active_days("event_active_days", "activity_timestamp", w),
+        PN.distinct("event_unique_events", "event_id"),
+        *variety,
+        *_last("activity_timestamp", att),
+    ]
+
+
+def rep_measures(p: Profile, w: PN.Windows) -> list:
+    st, it = F.col("interaction_status"), F.col("interaction_type")
     dur = "interaction_duration_minutes"
-    follow = F.col("follow_up_required") == F.lit(True)
-    if p.name == "A":
-        g = x.groupBy("hcp_id", "snapshot_date").agg(
-            F.count(F.lit(1)).alias("veeva_total_interactions"),
-            _n(comp).alias("veeva_completed"),
-            _n(st == "Cancelled").alias("veeva_cancelled"),
-            _n(st == "No Show").alias("veeva_no_show"),
-            _n(it == "In-Person Visit").alias("veeva_in_person"),
-            _n(it == "Phone Call").alias("veeva_phone"),
-            _n(it == "Virtual Meeting").alias("veeva_virtual"),
-            _dsum(dur).alias("veeva_total_duration"),
-            _dmean(dur).alias("veeva_avg_duration"),
-            _n(follow).alias("veeva_follow_up_count"),
-            _active_days("interaction_timestamp", p).alias("veeva_active_days"),
-            distinct_count("rep_id").alias("veeva_unique_reps"),
-            distinct_count("campaign_id").alias("veeva_unique_campaigns"),
-            distinct_count("drug_id").alias("veeva_unique_drugs"),
-            F.max("interaction_timestamp").alias("_last"),
-            F.max(F.when(comp, F.col("interaction_timestamp"))).alias("_last_eng"),
-        )
-        return g.select(
-            *[c for c in g.columns if not c.startswith("_")],
-            _rate("veeva_completed", "veeva_total_interactions", p).alias("veeva_completion_rate"),
-            _recency("_last", p).alias("veeva_recency_days"),
-            _recency("_last_eng", p).alias("veeva_comp_recency_days"),
-        )
-    g = x.groupBy("hcp_id", "snapshot_date").agg(
-        F.count("veeva_event_id").alias("veeva_total_interactions"),
-        _n(comp).alias("veeva_completed"),
-        _n(st == "Cancelled").alias("veeva_cancelled"),
-        _n(st == "No Show").alias("veeva_no_show"),
-        _n(it == "In-Person Visit").alias("veeva_in_person"),
-        _n(it == "Phone Call").alias("veeva_phone"),
-        _n(it == "Virtual Meeting").alias("veeva_virtual"),
-        _dsum(dur).alias("veeva_total_duration"),
-        _dmean(dur).alias("veeva_avg_duration"),
-        F.max(dur).alias("veeva_max_duration"),
-        _n(follow).alias("veeva_followups"),
-        _active_days("interaction_timestamp", p).alias("veeva_active_days"),
-        F.max("interaction_timestamp").alias("_last"),
-        F.max(F.when(comp, F.col("interaction_timestamp"))).alias("_last_eng"),
-    )
-    return g
-
-
-HISTORY = {"email": email_history, "web": web_history, "event": event_history, "rep": rep_history}
+    every = F.lit(True) if p.name == "A" else F.col("veeva_event_id").isNotNull()
+    longest = [] if p.name == "A" else [PN.greatest("veeva_max_duration", F.col(dur))]
+    variety = [PN.distinct(f"veeva_unique_{n}", c) for n, c in (("reps", "rep_id"), ("campaigns", "campaign_id"), ("drugs", "drug_id"))] if p.name == "A" else []
+    return [
+        PN.count("veeva_total_interactions", every),
+        PN.count("veeva_completed", st == "Completed"),
+        PN.count("veeva_cancelled", st == "Cancelled"),
+        PN.count("veeva_no_show", st == "No Show"),
+        PN.count("veeva_in_person", it == "In-Person Visit"),
+        PN.count("veeva_phone", it == "Phone Call"),
+        PN.count("veeva_virtual", it == "Virtual Meeting"),
+        PN.total("veeva_total_duration", dur),
+        PN.mean("veeva_avg_duration", dur),
+        *longest,
+        PN.count("veeva_follow_up_count" if p.name == "A" else "veeva_followups", F.col("follow_up_required") == F.lit(True)),
+        PN.active_days("veeva_active_days", "interaction_timestamp", w),
+        *variety,
+        *_last("interaction_timestamp", st == "Completed"),
+    ]
+
+
+MEASURES = {"email": email_measures, "web": web_measures, "event": event_measures, "rep": rep_measures}
+#: Profile A: (rate, counted, out of) and the two recencies of a channel.
+RATES_A = {
+    "email": (("email_open_rate", "email_opens", "email_delivered"), ("email_click_rate", "email_clicks", "email_delivered"),
+              ("email_ctor", "email_clicks", "email_opens")),
+    "web": (("web_video_completion_rate", "web_video_completes", "web_video_starts"),),
+    "event": (("event_attendance_rate", "event_attendances", "event_registrations"),),
+    "rep": (("veeva_completion_rate", "veeva_completed", "veeva_total_interactions"),),
+}
+RECENCY_A = {"email": ("email_recency_days", "email_eng_recency_days"), "web": ("web_recency_days", "web_eng_recency_days"),
+             "event": ("event_recency_days", "event_att_recency_days"), "rep": ("veeva_recency_days", "veeva_comp_recency_days")}
 SILVER_TS = {"email": "event_timestamp", "web": "event_timestamp", "event": "activity_timestamp", "rep": "interaction_timestamp"}
 RECENCY_B = {"email": ("email_recency", "email_eng_recency"), "web": ("web_recency", "web_eng_recency"),
              "event": ("event_recency", "event_eng_recency"), "rep": ("veeva_recency", "veeva_eng_recency")}
 
 
 def channel_history(silver: DataFrame, channel: str, p: Profile) -> DataFrame:
-    """History aggregates of one channel for every snapshot date (entities with activity only)."""
-    dates = [d for d, _ in p.all_dates()]
-    return HISTORY[channel](explode_windows(silver, SILVER_TS[channel], dates, p.hist_days, True, p), p)
+    """History aggregates of one channel for every snapshot date (entities with
+    activity only). ``silver`` is read once for the states and once for each
+    distinct count of a column without a vocabulary: pass a written table."""
+    w = history_windows(p)
+    g = PN.window_aggregates(silver, "hcp_id", SILVER_TS[channel], w, MEASURES[channel](p, w))
+    if p.name != "A":
+        return g
+    rates = [_rate(num, den, p).alias(name) for name, num, den in RATES_A[channel]]
+    recencies = [_recency(c, p).alias(name) for c, name in zip(("_last", "_last_eng"), RECENCY_A[channel])]
+    return g.select(*[c for c in g.columns if not c.startswith("_")], *rates, *recencies)
 
 
 def histories(silvers: dict[str, DataFrame], p: Profile) -> dict[str, DataFrame]:
@@ -482,19 +329,14 @@ def label_predicates(p: Profile, label_set: str = "train") -> dict[str, tuple[st
 def snapshot_labels(silvers: dict[str, DataFrame], p: Profile, label_set: str = "train") -> DataFrame:
     """Per (entity, T) 0/1 flags for engagement in the label window.
 
-    The engaged (entity, T) pairs of the four channels are stacked with a
-    target tag and folded by one aggregate (max of flags) - no per-channel
-    distinct + join chain."""
-    dates = [d for d, _ in p.all_dates()]
+    The engaged rows of the four channels are stacked with a target tag and
+    folded into one bit set of panes per entity and target."""
     parts = None
-    for target, (ch, pred) in label_predicates(p, label_set).items():
-        x = explode_windows(silvers[ch].where(pred), SILVER_TS[ch], dates, p.fut_days, False, p)
-        x = x.select("hcp_id", "snapshot_date", F.lit(target).alias("target"))
+    targets = label_predicates(p, label_set)
+    for target, (ch, pred) in targets.items():
+        x = silvers[ch].where(pred).select("hcp_id", F.col(SILVER_TS[ch]).alias("ts"), F.lit(target).alias("target"))
         parts = x if parts is None else parts.unionByName(x)
-    targets = list(label_predicates(p, label_set))
-    return parts.groupBy("hcp_id", "snapshot_date").agg(
-        *[F.max((F.col("target") == t).cast("int")).alias(t) for t in targets]
-    )
+    return PN.window_flags(parts, "hcp_id", "ts", label_windows(p), "target", list(targets))
 
 
 def attach_labels(features: DataFrame, labels: DataFrame) -> DataFrame:

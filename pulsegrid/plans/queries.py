@@ -373,6 +373,7 @@ register(
 
 # --- snapshots (J8-J12, F2, F3, A23-A26, X4-X9, P13) ----------------------------
 from pulsegrid.config import PROFILE_A, PROFILE_B  # noqa: E402
+from pulsegrid.operators import panes as PN  # noqa: E402
 from pulsegrid.operators import snapshots as SN  # noqa: E402
 
 
@@ -405,7 +406,7 @@ def _snap_channel_sql(p, ch: str) -> str:
 
 for _ch in ("email", "web", "event", "rep"):
     register(f"snapshot_{_ch}", _snap_channel_sql(PROFILE_A, _ch))(
-        (lambda c: lambda spark, sf_dir: SN.channel_history(SV.silver(spark, sf_dir, c), c, PROFILE_A))(_ch)
+        (lambda c: lambda spark, sf_dir: SN.channel_history(cut_lineage(SV.silver(spark, sf_dir, c)), c, PROFILE_A))(_ch)
     )
 
 register("snapshot_features", O.snapshot_sql(PROFILE_A, with_norm=True, with_labels=True))(
@@ -447,28 +448,29 @@ register("snapshot_features_60d", O.snapshot_sql(LONG_A, with_norm=False, with_l
 )
 
 
-def _window_counts_sql(p, history: bool) -> str:
+def _window_counts_sql(p, history: bool, ch: str = "email") -> str:
     days = p.hist_days if history else p.fut_days
     return (
-        O.ctes("silver_email").rstrip("\n") + ",\n"
+        O.ctes(f"silver_{ch}").rstrip("\n") + ",\n"
         + f"snap_dates AS ({O._dates_cte(p)})\n"
         + "SELECT d.snapshot_date, CAST(COUNT(*) AS BIGINT) AS rows_in_window, CAST(COUNT(DISTINCT s.hcp_id) AS BIGINT) AS entities "
-        + f"FROM silver_email s JOIN snap_dates d ON {O._win('event_timestamp', days, history, p)} GROUP BY d.snapshot_date"
+        + f"FROM silver_{ch} s JOIN snap_dates d ON {O._win(SN.SILVER_TS[ch], days, history, p)} GROUP BY d.snapshot_date"
     )
 
 
-def _window_counts(spark, sf_dir, p, history: bool):
-    days = p.hist_days if history else p.fut_days
-    x = SN.explode_windows(SV.silver(spark, sf_dir, "email"), "event_timestamp", [d for d, _ in p.all_dates()], days, history, p)
-    return x.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("rows_in_window"), F.count_distinct("hcp_id").alias("entities")
-    )
+def _window_counts(spark, sf_dir, p, history: bool, ch: str = "email"):
+    windows = SN.history_windows(p) if history else SN.label_windows(p)
+    rows = PN.window_aggregates(SV.silver(spark, sf_dir, ch), "hcp_id", SN.SILVER_TS[ch], windows, [PN.count("rows", F.lit(True))])
+    return rows.groupBy("snapshot_date").agg(F.sum("rows").alias("rows_in_window"), F.count("hcp_id").alias("entities"))
 
 
-register("history_window", _window_counts_sql(PROFILE_A, True))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_A, True))
-register("label_window", _window_counts_sql(PROFILE_A, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_A, False))
-register("history_window_b", _window_counts_sql(PROFILE_B, True))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, True))
-register("label_window_b", _window_counts_sql(PROFILE_B, False))(lambda spark, sf_dir: _window_counts(spark, sf_dir, PROFILE_B, False))
+# email keeps the plain names; profile B takes the suffix _b
+for _p, _suffix in ((PROFILE_A, ""), (PROFILE_B, "_b")):
+    for _ch in CHANNELS:
+        for _name, _history in (("history_window", True), ("label_window", False)):
+            register(_name + ("" if _ch == "email" else f"_{_ch}") + _suffix, _window_counts_sql(_p, _history, _ch))(
+                (lambda p, h, c: lambda spark, sf_dir: _window_counts(spark, sf_dir, p, h, c))(_p, _history, _ch)
+            )
 
 
 # --- scoring and metrics on deterministic propensities (M9-M24, M32, T6, W2, U2) -----

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ def _windows(spark, p, history):
     pts = {"at_T": base, "start": base - dt.timedelta(days=d), "end": base + dt.timedelta(days=d),
            "before_start": base - dt.timedelta(days=d, microseconds=1)}
     df = spark.createDataFrame([(k, v) for k, v in pts.items()], "name string, ts timestamp_ntz")
-    x = SN.explode_windows(df, "ts", [T], d, history, p)
-    return {r.name for r in x.collect()}
+    one = dataclasses.replace(p, train_dates=(), val_dates=(), test_dates=())
+    w = SN.history_windows(one) if history else SN.label_windows(one)
+    return {r.name for r in w.inside(df, "ts").select("name", F.explode(w.dates_of_pane()).alias("d")).where(F.col("d") == F.lit(T)).collect()}
 
 
 def test_window_boundaries_profiles(spark):
@@ -39,31 +41,3 @@ def test_spine_every_entity_every_date(spark):
     sp = SN.spine(ids, PROFILE_A)
     assert sp.count() == 2 * len(PROFILE_A.all_dates())
     assert sp.select("hcp_id", "snapshot_date").distinct().count() == sp.count()
-
-
-def test_distinct_count_matches_count_distinct(spark):
-    import random
-
-    from pyspark.sql import functions as F
-
-    rnd = random.Random(5)
-    rows = [(f"g{rnd.randrange(7)}", rnd.choice([None, "desktop", "mobile", "tablet"]), f"c{rnd.randrange(400)}") for i in range(300)]
-    rows.append(("none", None, None))
-    df = spark.createDataFrame(rows, "g string, device_type string, campaign_id string")
-    pairs = [F.struct(SN.distinct_count(c).alias("a"), F.count_distinct(c).alias("b")).alias(c) for c in ("device_type", "campaign_id")]
-    for r in df.groupBy("g").agg(*pairs).collect():
-        assert r.device_type.a == r.device_type.b and r.campaign_id.a == r.campaign_id.b
-
-
-def test_active_days_over_windows_of_any_length(spark):
-    import dataclasses
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    day = dt.datetime(2024, 6, 1)
-    rows = [(i % 3, day - dt.timedelta(days=(i * 37) % 131, hours=i % 24), day.date()) for i in range(400)]
-    df = spark.createDataFrame(rows, "g int, ts timestamp_ntz, snapshot_date date")
-    p = dataclasses.replace(PROFILE_A, hist_days=131)
-    for r in df.groupBy("g").agg(SN._active_days("ts", p).alias("a"), F.count_distinct(F.to_date("ts")).alias("b")).collect():
-        assert r.a == r.b

@@ -29,7 +29,7 @@ def main() -> None:
     ids = bronze_master(spark, sf).select("hcp_id").distinct()
     plans = {
         "silver web (dedup: partial WindowGroupLimit before the exchange)": SV.to_silver(BRONZE["web"](spark, sf), SV.SPECS["web"]),
-        "rep history (pushed ts bounds, explode, partial agg, one exchange)": SN.channel_history(sv["rep"], "rep", PROFILE_A),
+        "rep history (pushed ts bounds, pane states, dates after the fold)": SN.channel_history(sv["rep"], "rep", PROFILE_A),
         "snapshot features A (spine explode + co-partitioned left joins)": SN.snapshot_features(sv, ids, None, PROFILE_A),
         "paging (bucketed row numbers, broadcast offsets)": SE.paginate(sv["email"], "email_event_id", 3, 100)[0],
     }
