@@ -24,11 +24,10 @@ import struct
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Distinct chunks and pieces, and characters of chunks, kept per Python worker;
-#: a table starts anew beyond them.
-CACHE_CHUNKS = 400_000
-CACHE_PIECES = 400_000
-CACHE_CHARS = 1 << 25
+#: Estimated bytes of one generation of chunks, and of pieces, in a Python worker.
+CACHE_BYTES = 64 << 20
+#: Bytes of an entry besides its characters and ids.
+ENTRY_BYTES = 180
 
 #: What str.split parts words at besides ASCII white space; where the tokenizer's
 #: normalizer may join chunks, they are encoded one by one.
@@ -60,12 +59,14 @@ class _Chunked:
         self.tk = Tokenizer.from_file(path)
         self.model, self.pre, self.norm = self.tk.model, self.tk.pre_tokenizer, self.tk.normalizer
         self.marks = [t.content[:2] for t in self.tk.get_added_tokens_decoder().values()]
-        self.chars = 0
         with open(path, encoding="utf-8") as f:
             steps = json.load(f)
         self.ascii_cut = self._ascii_cut(steps["normalizer"], steps["pre_tokenizer"])
         self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.bytes = 0
 
     def _ascii_cut(self, normalizer, pre_tokenizer):
         """A function from a chunk of printable ASCII to its pieces, if the file
@@ -78,7 +79,10 @@ class _Chunked:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(piece)])
+            ids = self.old_pieces.get(piece)
+            if ids is None:
+                ids = _packed([t.id for t in self.model.tokenize(piece)])
+            self.pieces[piece] = ids
         return ids
 
     def _plain(self, chunks: list[str]) -> dict[str, bytes]:
@@ -110,8 +114,8 @@ class _Chunked:
         return {c: b"".join([get(p) or piece(p) for p in cut(c)]) for c in chunks}
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
+        if len(self.pieces) * (ENTRY_BYTES + 16) > CACHE_BYTES:
+            self.pieces, self.old_pieces = {}, self.pieces
         out, plain, odd = {}, [], []
         marks = sorted(set(self.marks))
         for c in chunks:
@@ -131,15 +135,16 @@ class _Chunked:
 
     def table(self, split: list[list[str]]) -> dict[str, bytes]:
         """A table with the ids (little-endian, 4 bytes each) of every chunk of ``split``."""
-        kept = self.kept
+        if self.bytes > CACHE_BYTES:
+            self.kept, self.old, self.bytes = {}, self.kept, 0
+        kept, old = self.kept, self.old
         new = [c for c in set().union(*split) if c not in kept]
         if new:
-            self.chars += sum(map(len, new))
-            if len(kept) + len(new) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
-                kept.clear()
-                new = list(set().union(*split))
-                self.chars = sum(map(len, new))
-            kept |= self._learn(new)
+            found = {c: old[c] for c in new if c in old}
+            if len(found) < len(new):
+                found |= self._learn([c for c in new if c not in found])
+            kept |= found
+            self.bytes += ENTRY_BYTES * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
         return kept
 
 
