@@ -402,6 +402,26 @@ def _unify_sql() -> None:
 _unify_sql()
 
 
+def asof_sql(dates: list[dt.date], data_start: dt.date) -> str:
+    """The normalised features of each date from rows before it: the chain of
+    statements once for each date, over filtered silver tables."""
+    ts = {"email": "event_timestamp", "web": "event_timestamp", "rep": "interaction_timestamp", "event": "activity_timestamp"}
+    parts, union = [], []
+    for k, d in enumerate(dates):
+        body = {"features_raw": EXTRA_SQL["features_raw"], "features_complete": EXTRA_SQL["features_complete"].replace(", 31)", f", {(d - data_start).days})"),
+                "norm_stats": EXTRA_SQL["norm_stats"], "features_normalized": EXTRA_SQL["features_normalized"]}
+        for ch in ts:
+            body[f"feat_{ch}"] = FEATURE_SQL[ch].replace(f"FROM silver_{ch}", f"FROM (SELECT * FROM silver_{ch} WHERE {ts[ch]} < CAST({sql_date(d)} AS TIMESTAMP)) x").replace(AS_OF, sql_date(d))
+        for name in (*[f"feat_{ch}" for ch in ts], "features_raw", "features_complete", "norm_stats", "features_normalized"):
+            text = body[name]
+            for other in body:
+                text = text.replace(f"{other} ", f"{other}_{k} ") if not text.endswith(other) else text[: -len(other)].replace(f"{other} ", f"{other}_{k} ") + f"{other}_{k}"
+            parts.append(f"{name}_{k} AS ({text})")
+        union.append(f"SELECT {sql_date(d)} AS snapshot_date, n.* FROM features_normalized_{k} n")
+    head = ctes("bronze_master", *[f"silver_{ch}" for ch in ts]).rstrip("\n")
+    return head + ",\n" + ",\n".join(parts) + "\n" + " UNION ALL ".join(union)
+
+
 # --- snapshots ------------------------------------------------------------------
 def _dates_cte(p) -> str:
     rows = ", ".join(f"(DATE '{d.isoformat()}', '{s}')" for d, s in p.all_dates())

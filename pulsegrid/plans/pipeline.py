@@ -1,7 +1,7 @@
 """The layered batch run: bronze -> silver -> features -> unified -> snapshots -> gold.
 
-Each layer is written once (S5) and the next layer reads it back, like the
-reference's notebook chain of CREATE OR REPLACE TABLE statements. Written
+Each layer is written once (S5, S6) as a new version that readers see whole or
+not at all (``sources.layers``), and the next layer reads it back. Written
 layers also cut lineage: a lost executor recomputes from the last written
 layer, never from the raw logs. ``out_dir`` must be shared storage on a
 cluster (by default the session's checkpoint folder).
@@ -26,7 +26,7 @@ from pulsegrid.operators import snapshots as SN
 from pulsegrid.operators import unify as U
 from pulsegrid.session import ensure_checkpoint_dir
 from pulsegrid.sources.adapters import BRONZE, bronze_master
-from pulsegrid.sources.sinks import write_gold, write_layer
+from pulsegrid.sources.layers import read_layer, replace_layer
 
 CHANNELS = ("email", "web", "rep", "event")
 
@@ -57,7 +57,10 @@ def run_pipeline(
     timer = timer or Timer()
     out = (out_dir or ensure_checkpoint_dir(spark)).rstrip("/")
     paths: dict[str, str] = {}
-    rd = spark.read.parquet
+
+    def rd(path: str):
+        return read_layer(spark, path)
+
 
     def each_channel(fn) -> None:
         """Independent per-channel jobs are submitted together; Spark interleaves
@@ -67,7 +70,7 @@ def run_pipeline(
 
     def silver_one(ch):
         paths[f"silver_{ch}"] = f"{out}/silver_{ch}"
-        write_layer(SV.to_silver(BRONZE[ch](spark, sf_dir), SV.SPECS[ch]), paths[f"silver_{ch}"])
+        replace_layer(SV.to_silver(BRONZE[ch](spark, sf_dir), SV.SPECS[ch]), paths[f"silver_{ch}"])
 
     def silver_layer():
         each_channel(silver_one)
@@ -77,7 +80,7 @@ def run_pipeline(
 
     def feature_one(ch):
         paths[f"feat_{ch}"] = f"{out}/feat_{ch}"
-        write_layer(FT.FEATURES[ch](sv[ch], cfg.as_of), paths[f"feat_{ch}"])
+        replace_layer(FT.FEATURES[ch](sv[ch], cfg.as_of), paths[f"feat_{ch}"])
 
     def feature_layer():
         each_channel(feature_one)
@@ -103,10 +106,10 @@ def run_pipeline(
 
     def unify_layer():
         paths["features_complete"] = f"{out}/features_complete"
-        write_layer(U.features_complete(U.features_raw(master, feats), cfg.recency_fill), paths["features_complete"])
+        replace_layer(U.features_complete(U.features_raw(master, feats), cfg.recency_fill), paths["features_complete"])
         complete = rd(paths["features_complete"])
         paths["features_final"] = f"{out}/features_final"
-        write_layer(U.features_final_direct(complete), paths["features_final"])
+        replace_layer(U.features_final_direct(complete), paths["features_final"])
 
     timer.run("unify", unify_layer)
     final = rd(paths["features_final"])
@@ -117,7 +120,7 @@ def run_pipeline(
         snap = SN.snapshot_features(sv, ids, normalized, p)
         snap = SN.attach_labels(snap, SN.snapshot_labels(sv, p))
         paths["snapshots"] = f"{out}/snapshots_{p.name}"
-        write_layer(snap, paths["snapshots"], partition_by=["split"])
+        replace_layer(snap, paths["snapshots"], partition_by=["split"])
 
     timer.run("snapshots", snapshot_layer)
     snap = rd(paths["snapshots"])
@@ -132,13 +135,13 @@ def run_pipeline(
     def scoring_layer():
         fitted.update(QY.calibrate_models(fitted, p))
         paths["scores"] = f"{out}/scores_{p.name}"
-        write_layer(QY.final_scores(spark, sf_dir, p, scored=fitted["scored"]), paths["scores"])
+        replace_layer(QY.final_scores(spark, sf_dir, p, scored=fitted["scored"]), paths["scores"])
 
     timer.run("scoring", scoring_layer)
 
     def explain_layer():
         paths["gold"] = f"{out}/gold_{p.name}"
-        write_gold(QY.explain_gold(rd(paths["scores"]), fitted, p), paths["gold"])
+        replace_layer(QY.explain_gold(rd(paths["scores"]), fitted, p), paths["gold"])
 
     timer.run("explain", explain_layer)
     gold = rd(paths["gold"])

@@ -204,6 +204,12 @@ def _reg_channel_quality(ch: str) -> None:
     )(lambda spark, sf_dir: silver_df(spark, sf_dir).orderBy(spec.key).limit(10))
 
 
+    # the raw log, before any cleaning: keys repeat there, so all columns order the rows
+    register(f"scan_sample_bronze_{ch}", O.ctes(bronze_name) + f"SELECT * FROM {bronze_name} ORDER BY ALL ASC NULLS FIRST LIMIT 10")(
+        lambda spark, sf_dir: (lambda raw: raw.orderBy(*[F.col(c).asc_nulls_first() for c in raw.columns]).limit(10))(_bronze(ch)(spark, sf_dir))
+    )
+
+
 for _ch in CHANNELS:
     _reg_channel_quality(_ch)
 
@@ -473,6 +479,64 @@ for _p, _suffix in ((PROFILE_A, ""), (PROFILE_B, "_b")):
             )
 
 
+# --- sinks and sources: written, read back (S2-S6, S8) ---------------------------
+import uuid  # noqa: E402
+
+from pulsegrid.session import ensure_checkpoint_dir  # noqa: E402
+from pulsegrid.sources import layers as LY  # noqa: E402
+from pulsegrid.sources import sinks as SK  # noqa: E402
+from pulsegrid.sources import tables as TB  # noqa: E402
+
+
+def _fresh_path(spark, tag: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@register("layer_round_trip", O.ctes("silver_email") + "SELECT * FROM silver_email")
+def layer_round_trip(spark, sf_dir):
+    """The email log as version 1, its silver layer as version 2 of one table."""
+    path = _fresh_path(spark, "layer")
+    LY.replace_layer(_bronze("email")(spark, sf_dir), path)
+    LY.replace_layer(SV.silver(spark, sf_dir, "email"), path)
+    return LY.read_layer(spark, path)
+
+
+@register("layer_pinned", O.ctes("bronze_email") + "SELECT * FROM bronze_email")
+def layer_pinned(spark, sf_dir):
+    """A reader pinned to version 1 keeps it after the table was replaced."""
+    path = _fresh_path(spark, "layer")
+    LY.replace_layer(_bronze("email")(spark, sf_dir), path)
+    LY.replace_layer(SV.silver(spark, sf_dir, "email"), path)
+    return LY.read_layer(spark, path, version=1)
+
+
+@register("csv_typed_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def csv_typed_round_trip(spark, sf_dir):
+    path = _fresh_path(spark, "csv")
+    rows = TB.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    SK.write_csv(rows, path)
+    return TB.read_csv_typed(spark, path, rows.schema).drop("_corrupt_record")
+
+
+@register("csv_raw_round_trip", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer")
+def csv_raw_round_trip(spark, sf_dir):
+    path = _fresh_path(spark, "csv")
+    SK.write_csv(TB.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), path)
+    return TB.read_csv_raw(spark, path)
+
+
+# --- leak-free normalisation (J10 and the option of SURVEY 7.1) -------------------
+from pulsegrid.operators import asof as AO  # noqa: E402
+
+ASOF_DATES = [d for d, _ in PROFILE_A.all_dates()]
+
+
+@register("features_normalized_asof", O.asof_sql(ASOF_DATES, CFG.data_start))
+def features_normalized_asof(spark, sf_dir):
+    found = cut_lineage(AO.features_asof(silvers(spark, sf_dir), master_ids(spark, sf_dir), ASOF_DATES, CFG.data_start))
+    return AO.features_normalized_asof(found)
+
+
 # --- scoring and metrics on deterministic propensities (M9-M24, M32, T6, W2, U2) -----
 from pulsegrid.operators import metrics as MT  # noqa: E402
 from pulsegrid.operators import scoring as SC  # noqa: E402
