@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.config import Profile
 from pulsegrid.functions.cleaning import coerce_numeric
+from pulsegrid.operators.comoments import Moments, comoments
 from pulsegrid.session import ensure_checkpoint_dir
 
 NON_FEATURES = {"hcp_id", "snapshot_date", "split", "email_target", "web_target", "webinar_target", "veeva_target"}
@@ -51,11 +53,8 @@ def coerce_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fit_standardizer(train: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float]]:
     """M2: mean and population std per feature from the train rows (std 0 -> 1)."""
-    r = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    means = [float(r[f"m{i}"] or 0.0) for i in range(len(cols))]
-    stds = [float(r[f"s{i}"] or 0.0) for i in range(len(cols))]
-    return means, [s if s > 0 else 1.0 for s in stds]
+    m = comoments(train, cols)
+    return m.mean.tolist(), m.deviations().tolist()
 
 
 def standardized_vector(cols: Sequence[str], means: Sequence[float], stds: Sequence[float]) -> Column:
@@ -64,19 +63,27 @@ def standardized_vector(cols: Sequence[str], means: Sequence[float], stds: Seque
 
 def history_score(train: DataFrame, frames: DataFrame, cols: Sequence[str], touch_col: str = "total_touchpoints") -> DataFrame:
     """M2-M5: standardise (train stats), PC1 (train fit), orient by correlation with
-    total touchpoints, scale to 0-100 by the train range and clip."""
-    means, stds = fit_standardizer(train, cols)
-    z = standardized_vector(cols, means, stds)
-    pca = PCA(k=1, inputCol="_z", outputCol="_pc").fit(train.select(z.alias("_z")))
-    pc = vector_to_array(F.col("_pc"))[0]
-    tr = pca.transform(train.select(z.alias("_z"), F.col(touch_col))).select(pc.alias("pc1"), touch_col)
-    st = tr.agg(F.corr("pc1", touch_col).alias("c")).first()
-    sign = -1.0 if (st["c"] is not None and st["c"] < 0) else 1.0
-    rng = tr.agg(F.min(F.col("pc1") * sign).alias("lo"), F.max(F.col("pc1") * sign).alias("hi")).first()
-    lo, hi = float(rng["lo"]), float(rng["hi"])
-    out = pca.transform(frames.withColumn("_z", z)).withColumn("_pc1", pc * F.lit(sign)).drop("_z", "_pc")
-    scaled = (F.col("_pc1") - F.lit(lo)) / F.lit(hi - lo if hi != lo else 1.0) * 100.0
-    return out.withColumn("hist_score", F.least(F.greatest(scaled, F.lit(0.0)), F.lit(100.0))).drop("_pc1")
+    total touchpoints, scale to 0-100 by the train range and clip.
+
+    Standardisation, PC1 and its sign come from one pass over the train rows
+    (``comoments``), the range of PC1 from a second."""
+    every = [*cols, *([] if touch_col in cols else [touch_col])]
+    fitted = fit_history(train, cols, every, touch_col)
+    pc1 = reduce(lambda a, b: a + b, [(F.col(c) - F.lit(float(m))) * F.lit(float(w)) for c, m, w in zip(cols, fitted["means"], fitted["weights"])])
+    rng = train.agg(F.min(pc1).alias("lo"), F.max(pc1).alias("hi")).first()
+    lo, hi = float(rng["lo"] or 0.0), float(rng["hi"] or 0.0)
+    scaled = (pc1 - F.lit(lo)) / F.lit(hi - lo if hi != lo else 1.0) * 100.0
+    return frames.withColumn("hist_score", F.least(F.greatest(scaled, F.lit(0.0)), F.lit(100.0)))
+
+
+def fit_history(train: DataFrame, cols: Sequence[str], every: Sequence[str], touch_col: str) -> dict:
+    """Means, weights (signed loading by deviation) and explained variance ratio of PC1."""
+    m = comoments(train, every)
+    d = len(cols)
+    inner = Moments(m.n, m.mean[:d], m.products[:d, :d], m.low[:d], m.high[:d])
+    loadings, share = inner.first_component()
+    sign = -1.0 if float(loadings @ m.correlations()[:d, list(every).index(touch_col)]) < 0 else 1.0
+    return {"means": inner.mean, "weights": sign * loadings / inner.deviations(), "explained": share, "rows": m.n, "varying": int((inner.low < inner.high).sum())}
 
 
 def train_gbt(train: DataFrame, cols: Sequence[str], label: str, p: Profile, n_trees: int = 100, seed: int = 42):

@@ -527,6 +527,7 @@ def csv_raw_round_trip(spark, sf_dir):
 
 # --- leak-free normalisation (J10 and the option of SURVEY 7.1) -------------------
 from pulsegrid.operators import asof as AO  # noqa: E402
+from pulsegrid.operators import comoments as CM  # noqa: E402
 
 ASOF_DATES = [d for d, _ in PROFILE_A.all_dates()]
 
@@ -1208,6 +1209,55 @@ def _standardize_sql() -> str:
     )
 
 
+def _train_features(spark, sf_dir):
+    snap = snapshot_table(spark, sf_dir, PA, with_norm=True, with_labels=False)
+    cols = ML.feature_columns(snap)
+    return cut_lineage(ML.coerce_features(snap, cols).where(F.col("split") == "train").select(*cols)), cols
+
+
+def _q_feature_correlation(spark, sf_dir):
+    """M3: correlations of all feature pairs over the train rows, from one pass."""
+    train, cols = _train_features(spark, sf_dir)
+    r = CM.comoments(train, cols).correlations()
+    rows = [(a, b, float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if a <= b]
+    return spark.createDataFrame(rows, "a string, b string, r double").select("a", "b", (F.round(F.col("r") + 0.0, 6) + F.lit(0.0)).alias("r"))
+
+
+def _q_explained_variance(spark, sf_dir):
+    """M3: the share of variance that the first component explains."""
+    train, cols = _train_features(spark, sf_dir)
+    f = ML.fit_history(train, cols, cols, "total_touchpoints")
+    return spark.createDataFrame([(f["rows"], f["varying"], f["explained"])], "n long, varying long, ratio double").select("n", "varying", F.round("ratio", 5).alias("ratio"))
+
+
+def _correlation_ctes() -> str:
+    full = O.snapshot_sql(PA, with_norm=True, with_labels=False)
+    head, _, last = full.rpartition("\nSELECT * FROM ")
+    return (
+        f"WITH RECURSIVE {head.removeprefix('WITH ')},\n"
+        f"train_values AS MATERIALIZED (SELECT row_number() OVER () AS rid, COALESCE(CAST(COLUMNS(lambda c: c NOT IN ('hcp_id', 'snapshot_date', 'split')) AS DOUBLE), 0.0) FROM {last} WHERE split = 'train'),\n"
+        "long_values AS MATERIALIZED (UNPIVOT train_values ON COLUMNS(* EXCLUDE (rid)) INTO NAME feature VALUE v),\n"
+        "spread AS (SELECT feature, AVG(v) AS m, CASE WHEN MIN(v) = MAX(v) THEN NULL ELSE STDDEV_POP(v) END AS s FROM long_values GROUP BY feature),\n"
+        "unit AS MATERIALIZED (SELECT rid, feature, COALESCE((v - m) / s, 0.0) AS z, s FROM long_values JOIN spread USING (feature)),\n"
+        "pairs AS MATERIALIZED (SELECT x.feature AS a, y.feature AS b, AVG(x.z * y.z) AS r FROM unit x JOIN unit y ON x.rid = y.rid GROUP BY x.feature, y.feature)"
+    )
+
+
+def _correlation_sql() -> str:
+    return _correlation_ctes() + f"\nSELECT a, b, {O.rnd('r', 6)} + 0.0 AS r FROM pairs WHERE a <= b"
+
+
+def _explained_sql() -> str:
+    """Power iteration on the correlations."""
+    return _correlation_ctes() + (
+        ",\nsteps AS (SELECT 0 AS k, feature AS a, CAST(1.0 AS DOUBLE) AS x, CAST(0.0 AS DOUBLE) AS size FROM spread UNION ALL\n"
+        "SELECT k, a, x / size, size FROM (SELECT k, a, x, SQRT(SUM(x * x) OVER ()) AS size FROM ("
+        "SELECT s.k + 1 AS k, p.a, SUM(p.r * s.x) AS x FROM pairs p JOIN steps s ON s.a = p.b WHERE s.k < 200 GROUP BY s.k, p.a)))\n"
+        "SELECT (SELECT COUNT(*) FROM train_values) AS n, (SELECT COUNT(s) FROM spread) AS varying, "
+        f"{O.rnd('(SELECT MAX(size) FROM steps WHERE k = 200) / (SELECT COUNT(s) FROM spread)', 5)} AS ratio"
+    )
+
+
 def _q_dashboard_flat(spark, sf_dir):
     """The dashboard object with its nested fields spread into columns."""
     d = SE.dashboard(gold_table(spark, sf_dir), bronze_master(spark, sf_dir))
@@ -1266,4 +1316,6 @@ register(
     + O.snapshot_sql(PA, with_norm=True, with_labels=False).rpartition("\nSELECT * FROM ")[2],
 )(_q_matrix_sanity)
 register("standardize", _standardize_sql())(_q_standardize)
+register("feature_correlation", _correlation_sql())(_q_feature_correlation)
+register("explained_variance", _explained_sql())(_q_explained_variance)
 register("driver_phrases")(_q_driver_phrases)
