@@ -7,7 +7,9 @@ collected; the caller decides whether to show, write or assert.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.cleaning import any_negative, exact_avg, ratio
@@ -165,3 +167,30 @@ def session_validation(silver_web: DataFrame) -> DataFrame:
 
 def silver_null_report(silver: DataFrame, spec: ChannelSpec) -> DataFrame:
     return null_counts(silver, [spec.key, "hcp_id", spec.gate_type, spec.ts])
+
+
+def scalar_checks(spec: ChannelSpec) -> list[Column]:
+    """Every scalar check of a silver log that needs no distinct count: rows,
+    NULLs of the gate columns, rows with a negative value, first and last
+    activity, and rows per category column that name no value (A12, A17, F5)."""
+    checks = [F.count(F.lit(1)).alias("total_rows")]
+    checks += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in dict.fromkeys((spec.key, "hcp_id", spec.gate_type, spec.ts))]
+    if spec.non_negative:
+        checks.append(F.count_if(any_negative(spec.non_negative)).alias("negative_values"))
+    checks += [F.min(spec.ts).alias("first_activity"), F.max(spec.ts).alias("last_activity")]
+    checks += [F.count_if(F.col(c).isNull()).alias(f"unnamed_{c}") for c in spec.categories]
+    return checks
+
+
+def observed(df: DataFrame, checks: list[Column], write: Callable[[DataFrame], object]) -> DataFrame:
+    """``write(df)`` once, with ``checks`` computed on the rows as they are written:
+    one row of their results, equal to ``df.agg(*checks)`` without another scan.
+
+    The checks sit above the last shuffle, so their sums come from the writing
+    tasks and a task that is run again counts once."""
+    empty = df.limit(0).agg(*checks)
+    watch = Observation()
+    write(df.observe(watch, *checks))
+    got = watch.get
+    nothing = {} if got else empty.first().asDict()  # a plan proved empty reports no metrics
+    return df.sparkSession.createDataFrame([tuple(got.get(c, nothing.get(c)) for c in empty.columns)], empty.schema)

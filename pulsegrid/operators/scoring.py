@@ -49,6 +49,33 @@ def rate_propensities(snap: DataFrame) -> DataFrame:
     )
 
 
+#: Snapshot columns that a rate propensity is made of, by channel label.
+RATE_DRIVERS = {
+    "Email": ("email_open_rate",),
+    "Website": ("web_content_views", "web_downloads", "web_video_completes"),
+    "Webinar": ("event_attendance_rate",),
+    "Sales Rep": ("veeva_completion_rate",),
+}
+RATE_PARTS = RATE_DRIVERS["Website"]
+
+
+def rate_reason(gold: DataFrame) -> DataFrame:
+    """Gold rows with ``recommended_reason`` (profile A's sentences) for rate
+    propensities: the driver is the rate itself, for the website the largest of
+    the counts in it (ties: the first). Needs the columns ``RATE_PARTS``."""
+    from pulsegrid.functions.reasons import phrase_a, reason_a
+
+    channel, most = F.col("next_best_channel"), F.greatest(*RATE_PARTS)
+    probs = ("email_probability", "website_probability", "webinar_probability", "sales_rep_probability")
+    exact = F.coalesce(*[F.when(channel == c, F.col(p)) for c, p in zip(RATE_DRIVERS, probs)]).cast("decimal(9,4)")
+    prob = F.round(exact * 100, 1).cast("double") / 100  # rounded as a decimal: the sentence prints one digit
+    driver = F.coalesce(*[
+        F.when((channel == c) & (F.lit(len(parts) == 1) | (F.col(part) == most if len(parts) > 1 else F.lit(True))), part)
+        for c, parts in RATE_DRIVERS.items() for part in parts
+    ])
+    return gold.withColumn("recommended_reason", reason_a(channel, prob, F.col("engagement_level"), F.array(phrase_a(driver))))
+
+
 def minmax_0_100(col: str, lo: float, hi: float) -> Column:
     """M5: (x - lo) / (hi - lo) * 100 clipped to [0, 100] (lo/hi fitted on train)."""
     if hi == lo:

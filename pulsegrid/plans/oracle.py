@@ -869,3 +869,30 @@ def serving_sql(final: str, extra: dict[str, str] | None = None) -> str:
     head = full[: full.rindex("\nSELECT * FROM gold")]
     more = "".join(f",\n{k} AS ({v})" for k, v in (extra or {}).items())
     return f"{head}{more}\n{final}"
+
+
+def _reasons_sql() -> str:
+    """(hcp_id, recommended_reason) of the gold rows: see ``scoring.rate_reason``."""
+    from pulsegrid.functions.reasons import PHRASES_A
+    from pulsegrid.operators.scoring import RATE_DRIVERS, RATE_PARTS
+
+    probs = ("email_probability", "website_probability", "webinar_probability", "sales_rep_probability")
+    prob = "CASE g.next_best_channel " + " ".join(f"WHEN '{c}' THEN g.{p}" for c, p in zip(RATE_DRIVERS, probs)) + " END"
+    pct = f"CAST(ROUND(CAST({prob} AS DECIMAL(9, 4)) * 100, 1) AS DECIMAL(9, 1))"
+    most = f"GREATEST({', '.join('s.' + c for c in RATE_PARTS)})"
+    web = " ".join(f"WHEN s.{c} = {most} THEN '{PHRASES_A[c]}'" for c in RATE_PARTS)
+    driver = "CASE " + " ".join(
+        f"WHEN g.next_best_channel = '{c}' THEN " + (f"'{PHRASES_A[parts[0]]}'" if len(parts) == 1 else f"CASE {web} END") for c, parts in RATE_DRIVERS.items()
+    ) + " END"
+    # The sentences of functions.reasons.reason_a.
+    return (
+        "SELECT hcp_id, CASE engagement_level WHEN 'High' THEN 'Since this HCP is highly engaged overall, ' || c || ' is the ideal next step (' || pct || "
+        "'% likelihood), driven largely by their ' || d || '.' "
+        "WHEN 'Medium' THEN 'We recommend reaching out via ' || c || ' (' || pct || '% likelihood). The model selected this channel primarily due to the HCP''s ' || d || '.' "
+        "ELSE 'To build momentum with this lower-engagement HCP, ' || c || ' is the safest bet (' || pct || '% likelihood), which strongly aligns with their ' || d || '.' END AS recommended_reason "
+        f"FROM (SELECT g.hcp_id, g.engagement_level, g.next_best_channel AS c, CAST({pct} AS VARCHAR) AS pct, {driver} AS d "
+        "FROM gold g JOIN snap_final s ON g.hcp_id = s.hcp_id AND s.split = 'current')"
+    )
+
+
+REASONS_SQL = _reasons_sql()

@@ -185,6 +185,20 @@ def _reg_channel_quality(ch: str) -> None:
         + " OR ".join(f"{c} < 0" for c in negs),
     )(lambda spark, sf_dir: Q.negative_rows(feat_df(spark, sf_dir), negs, f"invalid_{lab}_records"))
 
+    def observed_checks(spark, sf_dir):
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/observed-{uuid.uuid4().hex}"
+        return Q.observed(silver_df(spark, sf_dir), Q.scalar_checks(spec), lambda df: df.write.parquet(path))
+
+    nulls = list(dict.fromkeys(ncols))
+    register(
+        f"observed_quality_{ch}",
+        O.ctes(sv) + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, "
+        + ", ".join(f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_{c}" for c in nulls)
+        + "".join(f", CAST(COUNT(*) FILTER (WHERE {' OR '.join(f'{c} < 0' for c in spec.non_negative)}) AS BIGINT) AS negative_values" for _ in spec.non_negative[:1])
+        + f", MIN({spec.ts}) AS first_activity, MAX({spec.ts}) AS last_activity"
+        + "".join(f", CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS unnamed_{c}" for c in spec.categories) + f" FROM {sv}",
+    )(observed_checks)
+
     if spec.non_negative:
         nn = list(spec.non_negative)
         register(
@@ -548,10 +562,10 @@ TARGET_OF = dict(zip(SC.PROBS, SC.TARGETS))
 CHANNEL_NAME = dict(zip(SC.TARGETS, ["Email", "Website", "Webinar", "Sales Rep"]))
 
 
-def score_snapshot_frame(snap, p=PA, checkpoint: bool = True):
+def score_snapshot_frame(snap, p=PA, checkpoint: bool = True, keep=()):
     """Rate propensities, train-fitted history score and predicted score on snapshot rows."""
     df = SC.rate_propensities(snap).select(
-        "hcp_id", "snapshot_date", "split", "total_touchpoints", *SC.PROBS, *SC.TARGETS
+        "hcp_id", "snapshot_date", "split", "total_touchpoints", *SC.PROBS, *SC.TARGETS, *keep
     )
     if checkpoint:
         df = cut_lineage(df)
@@ -705,8 +719,9 @@ def fitted_scoring(spark, sf_dir, p=PA, scored=None):
     return df, (wh, wp), (q33, q66), base
 
 
-def final_scores(spark, sf_dir, p=PA, scored=None):
-    """Deterministic gold table for the current snapshot (one row per entity)."""
+def final_scores(spark, sf_dir, p=PA, scored=None, keep=()):
+    """Deterministic gold table for the current snapshot (one row per entity), and
+    the snapshot columns ``keep``."""
     df, (wh, wp), (q33, q66), base = fitted_scoring(spark, sf_dir, p, scored)
     cur = df.where(F.col("split") == "current").withColumn(
         "hybrid_score", SC.hybrid_score("hist_score", "pred_score", wh, wp, clip=p.clip_scores))
@@ -722,6 +737,7 @@ def final_scores(spark, sf_dir, p=PA, scored=None):
         F.round("p_webinar", 4).alias("webinar_probability"),
         F.round("p_rep", 4).alias("sales_rep_probability"),
         SC.next_best_channel(vals, SC.channel_labels(p.rep_label)).alias("next_best_channel"),
+        *keep,
     )
 
 
@@ -804,7 +820,9 @@ register("tier_cuts_b", O.scoring_sql("tier_cuts", PROFILE_B))(_tier_cuts_b)
 
 # --- serving (A27-A33, F7-F9, F11, J13, S7, S10-S13, T3, P19-P22) ---------------------
 from pulsegrid.functions import cleaning as CL  # noqa: E402
+from pulsegrid.operators import search_index as SI  # noqa: E402
 from pulsegrid.operators import serving as SE  # noqa: E402
+from pulsegrid.sources import blocks as BL  # noqa: E402
 from pulsegrid.sources.adapters import BRONZE  # noqa: E402
 
 _WRITTEN: dict = {}
@@ -833,20 +851,42 @@ def written(spark, sf_dir, name: str, build):
 def gold_table(spark, sf_dir):
     """The deterministic gold score table with its reasons, written once to the
     shared folder for the serving queries (see ``written``)."""
-    return written(spark, sf_dir, "gold", lambda: cut_lineage(final_scores(spark, sf_dir)))
+
+    def build():
+        parts = SC.RATE_PARTS
+        scored = score_snapshot_frame(snapshot_table(spark, sf_dir, PA, with_norm=False, with_labels=True), PA, keep=parts)
+        return cut_lineage(SC.rate_reason(final_scores(spark, sf_dir, scored=scored, keep=parts)).drop(*parts))
+
+    return written(spark, sf_dir, "gold", build)
 
 
 def _dir(spark, sf_dir):
     return SE.directory(bronze_master(spark, sf_dir), gold_table(spark, sf_dir))
 
 
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def directory_blocks(spark, sf_dir):
+    """The directory in blocks by entity, counts kept per tier and channel."""
+    return written(spark, sf_dir, "directory_blocks", lambda: BL.write_blocks(
+        _dir(spark, sf_dir), _folder(spark, "directory"), "hcp_id", facets=["engagement_level", "next_best_channel"]))
+
+
+def directory_index(spark, sf_dir):
+    """The posting lists of the directory."""
+    return written(spark, sf_dir, "directory_index", lambda: SI.write_index(directory_blocks(spark, sf_dir), _folder(spark, "grams")))
+
+
 DIR_SQL = (
     "SELECT p.hcp_id, p.first_name, p.last_name, p.specialty, p.sub_specialty, p.organization_type, p.city, p.state, "
     "p.country, p.hcp_status, p.preferred_language, g.historical_engagement_score, g.predicted_engagement_score, "
     "g.hybrid_engagement_score, g.engagement_level, g.email_probability, g.website_probability, g.webinar_probability, "
-    "g.sales_rep_probability, g.next_best_channel, CAST(NULL AS VARCHAR) AS recommended_reason "
-    "FROM bronze_master p LEFT JOIN gold g ON p.hcp_id = g.hcp_id"
+    "g.sales_rep_probability, g.next_best_channel, r.recommended_reason "
+    "FROM bronze_master p LEFT JOIN gold g ON p.hcp_id = g.hcp_id LEFT JOIN reasons r ON p.hcp_id = r.hcp_id"
 )
+DIR = {"reasons": O.REASONS_SQL, "dir": DIR_SQL}
 _BUCKET_SQL = ("CASE WHEN hybrid_engagement_score <= 20 THEN '0-20' WHEN hybrid_engagement_score <= 40 THEN '21-40' "
                "WHEN hybrid_engagement_score <= 60 THEN '41-60' WHEN hybrid_engagement_score <= 80 THEN '61-80' ELSE '81-100' END")
 _ALLOC_CTE = {
@@ -897,30 +937,39 @@ register("dashboard")(lambda spark, sf_dir: SE.dashboard(gold_table(spark, sf_di
 register(
     "search_directory",
     O.serving_sql("SELECT * FROM dir WHERE first_name ILIKE '%furn%' OR last_name ILIKE '%furn%' OR hcp_id ILIKE '%furn%' "
-                  "OR specialty ILIKE '%furn%' ORDER BY hcp_id LIMIT 50 OFFSET 0", {"dir": DIR_SQL}),
-)(lambda spark, sf_dir: SE.search_directory(_dir(spark, sf_dir), "furn", 0, 50))
+                  "OR specialty ILIKE '%furn%' ORDER BY hcp_id LIMIT 50 OFFSET 0", DIR),
+)(lambda spark, sf_dir: SI.search(directory_index(spark, sf_dir), "furn", 0, 50))
 register(
     "search_directory_page2",
-    O.serving_sql("SELECT * FROM dir ORDER BY hcp_id LIMIT 50 OFFSET 50", {"dir": DIR_SQL}),
-)(lambda spark, sf_dir: SE.search_directory(_dir(spark, sf_dir), None, 50, 50))
+    O.serving_sql("SELECT * FROM dir ORDER BY hcp_id LIMIT 50 OFFSET 50", DIR),
+)(lambda spark, sf_dir: BL.page_of(directory_blocks(spark, sf_dir), 50, 50))
 register(
     "suggest",
     O.serving_sql("SELECT hcp_id, first_name, last_name, specialty FROM dir WHERE first_name ILIKE '%bu%' OR last_name ILIKE '%bu%' "
-                  "OR hcp_id ILIKE '%bu%' OR specialty ILIKE '%bu%' ORDER BY hcp_id LIMIT 8", {"dir": DIR_SQL}),
-)(lambda spark, sf_dir: SE.suggest(_dir(spark, sf_dir), "bu"))
-register("lookup_entity", O.serving_sql("SELECT * FROM dir WHERE hcp_id = '42'", {"dir": DIR_SQL}))(
-    lambda spark, sf_dir: SE.lookup_entity(_dir(spark, sf_dir), "42")
+                  "OR hcp_id ILIKE '%bu%' OR specialty ILIKE '%bu%' ORDER BY hcp_id LIMIT 8", DIR),
+)(lambda spark, sf_dir: SI.suggest(directory_index(spark, sf_dir), "bu"))
+register("lookup_entity", O.serving_sql("SELECT * FROM dir WHERE hcp_id = '42'", DIR))(
+    lambda spark, sf_dir: BL.lookup(directory_blocks(spark, sf_dir), "42")
 )
+_SHOWN = ("replace(replace(lower(COALESCE(next_best_channel, '')), '_', ''), ' ', '') = 'salesrep' AND lower(COALESCE(engagement_level, '')) = 'high'")
+register("filter_directory_page", O.serving_sql(f"SELECT * FROM dir WHERE {_SHOWN} ORDER BY hcp_id LIMIT 20 OFFSET 20", DIR))(
+    lambda spark, sf_dir: BL.page_of(directory_blocks(spark, sf_dir), 20, 20, SE._filter_cond("Sales_Rep", "high"))
+)
+register(
+    "filter_directory_meta",
+    O.serving_sql(f"SELECT 2 AS page, 20 AS \"limit\", CAST(COUNT(*) AS BIGINT) AS total_records, CAST((COUNT(*) + 19) // 20 AS BIGINT) AS total_pages, "
+                  f"2 < (COUNT(*) + 19) // 20 AS has_next, TRUE AS has_previous FROM dir WHERE {_SHOWN}", DIR),
+)(lambda spark, sf_dir: BL.page_meta(directory_blocks(spark, sf_dir), 2, 20, SE._filter_cond("Sales_Rep", "high")))
 register(
     "filter_directory",
     O.serving_sql("SELECT * FROM dir WHERE replace(replace(lower(COALESCE(next_best_channel, '')), '_', ''), ' ', '') = 'salesrep' "
-                  "AND lower(COALESCE(engagement_level, '')) = 'high'", {"dir": DIR_SQL}),
+                  "AND lower(COALESCE(engagement_level, '')) = 'high'", DIR),
 )(lambda spark, sf_dir: SE.filter_directory(_dir(spark, sf_dir), "Sales_Rep", "high"))
 register(
     "filter_counts",
     O.serving_sql("SELECT CAST(COUNT(*) FILTER (WHERE replace(replace(lower(COALESCE(next_best_channel, '')), '_', ''), ' ', '') = 'salesrep' "
                   "AND lower(COALESCE(engagement_level, '')) = 'high') AS BIGINT) AS shown, CAST(COUNT(*) AS BIGINT) AS total FROM dir",
-                  {"dir": DIR_SQL}),
+                  DIR),
 )(lambda spark, sf_dir: SE.filter_counts(_dir(spark, sf_dir), "Sales_Rep", "high"))
 register(
     "directory_extract",
@@ -928,11 +977,17 @@ register(
                   "CASE WHEN hybrid_engagement_score IS NOT NULL AND hybrid_engagement_score <> 0 "
                   "THEN CAST(CAST(ROUND(hybrid_engagement_score) AS BIGINT) AS VARCHAR) || '%' ELSE 'N/A' END AS engagement_score, "
                   "COALESCE(next_best_channel, 'N/A') AS next_best_channel, "
-                  "concat_ws(', ', NULLIF(trim(city), ''), NULLIF(trim(state), ''), NULLIF(trim(country), '')) AS location FROM dir", {"dir": DIR_SQL}),
+                  "concat_ws(', ', NULLIF(trim(city), ''), NULLIF(trim(state), ''), NULLIF(trim(country), '')) AS location FROM dir", DIR),
 )(lambda spark, sf_dir: SE.directory_extract(_dir(spark, sf_dir)))
-register("predictions_head", O.serving_sql("SELECT * FROM gold ORDER BY hcp_id LIMIT 100"))(
-    lambda spark, sf_dir: gold_table(spark, sf_dir).orderBy("hcp_id").limit(100)
-)
+def gold_blocks(spark, sf_dir):
+    """The gold table in blocks by entity: its head reads the first block."""
+    return written(spark, sf_dir, "gold_blocks", lambda: BL.write_blocks(gold_table(spark, sf_dir), _folder(spark, "gold"), "hcp_id"))
+
+
+register(
+    "predictions_head",
+    O.serving_sql("SELECT g.*, r.recommended_reason FROM gold g JOIN reasons r ON g.hcp_id = r.hcp_id ORDER BY g.hcp_id LIMIT 100", {"reasons": O.REASONS_SQL}),
+)(lambda spark, sf_dir: BL.page_of(gold_blocks(spark, sf_dir), 0, 100))
 
 DISPLAY = [
     ("hcp_id", "HCP_ID"), ("historical_engagement_score", "Historical_Engagement_Score"),
@@ -941,31 +996,34 @@ DISPLAY = [
     ("website_probability", "Website_Probability"), ("webinar_probability", "Webinar_Probability"),
     ("sales_rep_probability", "Sales_Rep_Probability"), ("next_best_channel", "Next_Best_Channel"),
 ]
+GOLD_DISPLAY = [*DISPLAY, ("recommended_reason", "Recommended_Reason")]
 
 
 def final_output(spark, sf_dir):
     """M29 layout (display column names) of the gold scores."""
-    return gold_table(spark, sf_dir).select(*[F.col(a).alias(b) for a, b in DISPLAY])
+    return gold_table(spark, sf_dir).select(*[F.col(a).alias(b) for a, b in GOLD_DISPLAY])
 
 
-register("final_output", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b}" for a, b in DISPLAY) + " FROM gold"))(final_output)
-register("export_lowercase", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b.lower()}" for a, b in DISPLAY) + " FROM gold"))(
+_GOLD_REASONS = "gold JOIN (SELECT hcp_id AS _id, recommended_reason FROM reasons) ON hcp_id = _id"
+register("final_output", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b}" for a, b in GOLD_DISPLAY) + f" FROM {_GOLD_REASONS}", {"reasons": O.REASONS_SQL}))(final_output)
+register("export_lowercase", O.serving_sql("SELECT " + ", ".join(f"{a} AS {b.lower()}" for a, b in GOLD_DISPLAY) + f" FROM {_GOLD_REASONS}", {"reasons": O.REASONS_SQL}))(
     lambda spark, sf_dir: SE.export_lowercase(final_output(spark, sf_dir))
 )
 
 
-def _page(spark, sf_dir):
-    return SE.paginate(SV.silver(spark, sf_dir, "email"), "email_event_id", 3, 1000)
+def email_blocks(spark, sf_dir):
+    """The silver email log in blocks by event id."""
+    return written(spark, sf_dir, "email_blocks", lambda: BL.write_blocks(SV.silver(spark, sf_dir, "email"), _folder(spark, "email"), "email_event_id"))
 
 
 register("paginate", O.ctes("silver_email") + "SELECT * FROM silver_email ORDER BY email_event_id LIMIT 1000 OFFSET 2000")(
-    lambda spark, sf_dir: _page(spark, sf_dir)[0]
+    lambda spark, sf_dir: BL.page_of(email_blocks(spark, sf_dir), 2000, 1000)
 )
 register(
     "paginate_meta",
     O.ctes("silver_email") + "SELECT 3 AS page, 1000 AS \"limit\", CAST(COUNT(*) AS BIGINT) AS total_records, "
     "CAST((COUNT(*) + 999) // 1000 AS BIGINT) AS total_pages, 3 < (COUNT(*) + 999) // 1000 AS has_next, TRUE AS has_previous FROM silver_email",
-)(lambda spark, sf_dir: _page(spark, sf_dir)[1])
+)(lambda spark, sf_dir: BL.page_meta(email_blocks(spark, sf_dir), 3, 1000))
 register(
     "dataset_counts",
     O.ctes(*[f"bronze_{c}" for c in CHANNELS]) + " UNION ALL ".join(
@@ -1282,17 +1340,22 @@ register(
 
 def _q_model_invariants(spark, sf_dir):
     """What must hold for any fitted models: one explained row per entity,
-    probabilities in [0, 1], scores in [0, 100], attributions that add up."""
+    probabilities in [0, 1], scores in [0, 100], attributions and base that add up
+    to the probability which the fitted ensemble itself gives."""
     r = model_run(spark, sf_dir)
     probs = ["email_probability", "website_probability", "webinar_probability", "sales_rep_probability"]
     g, s, a = r["gold"], r["scored"], model_attributions(spark, sf_dir)
+    raw = F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"_raw_{t}").alias("p")) for t in SC.TARGETS])
+    told = s.where(F.col("split") == "current").select("hcp_id", F.inline(raw))
+    a = a.join(told, ["hcp_id", "target"], "full")  # a missing side counts as bad
     total = F.aggregate("attr", F.lit(0.0), lambda x, y: x + y) + F.col("base")
+    off = F.abs(F.lit(1.0) / (F.lit(1.0) + F.exp(-total)) - F.col("p")) > 1e-9
     parts = g.select(
         F.lit(1).alias("rows"), (~F.expr(" AND ".join(f"{p} BETWEEN 0 AND 1" for p in probs))).cast("int").alias("bad_probability"),
         F.coalesce(F.length("recommended_reason") == 0, F.lit(True)).cast("int").alias("no_reason"),
     ).unionByName(
         s.select((~F.col("hist_score").between(0, 100)).cast("int").alias("bad_history")), allowMissingColumns=True
-    ).unionByName(a.select((F.abs(total - F.col("logit")) > 1e-9).cast("int").alias("bad_sum")), allowMissingColumns=True)
+    ).unionByName(a.select(F.coalesce(off, F.lit(True)).cast("int").alias("bad_sum")), allowMissingColumns=True)
     return parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("rows", "bad_probability", "no_reason", "bad_history", "bad_sum")])
 
 
