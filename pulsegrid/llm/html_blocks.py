@@ -4,6 +4,7 @@ their tag path."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 #: Elements without an end tag; fixed values.
@@ -28,7 +29,11 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute after another: a whole name, and its value if it has one.
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_MARKED = frozenset("class id role".split())
+#: Elements that a trailing slash ends at once, and that nest.
+_FOREIGN = frozenset("svg math".split())
 _PART = re.compile(r"[a-z]+")
 
 
@@ -51,12 +56,32 @@ def _marks(name: str, rest: str) -> tuple[tuple[str, ...], bool]:
             if key == "hidden" or (key == "aria-hidden" and value == "true"):
                 hidden = True
             elif key == "style":
-                hidden = hidden or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
-            else:
+                hidden = hidden or bool(re.search(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", value))
+            elif key in _MARKED:
                 out += [f"c:{p}" for p in _PART.findall(value)]
     return tuple(out), hidden
 
 
+def _end_of(html: str, name: str, rest: str, at: int) -> int:
+    """Where an element ends whose content is not read as blocks, ``at`` being the
+    end of its start tag: at the matching end tag for foreign elements, at the
+    next end tag of its name for others, else at the end of the page."""
+    if name not in _FOREIGN:
+        end = re.compile(rf"</{name}(?![^\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
+        return end.end() if end else len(html)
+    if rest.rstrip().endswith("/"):
+        return at
+    depth = 1
+    for tag in re.compile(rf"<(/?){name}(?![^\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.I).finditer(html, at):
+        if tag[1]:
+            depth -= 1
+        elif not tag[2].rstrip().endswith("/"):
+            depth += 1
+        if not depth:
+            return tag.end()
+    return len(html)
+
+
 def blocks_of(html: str) -> list[Block]:
     """The non-empty blocks of a page in order. Unclosed, stray and cut-off tags
     are read as far as they go."""
@@ -64,6 +89,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...], bool]] = []  # name, features, hidden
     parts: list[str] = []
     linked = links = hidden = 0
+    opened: Counter = Counter()  # names on the stack: a stray end tag needs no search
 
     def flush() -> None:
         nonlocal linked
@@ -78,6 +104,7 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal links, hidden
         while len(stack) > at:
             name, _, hides = stack.pop()
+            opened[name] -= 1
             links -= name == "a"
             hidden -= hides
 
@@ -99,7 +126,7 @@ def blocks_of(html: str) -> list[Block]:
             continue
         name = name.lower()
         if m["end"] or m["end2"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1) if opened[name] else -1
             if name not in INLINE:
                 flush()
             if depth >= 0:
@@ -114,8 +141,7 @@ def blocks_of(html: str) -> list[Block]:
             continue
         rest = m["rest"] if m["rest"] is not None else m["rest2"] or ""
         if name in _RAW:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else n
+            at = _end_of(html, name, rest, at)
             continue
         if name not in INLINE:
             flush()
@@ -129,6 +155,7 @@ def blocks_of(html: str) -> list[Block]:
             rest = rest[:-1]
         marks, hides = _marks(name, rest)
         stack.append((name, marks, hides))
+        opened[name] += 1
         links += name == "a"
         hidden += hides
     flush()

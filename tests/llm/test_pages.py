@@ -173,3 +173,21 @@ def test_junk_hosts_without_a_seed_word_do_not_vouch_for_themselves(spark):
     blocked = [got[i].verdict == "block" for i in range(len(urls))]
     assert all(blocked[len(good) : -len(junk)]) and sum(blocked[-len(junk) :]) >= 0.9 * len(junk)
     assert sum(b for i, b in enumerate(blocked[: len(good)]) if got[i].rule is None) <= 0.01 * len(good)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<p>a</p><svg width="1"/><p>b</p>', ["a", "b"]),
+        ("<p>a</p><svg><svg><text>x</text></svg><text>y</text></svg><p>b</p>", ["a", "b"]),
+        ("<p>a</p><svg><svg/><g>x</g></svg><p>b</p>", ["a", "b"]),
+        ('<p>a</p><svg><path d="a>b"/></svg><math/><p>b</p>', ["a", "b"]),
+        ("<p>a</p><svg>cut off<p>b</p>", ["a"]),
+        ('<p data-hidden="x">a</p><p data-style="display:none">b</p>', ["a", "b"]),
+        ('<p title="style=display:none">a</p><p title="hidden">b</p>', ["a", "b"]),
+        ('<p hidden>a</p><p style="color:red; display: none">b</p><p aria-hidden=true>c</p><p>d</p>', ["d"]),
+        ("<script>var a = '</scripts>';</script><p>a</p>", ["a"]),
+    ],
+)
+def test_foreign_elements_and_whole_attribute_names(html, want):
+    assert [b.text for b in blocks_of(html)] == want
