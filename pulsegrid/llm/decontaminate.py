@@ -270,9 +270,9 @@ def _finder(shared, at: int, schema: pa.Schema):
                 for i in np.unique(last).tolist():
                     a, b = bounds[i], bounds[i + 1] - k + 1
                     if b > a and hit[a:b].any():
-                        out[i] = sorted(index.ids[x] for x in index.leaks(every[a:b], hit[a:b]))
+                        out[i] = sorted({index.ids[x] for x in index.leaks(every[a:b], hit[a:b])})
             for i, item in index.short_leaks(words, bounds):
-                out[i] = sorted([*out[i], item])
+                out[i] = sorted({*out[i], item})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], schema=schema)
 
     return run
@@ -292,7 +292,8 @@ def find_leaks(
     chunk: int = 10_000,
 ) -> DataFrame:
     """All columns of ``docs`` and ``name`` (replacing one of that name): the ascending ids of the items
-    found in the text (an empty list for a clean text); no shuffle."""
+    found in the text (an empty list for a clean text), each id once, also where items repeat an id or a
+    text; no shuffle. Ids of documents are not looked at: repeated and null ones keep their rows."""
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -314,8 +315,11 @@ def find_leaks(
         if first:
             out = docs.mapInArrow(_finder(index, at, arrow), schema)
         else:
-            fresh = T.StructType([*schema.fields, T.StructField("_more", T.ArrayType(T.LongType()))])
-            out = out.mapInArrow(_finder(index, at, to_arrow_schema(fresh)), fresh).withColumn(name, F.array_sort(F.array_union(name, "_more"))).drop("_more")
+            more_name = "_more"
+            while more_name.lower() in {c.lower() for c in out.columns}:
+                more_name += "_"
+            fresh = T.StructType([*schema.fields, T.StructField(more_name, T.ArrayType(T.LongType()))])
+            out = out.mapInArrow(_finder(index, at, to_arrow_schema(fresh)), fresh).withColumn(name, F.array_sort(F.array_union(name, more_name))).drop(more_name)
         first = False
         if not more:
             return out

@@ -242,3 +242,13 @@ def test_pipeline_stages(spark, make_docs, tmp_path):
     empty = make_docs([])
     for _, stage in P.STAGES:
         assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_repeated_items_count_once_in_any_number_of_passes(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    items = spark.createDataFrame([(1, prose(41, 20)), (1, prose(41, 20)), (2, prose(42, 20)), (2, prose(43, 20)), (3, prose(44, 20))], "item_id long, text string")
+    docs = make_docs([(1, prose(41, 20) + " " + prose(43, 20) + " " + prose(42, 20)), (2, prose(9, 60)), (1, prose(44, 20))]).withColumn("_more", F.lit("kept"))
+    for chunk in (10_000, 2, 1):
+        found = find_leaks(docs, items, chunk=chunk).collect()
+        assert sorted((x.doc_id, x.leaked_items, x["_more"]) for x in found) == [(1, [1, 2], "kept"), (1, [3], "kept"), (2, [], "kept")], chunk
