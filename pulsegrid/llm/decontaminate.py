@@ -3,24 +3,22 @@
 Each item gets a 64-bit SimHash of its weighted ``k``-word shingles (letter
 case and ASCII punctuation do not count). A document is compared by windows
 of exactly an item's number of words, at every word position; a text with
-fewer words is its one window (only by shared shingles, see below). Fingerprints
-are cut into 4 blocks of 16 bits; by the pigeonhole principle a pair within
-Hamming ``radius`` agrees in some block up to ``radius // 4`` bits, and the
-index holds every such neighbour of every item block, so all items within the
-radius are found. Candidates are verified by the exact weighted Jaccard
-similarity of the shingle multisets.
-
-Fingerprints of a pair at the similarity bound often differ in more bits than
-the radius, so they only find most leaks fast. Every other item is looked up by
-shared shingles: weights are within 1 and 2, so a window that reaches
-similarity t shares at least t / (2 - t) of an item's shingles (t of them if it
-has the item's size), and holds one of any 1 + n - ceil(n t / (2 - t)) of its n
-shingles; the rarest ones are indexed. This step loses nothing.
+fewer words is its one window. Fingerprints are cut into 8 blocks of 8 bits;
+by the pigeonhole principle a pair within Hamming ``radius`` agrees in some
+block up to ``radius // 8`` bits, and the index holds every such neighbour of
+every item block, so all items within the radius are found. Candidates are
+verified by the exact weighted Jaccard similarity of the shingle multisets.
 
 A shingle weighs 1 + idf / max idf over the items, between 1 and 2 (2 if no
-item has it). So a window that reaches similarity t shares at least t / 2 of
-its shingles with the items; windows with fewer are never hashed, which loses
-nothing.
+item has it). Fingerprints of a pair at similarity 0.8 differ in 10 of 64 bits
+on average and in 13 where the shared shingles are the light ones, so radius 23
+lies three standard deviations or more beyond; the tests measure recall against
+all windows of texts at that bound.
+
+With weights between 1 and 2, a window of m shingles that reaches similarity t
+with an item of n shares at least t (m + n) / 2 of them. Windows with fewer
+known shingles are never hashed, and candidates that share fewer with their
+item never weighed, which loses nothing.
 
 The item index is broadcast in chunks of at most ``chunk`` items; a larger
 benchmark takes several passes over the documents. Items with fewer than
@@ -34,7 +32,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +42,10 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import by_bytes, mix, shingle_hashes, string_views, word_hashes
 
 BATCH_BYTES = 1 << 21
+#: Blocks of a fingerprint and bits of each.
+BLOCKS, BLOCK_BITS = 8, 8
+#: Shingles of a text whose windows are hashed at once (or the longest item's, if more).
+SLICE = 1 << 14
 _MASK_BITS = 20
 
 
@@ -91,32 +92,17 @@ class ItemIndex:
             keys = np.array(list(s), np.uint64)
             prints.append(self.fingerprints(keys, np.array(list(s.values())) * self.weights(keys), np.array([0]), np.array([len(keys)]))[0])
         self.prints = np.array(prints, np.uint64)
-        near = neighbours(16, radius // 4)
+        self.keys = [np.array(sorted(s), np.uint64) for s in self.sets]
+        #: Per block: bounds of (number of words, value) in the list of item numbers.
+        near = neighbours(BLOCK_BITS, radius // BLOCKS)
+        kind = np.searchsorted(self.lengths, self.size_of) << BLOCK_BITS
         self.blocks = []
-        for b in range(4):
-            block = ((self.prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-            value = (block[:, None] ^ near[None, :]).ravel()
+        for b in range(BLOCKS):
+            block = ((self.prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+            value = (kind[:, None] | (block[:, None] ^ near[None, :])).ravel()
             order = np.argsort(value, kind="stable")
             item = np.repeat(np.arange(len(self.ids), dtype=np.int32), len(near))[order]
-            self.blocks.append((np.searchsorted(value[order], np.arange((1 << 16) + 1)).astype(np.int64), item))
-        self._index_rare(df)
-
-    def _index_rare(self, df: Counter) -> None:
-        """The rarest shingles of each item, of which a window that reaches the similarity holds one."""
-        keys, items = [], []
-        for j, s in enumerate(self.sets):
-            n = sum(s.values())
-            left = n + 1 - ceil(n * self.at_least / (2 - self.at_least) - 1e-9)
-            for x in sorted(s, key=lambda x: (df[x], x)):
-                if left <= 0:
-                    break
-                keys.append(x)
-                items.append(j)
-                left -= s[x]
-        order = np.argsort(np.array(keys, np.uint64), kind="stable")
-        self.rare, first = np.unique(np.array(keys, np.uint64)[order], return_index=True)
-        self.rare_bounds = np.append(first, len(keys)).astype(np.int64)
-        self.rare_items = np.array(items, np.int32)[order]
+            self.blocks.append((np.searchsorted(value[order], np.arange((len(self.lengths) << BLOCK_BITS) + 1)).astype(np.int64), item))
 
     def find_known(self, shingles: np.ndarray) -> np.ndarray:
         hit = self.mask[shingles >> np.uint64(64 - _MASK_BITS)]
@@ -175,85 +161,54 @@ class ItemIndex:
         gaps = np.flatnonzero(np.diff(places) > wide)
         for first, last in zip(places[np.concatenate([[0], gaps + 1])], places[np.concatenate([gaps, [len(places) - 1]])]):
             lo, hi = max(0, int(first) - wide), min(len(shingles), int(last) + wide + 1)
-            self._by_fingerprint(shingles[lo:hi], hit[lo:hi], found)
-            self._by_shared(shingles[lo:hi], hit[lo:hi], found)
+            for at in range(lo, hi, max(SLICE, wide)):
+                end = min(hi, at + max(SLICE, wide) + wide)
+                self._search(shingles[at:end], hit[at:end], found)
         return found
 
-    def _by_fingerprint(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
+    def _windows(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, kind of item length) of the windows with enough known shingles."""
         seen = np.concatenate([[0], np.cumsum(hit)])
-        starts, sizes = [], []
-        for length in self.lengths:
+        parts = []
+        for kind, length in enumerate(self.lengths):
             n = length - self.k + 1
-            if n > len(s):
-                break
-            at = np.flatnonzero(seen[n:] - seen[:-n] >= self.at_least * n / 2)
-            starts.append(at)
-            sizes.append(np.full(len(at), n))
-        if not starts:
-            return
-        start, size = np.concatenate(starts), np.concatenate(sizes)
-        if not len(start):
-            return
-        prints = self.fingerprints(s, self.weights(s), start, start + size)
-        pairs = []
-        for b, (ends, items) in enumerate(self.blocks):
-            value = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-            n = ends[value + 1] - ends[value]
-            window = np.repeat(np.arange(len(prints)), n)
-            inner = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
-            item = items[ends[value[window]] + inner]
-            fit = self.size_of[item] - self.k + 1 == size[window]
-            window, item = window[fit], item[fit]
-            near = np.bitwise_count(prints[window] ^ self.prints[item]) <= self.radius
-            pairs.append(np.stack([window[near], item[near]], axis=1))
-        for window, item in np.unique(np.concatenate(pairs), axis=0).tolist():
-            if item not in found and self.similarity(s[start[window] : start[window] + size[window]], item) >= self.at_least:
-                found.add(item)
+            size = min(n, len(hit))  # slices are wider than any item unless the text is shorter
+            at = np.flatnonzero(seen[size:] - seen[: len(seen) - size] >= self.at_least * (n + size) / 2 - 1e-9)
+            parts.append(np.stack([at, np.full(len(at), size), np.full(len(at), kind)]))
+        start, size, kind = np.concatenate(parts, axis=1)
+        return start, size, kind
 
-    def _by_shared(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
-        places = np.flatnonzero(hit)
-        i = np.minimum(np.searchsorted(self.rare, s[places]), len(self.rare) - 1)
-        same = self.rare[i] == s[places]
-        places, i = places[same], i[same]
-        n = self.rare_bounds[i + 1] - self.rare_bounds[i]
-        place = np.repeat(places, n)
-        inner = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
-        item = self.rare_items[self.rare_bounds[np.repeat(i, n)] + inner]
-        order = np.lexsort((place, item))
-        place, item = place[order], item[order]
-        cuts = np.flatnonzero(np.diff(item)) + 1
-        for at in np.split(np.arange(len(item)), cuts) if len(item) else []:
-            j = int(item[at[0]])
-            if j not in found and self._holds(s, place[at], j):
-                found.add(j)
+    def _search(self, s: np.ndarray, hit: np.ndarray, found: set[int]) -> None:
+        """Items within the radius of a window, by the blocks of its fingerprint, then verified."""
+        start, size, kind = self._windows(hit)
+        prints = self.fingerprints(s, self.weights(s), start, start + size) if len(start) else np.zeros(0, np.uint64)
+        for some in np.array_split(np.arange(len(start)), len(start) // 4096 + 1):
+            pairs = []
+            for b, (ends, items) in enumerate(self.blocks):
+                value = kind[some] << BLOCK_BITS | ((prints[some] >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+                n = ends[value + 1] - ends[value]
+                window = np.repeat(some, n)
+                inner = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
+                item = items[np.repeat(ends[value], n) + inner].astype(np.int64)
+                close = np.bitwise_count(prints[window] ^ self.prints[item]) <= self.radius
+                pairs.append(item[close] * len(start) + window[close])
+            item, window = np.divmod(np.unique(np.concatenate(pairs)), max(len(start), 1))
+            for at in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1) if len(item) else []:
+                j = int(item[at[0]])
+                if j not in found and self._verified(s, start[window[at]], size[window[at]], prints[window[at]], j):
+                    found.add(j)
 
-    def _holds(self, s: np.ndarray, places: np.ndarray, item: int) -> bool:
-        """Whether a window over one of the places, or a text shorter than the item, reaches the similarity with it."""
+    def _verified(self, s: np.ndarray, start: np.ndarray, size: np.ndarray, prints: np.ndarray, item: int) -> bool:
+        """Whether one of the windows reaches the similarity with the item, nearest fingerprints first."""
+        first, last = int(start.min()), int((start + size).max())
+        keys = self.keys[item]
+        part = s[first:last]
+        seen = np.concatenate([[0], np.cumsum(keys[np.minimum(np.searchsorted(keys, part), len(keys) - 1)] == part)])
+        shared = seen[start + size - first] - seen[start - first]
         n = int(self.size_of[item]) - self.k + 1
-        if n > len(s):  # regions are wider than any item unless the text is shorter
-            return self.similarity(s, item) >= self.at_least
-        want = self.sets[item]
-        keys = np.array(sorted(want), np.uint64)
-        counts, weights = np.array([want[x] for x in keys.tolist()]), self.weights(keys)
-        gaps = np.flatnonzero(np.diff(places) > 2 * n)
-        for first, last in zip(places[np.concatenate([[0], gaps + 1])], places[np.concatenate([gaps, [len(places) - 1]])]):
-            lo = max(0, int(first) - n + 1)
-            part = s[lo : int(last) + n]
-            i = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
-            i[keys[i] != part] = len(keys)
-            seen = np.concatenate([[0], np.cumsum(i < len(keys))])
-            total = np.concatenate([[0.0], np.cumsum(self.weights(part))])
-            starts = np.flatnonzero(seen[n:] - seen[:-n] >= self.at_least * n - 1e-9)
-            for some in np.array_split(starts, len(starts) // 4096 + 1):
-                have = np.zeros((len(some), len(keys) + 1))
-                for offset in range(n):
-                    have[np.arange(len(some)), i[some + offset]] += 1
-                both = np.minimum(have[:, :-1], counts) @ weights
-                either = total[some + n] - total[some] + counts @ weights - both
-                close = some[both >= (self.at_least - 1e-6) * either]
-                if any(self.similarity(part[x : x + n], item) >= self.at_least for x in close.tolist()):
-                    return True
-        return False
+        left = np.flatnonzero(shared >= self.at_least * (n + size) / 2 - 1e-9)
+        order = np.argsort(np.bitwise_count(prints[left] ^ self.prints[item]), kind="stable")
+        return any(self.similarity(s[x : x + m], item) >= self.at_least for x, m in zip(start[left[order]].tolist(), size[left[order]].tolist()))
 
 
 def _finder(shared, at: int, schema: pa.Schema):
@@ -287,7 +242,7 @@ def find_leaks(
     name: str = "leaked_items",
     k: int = 5,
     at_least: float = 0.8,
-    radius: int = 11,
+    radius: int = 23,
     min_words: int | None = None,
     chunk: int = 10_000,
 ) -> DataFrame:
