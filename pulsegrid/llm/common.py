@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from pulsegrid.session import ensure_checkpoint_dir
 
@@ -26,6 +26,13 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_counted(df: DataFrame, tag: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``saved`` and aggregates over the rows, observed while they are written."""
+    seen = Observation()
+    out = saved(df.observe(seen, *[c.alias(k) for k, c in counts.items()]), tag)
+    return out, seen.get
+
+
 def string_views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, bounds) of a string column without copying; nulls are empty.
     Row i is ``bytes[bounds[i]:bounds[i + 1]]``."""

@@ -30,14 +30,15 @@ give one output row each, judged by the row's own text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import by_bytes, mix, saved, shingle_hashes, string_views, word_hashes
-from pulsegrid.llm.graph import components, lowest
+from pulsegrid.llm.common import by_bytes, mix, saved, saved_counted, shingle_hashes, string_views, word_hashes
+from pulsegrid.llm.graph import components, extended, lowest
 
 #: Rows of text handled at once in a task, in bytes.
 BATCH_BYTES = 1 << 22
@@ -190,16 +191,16 @@ def near_duplicates(
         "minhash-stars",
     )
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """The linked ones of distinct pairs (a, b)."""
+    def links(pairs: DataFrame) -> tuple[DataFrame, int]:
+        """The linked ones of distinct pairs (a, b), and their number."""
         left = member_texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
         right = member_texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
         full = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-        return saved(full.mapInArrow(_verifier(k, part, whole), "a long, b long").distinct(), "minhash-links")
+        found, seen = saved_counted(full.mapInArrow(_verifier(k, part, whole), "a long, b long"), "minhash-links", n=F.count(F.lit(1)))
+        return found, seen["n"]
 
     tested = saved(stars.groupBy("rep").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("rep").alias("a"), F.col("hub").alias("b")), "minhash-pairs")
-    found = links(tested)
-    comp = components(found)
+    comp = components(links(tested)[0])
     for _ in range(rounds):
         of = comp.select(F.col("node"), "comp")
         rest = (
@@ -210,28 +211,34 @@ def near_duplicates(
         sides = rest.select("a", "b", "shared", F.explode(F.array("ca", "cb")).alias("c"))
         best = sides.groupBy("c").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
         pairs = saved(best.select("p.a", "p.b").distinct(), "minhash-pairs")
-        more = links(pairs)
+        more, n_more = links(pairs)
         tested = tested.unionByName(pairs)
-        if not more.limit(1).count():
+        if not n_more:
             break
-        found = found.unionByName(more).distinct()
-        comp = components(found)
+        comp = extended(comp, more)
 
     held = crowd.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "lo", "rep", F.coalesce("comp", "rep").alias("c"))
     sizes = held.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     tops = sizes.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("top"), F.sum("m").alias("all"), F.max("m").alias("most")).where("most < all")
-    held = saved(held.join(tops, "key"), "minhash-open")
-
-    few = held.where(F.col("all") <= small)
+    held, seen = saved_counted(held.join(tops, "key"), "minhash-open", few=F.count_if(F.col("all") <= small), many=F.count_if(F.col("all") > small))
+    edges = []
+    if seen["few"]:
+        pairs = saved(_open_pairs(held.where(F.col("all") <= small)).join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), "minhash-pairs")
+        edges.append(links(pairs)[0])
+    if seen["many"]:
+        edges.append(_tiled(held.where(F.col("all") > small), member_texts, k, part, whole, block))
+    return _result(sig, reps, extended(comp, reduce(DataFrame.unionByName, edges)) if edges else comp)
+
+
+def _open_pairs(few: DataFrame) -> DataFrame:
+    """Distinct pairs (a > b) of members of a bucket that are in different components."""
     other = few.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-    pairs = (
-        few.where("c <> top").select("key", "rep", "c").join(other, "key").where("c <> c2")
-        .select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
-    )
-    done = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "minhash-pairs")
+    met = few.where("c <> top").select("key", "rep", "c").join(other, "key").where("c <> c2")
+    return met.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
+
 
-    many = held.where(F.col("all") > small)
+def _tiled(many: DataFrame, member_texts: DataFrame, k: int, part: int, whole: int, block: int) -> DataFrame:
+    """Edges that join components among the members of large buckets, block against block."""
     cluster = components(many.where("rep <> lo").select(F.col("rep").alias("a"), F.col("lo").alias("b"))).toDF("rep", "cluster")
     placed = many.select("rep", "c").distinct().join(cluster, "rep")
     blocks = placed.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("nb"))
@@ -239,7 +246,7 @@ def near_duplicates(
     placed = placed.withColumn("near", F.explode(F.expr("sequence(0, nb - 1)")))
     placed = placed.select("cluster", "rep", "c", "blk", F.least("blk", "near").alias("ti"), F.greatest("blk", "near").alias("tj"))
     met = placed.join(member_texts.withColumnRenamed("id", "rep"), "rep").groupBy("cluster", "ti", "tj").applyInArrow(_tile(k, part, whole), "a long, b long")
-    return _result(sig, reps, components(found.unionByName(links(pairs)).unionByName(saved(met, "minhash-tiles")).distinct()))
+    return saved(met, "minhash-tiles")
 
 
 def _result(sig: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
