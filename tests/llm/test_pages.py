@@ -149,6 +149,23 @@ def test_url_models_count_every_url(spark):
     assert few == many and len(set(few.values())) > 100
 
 
+def test_url_threshold_is_the_quantile_of_all_accepted_urls(spark):
+    odd = [f"http://casino-{i % 9}.example.org/en/{i}" for i in range(40)]
+    good = [f"https://{prose(i, 2).lower().replace(' ', '-').strip('.')}.example.org/fr/{i}" for i in range(600)]
+    rules = [("allow", "org/")]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(good + odd)], "page_id long, url string")
+    from pulsegrid.llm import url_filter as UF
+
+    seen, plain = [], UF._scorer
+    UF._scorer = lambda shared, threshold: seen.append(threshold) or plain(shared, threshold)
+    try:
+        rows = filter_urls(df, rules, sample=20, rounds=0, false_block=0.05).collect()
+    finally:
+        UF._scorer = plain
+    scores = [r.score for r in rows if r.page_id < len(good)]
+    assert len(scores) == len(good) and seen[0] == pytest.approx(min(0.0, np.quantile(scores, 0.05)), abs=1e-12)
+
+
 def test_binned_counts_match_the_text_model():
     from pulsegrid.llm.url_filter import _merged, _slots
 
