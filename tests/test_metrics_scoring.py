@@ -103,3 +103,26 @@ def test_top_drivers(spark):
     df = spark.createDataFrame([([0.1, -0.2, 0.5, 0.3],), ([-0.1, -0.2, -0.05, -0.3],)], "a array<double>")
     got = [r[0] for r in df.select(SC.top_drivers("a", ["f0", "f1", "f2", "f3"])).collect()]
     assert got == [["f2", "f3"], ["f2"]]
+
+
+def test_ranked_rows_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = [(float(i % 37), float(i % 5), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double, label int").mapInPandas(counted, "x double, y double, label int")
+    for run in (
+        lambda: M.spearman(df, "x", "y", n_buckets=3),
+        lambda: M.roc_auc(df, "x", "label", n_buckets=3),
+        lambda: M.pr_metrics(df, "x", "label", n_buckets=3),
+    ):
+        seen.value = 0
+        run().collect()
+        assert seen.value == len(rows)
+    seen.value = 0
+    M.exact_quantiles(df, "x", [0.25, 0.75], n_buckets=3)
+    assert seen.value == len(rows)
