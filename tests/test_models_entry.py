@@ -51,6 +51,20 @@ def test_tree_shap_exact_on_repeated_feature_tree():
         assert abs(phi[k].sum() + base - f) < 1e-12
 
 
+def test_tree_shap_sums_subsets_per_leaf_not_per_row(monkeypatch):
+    """The arrays that subsets are summed over do not grow with the rows."""
+    rng = np.random.default_rng(0)
+    leaves = [(1.0, 2.0, [(f, 0.0, bool(f % 2), 0.5) for f in range(4)]), (0.3, -1.0, [(4, 0.2, True, 0.25)])]
+    sizes, full = [], np.full
+    monkeypatch.setattr(ML.np, "full", lambda n, v: sizes.append(n) or full(n, v))
+    X = rng.normal(size=(3000, 5))
+    phi, base = ML.tree_shap(X, leaves, 5)
+    assert max(sizes) <= 16
+    for k in range(0, 3000, 300):
+        want, wbase = _brute_shap(X[k], leaves, 5)
+        assert np.allclose(phi[k], want, atol=1e-12) and abs(base - wbase) < 1e-12
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 
