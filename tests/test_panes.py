@@ -95,3 +95,10 @@ def test_windows_without_rows(spark):
     windows = PN.Windows.history([DAY], 5, True)
     assert PN.window_aggregates(df, "hcp_id", "ts", windows, measures()).count() == 0
     assert PN.window_flags(df.withColumn("tag", F.lit("x")), "hcp_id", "ts", windows, "tag", ["x"]).count() == 0
+
+
+def test_nothing_copied_per_date_is_shuffled(spark, tmp_path):
+    log(spark).write.parquet(str(tmp_path / "log"))
+    windows = PN.Windows.history([DAY + dt.timedelta(days=2 * i) for i in range(9)], 60, True)
+    plan = PN.window_aggregates(spark.read.parquet(str(tmp_path / "log")), "hcp_id", "ts", windows, measures())._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")  # top down: dates come in after the last shuffle

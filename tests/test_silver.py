@@ -70,3 +70,10 @@ def test_ties_have_one_winner_whatever_the_order(spark):
     rows = [("e1", "h1", "c", "d", "m", "open", T0, "s", "u", "mobile", "delivered", x) for x in ("b", "a", "c")]
     got = {tuple(SV.to_silver(_bronze(spark, order).repartition(3), EMAIL).collect()[0]) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
     assert len(got) == 1 and next(iter(got))[-1] == "a"
+
+
+def test_only_raw_columns_are_shuffled(spark):
+    """Cleaning happens above the window that picks the latest copy."""
+    plan = SV.to_silver(_bronze(spark, [("e1", "h1", "c", "d", "m", "open", T0)]), EMAIL)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Window [", 1)
+    assert "lower(" in above and "lower(" not in below
