@@ -20,6 +20,7 @@ import json
 import os
 import re
 import struct
+from operator import itemgetter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -101,25 +102,34 @@ class _Chunked:
         ends = np.cumsum(lens + 1).tolist()  # the end of chunk i with the space after it
         if self.lead:
             text = self.lead + text
-        at = 0
+        at, get, learn = 0, self.pieces.get, self._piece
         for piece, (start, _) in self.pre.pre_tokenize_str(text):
             while start >= ends[at]:
                 at += 1
-            found[at].append(self._piece(piece))
+            found[at].append(get(piece) or learn(piece))
         return {c: b"".join(f) for c, f in zip(chunks, found)}
 
     def _printable(self, chunks: list[str]) -> dict[str, bytes]:
         """Chunks of printable ASCII: the file's pattern, on ASCII letters."""
         cut, get, piece = self.ascii_cut, self.pieces.get, self._piece
-        return {c: b"".join([get(p) or piece(p) for p in cut(c)]) for c in chunks}
+        out = {}
+        for c in chunks:
+            found = cut(c)
+            if len(found) == 1:  # most are one piece
+                p = found[0]
+                out[c] = get(p) or piece(p)
+            else:
+                out[c] = b"".join([get(p) or piece(p) for p in found])
+        return out
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         if len(self.pieces) * (ENTRY_BYTES + 16) > CACHE_BYTES:
             self.pieces, self.old_pieces = {}, self.pieces
         out, plain, odd = {}, [], []
-        marks = sorted(set(self.marks))
+        every = "\n".join(chunks)  # a mark in none of them is looked for once, not in each
+        marks = [m for m in sorted(set(self.marks)) if m in every]
         for c in chunks:
-            if any([m in c for m in marks]):
+            if marks and any([m in c for m in marks]):
                 out[c] = self._whole(c)
             elif self.ascii_cut and c.isascii() and c.isprintable():
                 plain.append(c)
@@ -148,8 +158,13 @@ class _Chunked:
         return kept
 
 
+#: Packers of up to 15 ids: words have few, and a format is not built for each.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACK[n](*ids) if n < 16 else struct.pack(f"<{n}I", *ids)
 
 
 #: Words parted by ASCII white space (the tokenizer does not take 1C to 1F for it).
@@ -171,8 +186,9 @@ class WordBpe(_Chunked):
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
         split = [_WORDS.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        get = self.table(split).__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        table = self.table(split)
+        # itemgetter of one key gives the value itself, of more keys a tuple
+        return [np.frombuffer(b"".join(itemgetter(*words)(table) if len(words) > 1 else [table[w] for w in words]), "<u4") for words in split]
 
 
 class ByteBpeCounter(_Chunked):

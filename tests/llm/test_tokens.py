@@ -130,3 +130,14 @@ def test_pack(spark, make_docs):
         assert at <= 256
     assert len(by) <= -(-sum(r.length for r in found) // 256) + 2
     assert pack(make_docs([]), WORD).collect() == []
+
+
+def test_ids_of_one_word_and_of_marks_among_other_words():
+    """Texts of no, one and many words, and chunks with a special string beside plain ones."""
+    path = tokenizer_path("word_bpe_49k.json")
+    library, tk = Tokenizer.from_file(path), WordBpe(path)
+    mark = next(iter(library.get_added_tokens_decoder().values())).content
+    texts = ["", "   ", "one", f"{mark}", f"plain words {mark} and a{mark}b", "x" * 200, "äö ß-word, it's 12", "no mark here"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in tk.ids(texts)] == want
+    assert [x.tolist() for x in tk.ids(texts[::-1])] == want[::-1]
