@@ -20,7 +20,7 @@ import json
 import os
 import re
 import struct
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -34,6 +34,9 @@ ENTRY_BYTES = 180
 #: normalizer may join chunks, they are encoded one by one.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
+#: Letters beside ASCII that may be cut by the file's pattern here (Latin, Cyrillic).
+LETTERS = [chr(i) for i in (*range(0xC0, 0x250), *range(0x400, 0x530))]
+
 _LOADED: dict[tuple[str, str], object] = {}
 
 
@@ -62,15 +65,16 @@ class _Chunked:
         self.marks = [t.content[:2] for t in self.tk.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
             steps = json.load(f)
-        self.ascii_cut = self._ascii_cut(steps["normalizer"], steps["pre_tokenizer"])
+        self.known = {chr(i) for i in range(32, 127)}  # what a chunk may hold to be cut here
+        self.cut = self._cutter(steps["normalizer"], steps["pre_tokenizer"])
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
         self.bytes = 0
 
-    def _ascii_cut(self, normalizer, pre_tokenizer):
-        """A function from a chunk of printable ASCII to its pieces, if the file
+    def _cutter(self, normalizer, pre_tokenizer):
+        """A function from a chunk of ``known`` characters to its pieces, if the file
         has the steps known here; else None, and the library cuts all chunks."""
         return None
 
@@ -110,8 +114,8 @@ class _Chunked:
         return {c: b"".join(f) for c, f in zip(chunks, found)}
 
     def _printable(self, chunks: list[str]) -> dict[str, bytes]:
-        """Chunks of printable ASCII: the file's pattern, on ASCII letters."""
-        cut, get, piece = self.ascii_cut, self.pieces.get, self._piece
+        """Chunks of known characters: the file's pattern, on their letters."""
+        cut, get, piece = self.cut, self.pieces.get, self._piece
         out = {}
         for c in chunks:
             found = cut(c)
@@ -128,10 +132,11 @@ class _Chunked:
         out, plain, odd = {}, [], []
         every = "\n".join(chunks)  # a mark in none of them is looked for once, not in each
         marks = [m for m in sorted(set(self.marks)) if m in every]
+        unknown = set("".join(chunks)) - self.known
         for c in chunks:
             if marks and any([m in c for m in marks]):
                 out[c] = self._whole(c)
-            elif self.ascii_cut and c.isascii() and c.isprintable():
+            elif self.cut and (not unknown or unknown.isdisjoint(c)):
                 plain.append(c)
             elif self.norm is not None and _ODD_SPACE.search(c):
                 out[c] = self._whole(c)
@@ -143,19 +148,23 @@ class _Chunked:
             out |= self._plain(odd)
         return out
 
-    def table(self, split: list[list[str]]) -> dict[str, bytes]:
-        """A table with the ids (little-endian, 4 bytes each) of every chunk of ``split``."""
+    def values(self, split: list[list[str]]) -> list[bytes]:
+        """The ids (little-endian, 4 bytes each) of every chunk of ``split``, in order."""
         if self.bytes > CACHE_BYTES:
             self.kept, self.old, self.bytes = {}, self.kept, 0
-        kept, old = self.kept, self.old
-        new = [c for c in set().union(*split) if c not in kept]
-        if new:
+        kept, old, chunks = self.kept, self.old, list(chain.from_iterable(split))
+        out = list(map(kept.get, chunks))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            new = {chunks[i] for i in missing}
             found = {c: old[c] for c in new if c in old}
             if len(found) < len(new):
                 found |= self._learn([c for c in new if c not in found])
             kept |= found
             self.bytes += ENTRY_BYTES * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
-        return kept
+            for i in missing:
+                out[i] = found[chunks[i]]
+        return out
 
 
 #: Packers of up to 15 ids: words have few, and a format is not built for each.
@@ -175,20 +184,41 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 class WordBpe(_Chunked):
     """Ids of texts for a word-level BPE file."""
 
-    def _ascii_cut(self, normalizer, pre_tokenizer):
+    def _cutter(self, normalizer, pre_tokenizer):
         kinds = [n["type"] for n in (normalizer or {}).get("normalizers", [])]
-        rule = (pre_tokenizer or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        rule, *steps = (pre_tokenizer or {}).get("pretokenizers", [{}])
+        rule = rule.get("pattern", {}).get("Regex")
         if kinds != ["NFC", "Replace", "Lowercase"] or rule != r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+":
             return None
-        find = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
-        return lambda chunk: find(chunk.lower())
+        spelt = {ord(c): s for c in LETTERS if (s := self._spelling(c))}
+        self.known |= {c for c in LETTERS if ord(c) in spelt and ord(c.lower()) in spelt}
+        small = "a-z" + "".join(sorted({c.lower() for c in self.known if not c.isascii()}))
+        find = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{small}]+|[0-9]|[^\s{small}0-9]+").findall
+
+        def cut(chunk: str) -> list[str]:
+            low = chunk.lower()
+            found = [low] if low.isalpha() else find(low)
+            return found if low.isascii() else [p.translate(spelt) for p in found]
+
+        return cut
+
+    def _spelling(self, letter: str) -> str | None:
+        """What the file's steps write for the small form of a letter; None where
+        they do not take it for one letter with the small form Python gives."""
+        low = letter.lower()
+        if len(low) != 1 or self.norm.normalize_str(f"a{letter}a") != f"a{low}a":
+            return None
+        found = self.pre.pre_tokenize_str(f"a{low}a")
+        return found[0][0][1:-1] if len(found) == 1 else None
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
         split = [_WORDS.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        table = self.table(split)
-        # itemgetter of one key gives the value itself, of more keys a tuple
-        return [np.frombuffer(b"".join(itemgetter(*words)(table) if len(words) > 1 else [table[w] for w in words]), "<u4") for words in split]
+        found, at, out = self.values(split), 0, []
+        for words in split:
+            out.append(np.frombuffer(b"".join(found[at : at + len(words)]), "<u4"))
+            at += len(words)
+        return out
 
 
 class ByteBpeCounter(_Chunked):
@@ -196,7 +226,7 @@ class ByteBpeCounter(_Chunked):
 
     lead = " "
 
-    def _ascii_cut(self, normalizer, pre_tokenizer):
+    def _cutter(self, normalizer, pre_tokenizer):
         step = pre_tokenizer or {}
         if normalizer is not None or step.get("type") != "ByteLevel" or step.get("add_prefix_space") or not step.get("use_regex"):
             return None
@@ -206,5 +236,8 @@ class ByteBpeCounter(_Chunked):
     def counts(self, texts: list[str]) -> list[int]:
         split = [_CUT.split(t) for t in texts]
         heads = [len(e) for e in self.tk.encode_batch_fast([s.pop(0) for s in split], add_special_tokens=False)]
-        get = self.table(split).__getitem__
-        return [h + sum(map(len, map(get, s))) // 4 for h, s in zip(heads, split)]
+        sizes, at, out = list(map(len, self.values(split))), 0, []
+        for head, chunks in zip(heads, split):
+            out.append(head + sum(sizes[at : at + len(chunks)]) // 4)
+            at += len(chunks)
+        return out

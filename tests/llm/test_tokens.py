@@ -31,6 +31,26 @@ def test_cuts_keep_ids(texts):
     assert b.counts(texts) == [len(e.ids) for e in b.tk.encode_batch(texts, add_special_tokens=False)]
 
 
+LATIN = st.text(alphabet=" \n'!?$aZst1éÉñßçÜıİſΣжЖй́²½中", max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(LATIN, min_size=1, max_size=4))
+def test_letters_beside_ascii_keep_ids(texts):
+    w = WordBpe(WORD)
+    for again in range(2):  # learnt, then known
+        assert [x.tolist() for x in w.ids(texts)] == [e.ids for e in w.tk.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_latin_words_are_cut_by_the_pattern(monkeypatch):
+    """They were sent through the library's steps like any odd text."""
+    w = loaded(WordBpe, WORD)
+    monkeypatch.setattr(w, "_plain", lambda chunks: pytest.fail("not cut here"))
+    text = "Größe unweit, élan ÑANDÚ façade's жук"
+    assert w.ids([text])[0].tolist() == w.tk.encode(text, add_special_tokens=False).ids
+    assert not {"İ", "Σ", "中", "\u0301", "½"} & w.known
+
+
 @settings(max_examples=100, deadline=None)
 @given(ODD)
 def test_safe_pieces_add_up(text):
