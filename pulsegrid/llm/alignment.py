@@ -65,9 +65,10 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Aligner:
-    """Words with their tokens, groups and links, learnt once each."""
+    """Words with their tokens, groups and links, learnt once each; the groups'
+    text only where it is read."""
 
-    def __init__(self, a_path: str, b_path: str, look_up=None):
+    def __init__(self, a_path: str, b_path: str, look_up=None, with_text: bool = True):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -91,7 +92,7 @@ class Aligner:
         pre = steps["pre_tokenizer"] or {}
         plain = steps["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.cuts = bool(plain) and not any("▁" in p.lstrip("▁") or ("\n" in p and len(p) > 1) for p in pieces)
-        self.look_up = look_up
+        self.look_up, self.with_text = look_up, with_text
         self.old = self.now = Generation()
 
     def split(self, text: str) -> list[str]:
@@ -139,7 +140,8 @@ class Aligner:
             counts, top = self.look_up(keys)
             total, best = (np.diff(np.concatenate([[0], np.cumsum(x)])[links], prepend=0) for x in (counts, top.astype(np.int64)))
         sizes = np.stack([*(np.diff(x, prepend=0) for x in (a_last, b_last, groups, links)), best, total], 1)
-        self.now.add(kept, self._texts(ai, bi, a_cut, b_cut, groups), keys, links, sizes)
+        texts = self._texts(ai, bi, a_cut, b_cut, groups) if self.with_text else [""] * len(kept)
+        self.now.add(kept, texts, keys, links, sizes)
 
     def _learn_run(self, words: list[str], kept: list, lengths: list, a: list, b: list) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -265,11 +267,11 @@ class Generation:
 _HELD: dict[str, Aligner] = {}
 
 
-def aligner(run: str, a_path: str, b_path: str, look_up=None) -> Aligner:
+def aligner(run: str, a_path: str, b_path: str, look_up=None, with_text: bool = True) -> Aligner:
     """One aligner a worker, for the run at hand only."""
     if run not in _HELD:
         _HELD.clear()
-        _HELD[run] = Aligner(a_path, b_path, look_up)
+        _HELD[run] = Aligner(a_path, b_path, look_up, with_text)
     return _HELD[run]
 
 
@@ -281,8 +283,7 @@ def _pair_counts(run_id: str, a_path: str, b_path: str):
     """Counts of a task's linked pairs, packed by bucket of the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al = aligner(run_id, a_path, b_path)
-        seen: dict[int, int] = {}
+        al = aligner(run_id, a_path, b_path, with_text=False)
         used = np.zeros(0, np.int64)
 
         def flush() -> pa.RecordBatch | None:
