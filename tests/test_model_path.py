@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +58,14 @@ def test_only_the_scored_rows_are_written(spark, monkeypatch):
         assert got["3"][p] == pytest.approx(1 / (1 + 2.718281828459045 ** -(slope * got["3"][f"_raw_{t}"] + cut)))
     total = sum(w * got["3"][p] for w, p in zip(PROFILE_A.channel_weights, SC.PROBS))
     assert got["3"].pred_score == pytest.approx(100 * total)
+
+
+def test_silver_logs_are_written_at_the_same_time(spark, monkeypatch):
+    together = threading.Barrier(4, timeout=30)  # broken if one waits for another's job
+
+    def waiting(spark, sf_dir, ch):
+        together.wait()
+        return spark.createDataFrame([(ch,)], "channel string")
+
+    monkeypatch.setattr(Q.SV, "silver", waiting)
+    assert {k: v.first().channel for k, v in Q.silvers(spark, "unread").items()} == {c: c for c in Q.CHANNELS}
