@@ -102,3 +102,28 @@ def test_nothing_copied_per_date_is_shuffled(spark, tmp_path):
     windows = PN.Windows.history([DAY + dt.timedelta(days=2 * i) for i in range(9)], 60, True)
     plan = PN.window_aggregates(spark.read.parquet(str(tmp_path / "log")), "hcp_id", "ts", windows, measures())._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.index("Exchange")  # top down: dates come in after the last shuffle
+
+
+@pytest.mark.parametrize("spans", [
+    [(dt.date.min, False, DAY, False), (dt.date.min, False, DAY + dt.timedelta(days=2), True)],
+    [(DAY, True, DAY + dt.timedelta(days=900), False), (DAY + dt.timedelta(days=65), False, DAY + dt.timedelta(days=66), True)],
+])
+def test_panes_of_windows_with_far_borders(spark, spans):
+    windows = PN.Windows(tuple((lo if lo != dt.date.min else hi, (lo, a), (hi, b)) for lo, a, hi, b in spans))
+    shown = windows.pane_of("ts")._jc.toString()
+    assert len(shown) < 20_000  # one entry a day since the year 1 took minutes to plan
+    far = [dt.datetime(1, 1, 1), dt.datetime(1971, 5, 5, 3), dt.datetime(2026, 8, 17), dt.datetime(2026, 8, 18), dt.datetime(2026, 8, 18, 1), dt.datetime(9999, 1, 1)]
+    near = [dt.datetime(2024, 2, 27) + dt.timedelta(hours=12 * i) for i in range(200)] + [dt.datetime(2024, 3, 1, 0, 0, 0, 1)]
+    rows = spark.createDataFrame([(t,) for t in [*far, *near, None]], "ts timestamp_ntz")
+
+    def mark(d, after):  # sorts before or after the rows of its instant
+        return dt.datetime(d.year, d.month, d.day), int(after)
+
+    borders = [mark(*b) for b in windows.borders()]
+    used = {i for r in windows.panes().values() for i in r}
+    for t, pane in rows.select("ts", windows.pane_of("ts")).collect():
+        want = None
+        if t is not None:
+            at = sum(b <= (t, 0) for b in borders) - 1
+            want = at if at in used else None
+        assert pane == want, t
