@@ -79,7 +79,7 @@ def features_asof(silvers: dict[str, DataFrame], entities: DataFrame, dates: lis
     out = entities.select("hcp_id", F.explode(F.array(*[F.lit(d.isoformat()).cast("date") for d in dates])).alias("snapshot_date"))
     windows = windows_before(dates)
     for ch, silver in silvers.items():
-        out = out.join(PN.window_aggregates(silver, "hcp_id", SILVER_TS[ch], windows, _measures(ch)), ["hcp_id", "snapshot_date"], "left")
+        out = PN.meet(out, PN.window_aggregates(silver, "hcp_id", SILVER_TS[ch], windows, _measures(ch)))
     days = F.datediff(F.col("snapshot_date"), F.lit(data_start.isoformat()).cast("date"))
     cols = []
     for name, src, _ in NORM_SPEC:

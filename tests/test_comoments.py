@@ -1,6 +1,7 @@
 """Merged co-moments against numpy on all rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import models as ML
@@ -40,3 +41,14 @@ def test_no_rows(spark):
     none = spark.range(0).select(F.col("id").cast("double").alias("a"), F.lit(1.0).alias("total_touchpoints"))
     assert comoments(none, ["a", "total_touchpoints"]).n == 0
     assert ML.history_score(none, none, ["a", "total_touchpoints"]).count() == 0
+
+
+def test_training_matrix_is_not_written_for_one_pass(spark, monkeypatch):
+    from pulsegrid.plans import queries as Q
+
+    snap = spark.createDataFrame([(str(i), "train" if i % 3 else "val", float(i), float(i * i % 7), None) for i in range(30)], "hcp_id string, split string, a double, b double, c double")
+    monkeypatch.setattr(Q, "snapshot_table", lambda *a, **k: snap)
+    monkeypatch.setattr(Q, "cut_lineage", lambda df: pytest.fail("written"))
+    train, cols = Q._train_features(spark, "unread")
+    assert cols == ["a", "b", "c"] and train.count() == 20 and train.where("c = 0").count() == 20
+    assert {(r.a, r.b): r.r for r in Q._q_feature_correlation(spark, "unread").collect()}[("a", "a")] == 1.0

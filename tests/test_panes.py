@@ -127,3 +127,27 @@ def test_panes_of_windows_with_far_borders(spark, spans):
             at = sum(b <= (t, 0) for b in borders) - 1
             want = at if at in used else None
         assert pane == want, t
+
+
+def test_parts_meet_without_another_shuffle_of_the_dates(spark):
+    dates = [DAY + dt.timedelta(days=3 * i) for i in range(4)]
+    windows = PN.Windows.history(dates, 10, True)
+    df = log(spark)
+    entities = df.select("hcp_id").where(F.col("hcp_id").isNotNull()).union(spark.createDataFrame([("idle",)], "hcp_id string")).distinct()
+    rows = entities.select("hcp_id", F.explode(windows.dates()).alias("snapshot_date"))
+    parts = [PN.window_aggregates(df, "hcp_id", "ts", windows, measures()), PN.window_flags(df, "hcp_id", "ts", windows, "device_type", ["desktop", "tablet"])]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        want, got = rows, rows
+        for p in parts:
+            want, got = want.join(p, ["hcp_id", "snapshot_date"], "left"), PN.meet(got, p)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert shuffles and not any("snapshot_date" in x for x in shuffles)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
